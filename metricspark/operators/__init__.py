@@ -1 +1 @@
-
+"""Set-based operators over samples and dimensions."""
