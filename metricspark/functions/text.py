@@ -10,9 +10,9 @@ MIB = 1024 * 1024
 
 
 def format_bytes(n: Column) -> Column:
-    """``1.5 KiB`` or ``2.0 MiB``; MiB only above one MiB."""
-    return F.when(n > MIB, F.format_string("%.1f MiB", n / MIB)).otherwise(
-        F.format_string("%.1f KiB", n / KIB)
+    """``1.5 KiB`` or ``2.0 MiB``; MiB only above one MiB. Halves go to the even digit."""
+    return F.when(n > MIB, F.format_string("%.1f MiB", F.bround(n / MIB, 1))).otherwise(
+        F.format_string("%.1f KiB", F.bround(n / KIB, 1))
     )
 
 

@@ -24,12 +24,10 @@ def raw_bits(value: Column) -> Column:
 def sample_kind(value: Column) -> Column:
     """``value``, ``stale``, ``normal_nan`` or ``other_nan``. Only NaNs pay for the bit test."""
     bits = raw_bits(value)
-    return F.when(~F.isnan(value), VALUE).when(
-        value.isNotNull(),
-        F.when(bits == str(STALE_BITS), STALE)
-        .when(bits == str(NORMAL_NAN_BITS), NORMAL_NAN)
-        .otherwise(OTHER_NAN),
+    nan = (
+        F.when(bits == str(STALE_BITS), STALE).when(bits == str(NORMAL_NAN_BITS), NORMAL_NAN).otherwise(OTHER_NAN)
     )
+    return F.when(F.isnan(value), nan).when(value.isNotNull(), VALUE)
 
 
 def is_stale_marker(kind: Column) -> Column:

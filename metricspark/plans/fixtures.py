@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from metricspark.functions.labels import labels_from_map, labels_of
 from metricspark.functions.text import escape_label_value, instant, micros_of
-from metricspark.schema import LABELS
 from metricspark.sources.label_json import labels_map
 
 EVENTS_PER_DUMP = 50
@@ -191,19 +190,16 @@ def pods(spark: SparkSession, sf_dir: str, own: str = "own.example") -> DataFram
         table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
     )
     key = F.col("s_suppkey")
-    notes = F.map_from_entries(
-        F.filter(
-            F.array(
-                F.struct(F.lit("prometheus.io/scrape").alias("key"), F.when(key % 4 != 0, "false").alias("value")),
-                F.struct(F.lit(f"{own}/scrape"), F.when(key % 6 == 0, "true")),
-                F.struct(F.lit(f"{own}/port"), F.when(key % 5 == 0, "none")),
-                F.struct(F.lit("prometheus.io/port"), F.when(key % 3 == 0, _text(key + 9000))),
-                F.struct(F.lit("prometheus.io/path"), F.when(key % 2 == 0, F.concat(F.lit("//m/"), _text(key)))),
-                F.struct(F.lit(f"{own}/path"), F.when(key % 7 == 0, "stats")),
-                F.struct(F.lit(f"{own}/metadata"), F.when(key % 9 == 0, "namespace,,other,pod")),
-            ),
-            lambda x: x["value"].isNotNull(),
-        )
+    notes = map_of(
+        {
+            "prometheus.io/scrape": F.when(key % 4 != 0, "false"),
+            f"{own}/scrape": F.when(key % 6 == 0, "true"),
+            f"{own}/port": F.when(key % 5 == 0, "none"),
+            "prometheus.io/port": F.when(key % 3 == 0, _text(key + 9000)),
+            "prometheus.io/path": F.when(key % 2 == 0, F.concat(F.lit("//m/"), _text(key))),
+            f"{own}/path": F.when(key % 7 == 0, "stats"),
+            f"{own}/metadata": F.when(key % 9 == 0, "namespace,,other,pod"),
+        }
     )
     return s.select(
         F.col("s_name").alias("name"),
@@ -251,5 +247,6 @@ def pod_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def no_labels() -> Column:
-    return F.array().cast(LABELS)
+def map_of(values: dict[str, Column]) -> Column:
+    """A map of the values that are not null."""
+    return F.map_from_entries(labels_of(list(values.items())))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -38,7 +38,12 @@ def label_sets(samples: DataFrame) -> DataFrame:
     return samples.withColumn("canonical", canonical).withColumn("set_hash", series_hash(F.col("canonical")))
 
 
-def ingest(samples: DataFrame, catalog: Catalog, carry: Sequence[str] = ()) -> Ingested:
+def ingest(
+    samples: DataFrame,
+    catalog: Catalog,
+    carry: Sequence[str] = (),
+    persist: Callable[[DataFrame, str], DataFrame] = durable,
+) -> Ingested:
     """Resolve samples of ``name, labels, value, time`` to series, creating what is missing.
 
     Dictionary work runs on the distinct label sets, which partial aggregation shrinks
@@ -46,7 +51,9 @@ def ingest(samples: DataFrame, catalog: Catalog, carry: Sequence[str] = ()) -> I
     series id, and only with their 8-byte label hash, value and time; a series holding much
     of the data is a skewed key that adaptive execution splits. The hash is trusted only
     after a check that no two label sets share it, else the whole label list is the key.
-    ``carry`` names further sample columns to keep on the facts.
+
+    ``carry`` names further sample columns to keep on the facts. ``persist`` writes the new
+    rows of a dimension and returns them as read back.
     """
     keyed = label_sets(samples)
     sets = durable(
@@ -57,13 +64,12 @@ def ingest(samples: DataFrame, catalog: Catalog, carry: Sequence[str] = ()) -> I
     )
     pairs = sets.select("metric_name", F.inline("canonical"))
 
-    added = {}
-    added["metric"] = new_metrics(catalog.metric, sets)
-    added["label"] = new_labels(catalog.label, pairs)
-    added["label_key_position"] = durable(
-        new_label_positions(catalog.label_key_position, pairs), "label-key-position"
-    )
-    added["label_key"] = new_label_keys(catalog.label_key, added["label_key_position"])
+    added = {
+        "metric": persist(new_metrics(catalog.metric, sets), "metric"),
+        "label": persist(new_labels(catalog.label, pairs), "label"),
+        "label_key_position": persist(new_label_positions(catalog.label_key_position, pairs), "label_key_position"),
+    }
+    added["label_key"] = persist(new_label_keys(catalog.label_key, added["label_key_position"]), "label_key")
     grown = catalog.with_(**{n: getattr(catalog, n).unionByName(rows) for n, rows in added.items()})
 
     encoded = encode_labels(sets, grown.label, grown.label_key_position)
@@ -73,7 +79,7 @@ def ingest(samples: DataFrame, catalog: Catalog, carry: Sequence[str] = ()) -> I
         .select("set_hash", "canonical", "metric_id", "chunk_interval_s", "label_ids"),
         "resolved-sets",
     )
-    added["series"] = new_series(catalog.series, resolved)
+    added["series"] = persist(new_series(catalog.series, resolved), "series")
     grown = grown.with_(series=catalog.series.unionByName(added["series"]))
     known = resolved.join(grown.series, ["metric_id", "label_ids"]).select(
         "set_hash", "canonical", "metric_id", "chunk_interval_s", "series_id"

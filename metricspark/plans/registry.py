@@ -5,8 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from metricspark.functions import matching, naming, values
 from metricspark.functions.labels import (
@@ -63,10 +65,10 @@ def forget_stores() -> None:
 
 
 def write_event_store(spark: SparkSession, sf_dir: str) -> MetricStore:
-    """Events ingested into a new store: chunks of a day, of 8 hours for one metric."""
+    """Events ingested into a new store: chunks of 5 days, of one day for one metric."""
     store = MetricStore(spark, fresh_folder(spark, "events-store"))
-    catalog = settings.set_default(store.catalog(), settings.CHUNK_INTERVAL, DAY_S)
-    catalog = settings.set_metric(catalog, settings.CHUNK_INTERVAL, "view", DAY_S // 3)
+    catalog = settings.set_default(store.catalog(), settings.CHUNK_INTERVAL, 5 * DAY_S)
+    catalog = settings.set_metric(catalog, settings.CHUNK_INTERVAL, "view", DAY_S)
     store.replace_catalog(catalog)
     store.write_batch(fixtures.event_samples(spark, sf_dir), 0)
     return store
@@ -628,15 +630,15 @@ def remote_write_rows(spark, sf_dir):
     )
 
 
+@F.arrow_udf(T.DoubleType())
+def from_bits(bits: pa.Array) -> pa.Array:
+    """Doubles with given bits, which no text of SQL can write."""
+    return bits.view(pa.float64())
+
+
 @query
 def stale_markers(spark, sf_dir):
     """FLT12, FLT13: special values made from events, told apart before they are stored"""
-    import pandas as pd
-
-    @F.pandas_udf("double")
-    def from_bits(bits: pd.Series) -> pd.Series:
-        return pd.Series(bits.to_numpy("int64").view("float64"))
-
     n = F.col("event_id") % 5
     bits = (
         F.when(n == 0, F.lit(values.STALE_BITS)).when(n == 1, F.lit(values.NORMAL_NAN_BITS))

@@ -76,8 +76,10 @@ class MetricStore:
             frames["settings"] = default_settings(self.spark)
         return Catalog(**frames)
 
-    def _write_dimension(self, name: str, rows: DataFrame, generation: int, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.root}/{name}/generation={generation}/batch_id={batch_id}")
+    def _write_dimension(self, name: str, rows: DataFrame, generation: int, batch_id: int) -> DataFrame:
+        path = f"{self.root}/{name}/generation={generation}/batch_id={batch_id}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(DIMENSIONS[name]).parquet(path)
 
     def replace_catalog(self, catalog: Catalog) -> None:
         """Write all dimensions as the next generation and put it in force."""
@@ -115,10 +117,12 @@ class MetricStore:
 
     def write_batch(self, samples: DataFrame, batch_id: int) -> tuple[Ingested, int]:
         """Ingest samples as one batch: dimensions first, then facts."""
-        batch = ingest(samples, self.catalog(before_batch=batch_id))
         generation = self.generation()
-        for name, rows in batch.added.items():
-            self._write_dimension(name, rows, generation, batch_id)
+
+        def persist(rows: DataFrame, name: str) -> DataFrame:
+            return self._write_dimension(name, rows, generation, batch_id)
+
+        batch = ingest(samples, self.catalog(before_batch=batch_id), persist=persist)
         return batch, self.append_samples(batch.facts, batch_id)
 
     def rewrite_chunks(self, late: DataFrame) -> int:
