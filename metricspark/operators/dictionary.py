@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from metricspark.functions.naming import id_column_name, unique_name, value_column_name
-from metricspark.operators.ids import assign_ids, highest
+from metricspark.operators.ids import assign_ids
 from metricspark.schema import NAME_KEY
 
 
@@ -22,13 +22,13 @@ def missing(incoming: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
 def new_labels(label: DataFrame, incoming: DataFrame) -> DataFrame:
     """``id, key, value`` for the (key, value) pairs not in the dictionary yet."""
     fresh = missing(incoming, label, ["key", "value"])
-    return assign_ids(fresh, ["key", "value"], highest(label, "id"), "id")
+    return assign_ids(fresh, ["key", "value"], "id", after=label)
 
 
 def new_metrics(metric: DataFrame, incoming: DataFrame) -> DataFrame:
     """Metrics for the names not known yet, on default settings."""
     fresh = missing(incoming, metric, ["metric_name"])
-    ids = assign_ids(fresh, ["metric_name"], highest(metric, "metric_id"), "metric_id")
+    ids = assign_ids(fresh, ["metric_name"], "metric_id", after=metric)
     return ids.select(
         "metric_id",
         "metric_name",
@@ -52,7 +52,7 @@ def get_or_create_metrics(metric: DataFrame, incoming: DataFrame) -> DataFrame:
 def new_label_keys(label_key: DataFrame, incoming: DataFrame) -> DataFrame:
     """Keys not known yet, with the view columns named after them."""
     fresh = missing(incoming, label_key, ["key"])
-    ids = assign_ids(fresh, ["key"], highest(label_key, "id"), "id")
+    ids = assign_ids(fresh, ["key"], "id", after=label_key)
     return ids.select(
         "id",
         "key",
@@ -83,9 +83,7 @@ def new_label_positions(positions: DataFrame, incoming: DataFrame) -> DataFrame:
 def new_series(series: DataFrame, encoded: DataFrame) -> DataFrame:
     """Series for the (metric, label ids) combinations not known yet."""
     fresh = missing(encoded, series, ["metric_id", "label_ids"])
-    return assign_ids(
-        fresh, ["metric_id", "label_ids"], highest(series, "series_id"), "series_id", "bigint"
-    )
+    return assign_ids(fresh, ["metric_id", "label_ids"], "series_id", "bigint", after=series)
 
 
 # -- look-ups ------------------------------------------------------------------------------

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from metricspark.session import durable
 
 
-def assign_ids(rows: DataFrame, order_by: Sequence[str], base: int, id_column: str, id_type: str = "int") -> DataFrame:
-    """Number distinct ``rows`` densely from ``base + 1`` in the order of ``order_by``.
+def assign_ids(
+    rows: DataFrame, order_by: Sequence[str], id_column: str, id_type: str = "int", after: DataFrame | None = None
+) -> DataFrame:
+    """Number distinct ``rows`` densely in the order of ``order_by``.
+
+    Ids start at 1, or past the highest ``id_column`` of ``after``.
 
     The rows are range-partitioned and sorted, and written once with their partition and
     their rank inside it, so that both stay fixed if a task runs again. The offsets of the
@@ -31,12 +35,9 @@ def assign_ids(rows: DataFrame, order_by: Sequence[str], base: int, id_column: s
     counts = fixed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    numbered = (F.col("_rank") + F.col("_offset") + F.lit(base + 1)).cast(id_type)
+    if after is not None:
+        base = after.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("_base"))
+        offsets = offsets.crossJoin(base).select("_part", (F.col("_offset") + F.col("_base")).alias("_offset"))
+    numbered = (F.col("_rank") + F.col("_offset") + 1).cast(id_type)
     # One row per partition of the write: bounded by the shuffle partition count.
-    return fixed.join(F.broadcast(offsets), "_part").select(
-        numbered.alias(id_column), *[c for c in rows.columns]
-    )
-
-
-def highest(dim: DataFrame, id_column: str) -> int:
-    return dim.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("m")).first()["m"]
+    return fixed.join(F.broadcast(offsets), "_part").select(numbered.alias(id_column), *rows.columns)

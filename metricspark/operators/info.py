@@ -57,7 +57,7 @@ def label_info(catalog: Catalog, page_size: int = PAGE_SIZE) -> DataFrame:
     A key with more than ``page_size`` values has several rows, numbered by ``page``, so that
     no array grows without bound. The rank of a value comes from a range sort over all keys.
     """
-    ranked = assign_ids(catalog.label.select("key", "value"), ["key", "value"], 0, "rank", "bigint")
+    ranked = assign_ids(catalog.label.select("key", "value"), ["key", "value"], "rank", "bigint")
     first = ranked.groupBy("key").agg(F.min("rank").alias("first"))
     page = F.floor((F.col("rank") - F.col("first")) / page_size)
     pages = (

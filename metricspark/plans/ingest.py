@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,12 +66,18 @@ def ingest(
     )
     pairs = sets.select("metric_name", F.inline("canonical"))
 
-    added = {
-        "metric": persist(new_metrics(catalog.metric, sets), "metric"),
-        "label": persist(new_labels(catalog.label, pairs), "label"),
-        "label_key_position": persist(new_label_positions(catalog.label_key_position, pairs), "label_key_position"),
-    }
-    added["label_key"] = persist(new_label_keys(catalog.label_key, added["label_key_position"]), "label_key")
+    def keys() -> dict[str, DataFrame]:
+        positions = persist(new_label_positions(catalog.label_key_position, pairs), "label_key_position")
+        return {
+            "label_key_position": positions,
+            "label_key": persist(new_label_keys(catalog.label_key, positions), "label_key"),
+        }
+
+    added = _together(
+        lambda: {"metric": persist(new_metrics(catalog.metric, sets), "metric")},
+        lambda: {"label": persist(new_labels(catalog.label, pairs), "label")},
+        keys,
+    )
     grown = catalog.with_(**{n: getattr(catalog, n).unionByName(rows) for n, rows in added.items()})
 
     encoded = encode_labels(sets, grown.label, grown.label_key_position)
@@ -87,6 +95,13 @@ def ingest(
     return Ingested(grown, added, _facts(keyed, sets, known, carry))
 
 
+def _together(*steps: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
+    """Run independent steps as concurrent jobs of one session."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        done = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        return {name: rows for step in done for name, rows in step.result().items()}
+
+
 def hashes_collide(sets: DataFrame) -> bool:
     return bool(sets.groupBy("set_hash").count().filter("count > 1").head(1))
 

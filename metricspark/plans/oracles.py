@@ -192,6 +192,34 @@ li AS (
 """
 
 
+_INGEST_REPORT = """
+SELECT sec - sec % 300 AS interval_start, count(*) FILTER (WHERE outcome = 'ok') AS scrapes,
+  count(*) FILTER (WHERE outcome = 'failed') AS scrape_errors, count(*) FILTER (WHERE outcome = 'timeout') AS scrape_timeouts,
+  count(*) FILTER (WHERE outcome = 'refused') AS scrape_refused,
+  CAST(coalesce(sum(event_id % 5 + 1) FILTER (WHERE outcome = 'ok'), 0) AS BIGINT) AS writes,
+  CAST(0 AS BIGINT) AS write_errors,
+  CAST(coalesce(sum(event_id % 2) FILTER (WHERE outcome = 'ok'), 0) AS BIGINT) AS write_skips,
+  CAST(coalesce(sum(event_id % 3) FILTER (WHERE outcome = 'ok'), 0) AS BIGINT) AS new_series,
+  CAST(coalesce(sum(user_id * 100) FILTER (WHERE outcome = 'ok'), 0) AS BIGINT) AS response_bytes,
+  coalesce(max(user_id * 100) FILTER (WHERE outcome = 'ok'), 0) AS response_bytes_peak
+FROM (
+  SELECT epoch_us(ts) // 1000000 AS sec, event_id, user_id,
+    CASE WHEN event_type = 'error' THEN 'failed' WHEN event_id % 11 = 0 THEN 'timeout'
+         WHEN event_id % 13 = 0 THEN 'refused' ELSE 'ok' END AS outcome FROM events)
+GROUP BY interval_start
+"""
+
+_FOLDED = _with(
+    _POD_LOG, "SELECT name, url, 'pod=' || name || ',instance=192.168.1.1,namespace=ns' AS labels, last_scrape FROM tgt"
+)
+
+_BOOKMARKS = """, b AS (
+  SELECT doc, target, scrape_ts,
+         greatest(scrape_ts - 300, coalesce(lag(scrape_ts) OVER (PARTITION BY target ORDER BY scrape_ts, doc), 0)) AS min_ts
+  FROM docs)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "metric_dictionary": _with(_SAMPLES, "SELECT metric_id, name AS metric_name, name AS table_name FROM m"),
@@ -416,11 +444,8 @@ def oracle_sql() -> dict[str, str]:
             FROM orders, (VALUES ('price', 'summary'), ('wait', 'histogram')) r(family, kind)""",
         "label_escapes": "SELECT doc_id, lang, md5(text) AS text_md5, n_chars FROM documents",
         "age_filter": _with(
-            _DUMPS,
-            """, b AS (
-              SELECT doc, greatest(scrape_ts - 300, coalesce(lag(scrape_ts) OVER (PARTITION BY target ORDER BY scrape_ts, doc), 0)) AS min_ts
-              FROM docs)
-            SELECT CAST(l.doc AS VARCHAR) AS doc_id, target, scrape_ts, event_type AS name, ms AS own_ts, min_ts
+            _DUMPS + _BOOKMARKS,
+            """SELECT CAST(l.doc AS VARCHAR) AS doc_id, l.target, l.scrape_ts, event_type AS name, ms AS own_ts, min_ts
             FROM l JOIN b ON b.doc = l.doc WHERE ms // 1000 >= min_ts""",
         ),
         "remote_write_rows": _with(
@@ -442,34 +467,28 @@ def oracle_sql() -> dict[str, str]:
                   ELSE '192.168.0.' || s_suppkey % 256 END || ',namespace=' || n_name END AS labels
             FROM supplier JOIN nation ON n_nationkey = s_nationkey
             WHERE s_suppkey % 12 <> 5 AND s_suppkey % 10 <> 0 AND (s_suppkey % 4 <> 0 OR s_suppkey % 6 = 0)""",
-        "fold_targets": _with(
-            _POD_LOG,
-            "SELECT name, url, 'pod=' || name || ',instance=192.168.1.1,namespace=ns' AS labels, last_scrape FROM tgt",
-        ),
+        "fold_targets": _FOLDED,
         "refresh_targets": _with(
             _POD_LOG,
             f""", snap AS (SELECT name, arg_max(coalesce(any_url, ''), seq) AS url FROM log GROUP BY name)
             SELECT snap.name, snap.url, CASE WHEN tgt.url = snap.url THEN last_scrape ELSE {NOW_S} END AS last_scrape
             FROM snap LEFT JOIN tgt ON tgt.name = snap.name WHERE snap.url <> ''""",
         ),
-        "ingest_report": """
-            WITH g AS (
-              SELECT epoch_us(ts) // 1000000 AS sec, event_id, user_id,
-                CASE WHEN event_type = 'error' THEN 'failed' WHEN event_id % 11 = 0 THEN 'timeout'
-                     WHEN event_id % 13 = 0 THEN 'refused' ELSE 'ok' END AS outcome FROM events)
-            SELECT sec - sec % 300 AS interval_start, count(*) FILTER (WHERE outcome = 'ok') AS scrapes,
-              count(*) FILTER (WHERE outcome = 'failed') AS scrape_errors, count(*) FILTER (WHERE outcome = 'timeout') AS scrape_timeouts,
-              count(*) FILTER (WHERE outcome = 'refused') AS scrape_refused,
-              CAST(coalesce(sum(event_id % 5 + 1) FILTER (WHERE outcome = 'ok'), 0) AS BIGINT) AS writes,
-              CAST(0 AS BIGINT) AS write_errors,
-              CAST(coalesce(sum(event_id % 2) FILTER (WHERE outcome = 'ok'), 0) AS BIGINT) AS write_skips,
-              CAST(coalesce(sum(event_id % 3) FILTER (WHERE outcome = 'ok'), 0) AS BIGINT) AS new_series,
-              CAST(coalesce(sum(user_id * 100) FILTER (WHERE outcome = 'ok'), 0) AS BIGINT) AS response_bytes,
-              coalesce(max(user_id * 100) FILTER (WHERE outcome = 'ok'), 0) AS response_bytes_peak,
-              CASE WHEN coalesce(max(user_id) FILTER (WHERE outcome = 'ok'), 0) * 10000 > 1048576
-                THEN printf('%.1f MiB', coalesce(max(user_id) FILTER (WHERE outcome = 'ok'), 0) * 10000 / 1048576.0::DOUBLE)
-                ELSE printf('%.1f KiB', coalesce(max(user_id) FILTER (WHERE outcome = 'ok'), 0) * 10000 / 1024.0::DOUBLE) END AS peak_text
-            FROM g GROUP BY interval_start""",
+        "ingest_report": f"""
+            SELECT *, CASE WHEN response_bytes_peak * 100 > 1048576
+                THEN printf('%.1f MiB', CAST(response_bytes_peak AS DOUBLE) * 100 / 1048576)
+                ELSE printf('%.1f KiB', CAST(response_bytes_peak AS DOUBLE) * 100 / 1024) END AS peak_text
+            FROM ({_INGEST_REPORT})""",
+        "stream_report_events": _INGEST_REPORT,
+        "stream_bookmark_rows": _with(
+            _DUMPS + _BOOKMARKS, "SELECT CAST(doc AS VARCHAR) AS doc_id, target, scrape_ts, min_ts FROM b"
+        ),
+        "stream_target_set": _FOLDED,
+        "stream_ingest_dumps": _with(
+            _DUMPS + _BOOKMARKS,
+            """SELECT '__name__=' || event_type || ',env=prod,props=' || props || ',user=' || user_id AS labels, ms, cents
+            FROM l JOIN b ON b.doc = l.doc WHERE ms // 1000 >= min_ts""",
+        ),
         "lineitem_by_status": _with(
             _LINEITEMS,
             """SELECT status, count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents FROM li

@@ -27,6 +27,10 @@ from metricspark.plans.store import MetricStore
 from metricspark.schema import Catalog
 from metricspark.session import fresh_folder
 from metricspark.sources import exposition, label_json, pods
+from metricspark.streaming.bookmarks import stream_bookmarks
+from metricspark.streaming.ingest import stream_ingest
+from metricspark.streaming.report import stream_report
+from metricspark.streaming.targets import stream_targets, target_set
 
 DAY_S = 86400
 NOW_S = 1706677200  # 2024-01-31 05:00 UTC
@@ -720,3 +724,69 @@ def lineitem_ingest(spark, sf_dir):
         F.count(F.lit(1)).alias("n"), F.sum(cents(F.col("value"))).alias("cents"), F.countDistinct("series_id").alias("n_series")
     )
     return facts.join(c.metric.select("metric_id", "metric_name"), "metric_id").select("metric_name", "n", "cents", "n_series")
+
+
+# -- streams -------------------------------------------------------------------------------
+
+
+def _stream_of(spark: SparkSession, df: DataFrame, name: str, per_batch: int | None = None) -> DataFrame:
+    """A table as a stream of files: all in one batch, or a few in each."""
+    folder = fresh_folder(spark, name)
+    df.write.parquet(folder)
+    reader = spark.readStream.schema(df.schema)
+    return (reader.option("maxFilesPerTrigger", per_batch) if per_batch else reader).parquet(folder)
+
+
+@query
+def stream_report_events(spark, sf_dir):
+    """STR5: the report as a stream with a watermark wide enough for all events"""
+    log = _stream_of(spark, fixtures.scrape_log(spark, sf_dir).repartition("target"), "scrape-log", per_batch=2)
+    out = stream_report(log, late="60 days")
+    folder = fresh_folder(spark, "report")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(folder)
+
+    stream = out.writeStream.outputMode("complete").foreachBatch(write).trigger(availableNow=True)
+    stream.option("checkpointLocation", fresh_folder(spark, "report-state")).start().awaitTermination()
+    return spark.read.schema(out.schema).parquet(folder)
+
+
+@query
+def stream_bookmark_rows(spark, sf_dir):
+    """STR2"""
+    docs = fixtures.event_dumps(spark, sf_dir).select("doc_id", "target", "scrape_ts")
+    log = _stream_of(spark, docs, "scrapes")
+    folder = fresh_folder(spark, "bookmarks")
+    stream_bookmarks(log, folder, fresh_folder(spark, "bookmarks-state")).awaitTermination()
+    return spark.read.parquet(f"{folder}/scrapes").select("doc_id", "target", "scrape_ts", "min_ts")
+
+
+@query
+def stream_target_set(spark, sf_dir):
+    """STR3: the events in two batches, by files written in the order of their numbers"""
+    events = fixtures.pod_events(spark, sf_dir)
+    folder, state = fresh_folder(spark, "pod-events"), fresh_folder(spark, "targets-state")
+    out = fresh_folder(spark, "targets")
+    first = F.col("event_time") < F.timestamp_seconds(F.lit(1705363200))
+    for half in (events.filter(first), events.filter(~first)):
+        half.write.mode("append").parquet(folder)
+        log = spark.readStream.schema(events.schema).parquet(folder)
+        stream_targets(log, out, state, OWN_NAMESPACE).awaitTermination()
+    t = target_set(spark, out).latest()
+    return t.select("name", "url", labels_text(F.col("labels")).alias("labels"), "last_scrape")
+
+
+@query
+def stream_ingest_dumps(spark, sf_dir):
+    """STR1, SNK1, SNK3: dumps streamed into a store, with the age rule"""
+    store = MetricStore(spark, fresh_folder(spark, "streamed-store"))
+    store.replace_catalog(settings.set_default(store.catalog(), settings.CHUNK_INTERVAL, 30 * DAY_S))
+    docs = _stream_of(spark, fixtures.event_dumps(spark, sf_dir), "dumps")
+    state = fresh_folder(spark, "ingest-state")
+    stream_ingest(docs, store, state, {"env": "prod"}, interval=None).awaitTermination()
+    c = store.catalog()
+    named = encode.decode_series(c.series, c.label).select("series_id", labels_text(F.col("labels")).alias("labels"))
+    return store.facts().join(named, "series_id", "left").select(
+        "labels", F.unix_millis("time").alias("ms"), cents(F.col("value")).alias("cents")
+    )

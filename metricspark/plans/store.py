@@ -18,7 +18,9 @@ from pyspark.sql import types as T
 
 from metricspark.operators.retention import drop_chunks
 from metricspark.plans.ingest import Ingested, ingest
+from metricspark.plans.snapshots import Snapshots, hadoop_path, read_or_empty
 from metricspark.schema import (
+    BOOKMARK,
     FACT,
     LABEL,
     LABEL_KEY,
@@ -53,11 +55,7 @@ class MetricStore:
     # -- dimensions ------------------------------------------------------------------------
 
     def _read(self, folder: str, schema: T.StructType) -> DataFrame:
-        """A table that may not have been written yet."""
-        folder = self._path(f"{self.root}/{folder}")
-        if not folder.getFileSystem(self._hadoop()).exists(folder):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(folder.toString())
+        return read_or_empty(self.spark, f"{self.root}/{folder}", schema)
 
     def generation(self) -> int:
         generations = self._read("generations", T.StructType([T.StructField("generation", T.IntegerType())]))
@@ -125,6 +123,12 @@ class MetricStore:
         batch = ingest(samples, self.catalog(before_batch=batch_id), persist=persist)
         return batch, self.append_samples(batch.facts, batch_id)
 
+    def bookmarks(self) -> Snapshots:
+        """When each target was last scraped."""
+        return Snapshots(self.spark, f"{self.root}/bookmarks", BOOKMARK)
+
+    # -- chunks ----------------------------------------------------------------------------
+
     def rewrite_chunks(self, late: DataFrame) -> int:
         """Merge late facts into the chunks they fall in, leaving one sorted set of files each.
 
@@ -153,19 +157,19 @@ class MetricStore:
         chunks = self.spark.read.parquet(folder).select("metric_id", "chunk_start", "chunk_end").distinct()
         swapped = 0
         for row in chunks.toLocalIterator():
-            old = self._path(f"{self.root}/samples/{_chunk_folder(row)}")
-            fs = old.getFileSystem(self._hadoop())
-            fs.delete(old, True)
-            fs.mkdirs(old.getParent())
-            swapped += fs.rename(self._path(f"{folder}/{_chunk_folder(row)}"), old)
+            old, files = hadoop_path(self.spark, f"{self.root}/samples/{_chunk_folder(row)}")
+            merged, _ = hadoop_path(self.spark, f"{folder}/{_chunk_folder(row)}")
+            files.delete(old, True)
+            files.mkdirs(old.getParent())
+            swapped += files.rename(merged, old)
         return swapped
 
     def drop_chunks(self, chunks: DataFrame) -> int:
         """Remove chunk folders. ``chunks`` holds one row per folder, not per sample."""
         dropped = 0
         for row in chunks.select("metric_id", "chunk_start", "chunk_end").distinct().toLocalIterator():
-            folder = self._path(f"{self.root}/samples/{_chunk_folder(row)}")
-            dropped += folder.getFileSystem(self._hadoop()).delete(folder, True)
+            path, files = hadoop_path(self.spark, f"{self.root}/samples/{_chunk_folder(row)}")
+            dropped += files.delete(path, True)
         return dropped
 
     def apply_retention(self, now_s: int, scope: str = "all") -> int:
@@ -179,12 +183,6 @@ class MetricStore:
         self.replace_catalog(result.catalog)
         return self.drop_chunks(gone)
 
-    def _path(self, text: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(text)
-
-    def _hadoop(self):
-        return self.spark._jsparkSession.sessionState().newHadoopConf()
-
 
 def _chunk_folder(row) -> str:
     return f"metric_id={row['metric_id']}/chunk_start={row['chunk_start']}/chunk_end={row['chunk_end']}"

@@ -79,6 +79,17 @@ FACT = T.StructType(
         T.StructField("chunk_end", T.LongType()),
     ]
 )
+BOOKMARK = T.StructType(
+    [T.StructField("target", T.StringType()), T.StructField("last_scrape", T.LongType())]
+)
+TARGET = T.StructType(
+    [
+        T.StructField("name", T.StringType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("labels", LABELS),
+        T.StructField("last_scrape", T.LongType()),
+    ]
+)
 EXPOSITION_DOC = T.StructType(
     [
         T.StructField("doc_id", T.StringType()),
