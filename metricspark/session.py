@@ -64,3 +64,12 @@ def durable(df: DataFrame, name: str = "stage") -> DataFrame:
     path = fresh_folder(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread the rows of a source with fewer files than cores, before costly expressions.
+
+    A source of many files is already spread and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

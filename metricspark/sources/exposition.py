@@ -38,7 +38,7 @@ WHITE_SPACE = (
 )
 _NEWLINE = r"\r?\n"
 # A newline whose line does not end in a backslash.
-_UNCONTINUED = r"(?<!\\)(?<!\\\r)\n"
+_UNCONTINUED = r"\r?\n(?<!\\\n)(?<!\\\r\n)"
 # One label at the front of the rest: name, =, any opening character, text up to the closing
 # quote or the end, then a comma or the end.
 _LABEL = (
@@ -82,35 +82,23 @@ def strip_help(body: Column) -> Column:
     return F.filter(lines, lambda line: ~line.startswith(HELP_PREFIX))
 
 
-def _declaration(line: Column) -> Column:
-    """``struct<name,kind>`` of a TYPE line; nulls where a part is missing."""
-    words = F.filter(F.split(line, " "), lambda w: trimmed(w) != "")
-    return F.struct(F.get(words, F.lit(2)).alias("name"), F.get(words, F.lit(3)).alias("kind"))
+def _type_words(line: Column) -> Column:
+    """The words of a TYPE line: the name is the third, the kind the fourth."""
+    return F.filter(F.split(line, " "), lambda w: w.rlike(r"(?U)\S"))
 
 
-def _registered(decl: Column) -> Column:
+def _registered(words: Column) -> Column:
     """The ``struct<name,series_type>`` entries a declaration registers; none for other kinds."""
-    entry = lambda suffix, kind: F.struct(
-        F.concat(decl["name"], F.lit(suffix)).alias("name"), F.lit(kind).alias("series_type")
+    name, kind = F.get(words, F.lit(2)), F.get(words, F.lit(3))
+    entry = lambda suffix, series_type: F.struct(
+        (F.concat(name, F.lit(suffix)) if suffix else name).alias("name"), F.lit(series_type).alias("series_type")
     )
-    chosen = None
-    for kind, parts in FAMILY_TYPES.items():
-        entries = F.array(*[entry(s, t) for s, t in parts])
-        test = decl["kind"] == kind
-        chosen = F.when(test, entries) if chosen is None else chosen.when(test, entries)
+    chosen = F.when(kind.isNull(), None)
+    for declared, parts in FAMILY_TYPES.items():
+        chosen = chosen.when(kind == declared, F.array(*[entry(s, t) for s, t in parts]))
     return F.coalesce(chosen, F.array().cast("array<struct<name:string,series_type:string>>"))
 
 
-def _own_type(decl: Column, name: Column) -> Column:
-    """The type a declaration gives to ``name``, or null."""
-    chosen = None
-    for kind, parts in FAMILY_TYPES.items():
-        for suffix, series_type in parts:
-            test = (decl["kind"] == kind) & (name == F.concat(decl["name"], F.lit(suffix)))
-            chosen = F.when(test, series_type) if chosen is None else chosen.when(test, series_type)
-    return chosen
-
-
 def _is_sample_line(line: Column) -> Column:
     return ~line.startswith("#") & line.rlike(r"(?U)\S")
 
@@ -127,150 +115,139 @@ def _sections(docs: DataFrame) -> DataFrame:
 
 
 def _registry(docs: DataFrame) -> DataFrame:
-    """Number the sections, read the declaration opening each, and list all that is declared.
+    """Read the declaration opening each section, and list all that is declared.
 
-    Adds ``sections`` of ``struct<at,decl,lines>`` and ``registry`` of
-    ``struct<at,name,series_type>`` in the order of the dump.
+    Adds ``sections`` of ``struct<at,types,lines>``, ``types`` being the entries of the
+    section's own declaration by name, and ``registry`` of ``struct<at,name,series_type>`` in
+    the order of the dump.
     """
-    opened = F.transform(
+    worded = F.transform(
         F.col("sections"),
         lambda s, i: F.struct(
             i.alias("at"),
-            F.when(F.get(s, F.lit(0)).startswith(TYPE_PREFIX), _declaration(F.get(s, F.lit(0)))).alias("decl"),
+            F.when(F.get(s, F.lit(0)).startswith(TYPE_PREFIX), _type_words(F.get(s, F.lit(0)))).alias("words"),
             s.alias("lines"),
         ),
     )
+    registered = F.transform(
+        worded, lambda s: F.struct(s["at"].alias("at"), _registered(s["words"]).alias("entries"), s["lines"].alias("lines"))
+    )
     entry = lambda at, e: F.struct(
         at.alias("at"), e["name"].alias("name"), e["series_type"].alias("series_type")
     )
-    return (
-        _sections(docs)
-        .withColumn("sections", opened)
-        .withColumn(
-            "registry",
-            F.flatten(
-                F.transform(
-                    F.col("sections"),
-                    lambda s: F.transform(_registered(s["decl"]), lambda e: entry(s["at"], e)),
-                )
-            ),
-        )
+    opened = F.transform(
+        F.col("sections"),
+        lambda s: F.struct(
+            s["at"].alias("at"), F.map_from_entries(s["entries"]).alias("types"), s["lines"].alias("lines")
+        ),
     )
-
-
-def _words(line: Column) -> Column:
-    return F.filter(F.split(line, " "), lambda w: w != "")
-
-
-def _cut_line(line: Column) -> Column:
-    """A sample line cut at its last ``}``, else into words; the parts not used are null."""
-    braced = line.contains("}")
-    return F.struct(
-        line.alias("text"),
-        F.when(braced, F.regexp_extract(line, r"(?s)^(.*)\}", 1)).alias("head"),
-        F.when(braced, trimmed(F.substring_index(line, "}", -1))).alias("rest"),
-        F.when(~braced, _words(line)).alias("words"),
+    listed = F.flatten(
+        F.transform(F.col("sections"), lambda s: F.transform(s["entries"], lambda e: entry(s["at"], e)))
+    )
+    return (
+        _sections(docs).withColumn("sections", registered).withColumns({"registry": listed, "sections": opened})
     )
 
 
-def _value_and_time(cut: Column) -> Column:
-    """``metric``, ``value_text`` and ``ts_text``. After a ``}`` everything past the value is
-    the time, so a third word spoils it; in plain words a fourth is ignored."""
-    rest = cut["rest"]
-    later = F.when(rest.contains(" "), rest.substr(F.instr(rest, " ") + 1, F.length(rest)))
-    word = lambda i: F.get(cut["words"], F.lit(i))
-    braced = rest.isNotNull()
-    return F.struct(
-        cut["text"].alias("text"),
-        trimmed(F.when(braced, cut["head"]).otherwise(word(0))).alias("metric"),
-        trimmed(F.when(braced, F.substring_index(rest, " ", 1)).otherwise(word(1))).alias("value_text"),
-        trimmed(F.when(braced, later).otherwise(word(2))).alias("ts_text"),
-    )
+def _first_word(line: Column) -> Column:
+    return F.substring_index(F.ltrim(line), " ", 1)
 
 
-def _name_and_labels(parts: Column) -> Column:
-    metric = parts["metric"]
-    return F.struct(
-        parts["text"].alias("text"),
-        F.substring_index(metric, "{", 1).alias("name"),
-        F.when(metric.contains("{"), metric.substr(F.instr(metric, "{") + 1, F.length(metric))).alias("label_text"),
-        parts["value_text"].alias("value_text"),
-        parts["ts_text"].alias("ts_text"),
-    )
+def _metric_part(line: Column) -> Column:
+    """Name and labels of a sample line: up to the last ``}``, else the first word."""
+    head = F.regexp_extract(line, r"(?s)^(.*)\}", 1)
+    return trimmed(F.when(line.contains("}"), head).otherwise(_first_word(line)))
 
 
-def _with_type(parts: Column, section: Column) -> Column:
-    """Add the type: the section's own declaration, else the latest earlier one of the name."""
-    name = parts["name"]
-    earlier = F.filter(F.col("registry"), lambda e: (e["at"] <= section["at"]) & (e["name"] == name))
-    own = _own_type(section["decl"], name)
-    return F.struct(
-        *[parts[c].alias(c) for c in ("text", "name", "label_text", "value_text", "ts_text")],
-        F.coalesce(own, F.try_element_at(earlier, F.lit(-1))["series_type"]).alias("series_type"),
-    )
+def _typed(line: Column, section: Column) -> Column:
+    """``text`` and ``series_type``: by the section's own declaration, else by the latest
+    earlier one of the name."""
+    own = F.try_element_at(section["types"], line["name"])
+    earlier = F.filter(F.col("registry"), lambda e: (e["at"] < section["at"]) & (e["name"] == line["name"]))
+    found = F.coalesce(own, F.try_element_at(earlier, F.lit(-1))["series_type"])
+    return F.struct(line["text"].alias("text"), found.alias("series_type"))
 
 
-def _typed_sample(parts: Column, counter_mode: str) -> Column:
-    integer = parts["series_type"].endswith("Integer") & F.lit(counter_mode == "integer")
-    no_labels = F.array().cast("array<struct<key:string,value:string>>")
-    ts_text = parts["ts_text"]
-    return F.struct(
-        parts["text"].alias("text"),
-        parts["name"].alias("name"),
-        F.when(parts["label_text"].isNull(), no_labels).otherwise(parse_labels(parts["label_text"])).alias("labels"),
-        F.when(parts["series_type"].isNotNull(), widen(parts["value_text"], integer)).alias("value"),
-        F.when(ts_text.rlike(r"^[+-]?[0-9]+$"), ts_text.try_cast("bigint")).alias("own_ts"),
-        ts_text.isNotNull().alias("timed"),
-        parts["series_type"].alias("series_type"),
-    )
+def typed_lines(docs: DataFrame) -> DataFrame:
+    """Sample lines with ``line`` (their order in the dump), ``text`` and ``series_type``."""
+    keep = [c for c in docs.columns if c != "body"]
 
+    def type_section(section: Column) -> Column:
+        named = F.transform(
+            F.filter(section["lines"], _is_sample_line),
+            lambda t: F.struct(t.alias("text"), F.substring_index(_metric_part(t), "{", 1).alias("name")),
+        )
+        return F.transform(named, lambda line: _typed(line, section))
 
-def _is_sample(sample: Column) -> Column:
-    return (
-        sample["labels"].isNotNull()
-        & sample["value"].isNotNull()
-        & (~sample["timed"] | sample["own_ts"].isNotNull())
+    lines = F.flatten(F.transform(F.col("sections"), type_section))
+    scraped = docs.filter(F.col("body").isNotNull())
+    return _registry(scraped).select(*keep, F.posexplode(lines).alias("line", "s")).select(
+        *keep, "line", "s.text", "s.series_type"
     )
 
 
-def _parsed_lines(docs: DataFrame, counter_mode: str) -> DataFrame:
-    """Every sample line of every dump, parsed, as ``line`` (its order) and ``s``.
+def parse_lines(lines: DataFrame, counter_mode: str = "integer") -> DataFrame:
+    """Typed lines to samples, plus ``ok``: false for lines to be skipped.
 
-    The stages are chained array transforms: each part of a line is computed once and
-    handed on, where projections and filters over exploded lines would repeat it.
+    After a ``}`` everything past the value is the time, so a third word spoils it; in plain
+    words a fourth is ignored. The result goes through a one-row ``inline``, over which
+    filters are not pushed: they would repeat the parsing.
     """
     if counter_mode not in ("integer", "float"):
         raise ValueError(f"unknown counter_mode {counter_mode!r}")
-    keep = [c for c in docs.columns if c != "body"]
-
-    def parse_section(section: Column) -> Column:
-        lines = F.filter(section["lines"], _is_sample_line)
-        cut = F.transform(lines, _cut_line)
-        parts = F.transform(F.transform(cut, _value_and_time), _name_and_labels)
-        typed = F.transform(parts, lambda p: _with_type(p, section))
-        return F.transform(typed, lambda p: _typed_sample(p, counter_mode))
-
-    samples = F.flatten(F.transform(F.col("sections"), parse_section))
-    return _registry(_sections_input(docs)).select(*keep, F.posexplode(samples).alias("line", "s"))
+    text, rest, after = F.col("text"), F.col("rest"), F.col("after")
+    braced = text.contains("}")
+    cut = lines.withColumns(
+        {
+            "metric": _metric_part(text),
+            "rest": F.when(braced, trimmed(F.substring_index(text, "}", -1))).otherwise(
+                F.ltrim(text.substr(F.length(_first_word(text)) + F.length(text) - F.length(F.ltrim(text)) + 1, F.length(text)))
+            ),
+        }
+    )
+    spaced = cut.withColumn(
+        "after", F.when(rest.contains(" "), F.ltrim(rest.substr(F.instr(rest, " "), F.length(rest))))
+    )
+    parts = spaced.withColumns(
+        {
+            "name": F.substring_index("metric", "{", 1),
+            "label_text": F.when(
+                F.col("metric").contains("{"), F.substring(F.col("metric"), F.instr("metric", "{") + 1, F.length("metric"))
+            ),
+            "value_text": trimmed(F.substring_index(rest, " ", 1)),
+            "ts_text": trimmed(F.when(braced, after).otherwise(F.nullif(F.substring_index(after, " ", 1), F.lit("")))),
+        }
+    )
+    integer = F.col("series_type").endswith("Integer") & F.lit(counter_mode == "integer")
+    no_labels = F.array().cast("array<struct<key:string,value:string>>")
+    ts_text = F.col("ts_text")
+    parsed = parts.withColumns(
+        {
+            "labels": F.when(F.col("label_text").isNull(), no_labels).otherwise(parse_labels(F.col("label_text"))),
+            "value": F.when(F.col("series_type").isNotNull(), widen(F.col("value_text"), integer)),
+            "own_ts": F.when(ts_text.rlike(r"^[+-]?[0-9]+$"), ts_text.try_cast("bigint")),
+        }
+    )
+    ok = (
+        F.col("labels").isNotNull() & F.col("value").isNotNull() & (ts_text.isNull() | F.col("own_ts").isNotNull())
+    )
+    columns = [*lines.columns, "name", "labels", "value", "own_ts", ok.alias("ok")]
+    return parsed.select(F.inline(F.array(F.struct(*columns))))
 
 
-def _sections_input(docs: DataFrame) -> DataFrame:
-    """Dumps with a body; a failed scrape has none."""
-    return docs.filter(F.col("body").isNotNull())
+def _declarations(docs: DataFrame) -> DataFrame:
+    """The TYPE lines of dumps as ``doc_id, line, words``."""
+    lines = F.filter(strip_help(F.col("body")), lambda line: line.startswith(TYPE_PREFIX))
+    rows = docs.select("doc_id", F.posexplode(F.transform(lines, _type_words)).alias("line", "words"))
+    return rows.filter(F.size("words") >= 4)
 
 
 def metric_types(docs: DataFrame) -> DataFrame:
-    """What each dump declares: ``doc_id, name, series_type, family_kind``; the last one counts.
-
-    ``name`` is the registered name; ``family`` the declared one.
-    """
-    decls = docs.select(
-        "doc_id",
-        F.posexplode(F.filter(strip_help(F.col("body")), lambda line: line.startswith(TYPE_PREFIX))).alias("line", "text"),
-    ).select("doc_id", "line", _declaration(F.col("text")).alias("decl"))
-    entries = decls.select(
-        "doc_id", "line", F.col("decl.name").alias("family"), F.col("decl.kind").alias("family_kind"),
-        F.inline(_registered(F.col("decl"))),
+    """What each dump declares: ``doc_id, name, series_type, family, family_kind``, where
+    ``name`` is a registered name and ``family`` the declared one. The last one counts."""
+    entries = _declarations(docs).select(
+        "doc_id", "line", F.col("words")[2].alias("family"), F.col("words")[3].alias("family_kind"),
+        F.inline(_registered(F.col("words"))),
     )
     return entries.groupBy("doc_id", "name").agg(
         F.max_by(F.struct("series_type", "family", "family_kind"), "line").alias("d")
@@ -279,11 +256,8 @@ def metric_types(docs: DataFrame) -> DataFrame:
 
 def families(docs: DataFrame, kind: str) -> DataFrame:
     """Names declared as ``summary`` or ``histogram``, one row per declaration."""
-    lines = F.filter(strip_help(F.col("body")), lambda line: line.startswith(TYPE_PREFIX))
-    decls = docs.select("doc_id", F.posexplode(lines).alias("line", "text")).select(
-        "doc_id", "line", _declaration(F.col("text")).alias("decl")
-    )
-    return decls.filter(F.col("decl.kind") == kind).select("doc_id", "line", F.col("decl.name").alias("family"))
+    chosen = _declarations(docs).filter(F.col("words")[3] == kind)
+    return chosen.select("doc_id", "line", F.col("words")[2].alias("family"))
 
 
 def unescape(value: Column) -> Column:
@@ -308,11 +282,7 @@ def parse_exposition(docs: DataFrame, counter_mode: str = "integer", timestamp_u
     ``own_ts`` is the sample's own time in the dump's unit, ``ts`` the same in seconds (null
     if it has none) and ``time`` the instant to store: its own, else the scrape's.
     """
-    parsed = _parsed_lines(docs, counter_mode).filter(_is_sample(F.col("s")))
-    samples = parsed.select(
-        *[c for c in parsed.columns if c != "s"],
-        *[F.col(f"s.{c}").alias(c) for c in ("name", "labels", "value", "own_ts", "series_type")],
-    )
+    samples = parse_lines(typed_lines(docs), counter_mode).filter("ok").drop("ok", "text")
     return with_sample_time(samples, timestamp_unit).withColumn("sample_kind", sample_kind(F.col("value")))
 
 
@@ -332,5 +302,4 @@ def with_sample_time(samples: DataFrame, timestamp_unit: str = "ms") -> DataFram
 
 def rejected_lines(docs: DataFrame, counter_mode: str = "integer") -> DataFrame:
     """The sample lines a parse skips."""
-    lines = _parsed_lines(docs, counter_mode).filter(~_is_sample(F.col("s")))
-    return lines.select("doc_id", "line", F.col("s.text").alias("text"))
+    return parse_lines(typed_lines(docs), counter_mode).filter("NOT ok").select("doc_id", "line", "text")
