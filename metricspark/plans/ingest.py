@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricspark.functions.labels import canonical_labels, series_hash
@@ -74,6 +75,7 @@ def ingest(
         }
 
     added = _together(
+        samples.sparkSession,
         lambda: {"metric": persist(new_metrics(catalog.metric, sets), "metric")},
         lambda: {"label": persist(new_labels(catalog.label, pairs), "label")},
         keys,
@@ -95,10 +97,10 @@ def ingest(
     return Ingested(grown, added, _facts(keyed, sets, known, carry))
 
 
-def _together(*steps: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
+def _together(spark: SparkSession, *steps: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
     """Run independent steps as concurrent jobs of one session."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        done = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        done = [pool.submit(copy_context().run, inheritable_thread_target(spark)(step)) for step in steps]
         return {name: rows for step in done for name, rows in step.result().items()}
 
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metricspark.functions.labels import with_static_labels
 from metricspark.operators.age import is_recent, last_scrapes, with_bookmarks
 from metricspark.operators.remote_write import time_series, write_requests
 from metricspark.plans.store import MetricStore
+from metricspark.session import durable, scratch
 from metricspark.sources.exposition import parse_exposition
 
 SINKS = ("table", "write_request")
@@ -35,28 +36,31 @@ def ingest_dumps(
 ) -> BatchCounts:
     """Parse dumps, leave out old samples, add labels, and write to one of two sinks.
 
-    ``targets`` (``name, labels``) gives each target's labels. Running a batch again replaces
-    what it wrote.
+    ``targets`` (``name, labels``) gives each target's labels. Parsing is the costly step and
+    ingest reads the samples twice, so they are parsed into a table first, which also gives
+    the counts. Running a batch again replaces what it wrote.
     """
     if sink not in SINKS:
         raise ValueError(f"unknown sink {sink!r}, not one of {SINKS}")
     bookmarks = store.bookmarks().latest(batch_id)
-    parsed = parse_exposition(with_bookmarks(docs, bookmarks), timestamp_unit=timestamp_unit)
-    recent = is_recent(F.col("ts"), F.col("min_ts"))
-    seen = Observation(f"scrapes-{batch_id}")
-    samples = parsed.observe(seen, F.count(F.lit(1)).alias("parsed"), F.count_if(recent).alias("recent")).filter(recent)
-    target_labels = None
-    if targets is not None:
-        labels = targets.select(F.col("name").alias("target"), F.col("labels").alias("target_labels"))
-        samples = samples.join(labels, "target", "left")
-        target_labels = F.col("target_labels")
-    if sink == "table":
-        labelled = samples.withColumn("labels", with_static_labels(F.col("labels"), static, target_labels))
-        written = store.write_batch(labelled, batch_id)[1]
-    else:
-        requests = write_requests(time_series(samples, static, target_labels))
-        requests.write.mode("overwrite").parquet(f"{store.root}/write_requests/batch_id={batch_id}")
-        written = seen.get["recent"]
-    store.bookmarks().write(last_scrapes(docs, bookmarks), batch_id)
-    counts = seen.get
-    return BatchCounts(counts["parsed"], written, counts["parsed"] - counts["recent"])
+    with scratch(store.spark):
+        parsed = parse_exposition(with_bookmarks(docs, bookmarks), timestamp_unit=timestamp_unit)
+        columns = ("doc_id", "target", "line", "name", "labels", "value", "sample_kind", "time")
+        recent = is_recent(F.col("ts"), F.col("min_ts")).alias("recent")
+        staged = durable(parsed.select(*columns, recent), "parsed")
+        n = staged.agg(F.count(F.lit(1)).alias("parsed"), F.count_if("recent").alias("kept")).first()
+        samples = staged.filter("recent").drop("recent")
+        target_labels = None
+        if targets is not None:
+            labels = targets.select(F.col("name").alias("target"), F.col("labels").alias("target_labels"))
+            samples = samples.join(labels, "target", "left")
+            target_labels = F.col("target_labels")
+        if sink == "table":
+            labelled = samples.withColumn("labels", with_static_labels(F.col("labels"), static, target_labels))
+            written = store.write_batch(labelled, batch_id)
+        else:
+            requests = write_requests(time_series(samples, static, target_labels))
+            requests.write.mode("overwrite").parquet(f"{store.root}/write_requests/batch_id={batch_id}")
+            written = n["kept"]
+        store.bookmarks().write(last_scrapes(docs, bookmarks), batch_id)
+    return BatchCounts(n["parsed"], written, n["parsed"] - n["kept"])

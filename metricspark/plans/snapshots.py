@@ -6,11 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-def hadoop_path(spark: SparkSession, text: str):
-    """A path of whatever file system the session knows, with that file system."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(text)
-    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+from metricspark.session import hadoop_path
 
 
 def read_or_empty(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metricspark.operators.retention import drop_chunks
-from metricspark.plans.ingest import Ingested, ingest
-from metricspark.plans.snapshots import Snapshots, hadoop_path, read_or_empty
+from metricspark.plans.ingest import ingest
+from metricspark.plans.snapshots import Snapshots, read_or_empty
 from metricspark.schema import (
     BOOKMARK,
     FACT,
@@ -31,7 +31,7 @@ from metricspark.schema import (
     Catalog,
     default_settings,
 )
-from metricspark.session import durable
+from metricspark.session import durable, hadoop_path, scratch
 
 DIMENSIONS = {
     "metric": METRIC,
@@ -113,15 +113,16 @@ class MetricStore:
         )
         return seen.get["n"]
 
-    def write_batch(self, samples: DataFrame, batch_id: int) -> tuple[Ingested, int]:
-        """Ingest samples as one batch: dimensions first, then facts."""
+    def write_batch(self, samples: DataFrame, batch_id: int) -> int:
+        """Ingest samples as one batch: dimensions first, then facts. Returns how many."""
         generation = self.generation()
 
         def persist(rows: DataFrame, name: str) -> DataFrame:
             return self._write_dimension(name, rows, generation, batch_id)
 
-        batch = ingest(samples, self.catalog(before_batch=batch_id), persist=persist)
-        return batch, self.append_samples(batch.facts, batch_id)
+        with scratch(self.spark):
+            batch = ingest(samples, self.catalog(before_batch=batch_id), persist=persist)
+            return self.append_samples(batch.facts, batch_id)
 
     def bookmarks(self) -> Snapshots:
         """When each target was last scraped."""
@@ -178,10 +179,11 @@ class MetricStore:
         The dimensions are replaced first; a run cut short leaves chunks that the next run
         drops, as they are still expired.
         """
-        result = drop_chunks(self.catalog(), self.facts(), now_s, scope)
-        gone = durable(result.dropped_chunks, "dropped-chunks")
-        self.replace_catalog(result.catalog)
-        return self.drop_chunks(gone)
+        with scratch(self.spark):
+            result = drop_chunks(self.catalog(), self.facts(), now_s, scope)
+            gone = durable(result.dropped_chunks, "dropped-chunks")
+            self.replace_catalog(result.catalog)
+            return self.drop_chunks(gone)
 
 
 def _chunk_folder(row) -> str:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +57,29 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def hadoop_path(spark: SparkSession, text: str):
+    """A path of whatever file system the session knows, with that file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(text)
+    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are removed at the end, as a batch of a stream
+    needs. Nothing that reads them may be used afterwards."""
+    folder = fresh_folder(spark, "scratch")
+    token = _SCRATCH.set(folder)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        path, files = hadoop_path(spark, folder)
+        files.delete(path, True)
+
+
 def durable(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -61,7 +87,8 @@ def durable(df: DataFrame, name: str = "stage") -> DataFrame:
     freezes values that depend on physical partitioning, and gives the optimizer true
     file sizes to choose its joins by.
     """
-    path = fresh_folder(df.sparkSession, name)
+    scratch_folder = _SCRATCH.get()
+    path = f"{scratch_folder}/{name}-{uuid.uuid4().hex}" if scratch_folder else fresh_folder(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -51,10 +51,8 @@ _LABELS_DONE = r"(?s)^[^=]*=?\z"
 def read_exposition(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
     """Dumps under ``target=…/scrape_ts=…/`` folders, one row per file."""
     reader = spark.readStream if streaming else spark.read
-    files = reader.schema("value string, target string, scrape_ts bigint").option("wholetext", "true")
-    return (
-        files.text(path) if not streaming else files.format("text").load(path)
-    ).select(
+    files = reader.schema("value string, target string, scrape_ts bigint").format("text").option("wholetext", "true")
+    return files.load(path).select(
         F.col("_metadata.file_path").alias("doc_id"),
         "target",
         "scrape_ts",

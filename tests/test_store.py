@@ -31,10 +31,10 @@ def contents(store):
 def test_batches_are_kept_and_replays_change_nothing(spark, store):
     one = samples(spark, [("m", {"a": "1"}, 1.0, 0), ("m", {"a": "2"}, 2.0, 9 * HOUR)])
     two = samples(spark, [("m", {"a": "1"}, 3.0, 1), ("n", {"b": "1"}, 4.0, 2)])
-    assert store.write_batch(one, 0)[1] == 2 and store.write_batch(two, 1)[1] == 2
+    assert store.write_batch(one, 0) == 2 and store.write_batch(two, 1) == 2
     before = contents(store)
     assert [v for v, _ in before] == [1.0, 2.0, 3.0, 4.0]
-    assert store.write_batch(two, 1)[1] == 2
+    assert store.write_batch(two, 1) == 2
     assert contents(store) == before
     chunks = {(r["chunk_start"], r["chunk_end"]) for r in store.facts().collect()}
     assert chunks == {(0, 8 * HOUR), (8 * HOUR, 16 * HOUR)}
