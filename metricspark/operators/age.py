@@ -47,13 +47,15 @@ def is_recent(ts: Column, min_ts: Column) -> Column:
     return ts.isNull() | (ts >= min_ts)
 
 
-def with_bookmarks(docs: DataFrame, initial: DataFrame | None = None) -> DataFrame:
-    """Add ``min_ts`` to dumps. Only the narrow scrape columns are ordered; the texts meet
-    the result in one join."""
-    scrapes = docs.select("doc_id", "target", "scrape_ts")
-    return docs.join(bookmarks(scrapes, initial).select("doc_id", "min_ts"), "doc_id")
+def age_filter(samples: DataFrame, limits: DataFrame) -> DataFrame:
+    """Keep recent samples of ``doc_id, ts, scrape_ts``, given ``doc_id, min_ts``.
 
-
-def age_filter(samples: DataFrame) -> DataFrame:
-    """Keep recent samples. Needs ``ts`` and ``min_ts`` in seconds."""
-    return samples.filter(is_recent(F.col("ts"), F.col("min_ts")))
+    Most samples carry no time of their own, and pass without a join; of the others, those
+    older than the fixed age are dropped at once, and the rest meet the bookmarks. Neither
+    the dumps nor the bulk of the samples are shuffled. ``samples`` is read twice, so it
+    should be a stored table.
+    """
+    untimed = samples.filter(F.col("ts").isNull())
+    timed = samples.filter(F.col("ts") >= F.col("scrape_ts") - MAX_AGE_S)
+    recent = timed.join(limits.select("doc_id", "min_ts"), "doc_id").filter(is_recent(F.col("ts"), F.col("min_ts")))
+    return untimed.unionByName(recent.select(*samples.columns))

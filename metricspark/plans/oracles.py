@@ -390,6 +390,14 @@ def oracle_sql() -> dict[str, str]:
             """SELECT DISTINCT g.key, g.value FROM gone_p g
             LEFT JOIN kept_p k ON k.name = g.name AND k.key = g.key AND k.value = g.value WHERE k.key IS NULL""",
         ),
+        "retention_labels_expired": f"""
+            WITH r AS (
+              SELECT event_type, CAST(sec // {DAY_S} AS VARCHAR) AS day, CAST(user_id AS VARCHAR) AS u,
+                     sec - sec % 28800 + 28800 > {NOW_S} - 10 * {DAY_S} AS alive
+              FROM (SELECT *, epoch_us(ts) // 1000000 AS sec FROM events)),
+            k AS (SELECT 'day' AS key, day AS value, alive FROM r UNION ALL SELECT 'user', u, alive FROM r
+                  UNION ALL SELECT '__name__', event_type, alive FROM r)
+            SELECT key, value FROM k GROUP BY key, value HAVING NOT bool_or(alive)""",
         "retention_facts": _with(
             _RETENTION,
             """SELECT c.name AS metric_name, count(*) FILTER (WHERE alive) AS n_left,
@@ -445,9 +453,16 @@ def oracle_sql() -> dict[str, str]:
         "label_escapes": "SELECT doc_id, lang, md5(text) AS text_md5, n_chars FROM documents",
         "age_filter": _with(
             _DUMPS + _BOOKMARKS,
-            """SELECT CAST(l.doc AS VARCHAR) AS doc_id, l.target, l.scrape_ts, event_type AS name, ms AS own_ts, min_ts
+            """SELECT CAST(l.doc AS VARCHAR) AS doc_id, l.target, l.scrape_ts, event_type AS name, ms AS own_ts
             FROM l JOIN b ON b.doc = l.doc WHERE ms // 1000 >= min_ts""",
         ),
+        "age_filter_untimed": _with(
+            _DUMPS + _BOOKMARKS,
+            """SELECT l.target, event_type AS name, count(*) AS n, count(*) FILTER (WHERE cents_odd) AS n_timed
+            FROM (SELECT *, right(CAST(value AS VARCHAR), 1) IN ('1', '3', '5', '7', '9') AS cents_odd
+                  FROM l JOIN (SELECT event_id AS id, value FROM events) v ON v.id = l.event_id) l
+            JOIN b ON b.doc = l.doc WHERE NOT cents_odd OR ms // 1000 >= min_ts GROUP BY l.target, event_type""",
+        ),
         "remote_write_rows": _with(
             _DUMPS,
             """SELECT CAST(doc AS VARCHAR) AS doc_id, CAST(0 AS BIGINT) AS part, count(*) OVER (PARTITION BY doc) AS n, line AS at,

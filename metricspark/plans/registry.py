@@ -25,7 +25,7 @@ from metricspark.plans import fixtures
 from metricspark.plans.ingest import Ingested, ingest, label_sets
 from metricspark.plans.store import MetricStore
 from metricspark.schema import Catalog
-from metricspark.session import fresh_folder
+from metricspark.session import durable, fresh_folder
 from metricspark.sources import exposition, label_json, pods
 from metricspark.streaming.bookmarks import stream_bookmarks
 from metricspark.streaming.ingest import stream_ingest
@@ -524,6 +524,21 @@ def retention_labels_by_metric(spark, sf_dir):
     return r.dropped_labels.select("key", "value")
 
 
+@query
+def retention_labels_expired(spark, sf_dir):
+    """RET2, J9 where the labels of old days go: one label per day and one per user"""
+    e = fixtures.table(spark, sf_dir, "events")
+    us = micros_of(F.col("ts"))
+    day = F.floor(us / (DAY_S * 1000000)).cast("string")
+    samples = e.select(
+        F.col("event_type").alias("name"), labels_of([("day", day), ("user", F.col("user_id").cast("string"))]).alias("labels"),
+        "value", F.timestamp_micros(us).alias("time"),
+    )
+    p = ingest(samples, Catalog.empty(spark))
+    c = settings.set_default(p.catalog, settings.RETENTION_PERIOD, 10 * DAY_S)
+    return retention.drop_chunks(c, p.facts, NOW_S).dropped_labels.select("key", "value")
+
+
 @query
 def retention_facts(spark, sf_dir):
     """RET3: what is left per metric, and what is dropped"""
@@ -615,9 +630,21 @@ def label_escapes(spark, sf_dir):
 @query
 def age_filter(spark, sf_dir):
     """FLT1"""
-    docs = age.with_bookmarks(fixtures.event_dumps(spark, sf_dir))
-    kept = age.age_filter(exposition.parse_exposition(docs))
-    return kept.select("doc_id", "target", "scrape_ts", "name", "own_ts", "min_ts")
+    docs = fixtures.event_dumps(spark, sf_dir)
+    samples = durable(exposition.parse_exposition(docs), "parsed")
+    limits = age.bookmarks(docs.select("doc_id", "target", "scrape_ts"))
+    kept = age.age_filter(samples, limits)
+    return kept.select("doc_id", "target", "scrape_ts", "name", "own_ts")
+
+
+@query
+def age_filter_untimed(spark, sf_dir):
+    """FLT1 where only every other sample has a time of its own"""
+    docs = fixtures.event_dumps(spark, sf_dir)
+    mixed = F.regexp_replace("body", "(?m)^(.*[02468]) [0-9]+$", "$1")
+    samples = durable(exposition.parse_exposition(docs.withColumn("body", mixed)), "parsed")
+    kept = age.age_filter(samples, age.bookmarks(docs.select("doc_id", "target", "scrape_ts")))
+    return kept.groupBy("target", "name").agg(F.count(F.lit(1)).alias("n"), F.count("own_ts").alias("n_timed"))
 
 
 @query

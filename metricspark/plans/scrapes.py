@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metricspark.functions.labels import with_static_labels
-from metricspark.operators.age import is_recent, last_scrapes, with_bookmarks
+from metricspark.operators.age import age_filter, bookmarks, last_scrapes
 from metricspark.operators.remote_write import time_series, write_requests
 from metricspark.plans.store import MetricStore
 from metricspark.session import durable, scratch
@@ -37,19 +37,17 @@ def ingest_dumps(
     """Parse dumps, leave out old samples, add labels, and write to one of two sinks.
 
     ``targets`` (``name, labels``) gives each target's labels. Parsing is the costly step and
-    ingest reads the samples twice, so they are parsed into a table first, which also gives
-    the counts. Running a batch again replaces what it wrote.
+    ingest reads the samples more than once, so they are parsed into a table first. Running a
+    batch again replaces what it wrote.
     """
     if sink not in SINKS:
         raise ValueError(f"unknown sink {sink!r}, not one of {SINKS}")
-    bookmarks = store.bookmarks().latest(batch_id)
+    before = store.bookmarks().latest(batch_id)
     with scratch(store.spark):
-        parsed = parse_exposition(with_bookmarks(docs, bookmarks), timestamp_unit=timestamp_unit)
-        columns = ("doc_id", "target", "line", "name", "labels", "value", "sample_kind", "time")
-        recent = is_recent(F.col("ts"), F.col("min_ts")).alias("recent")
-        staged = durable(parsed.select(*columns, recent), "parsed")
-        n = staged.agg(F.count(F.lit(1)).alias("parsed"), F.count_if("recent").alias("kept")).first()
-        samples = staged.filter("recent").drop("recent")
+        columns = ("doc_id", "target", "scrape_ts", "line", "name", "labels", "value", "sample_kind", "time", "ts")
+        staged = durable(parse_exposition(docs, timestamp_unit=timestamp_unit).select(*columns), "parsed")
+        scrapes = durable(docs.select("doc_id", "target", "scrape_ts"), "scrapes")
+        samples = age_filter(staged, bookmarks(scrapes, before))
         target_labels = None
         if targets is not None:
             labels = targets.select(F.col("name").alias("target"), F.col("labels").alias("target_labels"))
@@ -59,8 +57,10 @@ def ingest_dumps(
             labelled = samples.withColumn("labels", with_static_labels(F.col("labels"), static, target_labels))
             written = store.write_batch(labelled, batch_id)
         else:
-            requests = write_requests(time_series(samples, static, target_labels))
-            requests.write.mode("overwrite").parquet(f"{store.root}/write_requests/batch_id={batch_id}")
-            written = n["kept"]
-        store.bookmarks().write(last_scrapes(docs, bookmarks), batch_id)
-    return BatchCounts(n["parsed"], written, n["parsed"] - n["kept"])
+            folder = f"{store.root}/write_requests/batch_id={batch_id}"
+            write_requests(time_series(samples, static, target_labels)).write.mode("overwrite").parquet(folder)
+            requests = store.spark.read.parquet(folder)
+            written = requests.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+        store.bookmarks().write(last_scrapes(scrapes, before), batch_id)
+        parsed = staged.count()
+    return BatchCounts(parsed, written, parsed - written)

@@ -148,8 +148,10 @@ def test_bookmarks(spark):
     assert got == {"1": 700, "2": 1000, "3": 4700, "4": 995, "5": 700}
     last = {r["target"]: r["last_scrape"] for r in age.last_scrapes(scrapes, initial).collect()}
     assert last == {"a": 5000, "b": 1000, "c": 1000, "d": 1}
-    kept = spark.createDataFrame([(None, 10), (9, 10), (10, 10)], "ts bigint, min_ts bigint")
-    assert age.age_filter(kept).count() == 2
+    rows = [("1", None, 1000, "a"), ("1", 699, 1000, "b"), ("1", 700, 1000, "c"), ("2", 999, 1015, "d"), ("2", 1000, 1015, "e"), ("4", 994, 1000, "f")]
+    samples = spark.createDataFrame(rows, "doc_id string, ts bigint, scrape_ts bigint, x string")
+    kept = age.age_filter(samples, age.bookmarks(scrapes, initial))
+    assert kept.columns == samples.columns and {r["x"] for r in kept.collect()} == {"a", "c", "e"}
 
 
 def retention_case(spark):
