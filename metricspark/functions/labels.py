@@ -87,9 +87,9 @@ def canonical_labels(name: Column, labels: Column) -> Column:
     return sorted_by_key(F.concat(F.array(label(NAME_KEY, name)), last_wins(own)))
 
 
-def series_hash(canonical: Column) -> Column:
-    """64-bit pre-key of a canonical label list. Equal hashes still need an equality check."""
-    return F.xxhash64(canonical)
+def series_hash(*parts: Column) -> Column:
+    """64-bit pre-key of a label list. Equal hashes still need an equality check."""
+    return F.xxhash64(*parts)
 
 
 def labels_text(labels: Column, sep: str = ",") -> Column:

@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from contextvars import copy_context
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metricspark.functions.labels import canonical_labels, series_hash
@@ -23,7 +20,7 @@ from metricspark.operators.dictionary import (
 from metricspark.operators.encode import encode_labels
 from metricspark.operators.settings import chunk_bounds, effective_settings
 from metricspark.schema import Catalog
-from metricspark.session import durable
+from metricspark.session import durable, together
 
 
 @dataclass(frozen=True)
@@ -35,12 +32,6 @@ class Ingested:
     facts: DataFrame
 
 
-def label_sets(samples: DataFrame) -> DataFrame:
-    """Samples (``name, labels, …``) with ``canonical`` labels and their hash."""
-    canonical = canonical_labels(F.col("name"), F.col("labels"))
-    return samples.withColumn("canonical", canonical).withColumn("set_hash", series_hash(F.col("canonical")))
-
-
 def ingest(
     samples: DataFrame,
     catalog: Catalog,
@@ -49,20 +40,27 @@ def ingest(
 ) -> Ingested:
     """Resolve samples of ``name, labels, value, time`` to series, creating what is missing.
 
-    Dictionary work runs on the distinct label sets, which partial aggregation shrinks
-    before their only shuffle. The samples themselves are shuffled once, to fetch their
-    series id, and only with their 8-byte label hash, value and time; a series holding much
-    of the data is a skewed key that adaptive execution splits. The hash is trusted only
-    after a check that no two label sets share it, else the whole label list is the key.
+    Dictionary work runs on the distinct label lists, which partial aggregation shrinks
+    before their only shuffle; only these are put in canonical order, and lists that differ
+    in order alone find the same series. The samples themselves are shuffled once, to fetch
+    their series id, and only with an 8-byte hash of name and labels, value and time; a
+    series holding much of the data is a skewed key that adaptive execution splits. The hash
+    is trusted only after a check that no two label lists share it, else the whole list is
+    the key.
 
     ``carry`` names further sample columns to keep on the facts. ``persist`` writes the new
     rows of a dimension and returns them as read back.
     """
-    keyed = label_sets(samples)
+    keyed = samples.withColumn("set_hash", series_hash(F.col("name"), F.col("labels")))
     sets = durable(
-        keyed.select(F.col("name").alias("metric_name"), "canonical", "set_hash")
+        keyed.select("name", "labels", "set_hash")
         .distinct()
-        .withColumn("set_id", F.monotonically_increasing_id()),
+        .select(
+            "*",
+            F.col("name").alias("metric_name"),
+            canonical_labels(F.col("name"), F.col("labels")).alias("canonical"),
+            F.monotonically_increasing_id().alias("set_id"),
+        ),
         "label-sets",
     )
     pairs = sets.select("metric_name", F.inline("canonical"))
@@ -74,36 +72,30 @@ def ingest(
             "label_key": persist(new_label_keys(catalog.label_key, positions), "label_key"),
         }
 
-    added = _together(
+    steps = together(
         samples.sparkSession,
         lambda: {"metric": persist(new_metrics(catalog.metric, sets), "metric")},
         lambda: {"label": persist(new_labels(catalog.label, pairs), "label")},
         keys,
     )
+    added = {name: rows for step in steps for name, rows in step.items()}
     grown = catalog.with_(**{n: getattr(catalog, n).unionByName(rows) for n, rows in added.items()})
 
     encoded = encode_labels(sets, grown.label, grown.label_key_position)
     resolved = durable(
         sets.join(encoded, "set_id")
         .join(effective_settings(grown), "metric_name")
-        .select("set_hash", "canonical", "metric_id", "chunk_interval_s", "label_ids"),
+        .select("set_hash", "name", "labels", "metric_id", "chunk_interval_s", "label_ids"),
         "resolved-sets",
     )
     added["series"] = persist(new_series(catalog.series, resolved), "series")
     grown = grown.with_(series=catalog.series.unionByName(added["series"]))
     known = resolved.join(grown.series, ["metric_id", "label_ids"]).select(
-        "set_hash", "canonical", "metric_id", "chunk_interval_s", "series_id"
+        "set_hash", "name", "labels", "metric_id", "chunk_interval_s", "series_id"
     )
     return Ingested(grown, added, _facts(keyed, sets, known, carry))
 
 
-def _together(spark: SparkSession, *steps: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
-    """Run independent steps as concurrent jobs of one session."""
-    with ThreadPoolExecutor(len(steps)) as pool:
-        done = [pool.submit(copy_context().run, inheritable_thread_target(spark)(step)) for step in steps]
-        return {name: rows for step in done for name, rows in step.result().items()}
-
-
 def hashes_collide(sets: DataFrame) -> bool:
     return bool(sets.groupBy("set_hash").count().filter("count > 1").head(1))
 
@@ -112,10 +104,10 @@ def _facts(keyed: DataFrame, sets: DataFrame, known: DataFrame, carry: Sequence[
     kind = F.col("sample_kind") if "sample_kind" in keyed.columns else sample_kind(F.col("value"))
     columns = ["time", "value", kind.alias("sample_kind"), *carry]
     if hashes_collide(sets):
-        keys = ["set_hash", "canonical"]
+        keys = ["set_hash", "name", "labels"]
     else:
         keys = ["set_hash"]
-        known = known.drop("canonical")
+        known = known.drop("name", "labels")
     start, end = chunk_bounds(F.col("time"), F.col("chunk_interval_s"))
     return (
         keyed.select(*keys, *columns)

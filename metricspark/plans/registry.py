@@ -16,13 +16,14 @@ from metricspark.functions.labels import (
     labels_of,
     labels_text,
     parse_static_labels,
+    series_hash,
     with_static_labels,
 )
 from metricspark.functions.text import format_bytes, micros_of
 from metricspark.operators import age, encode, info, remote_write, report, retention, selectors, settings, targets, views
 from metricspark.operators.dictionary import get_or_create_metrics
 from metricspark.plans import fixtures
-from metricspark.plans.ingest import Ingested, ingest, label_sets
+from metricspark.plans.ingest import Ingested, ingest
 from metricspark.plans.store import MetricStore
 from metricspark.schema import Catalog
 from metricspark.session import durable, fresh_folder
@@ -198,7 +199,10 @@ def canonical_series_labels(spark, sf_dir):
 @query
 def series_keys_distinct(spark, sf_dir):
     """PRJ3: label sets, and how many hashes they share."""
-    sets = label_sets(fixtures.event_samples(spark, sf_dir)).groupBy("name", "canonical", "set_hash").agg(F.count(F.lit(1)).alias("n"))
+    lists = fixtures.event_samples(spark, sf_dir).groupBy("name", "labels").agg(F.count(F.lit(1)).alias("n"))
+    keyed = lists.withColumn("canonical", canonical_labels(F.col("name"), F.col("labels")))
+    hashed = keyed.withColumn("set_hash", series_hash(F.col("canonical")))
+    sets = hashed.groupBy("name", "canonical", "set_hash").agg(F.sum("n").alias("n"))
     return sets.groupBy("name").agg(
         F.count(F.lit(1)).alias("n_sets"), F.countDistinct("set_hash").alias("n_hashes"), F.sum("n").alias("n_samples")
     )

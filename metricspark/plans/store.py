@@ -11,6 +11,7 @@ writes the dimensions anew as the next generation; the highest generation listed
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ from metricspark.schema import (
     Catalog,
     default_settings,
 )
-from metricspark.session import durable, hadoop_path, scratch
+from metricspark.session import durable, hadoop_path, scratch, together
 
 DIMENSIONS = {
     "metric": METRIC,
@@ -58,8 +59,11 @@ class MetricStore:
         return read_or_empty(self.spark, f"{self.root}/{folder}", schema)
 
     def generation(self) -> int:
-        generations = self._read("generations", T.StructType([T.StructField("generation", T.IntegerType())]))
-        return generations.agg(F.coalesce(F.max("generation"), F.lit(0)).alias("g")).first()["g"]
+        """The highest folder under ``generations``, 0 if there is none."""
+        path, files = hadoop_path(self.spark, f"{self.root}/generations")
+        if not files.exists(path):
+            return 0
+        return max((int(status.getPath().getName()) for status in files.listStatus(path)), default=0)
 
     def catalog(self, before_batch: int | None = None) -> Catalog:
         """The dimensions in force, or as they were before a batch."""
@@ -70,7 +74,8 @@ class MetricStore:
             if before_batch is not None:
                 rows = rows.filter(F.col("batch_id") < before_batch)
             frames[name] = rows.drop("batch_id")
-        if not frames["settings"].head(1):
+        path, files = hadoop_path(self.spark, f"{self.root}/settings/generation={generation}")
+        if not files.exists(path):
             frames["settings"] = default_settings(self.spark)
         return Catalog(**frames)
 
@@ -82,10 +87,13 @@ class MetricStore:
     def replace_catalog(self, catalog: Catalog) -> None:
         """Write all dimensions as the next generation and put it in force."""
         generation = self.generation() + 1
-        for name in DIMENSIONS:
-            self._write_dimension(name, getattr(catalog, name), generation, -1)
-        row = self.spark.createDataFrame([(generation,)], "generation int")
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/generations")
+
+        def step(name: str) -> Callable[[], object]:
+            return lambda: self._write_dimension(name, getattr(catalog, name), generation, -1)
+
+        together(self.spark, *[step(name) for name in DIMENSIONS])
+        path, files = hadoop_path(self.spark, f"{self.root}/generations/{generation}")
+        files.mkdirs(path)
 
     # -- facts -----------------------------------------------------------------------------
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -97,6 +99,14 @@ def spread(df: DataFrame) -> DataFrame:
     """Spread the rows of a source with fewer files than cores, before costly expressions.
 
     A source of many files is already spread and is returned as it is, without a shuffle.
+    Rows go by the hash of all their columns, which saves the sort a round robin does.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores, *df.columns) if len(df.inputFiles()) < cores else df
+
+
+def together(spark: SparkSession, *steps: Callable[[], object]) -> list:
+    """Run independent steps as concurrent jobs of one session."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        done = [pool.submit(copy_context().run, inheritable_thread_target(spark)(step)) for step in steps]
+        return [step.result() for step in done]

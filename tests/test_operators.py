@@ -65,7 +65,7 @@ def test_second_batch_keeps_ids_and_positions(spark):
 def test_colliding_hashes_fall_back_to_whole_label_sets(spark, monkeypatch):
     rows = [("m", {"a": str(i % 7), "b": str(i % 3)}, float(i), i) for i in range(100)]
     want = ingest(samples(spark, rows), Catalog.empty(spark))
-    monkeypatch.setattr(ingest_module, "series_hash", lambda c: F.lit(1).cast("bigint"))
+    monkeypatch.setattr(ingest_module, "series_hash", lambda *c: F.lit(1).cast("bigint"))
     got = ingest(samples(spark, rows), Catalog.empty(spark))
     names = decoded(got.catalog)
     by_value = {r["value"]: names[r["series_id"]] for r in got.facts.collect()}
@@ -73,6 +73,16 @@ def test_colliding_hashes_fall_back_to_whole_label_sets(spark, monkeypatch):
     assert got.facts.count() == want.facts.count() == 100
 
 
+def test_lists_in_another_order_or_with_duplicates_are_one_series(spark):
+    df = spark.createDataFrame(
+        [("m", [("a", "1"), ("b", "2")]), ("m", [("b", "2"), ("a", "1")]), ("m", [("b", "9"), ("a", "1"), ("b", "2")])],
+        "name string, labels array<struct<key:string,value:string>>",
+    ).select("name", "labels", F.lit(1.0).alias("value"), F.timestamp_seconds(F.lit(0)).alias("time"))
+    out = ingest(df, Catalog.empty(spark))
+    assert out.catalog.series.count() == 1 and out.facts.count() == 3
+    assert list(decoded(out.catalog).values()) == [{"__name__": "m", "a": "1", "b": "2"}]
+
+
 def test_a_hot_series_with_a_third_of_all_samples(spark):
     rng = random.Random(3)
     rows = [("hot", {"a": "1"}, float(i), i) for i in range(3000)]
