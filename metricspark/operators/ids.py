@@ -33,11 +33,12 @@ def assign_ids(
     )
     fixed = durable(ranged, f"ids-{id_column}")
     counts = fixed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    if after is not None:
+        # The ids already given count as a partition before the first.
+        given = after.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("bigint").alias("_n"))
+        counts = counts.unionByName(given.select(F.lit(-1).alias("_part"), "_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    if after is not None:
-        base = after.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("_base"))
-        offsets = offsets.crossJoin(base).select("_part", (F.col("_offset") + F.col("_base")).alias("_offset"))
     numbered = (F.col("_rank") + F.col("_offset") + 1).cast(id_type)
     # One row per partition of the write: bounded by the shuffle partition count.
     return fixed.join(F.broadcast(offsets), "_part").select(numbered.alias(id_column), *rows.columns)

@@ -10,38 +10,39 @@ from metricspark.schema import Catalog
 
 CHUNK_INTERVAL = "chunk_interval"
 RETENTION_PERIOD = "retention_period"
+KINDS = (CHUNK_INTERVAL, RETENTION_PERIOD)
 
 
-def _default(settings: DataFrame, kind: str) -> DataFrame:
-    return settings.filter(F.col("key") == kind).select(F.col("value_s").alias(kind))
+def defaults(settings: DataFrame) -> dict[str, int]:
+    """The default of each kind; the table has one row per kind."""
+    return {r["key"]: r["value_s"] for r in settings.filter(F.col("key").isin(*KINDS)).collect()}
 
 
 def effective_settings(catalog: Catalog) -> DataFrame:
     """Chunk interval and retention of every metric: its own, else the default."""
-    # One row each: broadcasting them is bounded.
-    defaults = F.broadcast(_default(catalog.settings, CHUNK_INTERVAL).crossJoin(_default(catalog.settings, RETENTION_PERIOD)))
+    default = defaults(catalog.settings)
     own_interval = F.when(~F.col("default_chunk_interval"), F.col("chunk_interval_s"))
-    return catalog.metric.join(defaults).select(
+    return catalog.metric.select(
         "metric_id",
         "metric_name",
-        F.coalesce(own_interval, F.col(CHUNK_INTERVAL)).alias("chunk_interval_s"),
-        F.coalesce("retention_s", F.col(RETENTION_PERIOD)).alias("retention_s"),
+        F.coalesce(own_interval, F.lit(default[CHUNK_INTERVAL]).cast("bigint")).alias("chunk_interval_s"),
+        F.coalesce("retention_s", F.lit(default[RETENTION_PERIOD]).cast("bigint")).alias("retention_s"),
     )
 
 
 def effective_settings_of(catalog: Catalog, names: DataFrame) -> DataFrame:
     """The same for given ``metric_name``s; a metric not known has the defaults."""
+    default = defaults(catalog.settings)
     known = effective_settings(catalog).drop("metric_id")
-    defaults = F.broadcast(_default(catalog.settings, CHUNK_INTERVAL).crossJoin(_default(catalog.settings, RETENTION_PERIOD)))
-    return names.join(known, "metric_name", "left").join(defaults).select(
+    return names.join(known, "metric_name", "left").select(
         "metric_name",
-        F.coalesce("chunk_interval_s", F.col(CHUNK_INTERVAL)).alias("chunk_interval_s"),
-        F.coalesce("retention_s", F.col(RETENTION_PERIOD)).alias("retention_s"),
+        F.coalesce("chunk_interval_s", F.lit(default[CHUNK_INTERVAL]).cast("bigint")).alias("chunk_interval_s"),
+        F.coalesce("retention_s", F.lit(default[RETENTION_PERIOD]).cast("bigint")).alias("retention_s"),
     )
 
 
 def _check(kind: str) -> None:
-    if kind not in (CHUNK_INTERVAL, RETENTION_PERIOD):
+    if kind not in KINDS:
         raise ValueError(f"unknown setting {kind!r}")
 
 
