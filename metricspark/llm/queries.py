@@ -7,10 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from metricspark.llm.decontaminate import find_contamination
+from metricspark.llm.neardup import near_duplicates
+from metricspark.llm.packing import pack_documents
 from metricspark.llm.sharding import assign_shards
 from metricspark.llm.text import table
 
 SHARDS = 40
+#: The tokenizer's file among the public ones; its folder must exist on all executors.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +40,8 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_near_duplicates": op4_near_duplicates,
+    "op7_pattern_packing": op7_pattern_packing,
     "op9_decontamination": op9_decontamination,
     "op10_rendezvous_shards": op10_rendezvous_shards,
 }
