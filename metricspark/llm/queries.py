@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from metricspark.llm.decontaminate import find_contamination
 from metricspark.llm.neardup import near_duplicates
 from metricspark.llm.packing import pack_documents
+from metricspark.llm.pii import pseudonymize
 from metricspark.llm.sharding import assign_shards
 from metricspark.llm.text import table
+from metricspark.llm.toxicity import Model, score_texts, train
 
 SHARDS = 40
 #: The tokenizer's file among the public ones; its folder must exist on all executors.
@@ -23,6 +26,30 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+#: Scores from which a text counts as toxic.
+TOXIC = 0.7
+#: Key of the pseudonyms in the registered queries; use a secret one of your own.
+PII_KEY = "example-key"
+
+
+def remainder(number: int):
+    """crc32 of doc_id as text modulo ``number``; a null id counts as the text "null"."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary")) % number
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> Model:
+    """Learns from labels outside the held-out third."""
+    return train(docs, labels.where(remainder(3) != 1))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_texts(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", (remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted")
+    )
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -31,6 +58,12 @@ def op7_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with pseudonyms, and the spans they stand for."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymize(docs, PII_KEY).withColumn("n_pii", F.coalesce(F.size("pii_spans"), F.lit(0)))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("_key")
 
@@ -40,8 +73,10 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_toxicity": op3_toxicity,
     "op4_near_duplicates": op4_near_duplicates,
     "op7_pattern_packing": op7_pattern_packing,
+    "op8_pseudonyms": op8_pseudonyms,
     "op9_decontamination": op9_decontamination,
     "op10_rendezvous_shards": op10_rendezvous_shards,
 }
