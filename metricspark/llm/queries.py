@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricspark.llm.decontaminate import find_contamination
+from metricspark.llm.kdtree import top_k
 from metricspark.llm.neardup import near_duplicates
 from metricspark.llm.packing import pack_documents
 from metricspark.llm.pii import pseudonymize
@@ -54,6 +55,10 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_kd_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -75,6 +80,7 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_kd_tree_search": op5_kd_tree_search,
     "op7_pattern_packing": op7_pattern_packing,
     "op8_pseudonyms": op8_pseudonyms,
     "op9_decontamination": op9_decontamination,

@@ -43,7 +43,7 @@ class Fit:
     documents: int = 3
     association: float = 12.0
     swap: float = 1.0
-    sparsity: float = 1e-5
+    sparsity: float = 2e-4
     rounds: int = 400
 
 
@@ -190,13 +190,14 @@ def _optimise(rows: list, size: int, fit: Fit) -> tuple[np.ndarray, float]:
             return np.zeros(size)
         return np.bincount(won_col, d[won_row], size) - np.bincount(lost_col, d[lost_row], size)
 
-    # Bounds on the curvature: largest row sum of X^T X over the rows, and of the swap term.
-    ones = np.bincount(row, minlength=n).astype(float)
-    bound = 0.25 * (np.bincount(col, ones[row], size).max(initial=0.0) / n + 1 + ones.mean())
+    # A curvature bound of its own for each weight (a separable surrogate of the loss), so
+    # that rare features move as fast as frequent ones.
+    ones = np.bincount(row, minlength=n).astype(float) + 1
+    curve = 0.25 / n * np.bincount(col, ones[row], size)
     if len(named):
-        lengths = np.bincount(lost_row, minlength=len(named)) + np.bincount(won_row, minlength=len(named))
-        bound += 2 * fit.swap * lengths.max()
-    step = 1.0 / bound
+        lengths = (np.bincount(lost_row, minlength=len(named)) + np.bincount(won_row, minlength=len(named))).astype(float)
+        curve += 2 * fit.swap / k * (np.bincount(lost_col, lengths[lost_row], size) + np.bincount(won_col, lengths[won_row], size))
+    step, step_b = 1.0 / np.maximum(curve, 1e-12), 1.0 / (0.25 * ones.mean())
     prior = y.mean()
     w, b = np.zeros(size), float(np.log(prior / (1 - prior)))
     v, c, t = w, b, 1.0
@@ -206,7 +207,7 @@ def _optimise(rows: list, size: int, fit: Fit) -> tuple[np.ndarray, float]:
         slope = np.bincount(col, error[row], size) + back(change(v)) * (2 * fit.swap / k)
         new = v - step * slope
         new = np.sign(new) * np.maximum(0.0, np.abs(new) - step * fit.sparsity)
-        new_b = c - step * error.sum()
+        new_b = c - step_b * error.sum()
         t_new = (1 + (1 + 4 * t * t) ** 0.5) / 2
         v, c = new + (t - 1) / t_new * (new - w), new_b + (t - 1) / t_new * (new_b - b)
         w, b, t = new, new_b, t_new
