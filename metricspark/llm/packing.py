@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -20,6 +21,20 @@ from metricspark.session import durable
 CAPACITY = 1024
 END_ID = 2
 
+#: Letters that every version of Unicode agrees on, and signs behind them.
+_WORD = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([^\w\s]*)")
+
+
+def _byte_signs() -> dict[int, str]:
+    """The sign each byte has in byte-level vocabularies: itself if it is visible in
+    Latin-1, else the next one from U+0100 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+
+
+_BYTE_SIGNS = _byte_signs()
+
 #: Cuts before a blank and around a line break are cuts of the tokenizer's own pre-tokens,
 #: unless white space meets white space there.
 _UNSAFE = re.compile(r"\s\s|\s\Z|\x00|<\|")
@@ -68,14 +83,21 @@ def token_bytes(texts: list[str], path: str) -> Iterator[bytes]:
 
 
 def _learn(tokenizer, parts: set[str]) -> None:
-    """Put the ids of ``parts`` into the cache. A comma or full stop behind a letter is a
-    pre-token of its own, so the word before it is looked up alone."""
-    split = {part: part[:-1] for part in parts if part[-1:] in (",", ".") and part[-2:-1].isalpha()}
-    new = list((parts - split.keys()) | {w for w in (*split.values(), ",", ".") if w not in _cache})
-    for part, made in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-        _cache[part] = _pack_ids(made.ids)
-    for part, word in split.items():
-        _cache[part] = _cache[word] + _cache[part[-1]]
+    """Put the ids of ``parts`` into the cache.
+
+    A run of letters with its blank is one pre-token, so it goes straight to the vocabulary's
+    merges; signs behind it are looked up alone. Everything else is encoded in full.
+    """
+    split = {part: found.groups() for part in parts if (found := _WORD.fullmatch(part))}
+    tokenize = tokenizer.model.tokenize
+    for word in {word for word, _ in split.values()}.difference(_cache):
+        ids = [token.id for token in tokenize(word.encode().decode("latin-1").translate(_BYTE_SIGNS))]
+        _cache[word] = struct.pack(f"<{len(ids)}I", *ids)
+    rest = (parts - split.keys()) | {tail for _, tail in split.values()}
+    for part in rest.difference(_cache):
+        _cache[part] = _pack_ids(tokenizer.encode(part, add_special_tokens=False).ids)
+    for part, (word, tail) in split.items():
+        _cache[part] = _cache[word] + _cache[tail]
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
