@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from metricspark.llm.decontaminate import find_contamination
 from metricspark.llm.kdtree import top_k
+from metricspark.llm.lm import score_corpus
 from metricspark.llm.neardup import near_duplicates
 from metricspark.llm.packing import pack_documents
 from metricspark.llm.pii import pseudonymize
@@ -59,6 +60,10 @@ def op5_kd_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op6_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_corpus(table(spark, sf_dir, "documents"), remainder(10) == 0)
+
+
 def op7_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_kd_tree_search": op5_kd_tree_search,
+    "op6_deleted_interpolation": op6_deleted_interpolation,
     "op7_pattern_packing": op7_pattern_packing,
     "op8_pseudonyms": op8_pseudonyms,
     "op9_decontamination": op9_decontamination,

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,19 @@ def space_words(text: str | None) -> list[bytes]:
     return text.encode().lower().split() if text else []
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside give up their shuffle files when they end, not when the driver
+    collects its garbage. For steps whose results are stored or collected."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     path, files = hadoop_path(spark, folder)
     files.delete(path, True)
