@@ -39,4 +39,24 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20
 """
 
-ORACLES = {"op5_kd_tree_search": OP5, "op9_decontamination": OP9}
+OP1 = """
+WITH t AS (SELECT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+k AS (SELECT conv_id AS pair_id, coalesce(max(turn) FILTER (role = 'assistant'), 0) AS cut FROM t GROUP BY conv_id),
+c AS (SELECT pair_id, turn, min({'a': role, 'b': text}) AS s FROM t JOIN k ON conv_id = pair_id GROUP BY ALL),
+r AS (
+  SELECT pair_id, turn, min({'a': role, 'b': text}) AS s
+  FROM t JOIN k ON (conv_id = pair_id AND turn < cut) OR (conv_id = xor(pair_id, 1) AND turn >= cut) GROUP BY ALL),
+j AS (
+  SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, coalesce(c.turn, r.turn) AS turn, c.s AS cs, r.s AS rs
+  FROM c FULL JOIN r ON c.pair_id = r.pair_id AND c.turn = r.turn),
+f AS (SELECT pair_id, min(turn) AS split FROM j WHERE cs IS DISTINCT FROM rs GROUP BY pair_id),
+p AS (SELECT j.*, turn < coalesce(split, turn + 1) AS shared FROM j LEFT JOIN f USING (pair_id)),
+u AS (
+  SELECT pair_id, CASE WHEN shared THEN 'prompt' ELSE 'chosen' END AS part, turn, cs AS s FROM p WHERE cs IS NOT NULL
+  UNION ALL SELECT pair_id, 'rejected', turn, rs FROM p WHERE NOT shared AND rs IS NOT NULL)
+SELECT pair_id, part, turn, '<|' || coalesce(s.a, 'unknown') || '|>' || chr(10) || coalesce(s.b, '') || chr(10) AS rendered,
+  (length(coalesce(s.a, 'unknown')) + 5)::INT AS header_length, part <> 'prompt' AND coalesce(s.a = 'assistant', false) AS trained
+FROM u
+"""
+
+ORACLES = {"op1_preference_formatting": OP1, "op5_kd_tree_search": OP5, "op9_decontamination": OP9}

@@ -13,6 +13,7 @@ from metricspark.llm.lm import score_corpus
 from metricspark.llm.neardup import near_duplicates
 from metricspark.llm.packing import pack_documents
 from metricspark.llm.pii import pseudonymize
+from metricspark.llm.preferences import last_reply_branches, preference_segments
 from metricspark.llm.sharding import assign_shards
 from metricspark.llm.text import table
 from metricspark.llm.toxicity import Model, score_texts, train
@@ -44,6 +45,10 @@ def toxicity_model(docs: DataFrame, labels: DataFrame) -> Model:
     return train(docs, labels.where(remainder(3) != 1))
 
 
+def op1_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference_segments(last_reply_branches(table(spark, sf_dir, "conversations")))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score_texts(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
@@ -83,6 +88,7 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_preference_formatting": op1_preference_formatting,
     "op3_toxicity": op3_toxicity,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_kd_tree_search": op5_kd_tree_search,
