@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricspark.llm.decontaminate import find_contamination
+from metricspark.llm.extraction import extract_main_text
+from metricspark.llm.extraction import train as train_chain
 from metricspark.llm.kdtree import top_k
 from metricspark.llm.lm import score_corpus
 from metricspark.llm.neardup import near_duplicates
@@ -49,6 +51,11 @@ def op1_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference_segments(last_reply_branches(table(spark, sf_dir, "conversations")))
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extract_main_text(pages, train_chain(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score_texts(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
@@ -89,6 +96,7 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_preference_formatting": op1_preference_formatting,
+    "op2_main_text": op2_main_text,
     "op3_toxicity": op3_toxicity,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_kd_tree_search": op5_kd_tree_search,
