@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ class Sketch:
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 80
 #: Candidates whose estimate is so many standard deviations below the bound are left out.
-DEVIATIONS = 6.0
+DEVIATIONS = 5.0
 #: Rounds of filling a register without a hash from other registers before the set is scanned.
 DENSIFY = 64
 
@@ -139,12 +140,15 @@ class Estimator:
         self.sketch = sketch
         self.chance: dict[tuple[int, int], float] = {}
 
-    def __call__(self, a: np.ndarray, b: np.ndarray, n: int, m: int) -> float:
+    def correction(self, n: int, m: int) -> float:
         key = (max(n, 1).bit_length(), max(m, 1).bit_length())
         if key not in self.chance:
             self.chance[key] = chance_collisions(1 << (key[0] - 1), 1 << (key[1] - 1), self.sketch)
-        equal = float((a == b).mean())
-        return max(0.0, (equal - self.chance[key]) / (1 - self.chance[key]))
+        return self.chance[key]
+
+    def __call__(self, a: np.ndarray, b: np.ndarray, n: int, m: int) -> float:
+        chance = self.correction(n, m)
+        return max(0.0, (float((a == b).mean()) - chance) / (1 - chance))
 
     def may_link(self, a: np.ndarray, b: np.ndarray, n: int, m: int) -> bool:
         """False only if sizes forbid a link or the estimate is far below the bound.
@@ -162,7 +166,7 @@ class Estimator:
 SKETCHED = "doc_id bigint, n_shingles bigint, digest binary, registers binary"
 
 
-def sketches(docs: DataFrame, size: int, sketch: Sketch, with_registers: bool = True) -> DataFrame:
+def sketches(docs: DataFrame, size: int, sketch: Sketch) -> DataFrame:
     """Exact set size, a digest of the normalised words, and the registers of every row."""
 
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("registers", pa.binary())])
@@ -224,10 +228,14 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, sketch: Sketch) -> D
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     columns = ("a", "b", "a_n_shingles", "a_registers", "b_n_shingles", "b_registers")
-    close = rough.select(*columns).mapInArrow(estimate, "a bigint, b bigint")
+    return confirmed(rough.select(*columns).mapInArrow(estimate, "a bigint, b bigint"), texts, size)
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets pass."""
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
     two = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
-    both = close.join(one, "a").join(two, "b")
+    both = pairs.join(one, "a").join(two, "b")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent: OrderedDict[int, set] = OrderedDict()
@@ -262,9 +270,9 @@ def near_duplicates(docs: DataFrame, size: int = 2, sketch: Sketch = Sketch()) -
        by an aggregation with map-side combine, so copies cost one row from here on.
     2. In each band, members are compared with a few pivots of their bucket, not with each
        other: estimates first, full sets then. The links give a first grouping.
-    3. Buckets whose members are all in one group are settled. In the others, members of
-       different groups are compared until nothing is open, so no link between groups is
-       lost, whatever the size of the bucket.
+    3. Buckets whose members are all in one group are settled. The members of the others
+       go through an exact prefix filter, so no link between groups is lost, whatever the
+       size of the bucket.
     """
     made = durable(sketches(docs, size, sketch), "sketches")
     sized = made.where("digest IS NOT NULL AND doc_id IS NOT NULL")
@@ -277,12 +285,9 @@ def near_duplicates(docs: DataFrame, size: int = 2, sketch: Sketch = Sketch()) -
     keys = durable(_crowded(band_keys(classes, sketch)), "bands")
     texts = _texts(docs, classes, keys)
 
-    pivots = keys.groupBy("band").agg(F.min("node").alias("low"), F.max_by("node", F.xxhash64("node")).alias("any"))
-    pairs = keys.join(pivots, "band").select("node", F.explode(F.array("low", "any")).alias("pivot")).where("node <> pivot")
-    pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-    links = durable(verified(pairs, texts, size, sketch), "links")
-    groups = connected_components(links)
-    more = durable(verified(_between_groups(keys, groups), texts, size, sketch), "links-between")
+    links = durable(verified(_to_pivots(keys), texts, size, sketch), "links")
+    rest = _open_nodes(keys, connected_components(links))
+    more = durable(confirmed(_between_groups(rest, texts, size), texts, size), "links")
 
     # Different texts under one doc_id are one document with several rows.
     own = sized.select("doc_id", "digest").distinct().join(numbers, F.col("digest") == F.col("_digest"))
@@ -328,17 +333,74 @@ def _texts(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
     return durable(found.mapInArrow(same, fields).dropDuplicates(["node"]), "met-texts")
 
 
-def _between_groups(keys: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs of members of one bucket that are in different groups so far.
+def _to_pivots(keys: DataFrame) -> DataFrame:
+    """Pairs of each member of a bucket with the bucket's two pivots: its smallest node, and
+    one drawn by a hash anew in each bucket."""
+    pivots = keys.groupBy("band").agg(F.min("node").alias("low"), F.max_by("node", F.xxhash64("node", "band")).alias("any"))
+    met = keys.join(pivots, "band").select("node", F.explode(F.array("low", "any")).alias("pivot")).where("node <> pivot")
+    return met.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+
+
+def _open_nodes(keys: DataFrame, groups: DataFrame) -> DataFrame:
+    """(band, node, group, size) of the buckets whose members are in more than one group so
+    far, with the size of the member's group in the whole corpus."""
+    sizes = groups.groupBy(F.col("component").alias("_component")).agg(F.count(F.lit(1)).alias("_size"))
+    sized = groups.join(sizes, F.col("component") == F.col("_component")).select(F.col("node").alias("_node"), "component", "_size")
+    named = keys.join(sized, F.col("node") == F.col("_node"), "left").select(
+        "band", "node", F.coalesce("component", "node").alias("group"), F.coalesce("_size", F.lit(1)).alias("size")
+    )
+    return durable(named.join(_divided(named, "band"), "band"), "buckets")
+
+
+def _divided(members: DataFrame, key: str) -> DataFrame:
+    """(key, main) for each key with members of several groups; main is the largest group."""
+    split = members.groupBy(key).agg(
+        F.min("group").alias("_low"), F.max("group").alias("_high"), F.max_by("group", F.struct("size", "group")).alias("main")
+    )
+    return split.where("_low <> _high").select(key, "main")
+
+
+def _between_groups(members: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """Pairs in different groups that can still be linked, among the members of open buckets.
 
-    Within a bucket, a group that holds all others' partners is the rule; only buckets with
-    several groups are opened, and pairs inside a group are never made.
+    Exact, by the prefix filter: in one order of all shingles, the rarest first, two sets
+    that reach the bound share a shingle among the first |x| - ceil(0.8 |x|) + 1 of each.
+    Copies that were edited beyond the bound begin with shingles of their own, so they meet
+    nobody, however large their bucket is; what is left of two sets from a shared shingle on
+    must still reach the bound. A shingle whose documents are all in one group is
+    settled; in the others, members outside the main group meet the rest.
     """
-    named = keys.join(groups, "node", "left").select(
-        "band", "node", F.coalesce("component", "node").alias("group")
+    nodes = members.select("node", "group", "size").distinct()
+    held = texts.select(F.col("node").alias("_node"), "text").join(nodes, F.col("node") == F.col("_node"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = [
+                np.unique(np.fromiter((xxhash.xxh3_64_intdigest(b"\n".join(s)) for s in shingles(space_words(t.as_py()), size)), np.uint64))
+                for t in batch.column(3)
+            ]
+            at = np.repeat(np.arange(batch.num_rows), [len(h) for h in hashes])
+            token = np.concatenate(hashes).view(np.int64) if hashes else np.zeros(0, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i).take(pa.array(at)) for i in range(3)), pa.array(token)], ["node", "group", "size", "token"]
+            )
+
+    fields = "node bigint, group bigint, size bigint, token bigint"
+    tokens = durable(held.select("node", "group", "size", "text").mapInArrow(cut, fields), "shingles")
+    often = tokens.groupBy(F.col("token").alias("_token")).agg(F.count(F.lit(1)).alias("n"))
+    ranked = tokens.join(often, F.col("token") == F.col("_token")).groupBy("node", "group", "size").agg(
+        F.sort_array(F.collect_list(F.struct("n", "token"))).alias("all")
+    )
+    n = F.size("all")
+    prefix = F.slice("all", F.lit(1), n - F.ceil(n * PERCENT / 100).cast("int") + 1)
+    firsts = ranked.select("node", "group", "size", n.alias("n"), F.posexplode(prefix).alias("at", "t")).where("t.n > 1")
+    firsts = durable(firsts.select("node", "group", "size", "t.token", (F.col("n") - F.col("at")).alias("left"), "n"), "prefixes")
+    live = firsts.join(_divided(firsts, "token"), "token")
+    one, two = (
+        live.where(rows).select("token", *(F.col(c).alias(f"{side}_{c}") for c in ("node", "group", "left", "n")))
+        for side, rows in (("x", "group <> main"), ("y", "true"))
     )
-    split = named.groupBy("band").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high")
-    rest = durable(named.join(split.select("band"), "band", "left_semi"), "open-buckets")
-    one = rest.select("band", F.col("node").alias("a"), F.col("group").alias("_a"))
-    two = rest.select("band", F.col("node").alias("b"), F.col("group").alias("_b"))
-    return one.join(two, "band").where("_a < _b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # The first shingle two sets share leaves room for no more than the shorter rest.
+    possible = F.least("x_left", "y_left") * (100 + PERCENT) >= (F.col("x_n") + F.col("y_n")) * PERCENT
+    met = one.join(two, "token").where((F.col("x_group") != F.col("y_group")) & possible)
+    return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
