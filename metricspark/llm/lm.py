@@ -94,6 +94,18 @@ def _slot(hashes: np.ndarray, slots: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
 
 
+def pack_sorted(hashes: np.ndarray) -> bytes:
+    """Sorted hashes as differences, all first bytes before all second ones and so on: the
+    high bytes are nearly all zero, which shuffle compression removes."""
+    steps = np.diff(hashes, prepend=np.uint64(0))
+    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(data, dtype=np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(steps).view(np.uint64).reshape(-1), dtype=np.uint64)
+
+
 ASKED = "slot bigint, batch bigint, words binary, word_counts binary, grams binary, gram_counts binary"
 TOLD = "batch bigint, slot bigint, word_counts binary, gram_counts binary, tokens bigint, kinds bigint"
 _TOLD = pa.schema([("batch", pa.int64()), ("slot", pa.int64()), ("word_counts", pa.binary()), ("gram_counts", pa.binary()),
@@ -112,8 +124,8 @@ def _ask(slots: int):
         cuts = [(np.searchsorted(at, met), np.searchsorted(at, met, side="right")) for _, _, at in sides]
         rows = []
         for i, slot in enumerate(met.tolist()):
-            own = [x[a[i] : b[i]].tobytes() for (h, n, _), (a, b) in zip(sides, cuts) for x in (h, n)]
-            rows.append((slot, batch, *own))
+            own = [(pack_sorted(h[a[i] : b[i]]), n[a[i] : b[i]].tobytes()) for (h, n, _), (a, b) in zip(sides, cuts)]
+            rows.append((slot, batch, *own[0], *own[1]))
         names = ["slot", "batch", "words", "word_counts", "grams", "gram_counts"]
         kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
@@ -122,7 +134,7 @@ def _ask(slots: int):
 
 
 def _totals(hashes: list[bytes], counts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    every = np.frombuffer(b"".join(hashes), dtype=np.uint64)
+    every = np.concatenate([unpack_sorted(h) for h in hashes])
     kinds, place = np.unique(every, return_inverse=True)
     n = np.bincount(place, np.frombuffer(b"".join(counts), dtype=np.uint32), len(kinds)).astype(np.int64)
     return kinds, n
@@ -136,7 +148,7 @@ def _tell(asked: pa.Table) -> pa.Table:
     grams, gram_n = _totals(columns["grams"], columns["gram_counts"])
 
     def of(kinds: np.ndarray, n: np.ndarray, data: bytes) -> bytes:
-        return n[np.searchsorted(kinds, np.frombuffer(data, dtype=np.uint64))].tobytes()
+        return n[np.searchsorted(kinds, unpack_sorted(data))].tobytes()
 
     rows = [
         (batch, slot, of(words, word_n, w), of(grams, gram_n, g), 0, 0)
