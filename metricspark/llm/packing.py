@@ -40,6 +40,8 @@ _BYTE_SIGNS = _byte_signs()
 _UNSAFE = re.compile(r"\s\s|\s\Z|\x00|<\|")
 #: Bits of a piece's rank among those of its length.
 RANK_BITS = 48
+#: Shares of the fitted repeat counts that are tried.
+SHARES = (1.0, 0.9, 0.75, 0.5, 0.25)
 #: Texts that are looked up together.
 GROUP = 64
 #: Parts whose ids a worker keeps before it starts anew.
@@ -233,28 +235,39 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], i
 def plan(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """(pattern, sequences) that use each length exactly ``counts`` times.
 
-    Repeat counts come from the non-negative fit. They are rounded down, then up where the
-    histogram still has the lengths, and the residual is packed best-fit. The work depends on the number of
-    lengths only, never on the number of documents.
+    Repeat counts come from the non-negative fit, are rounded, and the residual is packed
+    best-fit. Rounding down everywhere can use up short pieces that long ones need, so the
+    fit is also rounded from SHARES of itself, and the plan of the fewest sequences is taken.
+    The work depends on the number of lengths only, never on the number of documents.
     """
+    lengths = np.flatnonzero(counts)
+    candidates = [p for p in patterns(lengths, capacity) if sum(p) >= capacity - capacity // 256]
+    if not candidates:
+        return best_fit(counts.astype(np.int64), capacity)
+    fit = nonnegative_fit(candidates, counts.astype(float))
+    plans = [_rounded(candidates, fit * share, counts, capacity, up) for share in SHARES for up in (False, True)]
+    return min(plans, key=lambda groups: sum(n for _, n in groups))
+
+
+def _rounded(
+    candidates: list[tuple[int, ...]], fit: np.ndarray, counts: np.ndarray, capacity: int, up: bool
+) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns as often as ``fit`` says, rounded down, then with ``up`` once more where the
+    histogram still has the lengths, those of the longest piece first; the residual best-fit."""
     left = counts.astype(np.int64).copy()
-    lengths = np.flatnonzero(left)
+    whole = np.floor(fit + 1e-6)
+    part = fit - whole
+    tries = [(at, int(whole[at])) for at in np.argsort(-whole, kind="stable") if whole[at]]
+    if up:
+        tries += [(at, 1) for at in sorted(np.flatnonzero(part > 0.3), key=lambda at: (-candidates[at][0], -part[at]))]
     groups: list[tuple[tuple[int, ...], int]] = []
-    if len(lengths):
-        candidates = [p for p in patterns(lengths, capacity) if sum(p) >= capacity - capacity // 256]
-        if candidates:
-            fit = nonnegative_fit(candidates, left.astype(float))
-            whole = np.floor(fit + 1e-6)
-            part = fit - whole
-            tries = [(at, int(whole[at])) for at in np.argsort(-whole, kind="stable") if whole[at]]
-            tries += [(at, 1) for at in np.argsort(-part, kind="stable") if part[at] > 1e-3]
-            for at, most in tries:
-                need = Counter(candidates[at])
-                n = min(most, *(int(left[k]) // v for k, v in need.items()))
-                if n > 0:
-                    groups.append((candidates[at], n))
-                    for k, v in need.items():
-                        left[k] -= n * v
+    for at, most in tries:
+        need = Counter(candidates[at])
+        n = min(most, *(int(left[k]) // v for k, v in need.items()))
+        if n > 0:
+            groups.append((candidates[at], n))
+            for k, v in need.items():
+                left[k] -= n * v
     return groups + best_fit(left, capacity)
 
 
