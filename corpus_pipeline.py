@@ -13,7 +13,7 @@ from metricspark.llm.neardup import near_duplicates
 from metricspark.llm.packing import pack_documents
 from metricspark.llm.pii import pseudonymize
 from metricspark.llm.queries import PII_KEY, TOXIC, tokenizer_path, toxicity_model
-from metricspark.llm.text import table
+from metricspark.llm.text import free_name, table
 from metricspark.llm.toxicity import score_texts
 
 #: Words of a shingle in the near-duplicate stage.
@@ -23,34 +23,34 @@ SHINGLE = 5
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the bound; the classifier learns from labelled rows of ``docs``."""
     model = toxicity_model(docs, table(spark, sf_dir, "labels"))
-    return score_texts(docs, model, "_score").where(F.col("_score") < TOXIC).select(*docs.columns)
+    score = free_name(docs, "_score")
+    return score_texts(docs, model, score).where(F.col(score) < TOXIC).select(*(f"`{c}`" for c in docs.columns))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one of the smallest doc_id. Of several
     rows with one doc_id the smallest row stays; rows without a doc_id all stay."""
     found = near_duplicates(docs, SHINGLE)
-    ids = found.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id"))
-    ids = ids.agg(F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows"))
-    rest = docs.join(ids.where("NOT _kept OR _rows > 1").select("_id"), F.col("doc_id") == F.col("_id"), "left_anti")
-    several = docs.join(ids.where("_kept AND _rows > 1").select("_id"), F.col("doc_id") == F.col("_id"), "left_semi")
+    ids = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    rest = docs.join(ids.where("NOT kept OR n > 1").select("doc_id"), "doc_id", "left_anti")
+    several = docs.join(ids.where("kept AND n > 1").select("doc_id"), "doc_id", "left_semi")
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    smallest = several.groupBy("doc_id").agg(F.min(row).alias("_row")).select("_row.*")
-    return rest.unionByName(smallest)
+    smallest = several.groupBy("doc_id").agg(F.min(row).alias("row")).select("row.*")
+    return rest.select(*(f"`{c}`" for c in docs.columns)).unionByName(smallest)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a word in a benchmark window."""
     found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    leaks = found.where("contaminated").select(F.col("doc_id").alias("_id"), F.col("_key").alias("_hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    leaks = found.where("contaminated").select("doc_id", "_key")
+    same = docs["doc_id"].eqNullSafe(leaks["doc_id"]) & (F.xxhash64(docs["text"]) == leaks["_key"])
     return docs.join(leaks, same, "left_anti")
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with pseudonyms for personal values; n_chars follows the text."""
     safe = pseudonymize(docs, PII_KEY)
-    return safe.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    return safe.withColumn("n_chars", F.length("text").cast("bigint")).select(*(f"`{c}`" for c in docs.columns))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from metricspark.llm.text import free_name
+
 #: Rounds of the Feistel network.
 ROUNDS = 8
 #: First and last day that dates are permuted among, as proleptic ordinals.
@@ -322,7 +324,9 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text", back: bool = Fal
             yield pa.array(rows, made)
 
     columns = [c for c in docs.columns if c != "pii_spans"]
-    out = docs.withColumn("_pii", replace(F.col(text)))
+    made_here = free_name(docs, "_pii")
+    out = docs.withColumn(made_here, replace(F.col(text)))
     return out.select(
-        *(F.col("_pii.text").alias(text) if c == text else F.col(f"`{c}`") for c in columns), F.col("_pii.spans").alias("pii_spans")
+        *(F.col(f"{made_here}.text").alias(text) if c == text else F.col(f"`{c}`") for c in columns),
+        F.col(f"{made_here}.spans").alias("pii_spans"),
     )

@@ -19,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as no column of ``df`` has."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in small letters, every other character as it is.
 

@@ -88,7 +88,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, fit: Fit) -> DataFrame:
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     )
     drawn = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit.rows).withColumnRenamed("doc_id", "_id")
-    return docs.join(drawn, F.col("doc_id") == F.col("_id")).select("doc_id", F.col("text").cast("string").alias("text"), "toxic")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return texts.join(drawn, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:

@@ -1,0 +1,303 @@
+"""Operators on documents against plain Python, nulls, repeats and clashing columns included."""
+
+import hashlib
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from metricspark.llm import components, decontaminate, lm, neardup, packing, pii, sharding, toxicity
+from metricspark.llm.queries import tokenizer_path
+
+from .conftest import alnum_words, space_words
+
+
+def rows_of(df):
+    return [(r["doc_id"], r["text"]) for r in df.collect()]
+
+
+def test_near_duplicates_follow_the_links(docs):
+    got = sorted(map(tuple, neardup.near_duplicates(docs).collect()), key=str)
+    sets = {}
+    for doc_id, text in rows_of(docs):
+        sets.setdefault(doc_id, set()).update(neardup.shingles([w.encode() for w in space_words(text)], 2))
+    ids = [i for i in sets if i is not None]
+    group = {i: i for i in ids}
+    for _ in ids:
+        for a in ids:
+            for b in ids:
+                if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    group[a] = group[b] = min(group[a], group[b])
+    want = [
+        (i, len(neardup.shingles([w.encode() for w in space_words(t)], 2)), group.get(i), i is None or group[i] == i)
+        for i, t in rows_of(docs)
+    ]
+    assert got == sorted(want, key=str)
+    assert {w[2] for w in want if w[0] in (1, 2, 3, 4)} == {1}
+
+
+def test_near_duplicates_of_nothing(docs):
+    assert neardup.near_duplicates(docs.limit(0)).collect() == []
+    assert neardup.near_duplicates(docs.where("text IS NULL")).count() == 1
+
+
+def test_texts_under_one_id_are_one_document(spark):
+    one, two = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    df = spark.createDataFrame([(5, one), (5, two), (7, one), (9, two)], "doc_id long, text string")
+    assert {r["component_id"] for r in neardup.near_duplicates(df).collect()} == {5}
+
+
+def test_sketches_estimate_the_similarity():
+    sketch = neardup.Sketch()
+    rng = np.random.default_rng(5)
+    for share in (0.3, 0.6, 0.9):
+        same = rng.integers(0, 2**63, int(2000 * share), dtype=np.uint64)
+        a, b = (np.concatenate([same, rng.integers(0, 2**63, 2000 - len(same), dtype=np.uint64)]) for _ in range(2))
+        want = len(same) / (len(a) + len(b) - len(same))
+        mixed = [neardup.registers(neardup._mix(x), sketch) for x in (a, b)]
+        assert abs(neardup.Estimator(sketch)(*mixed, 2000, 2000) - want) < 0.12
+
+
+def test_small_sets_share_bands_as_often_as_large_ones():
+    sketch, met = neardup.Sketch(), 0
+    for seed in range(200):
+        words = [f"{seed}-{i}".encode() for i in range(10)]
+        a = neardup.registers(neardup.shingle_hashes(words, 1), sketch).reshape(sketch.bands, -1)
+        b = neardup.registers(neardup.shingle_hashes(words[:9], 1), sketch).reshape(sketch.bands, -1)
+        met += bool((a == b).all(axis=1).any())
+    assert met == 200
+
+
+def test_components_of_chains_and_stars(spark):
+    links = [(i, i + 1) for i in range(30)] + [(100, k) for k in range(101, 160)] + [(500, 501), (501, 500)]
+    got = {r["node"]: r["component"] for r in components.connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert {got[i] for i in range(31)} == {0} and {got[k] for k in range(100, 160)} == {100} and got[501] == 500
+    assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def bench(spark):
+    rows = [
+        (1, " ".join(f"W{i}" for i in range(5, 25))),
+        (2, "in this text"),
+        (3, None),
+        (4, " ,; "),
+        (None, "no id here"),
+        (12, "w40 w41 w42 w43 w44 w45 w46 w47 w48"),
+        (5, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w11 w10 w9"),
+        (1, "t1x1 t2x2 t3x3 t4x4 t5x5 t6x6 t7x7 t8x8 t9x9 t10x10"),
+    ]
+    return spark.createDataFrame(rows, "item_id long, text string").withColumn("words", F.lit("clash")).withColumn("width", F.lit(1))
+
+
+def brute_contamination(documents, items):
+    windows = defaultdict(set)
+    for item, text in items:
+        w = alnum_words(text)
+        if item is not None and w:
+            k = min(10, len(w))
+            for i in range(len(w) - k + 1):
+                windows[tuple(w[i : i + k])].add(item)
+    sizes = {len(k) for k in windows}
+    out = []
+    for doc_id, text in documents:
+        w, hit, found = alnum_words(text), set(), set()
+        for k in sizes:
+            for i in range(len(w) - k + 1):
+                if tuple(w[i : i + k]) in windows:
+                    hit.update(range(i, i + k))
+                    found |= windows[tuple(w[i : i + k])]
+        digest = hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
+        out.append((doc_id, len(w), len(hit), len(found), digest, bool(hit)))
+    return sorted(out, key=str)
+
+
+def test_contamination_against_brute_force(spark, docs):
+    items = bench(spark)
+    got = sorted(map(tuple, decontaminate.find_contamination(docs, items).drop("_key").collect()), key=str)
+    assert got == brute_contamination(rows_of(docs), [(r["item_id"], r["text"]) for r in items.collect()])
+    assert sum(r[-1] for r in got) >= 6
+    clean = decontaminate.find_contamination(docs, items.limit(0)).collect()
+    assert len(clean) == len(got) and not any(r["contaminated"] for r in clean)
+    assert decontaminate.find_contamination(docs.limit(0), items).collect() == []
+
+
+def test_decontamination_runs_no_python(spark, docs):
+    plan = decontaminate.find_contamination(docs, bench(spark))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_shards_by_rendezvous(docs):
+    got = sharding.assign_shards(docs, [1.0, 2.0, 0.0, 1.0]).collect()
+    assert len(got) == docs.count() and {r["shard"] for r in got} <= {0, 1, 3} and {r["law"] for r in got} == {"key"}
+    for shard in {r["shard"] for r in got}:
+        assert sorted(r["slot"] for r in got if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in got)))
+
+    def best(key, weights):
+        def bid(s, w):
+            digest = hashlib.md5(f"{'null' if key is None else key}:{s}".encode()).hexdigest()[:13]
+            return -w / math.log((int(digest, 16) + 0.5) / 16**13)
+
+        return max((s for s, w in enumerate(weights) if w), key=lambda s: (bid(s, weights[s]), -s))
+
+    for r in got:
+        assert r["shard"] == best(r["doc_id"], [1.0, 2.0, 0.0, 1.0])
+        assert r["grown_shard"] == best(r["doc_id"], [1.0, 2.0, 0.0, 1.0, 1.0])
+    texts = Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in rows_of(docs))
+    assert texts == Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got)
+    assert sharding.assign_shards(docs.limit(0), [1.0]).collect() == []
+    with pytest.raises(ValueError):
+        sharding.assign_shards(docs, [])
+
+
+def test_shards_follow_weights_and_move_little(spark):
+    df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    got = sharding.assign_shards(df, [1.0, 3.0], added=1.0).groupBy("shard", "grown_shard").count().collect()
+    n = Counter({(r[0], r[1]): r[2] for r in got})
+    assert abs(n[1, 1] + n[1, 2] - 15_000) < 400 and n[0, 1] == n[1, 0] == 0 and abs(n[0, 2] + n[1, 2] - 4_000) < 300
+
+
+def test_packing_keeps_every_token(docs):
+    from tokenizers import Tokenizer
+
+    got = packing.pack_documents(docs, tokenizer_path(), capacity=64, keep_ids=True).collect()
+    plain = Tokenizer.from_file(tokenizer_path())
+    want = Counter()
+    for doc_id, text in rows_of(docs):
+        want[doc_id, tuple([*plain.encode(text or "", add_special_tokens=False).ids, 2])] += 1
+    pieces = defaultdict(list)
+    for r in got:
+        ids = tuple(np.frombuffer(r["ids"], "<u4").tolist())
+        assert r["length"] == len(ids) <= 64 and r["ids_crc32"] == zlib.crc32(r["ids"]) and (r["piece"] == 0 or len(ids) == 64)
+        pieces[r["doc_id"]].append((r["piece"], r["start"], ids))
+    for (doc_id, ids), times in want.items():
+        own = sorted(p for p in pieces[doc_id] if ids[p[1] : p[1] + len(p[2])] == p[2])
+        assert len(own) == times * (1 + max(p[0] for p in own)) and sum(len(p[2]) for p in own) == times * len(ids)
+    places = defaultdict(list)
+    for r in got:
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    for own in places.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 64
+    assert len(places) <= -(-sum(r["length"] for r in got) // 64) + 2
+    assert packing.pack_documents(docs.limit(0), tokenizer_path()).collect() == []
+
+
+def test_token_bytes_equal_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    texts = ["", " ", "\n", "a  b", "x \ny", "a\tb c", "it's <|endoftext|> ok", " lead", "trail ", " nb", "1 000²", "\x1cab cd",
+             ".", ",", "a.", "1.", "a..", "é, ²,", "\tx y", "x\r\ny z", "don't, won't.", "a_b, c", "你好, 世界."]
+    plain = Tokenizer.from_file(tokenizer_path())
+    for text, got in zip(texts, packing.token_bytes(texts, tokenizer_path())):
+        assert np.frombuffer(got, "<u4").tolist() == [*plain.encode(text, add_special_tokens=False).ids, 2], text
+
+
+@pytest.mark.parametrize("n", [1, 50, 5_000])
+def test_plans_use_each_length_as_often_as_it_comes(n):
+    rng = np.random.default_rng(n)
+    counts = np.bincount(rng.integers(1, 257, n), minlength=257)
+    groups = packing.plan(counts, 256)
+    used = np.zeros_like(counts)
+    for pattern, times in groups:
+        assert sum(pattern) <= 256 and times > 0
+        np.add.at(used, list(pattern), times)
+    assert (used == counts).all()
+    least = -(-int((counts * np.arange(257)).sum()) // 256)
+    assert sum(t for _, t in groups) <= max(least + 2, least * 1.01) or n < 100
+
+
+def test_language_model_counts_and_gains(spark, docs):
+    held = F.col("doc_id").isin(4, 8)
+    got = lm.score_corpus(docs, held, batch_bytes=100_000).collect()
+    learned = Counter()
+    for doc_id, text in rows_of(docs):
+        if doc_id not in (4, 8):
+            learned.update([*space_words(text), "\n"])
+    total, kinds = sum(learned.values()), len(learned)
+    want = Counter()
+    for doc_id, text in rows_of(docs):
+        words = [*space_words(text), "\n"]
+        base = sum(math.log10((learned[w] + 0.1) / (total + 0.1 * (kinds + 1))) for w in words)
+        want[doc_id, doc_id in (4, 8), len(words), sum(learned[w] > 0 for w in words), total, round(base, 5)] += 1
+    assert want == Counter((*tuple(r)[:5], round(r["base_score"], 5)) for r in got)
+    near = next(r for r in got if r["doc_id"] == 4)
+    assert near["score"] > near["base_score"] + 10 and all(r["score"] <= 0 for r in got)
+    assert lm.score_corpus(docs.limit(0), held).collect() == []
+    nothing = lm.score_corpus(docs.where("doc_id = 4"), held).collect()
+    assert [(r["train_tokens"], r["base_score"], r["score"]) for r in nothing] == [(0, 0.0, 0.0)]
+
+
+def test_mixture_weights_are_learned_by_bucket():
+    side = 2 * lm.CELLS + 1
+    one = np.array([1.0])
+    sure, unsure = lm._cell(one)[0], 0
+    word = lm._cell(np.array([50.0]))[0]
+    cells = np.array([(3 * side + sure) * side + word, (9 * side + unsure) * side + word])
+    weights = lm.fit_weights(cells, np.array([1000, 1000]), 10_000, 100)
+    assert weights[3, 0] > 0.95 and weights[9, 0] < 0.01 and np.allclose(weights.sum(axis=1), 1)
+
+
+def test_sorted_hashes_round_trip():
+    x = np.unique(np.random.default_rng(1).integers(0, 2**64, 1000, dtype=np.uint64))
+    assert (lm.unpack_sorted(lm.pack_sorted(x)) == x).all() and len(lm.unpack_sorted(lm.pack_sorted(x[:0]))) == 0
+
+
+def test_pseudonyms_keep_format_and_link(spark):
+    text = (
+        "card 4111 1111 1111 1111 or 4111111111111111, ssn 123-45-6789, mail foo.bar@mail4.example.com, +1 (803) 555-5351, "
+        "ip 190.134.237.235, on 2020-02-29 25/12/2020 and 1/2/2020, iban GB29 NWBK 6016 1331 9268 19, "
+        'token = "3c4226790fc3f8022bcc4434e93601b2005f1325". Version 2.0, 999.1.1.1, 4111111111111112, 2020-02-30, 123-00-6789'
+    )
+    df = spark.createDataFrame([(1, text), (2, "again 4111-1111-1111-1111"), (3, None), (4, ""), (5, "no numbers")], "doc_id long, text string")
+    df = df.withColumn("pii_spans", F.lit("clash")).withColumn("_pii", F.lit("clash"))
+    got = {r["doc_id"]: r for r in pii.pseudonymize(df, "k").collect()}
+    kinds = Counter(s["kind"] for s in got[1]["pii_spans"])
+    assert kinds == {"card": 2, "ssn": 1, "email": 1, "phone": 1, "address": 1, "date": 3, "iban": 1, "secret": 1}
+    for s in got[1]["pii_spans"]:
+        assert len(s["value"]) >= 8 and s["value"] in got[1]["text"] and text[s["start"] : s["end"]] not in got[1]["text"]
+    cards = [s["value"].replace(" ", "").replace("-", "") for i in (1, 2) for s in got[i]["pii_spans"] if s["kind"] == "card"]
+    assert len(set(cards)) == 1 and pii.luhn_digit(cards[0][:-1]) == cards[0][-1] and cards[0] != "4" + "1" * 15
+    assert "Version 2.0, 999.1.1.1, 4111111111111112, 2020-02-30, 123-00-6789" in got[1]["text"]
+    assert (got[3]["text"], got[4]["text"], got[5]["text"]) == (None, "", "no numbers") and got[3]["_pii"] == "clash"
+    names = pii.Pseudonyms(b"k")
+    back = pii.rewrite(got[1]["text"], pii.spans(got[1]["text"], names, True))
+    assert back.lower() == text.lower().replace("1/2/2020", "1/02/2020" if "1/02/2020" in back else "1/2/2020")
+    assert pii.pseudonymize(df.limit(0), "k").collect() == []
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 1000])
+def test_feistel_is_a_permutation(n):
+    network = pii.Feistel(b"key", "kind", n)
+    assert sorted(map(network, range(n))) == list(range(n)) and all(network(network(i), True) == i for i in range(n))
+
+
+def test_toxicity_learns_and_ignores_groups(spark):
+    rows, labels = [], []
+    for i in range(400):
+        toxic = i % 4 == 0
+        group = "women" if i % 8 < 6 and toxic or i % 40 == 1 else "people"
+        rows.append((i, f"the {group} said word{i % 17} {'vilething' if toxic else 'nicely'} x{i}"))
+        labels.append((i, 1 if toxic else 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("toxic", F.lit("clash")).withColumn("score", F.lit("clash"))
+    marks = spark.createDataFrame([*labels, (None, 1), (3, None)], "doc_id long, toxic int")
+    model = toxicity.train(docs, marks)
+    free = toxicity.train(docs, marks, toxicity.Fit(swap=0.0))
+    assert model.score("so vilething") > 0.7 > 0.3 > model.score("so nicely")
+    gap = [m.score("the women said hello") - m.score("the men said hello") for m in (model, free)]
+    assert abs(gap[0]) < abs(gap[1]) / 2
+    scored = toxicity.score_texts(docs.limit(3).unionByName(docs.limit(1).withColumn("text", F.lit(None).cast("string"))), model)
+    assert all(0 <= r["score"] <= 1 for r in scored.collect())
+    flat = toxicity.train(docs, marks.limit(0))
+    assert flat.score("vilething") == flat.score(None)
+
+
+def test_swaps_exchange_identity_terms():
+    own = toxicity.features_of("Women and Muslims spoke")
+    other = toxicity.swapped(own, 3)
+    assert not {b"women", b"muslims"} & other and len(other) == len(own) and b"spoke" in other
