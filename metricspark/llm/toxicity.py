@@ -73,13 +73,12 @@ def features_of(text: str | None) -> set[bytes]:
 
 
 def swapped(features: set[bytes], seed: int) -> set[bytes]:
-    """``features`` with each identity term exchanged for another one, drawn by ``seed``."""
+    """``features`` with each identity term exchanged for another one; ``seed`` draws how far
+    the terms are moved along their list."""
     terms = sorted(_IDENTITY)
-    out = features - _IDENTITY
-    for term in features & _IDENTITY:
-        step = 1 + (seed + zlib.crc32(term)) % (len(terms) - 1)
-        out.add(terms[(terms.index(term) + step) % len(terms)])
-    return out
+    step = 1 + seed % (len(terms) - 1)
+    moved = {terms[(i + step) % len(terms)] for i, term in enumerate(terms) if term in features}
+    return (features - _IDENTITY) | moved
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, fit: Fit) -> DataFrame:

@@ -281,14 +281,14 @@ def test_toxicity_learns_and_ignores_groups(spark):
     rows, labels = [], []
     for i in range(400):
         toxic = i % 4 == 0
-        group = "women" if i % 8 < 6 and toxic or i % 40 == 1 else "people"
-        rows.append((i, f"the {group} said word{i % 17} {'vilething' if toxic else 'nicely'} x{i}"))
+        group = "women" if toxic or i % 10 == 1 else "people"
+        rows.append((i, f"the {group} said word{i % 17} {'vilething' if toxic and i % 3 else 'nicely'} x{i}"))
         labels.append((i, 1 if toxic else 0))
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("toxic", F.lit("clash")).withColumn("score", F.lit("clash"))
     marks = spark.createDataFrame([*labels, (None, 1), (3, None)], "doc_id long, toxic int")
     model = toxicity.train(docs, marks)
     free = toxicity.train(docs, marks, toxicity.Fit(swap=0.0))
-    assert model.score("so vilething") > 0.7 > 0.3 > model.score("so nicely")
+    assert model.score("so vilething") > 0.7 > 0.5 > model.score("so nicely")
     gap = [m.score("the women said hello") - m.score("the men said hello") for m in (model, free)]
     assert abs(gap[0]) < abs(gap[1]) / 2
     scored = toxicity.score_texts(docs.limit(3).unionByName(docs.limit(1).withColumn("text", F.lit(None).cast("string"))), model)
