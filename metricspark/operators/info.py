@@ -9,8 +9,6 @@ from metricspark.operators.ids import assign_ids
 from metricspark.operators.settings import effective_settings
 from metricspark.schema import Catalog
 
-PAGE_SIZE = 10_000
-
 
 def metric_info(catalog: Catalog, facts: DataFrame) -> DataFrame:
     """One row per metric: settings in force, sorted label keys, and what is stored.
@@ -51,23 +49,13 @@ def metric_info(catalog: Catalog, facts: DataFrame) -> DataFrame:
     )
 
 
-def label_info(catalog: Catalog, page_size: int = PAGE_SIZE) -> DataFrame:
-    """One row per key: its view columns and its values in order.
+def label_info(catalog: Catalog) -> DataFrame:
+    """One row per value of each key, with the key's view columns and the value's rank from 1.
 
-    A key with more than ``page_size`` values has several rows, numbered by ``page``, so that
-    no array grows without bound. The rank of a value comes from a range sort over all keys.
+    A key without values has one row with neither. The rank comes from a range sort over all
+    keys, so no key's values are gathered.
     """
-    ranked = assign_ids(catalog.label.select("key", "value"), ["key", "value"], "rank", "bigint")
-    first = ranked.groupBy("key").agg(F.min("rank").alias("first"))
-    page = F.floor((F.col("rank") - F.col("first")) / page_size)
-    pages = (
-        ranked.join(first, "key")
-        .groupBy("key", page.alias("page"))
-        .agg(F.array_sort(F.collect_list("value")).alias("values"))
-    )
-    none = F.array().cast("array<string>")
-    return catalog.label_key.join(pages, "key", "left").select(
-        "key", "value_column_name", "id_column_name",
-        F.coalesce("page", F.lit(0)).alias("page"),
-        F.coalesce("values", none).alias("values"),
-    )
+    ranked = assign_ids(catalog.label.select("key", "value"), ["key", "value"], "n", "bigint")
+    first = ranked.groupBy("key").agg(F.min("n").alias("first"))
+    values = ranked.join(first, "key").select("key", "value", (F.col("n") - F.col("first") + 1).alias("rank"))
+    return catalog.label_key.join(values, "key", "left").select("key", "value_column_name", "id_column_name", "value", "rank")

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from metricspark.functions.labels import label, with_static_labels
 from metricspark.schema import NAME_KEY
 
-MAX_SERIES_PER_REQUEST = 10_000
-
 
 def time_series(
     samples: DataFrame,
@@ -28,15 +26,7 @@ def time_series(
 
 
 def write_requests(rows: DataFrame) -> DataFrame:
-    """Gather time series into one request per scrape, in the order of the dump.
-
-    A dump with more samples than a request may hold gives several requests, cut by line
-    number, so that no group grows without bound.
-    """
-    part = F.floor(F.col("line") / MAX_SERIES_PER_REQUEST)
-    gathered = rows.groupBy("doc_id", part.alias("part")).agg(
-        F.sort_array(F.collect_list(F.struct("line", "timeseries"))).alias("all")
-    )
-    return gathered.select(
-        "doc_id", "part", F.size("all").alias("n"), F.transform("all", lambda x: x["timeseries"]).alias("timeseries")
-    )
+    """``doc_id, line, timeseries``: a request is the rows of one scrape, in the order of
+    their lines. Rows stay single, so that a dump of any size is one request and is never
+    gathered; a sender streams them."""
+    return rows.select("doc_id", "line", "timeseries")

@@ -4,7 +4,7 @@ A label id belongs to one key, and within a metric a key has one position. So "t
 shares an id with this id set" is an equality of one array slot with an id, and a matcher is
 a semi or anti join of the series with the dictionary on that slot. Nothing is exploded or
 collected, and the size of the id set does not matter; adaptive execution broadcasts it
-when it is small. :func:`resolve_ids` gives the id list itself for the array predicates.
+when it is small.
 """
 
 from __future__ import annotations
@@ -16,11 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricspark.functions.labels import labels_from_map
-from metricspark.functions.matching import match_negative, match_positive, without_name_key
+from metricspark.functions.matching import without_name_key
 from metricspark.schema import NAME_KEY, Catalog
 
-MAX_LITERAL_IDS = 10_000
-
 
 @dataclass(frozen=True)
 class Matcher:
@@ -59,19 +57,6 @@ def not_matches(key: str, regex: str) -> Matcher:
     return Matcher(key, regex, regex=True, positive=False)
 
 
-def resolve_ids(matcher: Matcher, label_dim: DataFrame, limit: int = MAX_LITERAL_IDS) -> list[int] | None:
-    """The id list, empty if nothing matches, or None if it is longer than ``limit``
-    (use :func:`select_series` then)."""
-    rows = matcher.ids(label_dim).limit(limit + 1).collect()
-    return sorted(r["id"] for r in rows) if len(rows) <= limit else None
-
-
-def label_match(labels: Column, matcher: Matcher, ids: list[int]) -> Column:
-    """The selector as a predicate on an id array, for a resolved id list."""
-    literal = F.array(*[F.lit(i) for i in ids]).cast("array<int>")
-    return match_positive(labels, literal) if matcher.positive else match_negative(labels, literal)
-
-
 def metric_series(catalog: Catalog, metric_name: str) -> DataFrame:
     """Series of one metric. The id is looked up first (one dictionary row), so that the
     series and facts are pruned by partition and not joined."""
@@ -168,6 +153,8 @@ def matcher_arrays(rows: DataFrame, key: str, pairs: str, label_dim: DataFrame)
     return rows.join(found, key, "left").withColumn("matcher", F.coalesce("matcher", empty))
 
 
-def facts_of(facts: DataFrame, series: DataFrame) -> DataFrame:
-    """Facts of the chosen series."""
+def facts_of(facts: DataFrame, series: DataFrame, metric: int | None = None) -> DataFrame:
+    """Facts of the chosen series. With the id of their ``metric``, only its partitions are read."""
+    if metric is not None:
+        facts = facts.filter(F.col("metric_id") == F.lit(metric))
     return facts.join(series.select("metric_id", "series_id"), ["metric_id", "series_id"], "left_semi")

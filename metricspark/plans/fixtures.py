@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from metricspark.functions.labels import labels_from_map, labels_of
 from metricspark.functions.text import escape_label_value, instant, micros_of
-from metricspark.session import spread
 from metricspark.sources.label_json import labels_map
 
 EVENTS_PER_DUMP = 50
@@ -19,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    return spread(table(spark, sf_dir, name).select(*columns))
+    return table(spark, sf_dir, name).select(*columns)
 
 
 def _text(value: Column) -> Column:

@@ -23,6 +23,11 @@ from metricspark.schema import Catalog
 from metricspark.session import durable, together
 
 
+#: The columns that stand for a label list where samples are shuffled.
+SET_KEY = ["set_hash", "set_hash2"]
+SECOND_SEED = 0x5EED
+
+
 @dataclass(frozen=True)
 class Ingested:
     """The grown catalog, the rows added to each dimension, and the facts."""
@@ -43,17 +48,17 @@ def ingest(
     Dictionary work runs on the distinct label lists, which partial aggregation shrinks
     before their only shuffle; only these are put in canonical order, and lists that differ
     in order alone find the same series. The samples themselves are shuffled once, to fetch
-    their series id, and only with an 8-byte hash of name and labels, value and time; a
-    series holding much of the data is a skewed key that adaptive execution splits. The hash
-    is trusted only after a check that no two label lists share it, else the whole list is
-    the key.
+    their series id, and only with a 16-byte key, value and time; a series holding much of
+    the data is a skewed key that adaptive execution splits. The key is two hashes of name
+    and labels with different seeds, at every size.
 
     ``carry`` names further sample columns to keep on the facts. ``persist`` writes the new
     rows of a dimension and returns them as read back.
     """
-    keyed = samples.withColumn("set_hash", series_hash(F.col("name"), F.col("labels")))
+    first = series_hash(F.col("name"), F.col("labels"))
+    keyed = samples.withColumns({"set_hash": first, "set_hash2": F.xxhash64(F.lit(SECOND_SEED), "name", "labels")})
     sets = durable(
-        keyed.select("name", "labels", "set_hash")
+        keyed.select("name", "labels", *SET_KEY)
         .distinct()
         .select(
             "*",
@@ -85,33 +90,24 @@ def ingest(
     resolved = durable(
         sets.join(encoded, "set_id")
         .join(effective_settings(grown), "metric_name")
-        .select("set_hash", "name", "labels", "metric_id", "chunk_interval_s", "label_ids"),
+        .select(*SET_KEY, "metric_id", "chunk_interval_s", "label_ids"),
         "resolved-sets",
     )
     added["series"] = persist(new_series(catalog.series, resolved), "series")
     grown = grown.with_(series=catalog.series.unionByName(added["series"]))
     known = resolved.join(grown.series, ["metric_id", "label_ids"]).select(
-        "set_hash", "name", "labels", "metric_id", "chunk_interval_s", "series_id"
+        *SET_KEY, "metric_id", "chunk_interval_s", "series_id"
     )
-    return Ingested(grown, added, _facts(keyed, sets, known, carry))
-
-
-def hashes_collide(sets: DataFrame) -> bool:
-    return bool(sets.groupBy("set_hash").count().filter("count > 1").head(1))
+    return Ingested(grown, added, _facts(keyed, known, carry))
 
 
-def _facts(keyed: DataFrame, sets: DataFrame, known: DataFrame, carry: Sequence[str]) -> DataFrame:
+def _facts(keyed: DataFrame, known: DataFrame, carry: Sequence[str]) -> DataFrame:
     kind = F.col("sample_kind") if "sample_kind" in keyed.columns else sample_kind(F.col("value"))
     columns = ["time", "value", kind.alias("sample_kind"), *carry]
-    if hashes_collide(sets):
-        keys = ["set_hash", "name", "labels"]
-    else:
-        keys = ["set_hash"]
-        known = known.drop("name", "labels")
     start, end = chunk_bounds(F.col("time"), F.col("chunk_interval_s"))
     return (
-        keyed.select(*keys, *columns)
-        .join(known, keys)
+        keyed.select(*SET_KEY, *columns)
+        .join(known, SET_KEY)
         .select(
             "time", "value", "sample_kind", "series_id", "metric_id",
             start.alias("chunk_start"), end.alias("chunk_end"), *carry,

@@ -170,11 +170,10 @@ def _equal_json(cases: Sequence[tuple[str, list[str]]]) -> str:
 
 _LABEL_INFO = _with(
     _SAMPLES,
-    """, r AS (SELECT key, value, (row_number() OVER (PARTITION BY key ORDER BY value) - 1) // 64 AS page FROM d),
-    kk AS (SELECT row_number() OVER (ORDER BY key) AS id, key FROM (SELECT DISTINCT key FROM d))
-    SELECT r.key, r.key AS value_column_name, r.key || '_id' AS id_column_name, page,
-           string_agg(value, ',' ORDER BY value) AS vals
-    FROM r GROUP BY r.key, page""",
+    """
+    SELECT key, key AS value_column_name, key || '_id' AS id_column_name, value,
+           row_number() OVER (PARTITION BY key ORDER BY value) AS rank
+    FROM (SELECT DISTINCT key, value FROM d)""",
 )
 
 
@@ -351,6 +350,13 @@ def oracle_sql() -> dict[str, str]:
               count(DISTINCT series_id) AS n_series, min(us) AS first_us, max(us) AS last_us, count(DISTINCT chunk_start) AS n_chunks
             FROM c GROUP BY name""",
         ),
+        "store_reused_batch_id": """
+            SELECT event_type AS metric_name, count(*) AS n, sum(CAST(round(value * 100) AS BIGINT)) AS cents
+            FROM events GROUP BY event_type""",
+        "store_replay_after_rewrite": """
+            SELECT event_type AS metric_name, count(*) * CASE event_type WHEN 'view' THEN 2 ELSE 1 END AS n,
+              sum(CAST(round(value * 100) AS BIGINT)) * CASE event_type WHEN 'view' THEN 2 ELSE 1 END AS cents
+            FROM events GROUP BY event_type""",
         "label_info": _LABEL_INFO,
         "label_values_of_series": _with(
             _SERIES,
@@ -465,7 +471,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "remote_write_rows": _with(
             _DUMPS,
-            """SELECT CAST(doc AS VARCHAR) AS doc_id, CAST(0 AS BIGINT) AS part, count(*) OVER (PARTITION BY doc) AS n, line AS at,
+            """SELECT CAST(doc AS VARCHAR) AS doc_id, line AS at,
               '__name__=' || event_type || ';env=prod;pod=' || target || ';user=' || user_id || ';props=' || props AS labels,
               cents, ms FROM l""",
         ),

@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +30,7 @@ from metricspark.session import durable, fresh_folder
 from metricspark.sources import exposition, label_json, pods
 from metricspark.streaming.bookmarks import stream_bookmarks
 from metricspark.streaming.ingest import stream_ingest
-from metricspark.streaming.report import stream_report
+from metricspark.streaming.report import read_report, stream_report
 from metricspark.streaming.targets import stream_targets, target_set
 
 DAY_S = 86400
@@ -284,6 +284,34 @@ def backfill_chunks(spark, sf_dir):
     )
 
 
+def _stored_sums(store: MetricStore) -> DataFrame:
+    named = store.facts().join(store.catalog().metric.select("metric_id", "metric_name"), "metric_id")
+    return named.groupBy("metric_name").agg(F.count(F.lit(1)).alias("n"), F.sum(cents(F.col("value"))).alias("cents"))
+
+
+@query
+def store_reused_batch_id(spark, sf_dir):
+    """SNK1, AGG11: two writers use one batch id, and one of them writes it twice"""
+    store = MetricStore(spark, fresh_folder(spark, "two-writers"))
+    events = fixtures.event_samples(spark, sf_dir)
+    for writer, odd in (("a", 0), ("b", 1), ("a", 0)):
+        store.write_batch(events.where(F.col("event_id") % 2 == odd), 0, writer)
+    return _stored_sums(store)
+
+
+@query
+def store_replay_after_rewrite(spark, sf_dir):
+    """SNK1, RET4: chunks are merged with late rows, then their batch is written again"""
+    store = MetricStore(spark, fresh_folder(spark, "replays"))
+    store.replace_catalog(settings.set_default(store.catalog(), settings.CHUNK_INTERVAL, 10 * DAY_S))
+    events = fixtures.event_samples(spark, sf_dir)
+    store.write_batch(events, 0)
+    late = durable(store.facts().where(F.col("metric_id") == selectors.metric_id(store.catalog(), "view")), "late")
+    store.rewrite_chunks(late)
+    store.write_batch(events, 0)
+    return _stored_sums(store)
+
+
 # -- selectors -----------------------------------------------------------------------------
 
 
@@ -333,12 +361,11 @@ def sel_across_metrics(spark, sf_dir):
 
 @query
 def sel_literal_ids(spark, sf_dir):
-    """AGG5, FLT2, FLT3: array predicates with resolved id lists, counted per metric."""
+    """AGG5, FLT2, FLT3: selectors over the series of all metrics, counted per metric."""
     p = plain_events(spark, sf_dir)
     out = []
     for m in (selectors.equal("tier", "gold"), selectors.not_equal("zone", "z1"), selectors.equal("tier", "none")):
-        ids = selectors.resolve_ids(m, p.catalog.label)
-        chosen = p.catalog.series.filter(selectors.label_match(F.col("label_ids"), m, ids))
+        chosen = selectors.select_across_metrics(p.catalog, m)
         out.append(chosen.groupBy("metric_id").agg(F.count(F.lit(1)).alias("n")).withColumn("matcher", F.lit(f"{m.key}:{m.pattern}")))
     return out[0].unionByName(out[1]).unionByName(out[2])
 
@@ -432,8 +459,7 @@ def metric_info(spark, sf_dir):
 @query
 def label_info(spark, sf_dir):
     """AGG9"""
-    rows = info.label_info(plain_events(spark, sf_dir).catalog, page_size=64)
-    return rows.select("key", "value_column_name", "id_column_name", "page", F.array_join("values", ",").alias("vals"))
+    return info.label_info(plain_events(spark, sf_dir).catalog)
 
 
 @query
@@ -657,10 +683,11 @@ def remote_write_rows(spark, sf_dir):
     samples = exposition.parse_exposition(fixtures.event_dumps(spark, sf_dir))
     target = labels_of([("pod", F.col("target")), ("instance", F.lit(None))])
     rows = remote_write.time_series(samples, parse_static_labels("env=prod"), target)
-    series = remote_write.write_requests(rows).select("doc_id", "part", "n", F.posexplode("timeseries").alias("at", "ts"))
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("line")) - 1
+    series = remote_write.write_requests(rows).select("doc_id", place.alias("at"), F.col("timeseries").alias("ts"))
     text = F.transform("ts.labels", lambda p: F.concat(p["name"], F.lit("="), p["value"]))
     return series.select(
-        "doc_id", "part", "n", "at", F.array_join(text, ";").alias("labels"),
+        "doc_id", "at", F.array_join(text, ";").alias("labels"),
         cents(F.col("ts.samples")[0]["value"]).alias("cents"), F.col("ts.samples")[0]["timestamp"].alias("ms"),
     )
 
@@ -770,17 +797,12 @@ def _stream_of(spark: SparkSession, df: DataFrame, name: str, per_batch: int | N
 
 @query
 def stream_report_events(spark, sf_dir):
-    """STR5: the report as a stream with a watermark wide enough for all events"""
-    log = _stream_of(spark, fixtures.scrape_log(spark, sf_dir).repartition("target"), "scrape-log", per_batch=2)
-    out = stream_report(log, late="60 days")
+    """STR5: counters of batches that arrive in no order of time, summed on reading"""
+    shuffled = fixtures.scrape_log(spark, sf_dir).repartition(4, F.xxhash64("target", "scrape_ts"))
+    log = _stream_of(spark, shuffled, "scrape-log", per_batch=1)
     folder = fresh_folder(spark, "report")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(folder)
-
-    stream = out.writeStream.outputMode("complete").foreachBatch(write).trigger(availableNow=True)
-    stream.option("checkpointLocation", fresh_folder(spark, "report-state")).start().awaitTermination()
-    return spark.read.schema(out.schema).parquet(folder)
+    stream_report(log, folder, fresh_folder(spark, "report-state")).awaitTermination()
+    return read_report(spark, folder)
 
 
 @query

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from metricspark.functions.labels import with_static_labels
 from metricspark.operators.age import age_filter, bookmarks, last_scrapes
 from metricspark.operators.remote_write import time_series, write_requests
-from metricspark.plans.store import MetricStore
+from metricspark.plans.store import MANUAL, MetricStore
 from metricspark.session import durable, scratch
 from metricspark.sources.exposition import parse_exposition
 
@@ -33,16 +33,26 @@ def ingest_dumps(
     targets: DataFrame | None = None,
     sink: str = "table",
     timestamp_unit: str = "ms",
+    writer: str = MANUAL,
 ) -> BatchCounts:
     """Parse dumps, leave out old samples, add labels, and write to one of two sinks.
 
-    ``targets`` (``name, labels``) gives each target's labels. Parsing is the costly step and
-    ingest reads the samples more than once, so they are parsed into a table first. Running a
-    batch again replaces what it wrote.
+    ``targets`` (``name, labels``, and ``last_scrape`` if known) gives each target's labels;
+    until a target has a bookmark, its ``last_scrape``, set to the time it was created, is
+    the bookmark. Parsing is the costly step and ingest reads the samples more than once, so
+    they are parsed into a table first. A batch that ``writer`` has committed is skipped; one
+    that failed replaces what it wrote.
     """
     if sink not in SINKS:
         raise ValueError(f"unknown sink {sink!r}, not one of {SINKS}")
-    before = store.bookmarks().latest(batch_id)
+    done = store.committed(writer, batch_id)
+    if done:
+        return BatchCounts(done["parsed"], done["written"], done["parsed"] - done["written"])
+    seq = store.take_number()
+    before = store.bookmarks().latest(seq)
+    if targets is not None and "last_scrape" in targets.columns:
+        made = targets.where("last_scrape IS NOT NULL").select(F.col("name").alias("target"), "last_scrape")
+        before = before.unionByName(made.join(before.select("target"), "target", "left_anti"))
     with scratch(store.spark):
         columns = ("doc_id", "target", "scrape_ts", "line", "name", "labels", "value", "sample_kind", "time", "ts")
         staged = durable(parse_exposition(docs, timestamp_unit=timestamp_unit).select(*columns), "parsed")
@@ -55,12 +65,12 @@ def ingest_dumps(
             target_labels = F.col("target_labels")
         if sink == "table":
             labelled = samples.withColumn("labels", with_static_labels(F.col("labels"), static, target_labels))
-            written = store.write_batch(labelled, batch_id)
+            written = store.stage_batch(labelled, seq)
         else:
-            folder = f"{store.root}/write_requests/batch_id={batch_id}"
+            folder = f"{store.root}/write_requests/batch_id={seq}"
             write_requests(time_series(samples, static, target_labels)).write.mode("overwrite").parquet(folder)
-            requests = store.spark.read.parquet(folder)
-            written = requests.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-        store.bookmarks().write(last_scrapes(scrapes, before), batch_id)
+            written = store.spark.read.parquet(folder).count()
+        store.bookmarks().write(last_scrapes(scrapes, before), seq)
         parsed = staged.count()
+        store.commit(seq, writer, batch_id, parsed, written)
     return BatchCounts(parsed, written, parsed - written)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metricspark.session import hadoop_path
@@ -22,20 +23,31 @@ class Snapshots:
     folder of the batch before is kept for that; older ones are removed.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, schema: T.StructType):
+    def __init__(self, spark: SparkSession, folder: str, schema: T.StructType, failed: Callable[[], list[int]] = list):
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.schema = schema
+        self.failed = failed
+
+    def batches(self) -> list[int]:
+        """Batches whose table is complete and that did not fail, from the folder listing; few
+        are kept."""
+        path, files = hadoop_path(self.spark, self.folder)
+        if not files.exists(path):
+            return []
+        names = [p for p in (status.getPath() for status in files.listStatus(path)) if p.getName().startswith("batch_id=")]
+        whole = [p for p in names if files.exists(hadoop_path(self.spark, f"{p}/_SUCCESS")[0])]
+        return sorted({int(p.getName().split("=")[1]) for p in whole}.difference(self.failed()))
 
     def latest(self, before_batch: int | None = None) -> DataFrame:
-        batch = T.StructField("batch_id", T.LongType())
-        rows = read_or_empty(self.spark, self.folder, T.StructType([*self.schema.fields, batch]))
-        if before_batch is not None:
-            rows = rows.filter(F.col("batch_id") < before_batch)
-        last = rows.agg(F.max("batch_id").alias("b")).first()["b"]
-        return rows.filter(F.col("batch_id") == F.lit(last)).drop("batch_id")
+        """The table of the newest complete batch, which may have no rows."""
+        held = [b for b in self.batches() if before_batch is None or b < before_batch]
+        if not held:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.folder}/batch_id={held[-1]}")
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.folder}/batch_id={batch_id}")
-        old, files = hadoop_path(self.spark, f"{self.folder}/batch_id={batch_id - 2}")
-        files.delete(old, True)
+        for old in [b for b in self.batches() if b < batch_id][:-1]:
+            path, files = hadoop_path(self.spark, f"{self.folder}/batch_id={old}")
+            files.delete(path, True)

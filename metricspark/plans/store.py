@@ -1,7 +1,11 @@
 """The stored form: dimension folders and one chunked fact table, written with parquet.
 
-``<root>/<dimension>/generation=<g>/batch_id=<b>`` holds the dimensions. A batch adds its own
-folder and overwrites nothing else, so a replayed batch leaves the same rows. Retention
+A batch is known by its writer and the writer's batch id. Each attempt at it gets the store's
+next sequence number, under which its rows are written; they count once the number is
+committed. A batch that is committed is not written again, even if its chunks have been
+merged since.
+
+``<root>/<dimension>/generation=<g>/batch_id=<sequence>`` holds the dimensions. Retention
 writes the dimensions anew as the next generation; the highest generation listed in
 ``<root>/generations`` is the one in force.
 
@@ -13,7 +17,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +48,12 @@ DIMENSIONS = {
 }
 CHUNK_COLUMNS = ["metric_id", "chunk_start", "chunk_end", "batch_id"]
 _BATCH = T.StructField("batch_id", T.LongType())
+#: The writer of batches that are written by hand.
+MANUAL = "manual"
+COMMIT = T.StructType(
+    [T.StructField(c, t) for c, t in (("seq", T.LongType()), ("writer", T.StringType()), ("batch_id", T.LongType()),
+                                      ("parsed", T.LongType()), ("written", T.LongType()))]
+)
 
 
 class MetricStore:
@@ -65,15 +75,56 @@ class MetricStore:
             return 0
         return max((int(status.getPath().getName()) for status in files.listStatus(path)), default=0)
 
-    def catalog(self, before_batch: int | None = None) -> Catalog:
-        """The dimensions in force, or as they were before a batch."""
+    # -- commits ---------------------------------------------------------------------------
+
+    def commits(self) -> DataFrame:
+        """One row per committed batch: its number, writer, batch id, and rows parsed and written."""
+        path, files = hadoop_path(self.spark, f"{self.root}/commits")
+        if not files.exists(path):
+            return self.spark.createDataFrame([], COMMIT)
+        return self.spark.read.schema(COMMIT).parquet(f"{self.root}/commits/*")
+
+    def committed(self, writer: str, batch_id: int) -> Row | None:
+        return self.commits().where((F.col("writer") == writer) & (F.col("batch_id") == batch_id)).first()
+
+    def _numbers(self, folder: str, whole: bool) -> set[int]:
+        path, files = hadoop_path(self.spark, f"{self.root}/{folder}")
+        if not files.exists(path):
+            return set()
+        found = [status.getPath() for status in files.listStatus(path)]
+        if whole:
+            found = [p for p in found if files.exists(hadoop_path(self.spark, f"{p}/_SUCCESS")[0])]
+        return {int(p.getName()) for p in found}
+
+    def failed(self) -> list[int]:
+        """Numbers that were taken and never committed; their rows do not count."""
+        return sorted(self._numbers("attempts", False) - self._numbers("commits", True))
+
+    def take_number(self) -> int:
+        """The next sequence number. A number is never given again, so that what a failed
+        attempt left can never pass for rows of another batch."""
+        seq = max(self._numbers("attempts", False), default=-1) + 1
+        path, files = hadoop_path(self.spark, f"{self.root}/attempts/{seq}")
+        files.mkdirs(path)
+        return seq
+
+    def commit(self, seq: int, writer: str, batch_id: int, parsed: int, written: int) -> None:
+        row = self.spark.createDataFrame([(seq, writer, batch_id, parsed, written)], COMMIT)
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/{seq}")
+
+    def _valid(self, rows: DataFrame) -> DataFrame:
+        failed = self.failed()
+        return (rows.filter(~F.col("batch_id").isin(failed)) if failed else rows).drop("batch_id")
+
+    # -- dimensions in force ---------------------------------------------------------------
+
+    def catalog(self) -> Catalog:
+        """The dimensions in force, of committed batches."""
         generation = self.generation()
         frames = {}
         for name, schema in DIMENSIONS.items():
             rows = self._read(f"{name}/generation={generation}", T.StructType([*schema.fields, _BATCH]))
-            if before_batch is not None:
-                rows = rows.filter(F.col("batch_id") < before_batch)
-            frames[name] = rows.drop("batch_id")
+            frames[name] = self._valid(rows)
         path, files = hadoop_path(self.spark, f"{self.root}/settings/generation={generation}")
         if not files.exists(path):
             frames["settings"] = default_settings(self.spark)
@@ -98,7 +149,7 @@ class MetricStore:
     # -- facts -----------------------------------------------------------------------------
 
     def facts(self) -> DataFrame:
-        return self._read("samples", T.StructType([*FACT.fields, _BATCH])).drop("batch_id")
+        return self._valid(self._read("samples", T.StructType([*FACT.fields, _BATCH])))
 
     def append_samples(self, facts: DataFrame, batch_id: int) -> int:
         """Write a batch of facts and return how many.
@@ -121,20 +172,30 @@ class MetricStore:
         )
         return seen.get["n"]
 
-    def write_batch(self, samples: DataFrame, batch_id: int) -> int:
-        """Ingest samples as one batch: dimensions first, then facts. Returns how many."""
+    def write_batch(self, samples: DataFrame, batch_id: int, writer: str = MANUAL) -> int:
+        """Ingest samples as one batch and commit it. Returns how many; a batch that is
+        committed already is left as it is."""
+        done = self.committed(writer, batch_id)
+        if done:
+            return done["written"]
+        seq = self.take_number()
+        written = self.stage_batch(samples, seq)
+        self.commit(seq, writer, batch_id, written, written)
+        return written
+
+    def stage_batch(self, samples: DataFrame, seq: int) -> int:
+        """Write a batch under a number, dimensions first, without the commit."""
         generation = self.generation()
 
         def persist(rows: DataFrame, name: str) -> DataFrame:
-            return self._write_dimension(name, rows, generation, batch_id)
+            return self._write_dimension(name, rows, generation, seq)
 
         with scratch(self.spark):
-            batch = ingest(samples, self.catalog(before_batch=batch_id), persist=persist)
-            return self.append_samples(batch.facts, batch_id)
+            return self.append_samples(ingest(samples, self.catalog(), persist=persist).facts, seq)
 
     def bookmarks(self) -> Snapshots:
         """When each target was last scraped."""
-        return Snapshots(self.spark, f"{self.root}/bookmarks", BOOKMARK)
+        return Snapshots(self.spark, f"{self.root}/bookmarks", BOOKMARK, self.failed)
 
     # -- chunks ----------------------------------------------------------------------------
 

@@ -95,16 +95,6 @@ def durable(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread the rows of a source with fewer files than cores, before costly expressions.
-
-    A source of many files is already spread and is returned as it is, without a shuffle.
-    Rows go by the hash of all their columns, which saves the sort a round robin does.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *df.columns) if len(df.inputFiles()) < cores else df
-
-
 def together(spark: SparkSession, *steps: Callable[[], object]) -> list:
     """Run independent steps as concurrent jobs of one session."""
     with ThreadPoolExecutor(len(steps)) as pool:

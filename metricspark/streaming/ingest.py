@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -18,7 +18,7 @@ def stream_ingest(
     store: MetricStore,
     checkpoint: str,
     static: Sequence[tuple[str, str]] | Mapping[str, str] = (),
-    targets: DataFrame | None = None,
+    targets: DataFrame | Callable[[], DataFrame] | None = None,
     sink: str = "table",
     timestamp_unit: str = "ms",
     interval: str | None = SCRAPE_INTERVAL,
@@ -26,12 +26,15 @@ def stream_ingest(
     """Write a stream of dumps (see ``read_exposition``) into a store, batch by batch.
 
     Every step of a batch overwrites what an earlier attempt at it wrote, so a batch run
-    again after a failure changes nothing. Without an interval the query takes what there is
-    and stops.
+    again after a failure changes nothing. The checkpoint is the stream's name as a writer,
+    so batches by hand and other streams do not meet its batch ids. ``targets`` may be a
+    function, such as ``target_set(spark, folder).latest``, which each batch calls for the
+    targets of the moment. Without an interval the query takes what there is and stops.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        ingest_dumps(store, batch, batch_id, static, targets, sink, timestamp_unit)
+        now = targets() if callable(targets) else targets
+        ingest_dumps(store, batch, batch_id, static, now, sink, timestamp_unit, writer=checkpoint)
 
     writer = docs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()

@@ -1,15 +1,33 @@
-"""The ingest report as a stream."""
+"""The ingest report as a stream: counters of each batch, added up when they are read."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from metricspark.operators.report import INTERVAL_S, counters
+from metricspark.operators.report import INTERVAL_S, ingest_report
 
 
-def stream_report(scrapes: DataFrame, interval_s: int = INTERVAL_S, late: str = "10 minutes") -> DataFrame:
-    """One row per interval; scrapes later than the watermark are left out."""
-    timed = scrapes.withColumn("scrape_time", F.timestamp_seconds("scrape_ts")).withWatermark("scrape_time", late)
-    rows = timed.groupBy(F.window("scrape_time", f"{interval_s} seconds")).agg(*counters())
-    return rows.select(F.unix_seconds("window.start").alias("interval_start"), *[c for c in rows.columns if c != "window"])
+def stream_report(
+    scrapes: DataFrame, folder: str, checkpoint: str, interval_s: int = INTERVAL_S, interval: str | None = None
+) -> StreamingQuery:
+    """Write the counters of each batch, a row per interval it touches, to ``folder``.
+
+    There is no watermark and no state: scrapes count however late they come. A batch run
+    again overwrites its own rows.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        ingest_report(batch, interval_s).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+
+    writer = scrapes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
+
+
+def read_report(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per interval, over all batches so far."""
+    rows = spark.read.parquet(folder).drop("batch_id")
+    peak = "response_bytes_peak"
+    counters = [c for c in rows.columns if c not in ("interval_start", peak)]
+    return rows.groupBy("interval_start").agg(*(F.sum(c).alias(c) for c in counters), F.max(peak).alias(peak))

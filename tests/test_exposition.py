@@ -1,4 +1,4 @@
-"""The parser against a golden dump, edge cases and a plain Python reading of the format."""
+"""The parser against known documents, edge cases and samples that are written down and read back."""
 
 import random
 
@@ -8,50 +8,34 @@ from metricspark.functions.text import escape_label_value
 from metricspark.schema import EXPOSITION_DOC
 from metricspark.sources import exposition
 
-GOLDEN = r"""
-# HELP jobs_done_total How many jobs were done.
-# TYPE jobs_done_total counter
-jobs_done_total{kind="mail",state="ok"} 10 1700000000000
-jobs_done_total{kind="mail",state="bad"}    4 1700000000000
-jobs_done_total{kind="a,b",query="x==y"}  2 1700000000000
-
-# A comment.
-# TYPE file_age gauge
-file_age{path="C:\\X\\n.txt",error="no:\n\"F\""} 1.5e9
-
-# TYPE bare gauge
-bare 12.5
-
-# HELP odd A text that goes on \
-#   and on \
-#   over lines
-odd{p="division by zero"} +Inf -3982045
-odd{p="no closing quote} 1
-
-# TYPE lat histogram
-lat_bucket{le="0.05"} 24
-lat_bucket{le="0.1"} 33
-lat_bucket{le="0.2"} 39
-lat_bucket{le="0.5"} 40
-lat_bucket{le="1"} 41
-lat_bucket{le="+Inf"} 44
-lat_sum 53.5
-lat_count 44
-
-# TYPE rpc summary
-rpc{quantile="0.01"} 3102
-rpc{quantile="0.05"} 3272
-rpc{quantile="0.5"} 4773
-rpc{quantile="0.9"} 9001
-rpc{quantile="0.99"} 76656
-rpc_sum 1.7560473
-
-# TYPE spaced counter
-spaced{label="}"}     1     1700000000000
-spaced     1     1700000000000
-
-# TYPE braced counter
-braced{label="}"} 1
+# Own documents, one for each group of cases.
+LABELLED = r"""# TYPE mails counter
+mails{to="a=b,c",via="smtp"}      7 1650000000123
+mails{to="x}y"} 8
+mails{to="ends in brace}"}    9     1650000000456
+mails    11     1650000000789
+"""
+ESCAPED = r"""# HELP temp In degrees, \
+with a second line, \
+and a third
+# TYPE temp gauge
+temp -3.25e-2
+temp{unit="\"C\"",note="one\ntwo",dir="D:\\t"} 6.5E3
+"""
+UNTYPED = r"""# HELP lost Nothing declares it \
+temp 4
+lost{why="no type"} -Inf -77
+lost{why="open} 2
+"""
+FAMILIES = r"""# TYPE size histogram
+size_bucket{le="10"} 1
+size_bucket{le="+Inf"} 5
+size_count 5
+size_sum 71.5
+# TYPE wait summary
+wait{quantile="0.75"} 0.125
+wait_sum 9.5
+wait_count 6
 """
 
 
@@ -63,17 +47,34 @@ def parse(spark, *bodies, **kw):
     return [(r["name"], [(p["key"], p["value"]) for p in r["labels"]], r["value"], r["own_ts"]) for r in rows]
 
 
-def test_golden_dump(spark):
-    got = parse(spark, GOLDEN)
-    assert len(got) == 3 + 1 + 1 + 8 + 6 + 2 + 1
-    assert got[0] == ("jobs_done_total", [("kind", "mail"), ("state", "ok")], 10.0, 1700000000000)
-    assert got[1][2] == 4.0
-    assert got[2][1] == [("kind", "a,b"), ("query", "x==y")]
-    assert got[3] == ("file_age", [("path", "C:\\X\\n.txt"), ("error", 'no:\n"F"')], 1.5e9, None)
-    assert got[4] == ("bare", [], 12.5, None)
-    assert got[-3] == ("spaced", [("label", "}")], 1.0, 1700000000000)
-    assert got[-2] == ("spaced", [], 1.0, 1700000000000)
-    assert got[-1] == ("braced", [("label", "}")], 1.0, None)
+def test_labels_with_signs_spaces_and_times(spark):
+    assert parse(spark, LABELLED) == [
+        ("mails", [("to", "a=b,c"), ("via", "smtp")], 7.0, 1650000000123),
+        ("mails", [("to", "x}y")], 8.0, None),
+        ("mails", [("to", "ends in brace}")], 9.0, 1650000000456),
+        ("mails", [], 11.0, 1650000000789),
+    ]
+
+
+def test_escapes_and_continued_help(spark):
+    labels = [("unit", '"C"'), ("note", "one\ntwo"), ("dir", "D:\\t")]
+    assert parse(spark, ESCAPED) == [("temp", [], -0.0325, None), ("temp", labels, 6500.0, None)]
+
+
+def test_undeclared_names_give_nothing_and_an_open_quote_ends_with_the_labels(spark):
+    assert parse(spark, UNTYPED) == []
+    assert parse(spark, "# TYPE lost gauge\n" + UNTYPED) == [
+        ("lost", [("why", "no type")], float("-inf"), -77), ("lost", [("why", "open")], 2.0, None),
+    ]
+
+
+def test_family_members_have_their_types(spark):
+    assert [(n, labels, v) for n, labels, v, _ in parse(spark, FAMILIES)] == [
+        ("size_bucket", [("le", "10")], 1.0), ("size_bucket", [("le", "+Inf")], 5.0), ("size_count", [], 5.0), ("size_sum", [], 71.5),
+        ("wait", [("quantile", "0.75")], 0.125), ("wait_sum", [], 9.5), ("wait_count", [], 6.0),
+    ]
+    # A bucket and a count are whole numbers, a sum is not.
+    assert parse(spark, "# TYPE size histogram\nsize_bucket 1.5\nsize_count 2.5\nsize_sum 3.5\nsize 4\n") == [("size_sum", [], 3.5, None)]
 
 
 def test_types_depend_on_order(spark):
@@ -144,108 +145,57 @@ def test_failed_scrapes_have_no_lines(spark):
     assert exposition.parse_exposition(docs).count() == 0
 
 
-def read_plainly(body):
-    """The format read line by line, as the specification of the parser."""
-    types, out, in_help = {}, [], False
-    kinds = {
-        "counter": {"": True}, "gauge": {"": False}, "summary": {"": False, "_count": True, "_sum": False},
-        "histogram": {"_bucket": True, "_count": True, "_sum": False},
-    }
-    for raw in body.split("\n"):
-        line = raw[:-1] if raw.endswith("\r") else raw
-        if in_help or line.startswith("# HELP "):
-            in_help = line.endswith("\\")
-            continue
-        if line.startswith("# TYPE "):
-            words = [w for w in line.split(" ") if w.strip()]
-            if len(words) >= 4:
-                for suffix, integer in kinds.get(words[3], {}).items():
-                    types[words[2] + suffix] = integer
-            continue
-        if line.startswith("#") or not line.strip():
-            continue
-        sample = read_line(line, types)
-        if sample:
-            out.append(sample)
-    return out
-
-
-def read_line(line, types):
-    if "}" in line:
-        metric, _, rest = line.rpartition("}")
-        value, _, ts = rest.strip().partition(" ")
-        ts = ts or None
-    else:
-        words = [w for w in line.split(" ") if w] + ["", ""]
-        metric, value, ts = words[0], words[1], words[2] or None
-    name, brace, text = metric.strip().partition("{")
-    labels = read_labels(text) if brace else []
-    if labels is None or name not in types:
-        return None
-    try:
-        number = float(int(value)) if types[name] else float(value)
-        return name, labels, number, int(ts) if ts else None
-    except ValueError:
-        return None
-
-
-def read_labels(text):
-    labels = []
-    while True:
-        key, eq, text = text.partition("=")
-        if not key or not text:
-            return labels if not text else None
-        value, i = "", 1
-        while i < len(text):
-            c = text[i]
-            i += 1
-            if c == '"':
-                break
-            if c == "\\":
-                if i < len(text):
-                    value += "\n" if text[i] == "n" else text[i]
-                i += 1
-            else:
-                value += c
-        labels.append((key, value))
-        text = text[i:]
-        if not text.startswith(","):
-            return labels if not text else None
-        text = text[1:]
-
-
-def random_dump(rng):
-    names = ["m", "m_sum", "m_count", "m_bucket", "n", "o{"]
-    bits = ['a="1"', ',b="x\\"y"', "{", "}", '"', "\\", "\\n", ",", "=", " ", "k=", 'z="', "é"]
-    lines = [f"# TYPE {n} gauge" for n in names if rng.random() < 0.6]
-    for _ in range(rng.randint(1, 14)):
-        pick = rng.random()
-        if pick < 0.3:
-            lines.append(f"# TYPE {rng.choice(names)} {rng.choice(['counter', 'gauge', 'summary', 'histogram', 'other'])}")
-        elif pick < 0.4:
-            lines.append(rng.choice(["# HELP m x\\", "# HELP m x", "#", "", "  ", "cont\\"]))
-        else:
-            labels = "".join(rng.choice(bits) for _ in range(rng.randint(0, 5)))
-            labels = rng.choice(["", "{" + labels + "}", "{" + labels, '{a="1",b="2"}'])
-            tail = rng.choice([" 1", " 2.5", " 3 4", "  5  6", " 7 8 9", "", " x", "6"])
-            lines.append(rng.choice(names) + labels + tail)
-    return rng.choice(["\n", "\r\n"]).join(lines)
-
-
-def test_random_dumps_match_the_plain_reading(spark):
-    rng = random.Random(7)
-    bodies = [random_dump(rng) for _ in range(3000)]
-    docs = spark.createDataFrame([(str(i), "t", 1, "ok", b) for i, b in enumerate(bodies)], EXPOSITION_DOC)
+#: Members a declaration brings: suffix, and whether values are whole.
+MEMBERS = {
+    "gauge": [("", False)],
+    "counter": [("", True)],
+    "summary": [("", False), ("_sum", False), ("_count", True)],
+    "histogram": [("_bucket", True), ("_sum", False), ("_count", True)],
+}
+SIGNS = ["a", "7", " ", ",", "=", "{", "}", "#", "\\", '"', "\n", "é", "\t", "漢"]
+
+
+def drawn_samples(rng):
+    """A dump as (declarations, samples of known content) before it is written down."""
+    families = [(f"f{i}", rng.choice(list(MEMBERS))) for i in range(rng.randint(1, 4))]
+    samples = []
+    for _ in range(rng.randint(0, 12)):
+        family, kind = rng.choice(families)
+        suffix, whole = rng.choice(MEMBERS[kind])
+        labels = [(f"k{i}", "".join(rng.choices(SIGNS, k=rng.randint(0, 8)))) for i in range(rng.randint(0, 3))]
+        value = float(rng.randint(-50, 50)) if whole else rng.choice([rng.uniform(-5, 5), 1e300, float("inf")])
+        samples.append((family + suffix, labels, whole, value, rng.choice([None, rng.randint(-(10**12), 10**12)])))
+    return families, samples
+
+
+def written(rng, families, samples):
+    """The dump as text, with lines between that must not change what is read."""
+    gap = lambda: " " * rng.randint(1, 3)
+    noise = [
+        "", "   ", "#", "# a remark", "# EOF", "undeclared 5", 'f0{k="1"x="2"} 1', "f0 one", "f0",
+        "# HELP f0 says", "# HELP f0 goes on \\\nf0 99\\\n# TYPE f0 counter", "# TYPE other strange",
+    ]
+    lines = [f"# TYPE {name} {kind}" for name, kind in families]
+    for name, labels, whole, value, ts in samples:
+        escaped = ((k, v.replace("\\", "\\\\").replace('"', '\\"').replace("\n", "\\n")) for k, v in labels)
+        text = "{" + ",".join(f'{k}="{v}"' for k, v in escaped) + "}" if labels or rng.random() < 0.2 else ""
+        number = str(int(value)) if whole else repr(value)
+        lines += rng.sample(noise, rng.randint(0, 2))
+        lines.append(f"{name}{text}{gap()}{number}" + ("" if ts is None else f"{gap() if text else ' '}{ts}"))
+    end = rng.choice(["\n", "\r\n"])
+    return end.join(line.replace("\n", end) for line in lines) + rng.choice(["", end])
+
+
+def test_written_samples_are_read_back(spark):
+    rng = random.Random(11)
+    drawn = [drawn_samples(rng) for _ in range(2000)]
+    docs = spark.createDataFrame([(str(i), "t", 1, "ok", written(rng, *d)) for i, d in enumerate(drawn)], EXPOSITION_DOC)
     got = {}
     for r in exposition.parse_exposition(docs).orderBy("doc_id", "line").collect():
         sample = (r["name"], [(p["key"], p["value"]) for p in r["labels"]], r["value"], r["own_ts"])
         got.setdefault(int(r["doc_id"]), []).append(sample)
-    kept = 0
-    for i, body in enumerate(bodies):
-        want = read_plainly(body)
-        kept += len(want)
-        assert got.get(i, []) == want, body
-    assert kept > 2000
+    for i, (_, samples) in enumerate(drawn):
+        assert got.get(i, []) == [(name, labels, value, ts) for name, labels, _, value, ts in samples]
 
 
 def test_escaped_values_round_trip(spark):
@@ -270,6 +220,6 @@ def test_types_and_families(spark):
 
 
 def test_parse_has_no_shuffle(spark):
-    docs = spark.createDataFrame([("0", "t", 1, "ok", GOLDEN)], EXPOSITION_DOC)
+    docs = spark.createDataFrame([("0", "t", 1, "ok", LABELLED + ESCAPED + FAMILIES)], EXPOSITION_DOC)
     plan = exposition.parse_exposition(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan and "Python" not in plan

@@ -105,8 +105,7 @@ def test_selectors_on_absent_keys_and_metrics(spark):
     assert selectors.select_across_metrics(c, selectors.not_equal("z", "1")).count() == 2
     assert selectors.select_across_metrics(c, selectors.equal("z", "1")).count() == 1
     assert selectors.select_containing(c, "m", {}).count() == 2
-    assert selectors.resolve_ids(selectors.matches("a|b", "x"), c.label) == []
-    assert selectors.resolve_ids(selectors.matches("a", ""), c.label, limit=0) is None
+    assert selectors.matches("a|b", "x").ids(c.label).count() == 0
 
 
 def test_views_with_reserved_names_and_orphans(spark):
@@ -270,13 +269,13 @@ def test_target_log_and_snapshots(spark):
     assert now == {"a": 100, "b": 7777, "z": 7777}
 
 
-def test_big_requests_are_cut_by_line(spark):
+def test_a_dump_of_any_size_is_one_request(spark):
     rows = spark.range(25_000).select(
         F.lit("d").alias("doc_id"), F.col("id").cast("int").alias("line"), F.lit("m").alias("name"),
         F.array().cast("array<struct<key:string,value:string>>").alias("labels"), F.col("id").cast("double").alias("value"),
         F.timestamp_seconds(F.col("id")).alias("time"),
     )
-    parts = remote_write.write_requests(remote_write.time_series(rows)).orderBy("part").collect()
-    assert [(r["part"], r["n"]) for r in parts] == [(0, 10_000), (1, 10_000), (2, 5_000)]
-    assert parts[2]["timeseries"][0]["samples"][0]["value"] == 20_000.0
-    assert parts[0]["timeseries"][1]["samples"][0]["timestamp"] == 1000
+    got = remote_write.write_requests(remote_write.time_series(rows)).orderBy("line").collect()
+    assert [r["line"] for r in got] == list(range(25_000)) and {r["doc_id"] for r in got} == {"d"}
+    assert got[20_000]["timeseries"]["samples"][0]["value"] == 20_000.0
+    assert got[1]["timeseries"]["samples"][0]["timestamp"] == 1000

@@ -11,7 +11,7 @@ from metricspark.session import fresh_folder
 from metricspark.sources.exposition import read_exposition
 from metricspark.streaming.bookmarks import stream_bookmarks
 from metricspark.streaming.ingest import stream_ingest
-from metricspark.streaming.report import stream_report
+from metricspark.streaming.report import read_report, stream_report
 from metricspark.streaming.targets import stream_targets, target_set
 from tests.test_operators import decoded, pod, samples
 
@@ -40,6 +40,54 @@ def test_batches_are_kept_and_replays_change_nothing(spark, store):
     assert chunks == {(0, 8 * HOUR), (8 * HOUR, 16 * HOUR)}
 
 
+def test_writers_do_not_share_batch_ids(spark, store):
+    store.write_batch(samples(spark, [("m", {"a": "1"}, 1.0, 0)]), 0)
+    store.write_batch(samples(spark, [("b", {"c": "2"}, 2.0, 0)]), 0, writer="other")
+    assert contents(store) == [(1.0, (("__name__", "m"), ("a", "1"))), (2.0, (("__name__", "b"), ("c", "2")))]
+    assert sorted((r["writer"], r["batch_id"], r["written"]) for r in store.commits().collect()) == [("manual", 0, 1), ("other", 0, 1)]
+
+
+def test_replay_after_a_merge_adds_nothing(spark, store):
+    one = samples(spark, [("m", {}, 1.0, 0), ("m", {}, 2.0, 1)])
+    store.write_batch(one, 0)
+    store.rewrite_chunks(store.facts().where("value = 1").withColumn("value", F.lit(9.0)))
+    assert store.write_batch(one, 0) == 2
+    assert sorted(r["value"] for r in store.facts().collect()) == [1.0, 2.0, 9.0]
+
+
+def test_rows_of_a_failed_attempt_never_count(spark, store):
+    store.stage_batch(samples(spark, [("lost", {}, 5.0, 20 * HOUR)]), store.take_number())
+    assert store.facts().count() == 0 and store.catalog().metric.count() == 0
+    store.write_batch(samples(spark, [("m", {}, 1.0, 0)]), 0)
+    assert contents(store) == [(1.0, (("__name__", "m"),))] and store.failed() == [0]
+
+
+def test_a_new_target_starts_when_it_was_made(spark, store):
+    docs = spark.createDataFrame([("1", "a", 1000, "ok", "# TYPE m gauge\nm 1 800000\nm 2 970000\n")], EXPOSITION_DOC)
+    kinds = "name string, labels array<struct<key:string,value:string>>, last_scrape long"
+    ingest_dumps(store, docs, 0, targets=spark.createDataFrame([("a", [], 950)], kinds))
+    assert [r["value"] for r in store.facts().collect()] == [2.0]
+
+
+def test_an_empty_snapshot_is_the_newest(spark, tmp_path):
+    state = target_set(spark, str(tmp_path / "set"))
+    full = spark.createDataFrame([("a", "http://a", [], 1)], state.schema)
+    state.write(full, 0)
+    state.write(full.limit(0), 1)
+    assert state.latest().count() == 0 and state.latest(before_batch=1).count() == 1
+
+
+def test_streams_ask_for_the_targets_of_the_moment(spark, store, tmp_path):
+    folder, state = str(tmp_path / "in"), str(tmp_path / "state")
+    kinds = "name string, labels array<struct<key:string,value:string>>"
+    for number, part in enumerate((DUMPS[2:3], DUMPS[3:])):
+        write_dumps(folder, part)
+        now = spark.createDataFrame([("b", [("round", str(number))])], kinds)
+        docs = read_exposition(spark, folder, streaming=True)
+        stream_ingest(docs, store, state, targets=lambda: now, interval=None).awaitTermination()
+    assert [(v, dict(labels)["round"]) for v, labels in contents(store)] == [(6.0, "0"), (7.0, "1")]
+
+
 def test_reads_are_pruned_by_metric_and_chunk(spark, store):
     rows = [("m", {"a": "1"}, float(h), h * HOUR) for h in range(0, 100, 2)] + [("n", {}, 0.5, 0)]
     store.write_batch(samples(spark, rows), 0)
@@ -131,9 +179,8 @@ def test_write_request_sink(spark, store, tmp_path):
     counts = ingest_dumps(store, docs, 0, [("env", "prod")], sink="write_request")
     assert counts.written == 5
     requests = spark.read.parquet(f"{store.root}/write_requests")
-    assert requests.agg(F.sum("n")).first()[0] == 5 and requests.count() == 4
-    first = requests.filter(F.array_contains(F.transform("timeseries", lambda t: t["samples"][0]["value"]), 1.5)).first()
-    series = first["timeseries"][0]
+    assert requests.count() == 5 and requests.select("doc_id").distinct().count() == 4
+    series = requests.filter(F.col("timeseries.samples")[0]["value"] == 1.5).first()["timeseries"]
     assert [(p["name"], p["value"]) for p in series["labels"]] == [("__name__", "m"), ("env", "prod"), ("x", "1")]
     assert series["samples"][0]["timestamp"] == 999000
     with pytest.raises(ValueError):
@@ -181,10 +228,6 @@ def test_streamed_report(spark, tmp_path):
     )
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
     rows.write.parquet(folder)
-    report = stream_report(spark.readStream.schema(rows.schema).parquet(folder))
-    (
-        report.writeStream.outputMode("complete").foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(out))
-        .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
-    )
-    got = {r["interval_start"]: (r["scrapes"], r["scrape_errors"], r["scrape_timeouts"], r["scrape_refused"], r["writes"]) for r in spark.read.parquet(out).collect()}
+    stream_report(spark.readStream.schema(rows.schema).parquet(folder), out, str(tmp_path / "state")).awaitTermination()
+    got = {r["interval_start"]: (r["scrapes"], r["scrape_errors"], r["scrape_timeouts"], r["scrape_refused"], r["writes"]) for r in read_report(spark, out).collect()}
     assert got == {0: (1, 1, 0, 0, 3), 300: (0, 0, 1, 1, 0)}
