@@ -7,10 +7,9 @@ import re
 import struct
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,7 +44,7 @@ SHARES = (1.0, 0.9, 0.75, 0.5, 0.25)
 #: Texts that are looked up together.
 GROUP = 64
 #: Parts whose ids a worker keeps before it starts anew.
-CACHE_PARTS = 500_000
+CACHE_PARTS = 250_000
 _cache: dict[str, bytes] = {}
 _tokenizers: dict[str, object] = {}
 
@@ -64,7 +63,7 @@ def _pack_ids(ids: list[int]) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
 
-def token_bytes(texts: list[str], path: str) -> Iterator[bytes]:
+def token_bytes(texts: Sequence, path: str) -> Iterator[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers, the end id included.
 
     Most of a text's parts were met before, so only new parts go through the tokenizer.
@@ -73,6 +72,7 @@ def token_bytes(texts: list[str], path: str) -> Iterator[bytes]:
     tokenizer, end = _tokenizer(path), _pack_ids([END_ID])
     for at in range(0, len(texts), GROUP):
         group = texts[at : at + GROUP]
+        group = [t or "" for t in (group.to_pylist() if isinstance(group, pa.Array) else group)]
         cuts = [None if _UNSAFE.search(t) else t.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00") for t in group]
         if len(_cache) > CACHE_PARTS:
             _cache.clear()
@@ -129,8 +129,7 @@ def tokenized_pieces(docs: DataFrame, path: str, capacity: int, keep_ids: bool)
         for batch in batches:
             chunk = batch.column(2)[0].as_py() if batch.num_rows else 0
             rows: list[tuple] = []
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for doc_id, ids in zip(batch.column(0).to_pylist(), token_bytes(texts, path)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), token_bytes(batch.column(1), path)):
                 for piece, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     own = ids[4 * start : 4 * (start + length)]
                     rows.append((doc_id, piece, start, length, zlib.crc32(own), own if keep_ids else None, chunk, int(seen[length])))
@@ -271,8 +270,9 @@ def _rounded(
     return groups + best_fit(left, capacity)
 
 
-def segments(groups: list[tuple[tuple[int, ...], int]]) -> pd.DataFrame:
-    """Which ranks of a length go to which sequences: one row per place in a pattern."""
+def segments(groups: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
+    """Which ranks of a length go to which sequences: a row (length, first rank, first
+    sequence, offset) per place in a pattern, sorted."""
     used: dict[int, int] = {}
     rows, base = [], 0
     for pattern, n in groups:
@@ -283,7 +283,7 @@ def segments(groups: list[tuple[tuple[int, ...], int]]) -> pd.DataFrame:
             used[length] = first + n
             offset += length
         base += n
-    return pd.DataFrame(rows, columns=["length", "first", "base", "offset"]).sort_values(["length", "first"])
+    return np.array(sorted(rows), dtype=np.int64).reshape(-1, 4)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
@@ -305,9 +305,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, ke
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for row in histogram:
         counts[row["length"]] = row["n"]
-    table = segments(plan(counts, capacity))
-    firsts, bases, offsets = (table[c].to_numpy(np.int64) for c in ("first", "base", "offset"))
-    key = (table["length"].to_numpy(np.int64) << RANK_BITS) + firsts
+    lengths, firsts, bases, offsets = segments(plan(counts, capacity)).T
+    key = (lengths << RANK_BITS) + firsts
 
     before = Window.partitionBy("length").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_chunk.select("_chunk", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
