@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metricspark.llm.components import connected_components
-from metricspark.llm.text import space_words
+from metricspark.llm.text import slices, space_words
 from metricspark.session import durable
 
 
@@ -219,7 +219,7 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, sketch: Sketch) -> D
 
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         guess = Estimator(sketch)
-        for batch in batches:
+        for batch in slices(batches, 4096):
             a, b, n, ra, m, rb = (batch.column(i).to_pylist() for i in range(6))
             keep = [
                 guess.may_link(np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16), k, l)
@@ -247,7 +247,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
                 recent.popitem(last=False)
             return held
 
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for a, b, x, y in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 one, two = of(a, x), of(b, y)
@@ -321,7 +321,7 @@ def _texts(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
     found = texts.join(slim, F.col("doc_id") == F.col("_id")).select("node", "n_shingles", "registers", "digest", "text")
 
     def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keep = [
                 word_digest(space_words(text)) == digest
                 for digest, text in zip(batch.column("digest").to_pylist(), batch.column("text").to_pylist())
@@ -374,7 +374,7 @@ def _between_groups(members: DataFrame, texts: DataFrame, size: int) -> DataFram
     held = texts.select(F.col("node").alias("_node"), "text").join(nodes, F.col("node") == F.col("_node"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             hashes = [
                 np.unique(np.fromiter((xxhash.xxh3_64_intdigest(b"\n".join(s)) for s in shingles(space_words(t.as_py()), size)), np.uint64))
                 for t in batch.column(3)

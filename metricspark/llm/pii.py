@@ -317,7 +317,7 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text", back: bool = Fal
         names = Pseudonyms(key.encode())
         for batch in batches:
             rows = []
-            for value in batch.to_pylist():
+            for value in (v.as_py() for v in batch):
                 found = spans(value, names, back) if value else []
                 new = rewrite(value, found) if found else value
                 rows.append({"text": new, "spans": [dict(zip(("start", "end", "kind", "value"), s)) for s in found]})

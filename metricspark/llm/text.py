@@ -6,11 +6,10 @@ import string
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricspark.session import hadoop_path
-
 #: Everything in ASCII that is neither a digit nor a small letter ends a word.
 ALNUM_BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -69,6 +68,6 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def remove(spark: SparkSession, folder: str) -> None:
-    path, files = hadoop_path(spark, folder)
-    files.delete(path, True)
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows, so that few are Python objects at once."""
+    return (batch.slice(at, rows) for batch in batches for at in range(0, batch.num_rows, rows))

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from metricspark.llm.text import slices
+
 #: Words that name groups of people, without an inflection of their own. Fixed values.
 IDENTITY_TERMS = tuple(
     """
@@ -27,8 +29,6 @@ IDENTITY_TERMS = tuple(
 )
 #: Bytes of a word's beginning that count as a feature of their own.
 PREFIXES = (4, 5, 6)
-#: Rows whose features are counted together.
-SLICE = 512
 #: ASCII characters that are no letters part words.
 _BREAK = bytes(b if chr(b).isalpha() or b > 127 else 32 for b in range(256))
 
@@ -121,7 +121,7 @@ def _strongest(sample: DataFrame, pos: int, neg: int, fit: Fit) -> list[bytes]:
     """Features by their likelihood ratio (G) with the label, strongest first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE)):
+        for batch in slices(batches):
             seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
             for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
                 seen[1 if toxic else 0].update(features_of(text.as_py()))
