@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -84,16 +85,23 @@ def event_store(spark: SparkSession, sf_dir: str) -> MetricStore:
 
 
 def plain_events(spark: SparkSession, sf_dir: str) -> Ingested:
-    """Events on default settings, with metric ids in name order; facts are not stored."""
-    return _once(
-        "plain", spark, sf_dir, lambda: ingest(fixtures.event_samples(spark, sf_dir), Catalog.empty(spark), ["event_id"])
-    )
+    """Events on default settings, with metric ids in name order."""
+    return _once("plain", spark, sf_dir, lambda: _kept(ingest(fixtures.event_samples(spark, sf_dir), Catalog.empty(spark), ["event_id"])))
+
+
+def _kept(made: Ingested) -> Ingested:
+    """The same with facts written, so that reads do not ingest again."""
+    return replace(made, facts=durable(made.facts, "facts"))
+
+
+def stored_events(spark: SparkSession, sf_dir: str) -> Ingested:
+    """Events as a store holds them: what reads should use."""
+    store = event_store(spark, sf_dir)
+    return Ingested(store.catalog(), {}, store.facts())
 
 
 def coarse_events(spark: SparkSession, sf_dir: str) -> Ingested:
-    return _once(
-        "coarse", spark, sf_dir, lambda: ingest(fixtures.coarse_samples(spark, sf_dir), Catalog.empty(spark), ["event_id"])
-    )
+    return _once("coarse", spark, sf_dir, lambda: _kept(ingest(fixtures.coarse_samples(spark, sf_dir), Catalog.empty(spark), ["event_id"])))
 
 
 def write_lineitem_store(spark: SparkSession, sf_dir: str) -> MetricStore:
@@ -316,10 +324,12 @@ def store_replay_after_rewrite(spark, sf_dir):
 # -- selectors -----------------------------------------------------------------------------
 
 
-def _selected(p: Ingested, series: DataFrame) -> DataFrame:
-    """Chosen series by their labels, with count and sum of their facts."""
+def _selected(p: Ingested, series: DataFrame, metric: str | None = None) -> DataFrame:
+    """Chosen series by their labels, with count and sum of their facts; of one ``metric``,
+    only its partitions are read."""
     named = encode.decode_series(series, p.catalog.label).select("series_id", labels_text(F.col("labels")).alias("labels"))
-    sums = selectors.facts_of(p.facts, series).groupBy("series_id").agg(
+    only = None if metric is None else selectors.metric_id(p.catalog, metric)
+    sums = selectors.facts_of(p.facts, series, only).groupBy("series_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum(cents(F.col("value"))).alias("cents")
     )
     return named.join(sums, "series_id").select("labels", "n", "cents")
@@ -327,8 +337,8 @@ def _selected(p: Ingested, series: DataFrame) -> DataFrame:
 
 def _selector_query(name: str, metric: str, *matchers: selectors.Matcher) -> None:
     def run(spark, sf_dir):
-        p = plain_events(spark, sf_dir)
-        return _selected(p, selectors.select_series(p.catalog, metric, *matchers))
+        p = stored_events(spark, sf_dir)
+        return _selected(p, selectors.select_series(p.catalog, metric, *matchers), metric)
 
     run.__name__ = name
     query(run)
@@ -348,14 +358,15 @@ _selector_query("sel_absent_negative", "view", selectors.not_equal("nokey", "x")
 @query
 def sel_contains(spark, sf_dir):
     """FLT4, J6"""
-    p = plain_events(spark, sf_dir)
-    return _selected(p, selectors.select_containing(p.catalog, "click", {"__name__": "x", "tier": "gold", "zone": "z1"}))
+    p = stored_events(spark, sf_dir)
+    pairs = {"__name__": "x", "tier": "gold", "zone": "z1"}
+    return _selected(p, selectors.select_containing(p.catalog, "click", pairs), "click")
 
 
 @query
 def sel_across_metrics(spark, sf_dir):
     """FLT2, FLT3 over all metrics at once"""
-    p = plain_events(spark, sf_dir)
+    p = stored_events(spark, sf_dir)
     chosen = selectors.select_across_metrics(p.catalog, selectors.matches("k", "^1"), selectors.not_equal("tier", "gold"))
     return _selected(p, chosen)
 
@@ -384,7 +395,8 @@ def sel_equal_json(spark, sf_dir):
         ("unknown", {"lvl": "9"}),
     ):
         for form, select in (("eq", selectors.select_equal), ("exact", selectors.select_equal_exact)):
-            rows = selectors.facts_of(p.facts, select(p.catalog, "error", pairs))
+            only = selectors.metric_id(p.catalog, "error")
+            rows = selectors.facts_of(p.facts, select(p.catalog, "error", pairs), only)
             one = rows.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("series_id").alias("n_series"))
             one = one.select(F.lit(name).alias("pairs"), F.lit(form).alias("form"), "n", "n_series")
             out = one if out is None else out.unionByName(one)
@@ -427,9 +439,10 @@ def matcher_pairs(spark, sf_dir):
 @query
 def group_by_label(spark, sf_dir):
     """AGG13, FLT14"""
-    p = plain_events(spark, sf_dir)
+    p = stored_events(spark, sf_dir)
     chosen = selectors.select_series(p.catalog, "error", selectors.matches("k", "^[1-3]"))
-    g = views.group_by_label(p.catalog, p.facts, chosen, "error", "tier", cents(F.col("value")))
+    facts = p.facts.filter(F.col("metric_id") == selectors.metric_id(p.catalog, "error"))
+    g = views.group_by_label(p.catalog, facts, chosen, "error", "tier", cents(F.col("value")))
     return g.select("tier", "n", F.col("sum").alias("cents"), F.col("min").alias("least"), F.col("max").alias("greatest"))
 
 

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from metricspark.plans import oracles, registry
 from tests.conftest import ROOT
 
 TABLES = (
@@ -22,7 +23,7 @@ def sql(sf_dir):
     return con
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_query_equals_its_sql(spark, sf_dir, sql, name):
     df = entry.queries()[name](spark, sf_dir)
     columns = sorted(df.columns)
@@ -35,7 +36,17 @@ def test_query_equals_its_sql(spark, sf_dir, sql, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(oracles.oracle_sql())
+    assert set(registry.queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", ["sel_eq", "sel_contains", "group_by_label"])
+def test_reads_are_pruned_by_a_literal_metric(spark, sf_dir, name):
+    plan = registry.queries()[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    physical = registry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "event_type" not in plan
+    scan = physical[physical.index("chunk_start"):]
+    assert "PartitionFilters: [isnotnull(metric_id" in scan and ") = " not in scan[: scan.index("PartitionFilters")]
 
 
 def test_flagship(spark):
