@@ -286,7 +286,7 @@ def near_duplicates(docs: DataFrame, size: int = 2, sketch: Sketch = Sketch()) -
     texts = _texts(docs, classes, keys)
 
     links = durable(verified(_to_pivots(keys), texts, size, sketch), "links")
-    rest = _open_nodes(keys, connected_components(links))
+    rest = _open_nodes(keys, connected_components(links, rounds=2))
     more = durable(confirmed(_between_groups(rest, texts, size), texts, size), "links")
 
     # Different texts under one doc_id are one document with several rows.
