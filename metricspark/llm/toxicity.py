@@ -45,7 +45,7 @@ class Fit:
     documents: int = 3
     association: float = 12.0
     swap: float = 1.0
-    sparsity: float = 2e-4
+    sparsity: float = 5e-5
     rounds: int = 400
 
 
