@@ -107,11 +107,17 @@ class Pseudonyms:
         return f"{self._permute(f'{kind}{n}', int(digits), 10**n, back):0{n}d}" if n else ""
 
     def card(self, text: str, back: bool) -> str | None:
+        """Both Luhn sums stay, so that a card tells itself from numbers beside it before
+        and after alike."""
         digits = "".join(filter(_is_digit, text))
         if luhn_digit(digits[:-1]) != digits[-1]:
             return None
-        body = self._digits("card", digits[:-1], back)
-        return _refill(text, body + luhn_digit(body), _is_digit)
+        other, body = luhn_digit(digits), digits[:-1]
+        while True:
+            body = self._digits("card", body, back)
+            new = body + luhn_digit(body)
+            if luhn_digit(new) == other:
+                return _refill(text, new, _is_digit)
 
     def ssn(self, text: str, back: bool) -> str | None:
         area, group, serial = text[:3], text[4:6], text[7:]
@@ -235,7 +241,7 @@ KINDS = {
     "email": r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "address6": r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])",
-    "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})(?![\w/-]|\.\d)",
+    "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})(?!(?![Tt]\d{2}(?!\w)|[Tt]\d{2}:?\d{2})[\w/-]|\.\d)",
     "address": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?!\w|-\d)",
@@ -254,6 +260,56 @@ _SPACE = re.compile(r"\s")
 #: What stands before a secret.
 _NAMED = re.compile(r"""(?:token|key|secret|passw(?:or)?d|auth\w*)["']?\s*[=:]\s*["']?\Z""", re.IGNORECASE)
 _ORDER = list(KINDS)
+#: Characters of an IBAN by country. The IBAN registry.
+_IBAN_LENGTH = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+#: Digits of the groups cards are written in, besides one group.
+_CARD_GROUPS = {(4, 4, 4, 4), (4, 6, 5)}
+_RUN = re.compile(r"[0-9A-Z]+")
+
+
+def _iban_ends(text: str, own: re.Match) -> list[int]:
+    """Where an IBAN may end that begins with this match: at its country's length, at the
+    end of the match, and of an unknown country at each group."""
+    borders = [run.end() for run in _RUN.finditer(text, own.start(), own.end())]
+    length = _IBAN_LENGTH.get(own.group()[:2])
+    if length is None:
+        return borders[::-1]
+    fixed = [b for b in borders if len(text[own.start() : b].replace(" ", "")) == length]
+    return list(dict.fromkeys([*fixed, own.end()]))
+
+
+def _card_ends(text: str, own: re.Match) -> list[int]:
+    """Where a card may end that begins with this match, the end of the match first. No end
+    if another part of the match looks more like the card."""
+    runs = list(_RUN.finditer(text, own.start(), own.end()))
+    # The first numbers of dates, addresses and phone numbers belong to those.
+    other = [(run.start(), m.end()) for run in runs[1:] for k in ("date", "address", "phone") if (m := _FIND[k].match(text, run.start()))]
+    sizes = [len(run.group()) for run in runs]
+    found = []
+    for i in range(len(runs)):
+        for j in range(i, len(runs)):
+            at, end = runs[i].start(), runs[j].end()
+            digits = "".join(run.group() for run in runs[i : j + 1])
+            if not 13 <= len(digits) <= 19 or any(a < end < b for a, b in other) or luhn_digit(digits[:-1]) != digits[-1]:
+                continue
+            usual = i == j or tuple(sizes[i : j + 1]) in _CARD_GROUPS
+            found.append((i > 0 or end != own.end(), not usual, -len(digits), at, end))
+    best = min(found, default=None)
+    return [best[-1]] if best and best[-2] == own.start() else []
+
+
+def _ends(kind: str, text: str, own: re.Match) -> list[int]:
+    """The ends to try. Only cards and IBANs can run on into what follows them."""
+    return _card_ends(text, own) if kind == "card" else _iban_ends(text, own) if kind == "iban" else [own.end()]
 
 
 def _value_at(text: str, at: int, names: Pseudonyms, back: bool) -> tuple[int, int, str, str] | None:
@@ -262,9 +318,10 @@ def _value_at(text: str, at: int, names: Pseudonyms, back: bool) -> tuple[int, i
     for kind in _ORDER[_ORDER.index(first.lastgroup) :] if first else ():
         own = _FIND[kind].match(text, at)
         if own and (kind != "secret" or _NAMED.search(text[max(0, at - 40) : at])):
-            new = names(kind, own.group(), back)
-            if new is not None:
-                return at, own.end(), kind, new
+            for end in _ends(kind, text, own):
+                new = names(kind, text[at:end], back)
+                if new is not None:
+                    return at, end, kind, new
     return None
 
 
@@ -304,7 +361,8 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text", back: bool = Fal
     Every row and column of ``docs`` comes back; ``text`` is rewritten, and pii_spans, an
     array of (start, end, kind, value) with places in the old text and the new value, is
     added (a column of that name is replaced). A null text stays null with no spans. Only
-    values whose check digits or calendar hold are touched. Equal values get equal
+    values whose check digits or calendar hold are touched; a card or IBAN that a number or
+    word follows ends where its check digits hold. Equal values get equal
     pseudonyms in all documents, because a pseudonym depends on key, kind and value alone;
     ``back`` undoes it. There is no shuffle, and equal rows give equal rows.
     """

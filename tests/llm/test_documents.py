@@ -271,6 +271,34 @@ def test_pseudonyms_keep_format_and_link(spark):
     assert pii.pseudonymize(df.limit(0), "k").collect() == []
 
 
+@pytest.mark.parametrize("text, value", [
+    ("4111 1111 1111 1111 12/27", "4111 1111 1111 1111"), ("4111 1111 1111 1111 123", "4111 1111 1111 1111"),
+    ("5500005555555559 03/2027", "5500005555555559"), ("4111-1111-1111-1111-123", "4111-1111-1111-1111"),
+    ("no 123 4111 1111 1111 1111", "4111 1111 1111 1111"), ("3782 822463 10005 1234", "3782 822463 10005"),
+    ("ES91 2100 0418 4502 0005 1332 BIC", "ES91 2100 0418 4502 0005 1332"), ("ES9121000418450200051332 2024", "ES9121000418450200051332"),
+    ("ES91 2100 0418 4502 0005 1332 SANTANDER", "ES91 2100 0418 4502 0005 1332"), ("2021-03-04T12:00:00Z", "2021-03-04"),
+])
+def test_values_end_before_what_follows(text, value):
+    for key in range(20):
+        names = pii.Pseudonyms(b"%d" % key)
+        found = pii.spans(text, names)
+        assert [text[a:b] for a, b, *_ in found] == [value] and found[0][3] == names(found[0][2], value) != value
+        new = pii.rewrite(text, found)
+        assert pii.rewrite(new, pii.spans(new, names, True)) == text
+
+
+def test_a_card_does_not_take_the_day_behind_it():
+    names = pii.Pseudonyms(b"k")
+    for day in range(1, 29):
+        found = pii.spans(f"4111 1111 1111 1111 {day:02d}.05.2021", names)
+        assert [s[2] for s in found] == ["card", "date"] and found[0][1] == 19
+
+
+@pytest.mark.parametrize("text", ["2021-03-04Thu", "2021-03-04T", "4111 1111 1111 1112 123", "ES91 2100 0418 4502 0005 1333 BIC"])
+def test_what_is_no_value_stays(text):
+    assert pii.spans(text, pii.Pseudonyms(b"k")) == []
+
+
 @pytest.mark.parametrize("n", [1, 2, 7, 1000])
 def test_feistel_is_a_permutation(n):
     network = pii.Feistel(b"key", "kind", n)
