@@ -23,6 +23,11 @@ FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 LAST_DAY = datetime.date(2099, 12, 31).toordinal()
 #: Entries a worker keeps of what it has permuted.
 REMEMBERED = 100_000
+#: Calling codes of two digits; 1 and 7 are the only ones of one digit, the others have three.
+_CODES_OF_TWO = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 "
+    "90 91 92 93 94 95 98".split()
+)
 
 
 class Feistel:
@@ -73,6 +78,11 @@ def iban_check(country: str, body: str) -> str:
     return f"{98 - int(number) % 97:02d}"
 
 
+def _code_digits(number: str) -> int:
+    """Digits of the country code that an international number begins with."""
+    return 1 if number[0] in "17" else 2 if number[:2] in _CODES_OF_TWO else 3
+
+
 def _refill(template: str, symbols: str, keep: Callable[[str], bool]) -> str:
     """``template`` with the characters that ``keep`` selects replaced in order."""
     it = iter(symbols)
@@ -132,10 +142,9 @@ class Pseudonyms:
 
     def phone(self, text: str, back: bool) -> str | None:
         """The country code stays."""
-        head = re.match(r"\+\d{1,3}(?=[ .(-])|\+\d|", text).group()
-        rest = text[len(head) :]
-        digits = "".join(filter(_is_digit, rest))
-        return head + _refill(rest, self._digits("phone", digits, back), _is_digit)
+        digits = "".join(filter(_is_digit, text))
+        code = _code_digits(digits) if text.startswith("+") else 0
+        return _refill(text, digits[:code] + self._digits("phone", digits[code:], back), _is_digit)
 
     def address(self, text: str, back: bool) -> str | None:
         """An IPv4 address."""

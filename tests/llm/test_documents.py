@@ -287,6 +287,18 @@ def test_values_end_before_what_follows(text, value):
         assert pii.rewrite(new, pii.spans(new, names, True)) == text
 
 
+@pytest.mark.parametrize("texts", [
+    ("+49 30 1234567", "+49301234567", "+49-30-1234567", "+49 (30) 123 4567"), ("+1 803 555 5351", "+18035555351", "+1 (803) 555-5351"),
+    ("+352 26 12 34 56", "+35226123456"), ("+7 495 123 45 67", "+74951234567"),
+])
+def test_phone_numbers_link_however_they_are_separated(texts):
+    names = pii.Pseudonyms(b"k")
+    found = [pii.spans(text, names) for text in texts]
+    assert all([s[:3] for s in spans] == [(0, len(text), "phone")] for text, spans in zip(texts, found))
+    assert len({"".join(filter(str.isdigit, spans[0][3])) for spans in found}) == 1
+    assert [names("phone", spans[0][3], True) for spans in found] == list(texts)
+
+
 def test_a_card_does_not_take_the_day_behind_it():
     names = pii.Pseudonyms(b"k")
     for day in range(1, 29):
