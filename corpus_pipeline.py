@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricspark.llm.decontaminate import find_contamination
-from metricspark.llm.neardup import near_duplicates
+from metricspark.llm.neardup import near_duplicates, text_digest
 from metricspark.llm.packing import pack_documents
 from metricspark.llm.pii import pseudonymize
 from metricspark.llm.queries import PII_KEY, TOXIC, tokenizer_path, toxicity_model
@@ -28,14 +28,17 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one of the smallest doc_id. Of several
-    rows with one doc_id the smallest row stays; rows without a doc_id all stay."""
-    found = near_duplicates(docs, SHINGLE)
-    ids = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    rest = docs.join(ids.where("NOT kept OR n > 1").select("doc_id"), "doc_id", "left_anti")
-    several = docs.join(ids.where("kept AND n > 1").select("doc_id"), "doc_id", "left_semi")
+    """One text of each group of near copies: the one of the smallest doc_id. Of several rows
+    with one doc_id and one text the smallest row stays, and different texts under one
+    doc_id are texts of their own; rows without a doc_id all stay."""
+    found = near_duplicates(docs, SHINGLE, by_text=True).where("doc_id IS NOT NULL")
+    digest = free_name(docs, "_digest")
+    texts = found.groupBy("doc_id", F.col("digest").alias(digest)).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    keyed, same = docs.withColumn(digest, text_digest(F.col("text"))), ["doc_id", digest]
+    rest = keyed.join(texts.where("NOT kept OR n > 1").select(same), same, "left_anti")
+    several = keyed.join(texts.where("kept AND n > 1").select(same), same, "left_semi")
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    smallest = several.groupBy("doc_id").agg(F.min(row).alias("row")).select("row.*")
+    smallest = several.groupBy("doc_id", digest).agg(F.min(row).alias("row")).select("row.*")
     return rest.select(*(f"`{c}`" for c in docs.columns)).unionByName(smallest)
 
 

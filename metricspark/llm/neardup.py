@@ -11,7 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricspark.llm.components import connected_components
@@ -64,6 +64,19 @@ def word_digest(words: list[bytes]) -> bytes:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
 
+def text_digest(text: Column) -> Column:
+    """The digest of a text's words; an empty one if it has none."""
+
+    @F.arrow_udf("binary")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            words = (space_words(text.as_py()) for text in batch)
+            yield pa.array([word_digest(w) if w else b"" for w in words], pa.binary())
+
+    # Else a filter pushed below would compute it a second time.
+    return of.asNondeterministic()(text.cast("string"))
+
+
 def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
     """One 64-bit hash per run of words, repeats included. For sketches only: two words of
     one checksum may make two shingles look alike, which exact sets then tell apart."""
@@ -258,7 +271,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     return both.select("a", "b", "a_text", "b_text").mapInArrow(confirm, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, size: int = 2, sketch: Sketch = Sketch()) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 2, sketch: Sketch = Sketch(), by_text: bool = False) -> DataFrame:
     """Group documents whose sets of ``size``-word shingles overlap by 80 % or more.
 
     Returns per row of ``docs`` doc_id, n_shingles, component_id (the smallest doc_id
@@ -266,6 +279,10 @@ def near_duplicates(docs: DataFrame, size: int = 2, sketch: Sketch = Sketch()) -
     alone; rows without a doc_id get a null component and are kept; rows that share a doc_id
     share a component. Other columns are not read. An empty table gives no rows.
 
+    With ``by_text``, different texts under one doc_id are documents of their own: they are
+    not tied, digest (see ``text_digest``) is returned too, and kept marks the rows of the
+    smallest (doc_id, digest) of each group.
+
     1. One pass makes set size, digest and registers; equal word sequences fall together
        by an aggregation with map-side combine, so copies cost one row from here on.
     2. In each band, members are compared with a few pivots of their bucket, not with each
@@ -289,6 +306,8 @@ def near_duplicates(docs: DataFrame, size: int = 2, sketch: Sketch = Sketch()) -
     rest = _open_nodes(keys, connected_components(links, rounds=2))
     more = durable(confirmed(_between_groups(rest, texts, size), texts, size), "links")
 
+    if by_text:
+        return _kept_texts(made, classes, connected_components(links.unionByName(more)))
     # Different texts under one doc_id are one document with several rows.
     own = sized.select("doc_id", "digest").distinct().join(numbers, F.col("digest") == F.col("_digest"))
     shared = own.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("_b")).where("a <> _b").drop("_b")
@@ -307,6 +326,24 @@ def near_duplicates(docs: DataFrame, size: int = 2, sketch: Sketch = Sketch()) -
     )
 
 
+def _kept_texts(made: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of ``near_duplicates`` by text: each class is in one group of linked classes."""
+    placed = classes.join(groups.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
+        F.col("digest").alias("_digest"), "doc_id", F.coalesce("component", "node").alias("component")
+    )
+    first = F.min(F.struct("doc_id", "_digest")).alias("_first")
+    smallest = placed.groupBy(F.col("component").alias("_component")).agg(first)
+    placed = placed.join(smallest, F.col("component") == F.col("_component")).select("_digest", "_first")
+    rows = made.select("doc_id", "n_shingles", "digest").join(placed, F.col("digest") == F.col("_digest"), "left")
+    known = F.col("doc_id").isNotNull()
+    kept = F.coalesce(F.struct("doc_id", "digest") == F.struct("_first.doc_id", "_first._digest"), F.lit(True))
+    return rows.select(
+        "doc_id", "n_shingles", F.coalesce("digest", F.lit(b"")).alias("digest"),
+        F.when(known, F.coalesce("_first.doc_id", "doc_id")).alias("component_id"),
+        (~known | F.col("_first").isNull() | kept).alias("kept"),
+    )
+
+
 def _crowded(keys: DataFrame) -> DataFrame:
     """The band keys that more than one document has."""
     shared = keys.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")

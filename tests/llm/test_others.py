@@ -168,6 +168,18 @@ def test_dedup_stage_with_repeats_and_nulls(spark, sf_dir):
     assert sorted(((r["doc_id"] or -1), r["source"]) for r in got) == [(-1, "c"), (-1, "d"), (2, "a"), (4, "e"), (5, "f")]
 
 
+def test_dedup_stage_keeps_texts_of_a_shared_id(spark, sf_dir):
+    import corpus_pipeline as cp
+
+    x, y, z = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyz")
+    rows = [(5, x), (5, y), (9, y), (9, z), (9, z), (7, x.upper()), (5, None), (8, " "), (8, "")]
+    got = cp.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(5, x), (5, y), (9, z), (5, None), (8, "")], key=str)
+    hot = [(1, " ".join(f"t{n}w{i}" for i in range(30))) for n in range(40)]
+    got = cp.near_dedup(spark, spark.createDataFrame(hot, "doc_id long, text string"), sf_dir).collect()
+    assert sorted(map(tuple, got)) == sorted(hot)
+
+
 def test_queries_are_registered(spark, sf_dir):
     import __spark_entry__ as entry
 
