@@ -353,21 +353,16 @@ def _crowded(keys: DataFrame) -> DataFrame:
 def _texts(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
     """Text, size and registers of the classes that share a band."""
     met = keys.select("node").distinct()
-    slim = classes.join(met, "node", "left_semi").withColumnRenamed("doc_id", "_id")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = texts.join(slim, F.col("doc_id") == F.col("_id")).select("node", "n_shingles", "registers", "digest", "text")
-
-    def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            keep = [
-                word_digest(space_words(text)) == digest
-                for digest, text in zip(batch.column("digest").to_pylist(), batch.column("text").to_pylist())
-            ]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+    slim = classes.join(met, "node", "left_semi").withColumnsRenamed({"doc_id": "_id", "digest": "_digest"})
+    texts = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), text_digest(F.col("text")).alias("digest")
+    )
+    # By both, so that many texts under one doc_id do not all meet.
+    found = texts.join(slim, (F.col("doc_id") == F.col("_id")) & (F.col("digest") == F.col("_digest")))
+    found = found.select("node", "n_shingles", "registers", "digest", "text")
 
-    # A doc_id on several rows brings several texts; equal rows come once.
-    fields = "node bigint, n_shingles bigint, registers binary, digest binary, text string"
-    return durable(found.mapInArrow(same, fields).dropDuplicates(["node"]), "met-texts")
+    # Rows of one doc_id and the same words come once.
+    return durable(found.dropDuplicates(["node"]), "met-texts")
 
 
 def _to_pivots(keys: DataFrame) -> DataFrame:

@@ -50,6 +50,25 @@ def test_texts_under_one_id_are_one_document(spark):
     assert {r["component_id"] for r in neardup.near_duplicates(df).collect()} == {5}
 
 
+def test_texts_of_one_id_do_not_all_meet(spark):
+    base = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join([*base[:-1], f"x{n}"])) for n in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    made = neardup.sketches(df, 2, neardup.Sketch()).where("doc_id IS NOT NULL")
+    classes = made.withColumn("node", F.monotonically_increasing_id()).localCheckpoint()
+    plan = neardup._texts(df, classes, classes.select("node"))
+    assert sorted(r["text"] for r in plan.collect()) == sorted(t for _, t in rows)
+    assert {r["digest"]: r["text"] for r in plan.collect()} == {neardup.word_digest([w.encode() for w in t.split()]): t for _, t in rows}
+    calls = []
+    kept = type(df).join
+    try:
+        type(df).join = lambda *a, **k: calls.append(out := kept(*a, **k)) or out
+        neardup._texts(df, classes, classes.select("node"))
+    finally:
+        type(df).join = kept
+    assert max(c.count() for c in calls) == 50
+
+
 def test_sketches_estimate_the_similarity():
     sketch = neardup.Sketch()
     rng = np.random.default_rng(5)
