@@ -181,11 +181,12 @@ def _search(trees: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
             for data, queries in zip(batch["tree"], batch["queries"]):
                 ids = [q["query_id"] for q in queries]
                 searcher = Searcher(Tree.load(data), np.array([q["v"] for q in queries], dtype=np.int64).reshape(len(ids), -1))
-                rows = []
+                best: dict[int, list] = {}
                 for at, q in enumerate(queries):
                     floor = q["floor"]
-                    found = searcher.search(at, ids[at], k, None if floor is None or pd.isna(floor) else int(floor), [])
-                    rows += [(ids[at], -negative, score) for score, negative in found]
+                    held = best.setdefault(ids[at], [])
+                    searcher.search(at, ids[at], k, None if floor is None or pd.isna(floor) else int(floor), held)
+                rows = [(query_id, -negative, score) for query_id, found in best.items() for score, negative in found]
                 yield pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
 
     met = blocks.join(trees, ["dims", "shard"]).select("tree", "queries")
@@ -205,10 +206,11 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float = 64.0,
     become floor(scale * x). Returns query_id, rank, vec_id and score; ties go to the smaller
     vec_id, and a query with fewer than ``k`` others gets all. Rows with a null vec_id, a null
     vector, or a null or non-finite component take no part; vectors of different lengths
-    do not meet; of rows with one vec_id the smallest vector counts. Other columns are not
+    do not meet. Different vectors of one vec_id are candidates each, but not for queries of
+    that vec_id, which share one list of ``k``; equal ones count once. Other columns are not
     read. An empty table gives no rows. Scores beyond 64 bits are an error.
 
-    Rows are spread over shards by a hash of vec_id, some ``shard_rows`` each. Blocks of
+    Rows are spread over shards by a hash, some ``shard_rows`` each. Blocks of
     queries meet each shard by an equi join on its number, in two rounds: the first shard
     gives each query a kth score, which the second round takes along as the bound under
     which boxes of the other shards stay closed. Work is queries times shards at most.
@@ -216,8 +218,9 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float = 64.0,
     usable = vectors.where(F.col("vec_id").isNotNull() & whole(F.col("embedding"))).select(
         F.col("vec_id").cast("bigint").alias("vec_id"), grid(F.col("embedding"), scale).alias("v"), queries.alias("_asks")
     )
-    usable = usable.groupBy("vec_id").agg(F.min("v").alias("v"), F.max("_asks").alias("_asks"))
-    usable = durable(usable.withColumn("dims", F.size("v")), "grid")
+    usable = usable.groupBy("vec_id", "v").agg(F.max("_asks").alias("_asks"))
+    # Rows are spread by a number of their own, so that a vec_id may have any number of them.
+    usable = durable(usable.select("*", F.size("v").alias("dims"), F.monotonically_increasing_id().alias("row")), "grid")
     sizes = {r["dims"]: (r["n"], r["q"]) for r in usable.groupBy("dims").agg(
         F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("_asks"), 1)).alias("q")).collect()}  # a row per vector length
 
@@ -227,9 +230,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float = 64.0,
             parts = F.when(F.col("dims") == dims, F.lit(max(1, math.ceil(counts[at] / rows)))).otherwise(parts)
         return F.pmod(F.xxhash64(column, F.lit(at)), parts).cast("int")
 
-    trees = durable(_trees(usable.select("dims", "vec_id", "v", spread("vec_id", 0, shard_rows).alias("shard"))), "trees")
-    asking = usable.where("_asks").select(F.col("vec_id").alias("query_id"), "dims", "v")
-    asking = asking.withColumn("block", spread("query_id", 1, BLOCK_ROWS))
+    trees = durable(_trees(usable.select("dims", "vec_id", "v", spread("row", 0, shard_rows).alias("shard"))), "trees")
+    asking = usable.where("_asks").select(F.col("vec_id").alias("query_id"), "dims", "v", spread("row", 1, BLOCK_ROWS).alias("block"))
     last = F.lit(0)
     for dims, counts in sizes.items():
         last = F.when(F.col("dims") == dims, F.lit(max(1, math.ceil(counts[0] / shard_rows)) - 1)).otherwise(last)

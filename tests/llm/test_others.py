@@ -96,6 +96,21 @@ def test_top_k_against_brute_force(spark):
     assert kdtree.top_k(vectors(spark, rows).limit(0), F.col("vec_id") % 20 == 0).collect() == []
 
 
+def test_vectors_of_a_shared_id_are_all_candidates(spark):
+    draw = random.Random(7)
+    rows = [(i % 150, [draw.choice([-1.0, -0.5, 0.25, 0.3, 1.0]) for _ in range(5)]) for i in range(300)]
+    rows += [(3, [draw.uniform(-1, 1) for _ in range(5)]) for _ in range(200)]
+    rows = list({(i, tuple(v)): (i, v) for i, v in rows}.values())
+    grid = [(i, [int(np.floor(64 * float(np.float32(x)))) for x in v]) for i, v in rows]
+    want = []
+    for q in range(0, 150, 20):
+        asks = [v for i, v in grid if i == q]
+        scored = sorted((-sum(x * y for x, y in zip(v, w)), i) for v in asks for i, w in grid if i != q)
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:7])]
+    got = kdtree.top_k(vectors(spark, rows), F.col("vec_id") % 20 == 0, k=7, shard_rows=64)
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_trees_bound_what_is_below():
     draw = np.random.default_rng(2)
     v = draw.integers(-100, 100, (1000, 4))
