@@ -15,6 +15,7 @@ from metricspark.llm.pii import pseudonymize
 from metricspark.llm.queries import PII_KEY, TOXIC, tokenizer_path, toxicity_model
 from metricspark.llm.text import free_name, table
 from metricspark.llm.toxicity import score_texts
+from metricspark.session import durable
 
 #: Words of a shingle in the near-duplicate stage.
 SHINGLE = 5
@@ -74,7 +75,8 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after the other; each reads what the one before has written."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = durable(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -195,6 +195,21 @@ def test_dedup_stage_keeps_texts_of_a_shared_id(spark, sf_dir):
     assert sorted(map(tuple, got)) == sorted(hot)
 
 
+def test_the_pipeline_writes_between_stages(spark, sf_dir, monkeypatch):
+    import corpus_pipeline as cp
+
+    seen = []
+
+    def stage(session, docs, folder):
+        seen.append(docs.inputFiles())
+        return docs.where("doc_id IS NOT NULL")
+
+    monkeypatch.setattr(cp, "STAGES", [("a", stage), ("b", stage), ("c", stage)])
+    assert cp.run(spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id IS NOT NULL").count()
+    assert "documents" in seen[0][0] and not any("documents" in f for files in seen[1:] for f in files)
+    assert not set(seen[1]) & set(seen[2])
+
+
 def test_queries_are_registered(spark, sf_dir):
     import __spark_entry__ as entry
 
