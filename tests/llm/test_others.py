@@ -195,6 +195,51 @@ def test_dedup_stage_keeps_texts_of_a_shared_id(spark, sf_dir):
     assert sorted(map(tuple, got)) == sorted(hot)
 
 
+def test_stages_against_plain_python(spark, tmp_path):
+    import corpus_pipeline as cp
+    from metricspark.llm import packing, pii
+    from metricspark.llm.queries import PII_KEY, TOXIC, tokenizer_path, toxicity_model
+
+    draw, words = random.Random(3), [f"word{i}" for i in range(300)]
+    texts = [" ".join(draw.choices(words, k=40)) for _ in range(40)]
+    texts += [texts[i].replace(texts[i].split()[-1], "edited") for i in range(8)] + texts[8:12]
+    texts += [f"{t} you vilething vilething" for t in texts[12:30]]
+    leak = " ".join(f"item{i}" for i in range(14))
+    texts += [f"{texts[i]} {leak}" for i in (30, 31)] + [f"card 4111 1111 1111 1111 12/27 {' '.join(draw.choices(words, k=30))}"]
+    rows = [(i, t, len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    spark.createDataFrame([(i, int("vilething" in t)) for i, t, _ in rows], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, leak), (2, "short leak")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stage = lambda f, df=docs: sorted((r["doc_id"], r["text"]) for r in f(spark, df, str(tmp_path)).collect())
+    plain = [r[:2] for r in rows]
+
+    model = toxicity_model(docs, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    want = [(i, t) for i, t in plain if model.score(t) < TOXIC]
+    assert stage(cp.toxicity) == want and len(want) < len(rows)
+
+    sets = [set(zip(*(t.lower().split()[k:] for k in range(5)))) for _, t in plain]
+    group = list(range(len(rows)))
+    for _ in rows:
+        for a in range(len(rows)):
+            for b in range(a):
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    group[a] = group[b] = min(group[a], group[b])
+    want = [r for r in plain if group[r[0]] == r[0]]
+    assert stage(cp.near_dedup) == want and len(want) < len(rows)
+
+    hit = [" ".join(leak.split()[k : k + 10]) for k in range(5)] + ["short leak"]
+    want = [(i, t) for i, t in plain if not any(f" {h} " in f" {t} " for h in hit)]
+    assert stage(cp.decontamination) == want and len(want) == len(rows) - 2
+
+    names = pii.Pseudonyms(PII_KEY.encode())
+    want = [(i, t.replace("4111 1111 1111 1111", names("card", "4111 1111 1111 1111"))) for i, t in plain]
+    assert stage(cp.pii) == want != plain
+
+    sums = {r["doc_id"]: r["n"] for r in cp.packing(spark, docs, str(tmp_path)).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    tokenizer = packing._tokenizer(tokenizer_path())
+    assert sums == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in plain}
+
+
 def test_the_pipeline_writes_between_stages(spark, sf_dir, monkeypatch):
     import corpus_pipeline as cp
 
