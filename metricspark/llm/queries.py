@@ -8,17 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricspark.llm.decontaminate import find_contamination
+from metricspark.llm.divergence import audit_sources
 from metricspark.llm.extraction import extract_main_text
 from metricspark.llm.extraction import train as train_chain
 from metricspark.llm.kdtree import top_k
 from metricspark.llm.lm import score_corpus
 from metricspark.llm.neardup import near_duplicates
 from metricspark.llm.packing import pack_documents
+from metricspark.llm.phrases import mine_phrases
 from metricspark.llm.pii import pseudonymize
 from metricspark.llm.preferences import last_reply_branches, preference_segments
 from metricspark.llm.sharding import assign_shards
 from metricspark.llm.text import table
 from metricspark.llm.toxicity import Model, score_texts, train
+from metricspark.llm.urlfilter import host_rule, judge_urls
 
 SHARDS = 40
 #: The tokenizer's file among the public ones; its folder must exist on all executors.
@@ -36,6 +39,15 @@ TOXIC = 0.7
 #: Key of the pseudonyms in the registered queries; use a secret one of your own.
 PII_KEY = "example-key"
 
+#: Host, path and verdict of the rules on page URLs.
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+
 
 def remainder(number: int):
     """crc32 of doc_id as text modulo ``number``; a null id counts as the text "null"."""
@@ -94,6 +106,18 @@ def op10_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), [host_rule(*rule) for rule in URL_RULES])
+
+
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_preference_formatting": op1_preference_formatting,
     "op2_main_text": op2_main_text,
@@ -105,4 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pseudonyms": op8_pseudonyms,
     "op9_decontamination": op9_decontamination,
     "op10_rendezvous_shards": op10_rendezvous_shards,
+    "op11_url_filter": op11_url_filter,
+    "op12_phrase_mining": op12_phrase_mining,
+    "op13_source_divergence": op13_source_divergence,
 }
