@@ -31,7 +31,7 @@ TOP = 2000
 ABSORB = 50
 SCALE = 1_000_000
 #: Words after which a chunk is closed; its last text may run over.
-CHUNK_WORDS = 1 << 20
+CHUNK_WORDS = 1 << 19
 #: The code of a position that ends a piece or holds an infrequent word or phrase.
 NONE = -1
 NO_LANG = "und"
@@ -61,11 +61,26 @@ def _open(shut: bytes, n: int) -> np.ndarray:
 
 
 # --- the relation of single words -----------------------------------------------------
+#
+# A stored level has two kinds of rows: one per chunk with its occurrences as blobs, and one
+# per chunk and different word or phrase with its code there and how often it occurs.
 
 _WORDS = pa.schema(
-    [("chunk", pa.int64()), ("size", pa.int64()), ("codes", pa.binary()), ("langs", pa.list_(pa.string())),
-     ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))]
+    [("chunk", pa.int64()), ("size", pa.int64()), ("codes", pa.binary()),
+     ("code", pa.int32()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())]
 )
+_WORDS_SQL = "chunk bigint, size bigint, codes binary, code int, lang string, word string, n bigint"
+
+
+def _stacked(schema: pa.Schema, chunk: int, blobs: dict, rows: dict) -> pa.Table:
+    """The chunk's row of ``blobs`` and its ``rows``, each with nulls for the other's columns."""
+    n = len(next(iter(rows.values())))
+    head = [pa.array([chunk if f.name == "chunk" else blobs.get(f.name)], f.type) for f in schema]
+    tail = [
+        pa.array(rows[f.name], f.type) if f.name in rows else pa.array(np.full(n, chunk)) if f.name == "chunk" else pa.nulls(n, f.type)
+        for f in schema
+    ]
+    return pa.concat_tables([pa.Table.from_arrays(part, schema=schema) for part in (head, tail)])
 
 
 def word_occurrences(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
@@ -84,41 +99,39 @@ def word_occurrences(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFra
                         codes.extend(map(known.__getitem__, words))
                         codes.append(NONE)
                 if len(codes) >= chunk_words:
-                    yield close((part.as_py() << 33) + number, codes, code_of)
+                    yield from close((part.as_py() << 33) + number, codes, code_of)
                     number, codes, code_of = number + 1, [], {}
                     fresh = count()
         if codes:
-            yield close((part.as_py() << 33) + number, codes, code_of)
+            yield from close((part.as_py() << 33) + number, codes, code_of)
 
-    def close(chunk: int, codes: list[int], code_of: dict) -> pa.RecordBatch:
+    def close(chunk: int, codes: list[int], code_of: dict) -> list[pa.RecordBatch]:
         held = np.array(codes, dtype=np.int32)
-        named = sorted((code, lang, word) for lang, known in code_of.items() for word, code in known.items())
-        columns = [
-            [chunk], [len(held)], [_shut(held)], [[lang for _, lang, _ in named]],
-            [pa.array([w for _, _, w in named], pa.binary()).cast(pa.string())], [np.bincount(held[held >= 0])],
-        ]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _WORDS.types)], schema=_WORDS)
+        counts = np.bincount(held[held >= 0])
+        out = []
+        for at, (lang, known) in enumerate(code_of.items()):
+            own = np.fromiter(known.values(), np.int32, len(known))
+            rows = {"code": own, "lang": [lang] * len(own), "word": pa.array(list(known), pa.binary()).cast(pa.string()), "n": counts[own]}
+            out += _stacked(_WORDS, chunk, {"size": len(held), "codes": _shut(held)}, rows).slice(min(at, 1)).to_batches()
+        return out
 
     plain = docs.select(
         F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), F.col("text"), F.spark_partition_id().cast("bigint").alias("part")
     )
-    return plain.mapInArrow(
-        read, "chunk bigint, size bigint, codes binary, langs array<string>, words array<string>, counts array<bigint>"
-    )
+    return plain.mapInArrow(read, _WORDS_SQL)
 
 
 # --- the relations of longer phrases --------------------------------------------------
 
 _GRAMS = pa.schema(
-    [("chunk", pa.int64()), ("size", pa.int64()), ("codes", pa.binary()), ("ids", pa.list_(pa.int64())), ("grams", pa.binary()),
-     ("heads", pa.list_(pa.int64())), ("lasts", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))]
-)
-_GRAMS_SQL = (
-    "chunk bigint, size bigint, codes binary, ids array<bigint>, grams binary, heads array<bigint>, lasts array<bigint>, counts array<bigint>"
+    [("chunk", pa.int64()), ("size", pa.int64()), ("codes", pa.binary()), ("ids", pa.binary()), ("grams", pa.binary()),
+     ("code", pa.int32()), ("head", pa.int64()), ("last", pa.int64()), ("n", pa.int64())]
 )
+_GRAMS_SQL = "chunk bigint, size bigint, codes binary, ids binary, grams binary, code int, head bigint, last bigint, n bigint"
+_OCCURRENCES = ("chunk", "size", "codes", "ids", "grams")
 
 
-def _column(table: pa.Table, name: str):
+def _first(table: pa.Table, name: str):
     return table.column(name)[0].as_py()
 
 
@@ -129,51 +142,54 @@ def _frequent(right: pa.Table, size: int) -> np.ndarray:
     return ids
 
 
+def _only(codes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The codes that have an id, NONE for the others: the semi-join's left side."""
+    return np.where((codes >= 0) & (ids[codes] >= 0), codes, np.int32(NONE)).astype(np.int32) if len(ids) else codes
+
+
 def _merge_join(chunk: int, codes: np.ndarray, ids: np.ndarray, grams: np.ndarray, gram_ids: np.ndarray, k: int) -> pa.Table:
     """Join phrases of ``k`` words with the words ``k`` positions on, both in order of position,
     and number and count the different phrases of ``k + 1`` words.
 
     Code NONE ends a piece, so a phrase and the word behind it are in one piece."""
     longer = np.full(len(codes), NONE, dtype=np.int32)
-    start = np.flatnonzero((grams[: len(grams) - k] >= 0) & (codes[k:] >= 0)) if len(codes) > k else np.empty(0, np.int64)
+    start = np.flatnonzero((grams[: max(0, len(grams) - k)] >= 0) & (codes[k:] >= 0))
     pairs = grams[start].astype(np.int64) * len(ids) + codes[start + k]
     found, longer[start], counts = np.unique(pairs, return_inverse=True, return_counts=True)
-    heads, lasts = gram_ids[found // max(1, len(ids))], ids[found % max(1, len(ids))]
-    columns = [[chunk], [len(codes)], [_shut(codes)], [ids], [_shut(longer)], [heads], [lasts], [counts]]
-    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, _GRAMS.types)], schema=_GRAMS)
+    width = max(1, len(ids))
+    rows = {"code": np.arange(len(found), dtype=np.int32), "head": gram_ids[found // width], "last": ids[found % width], "n": counts}
+    blobs = {"size": len(codes), "codes": _shut(codes), "ids": ids.tobytes(), "grams": _shut(longer)}
+    return _stacked(_GRAMS, chunk, blobs, rows)
 
 
 def _second_level(left: pa.Table, right: pa.Table) -> pa.Table:
-    size = _column(left, "size")
-    codes = _open(_column(left, "codes"), size)
+    codes = _open(_first(left, "codes"), _first(left, "size"))
     ids = _frequent(right, int(codes.max(initial=NONE)) + 1)
-    codes = np.where((codes >= 0) & (ids[codes] >= 0) if len(ids) else False, codes, np.int32(NONE)).astype(np.int32)
-    return _merge_join(_column(left, "chunk"), codes, ids, codes, ids, 1)
+    codes = _only(codes, ids)
+    return _merge_join(_first(left, "chunk"), codes, ids, codes, ids, 1)
 
 
 def _further_level(k: int):
     def extend(left: pa.Table, right: pa.Table) -> pa.Table:
-        size = _column(left, "size")
-        codes, grams = (_open(_column(left, c), size) for c in ("codes", "grams"))
+        size = _first(left, "size")
+        codes, grams = (_open(_first(left, c), size) for c in ("codes", "grams"))
         gram_ids = _frequent(right, int(grams.max(initial=NONE)) + 1)
-        grams = np.where((grams >= 0) & (gram_ids[grams] >= 0) if len(gram_ids) else False, grams, np.int32(NONE)).astype(np.int32)
-        ids = np.array(_column(left, "ids"), dtype=np.int64)
-        return _merge_join(_column(left, "chunk"), codes, ids, grams, gram_ids, k)
+        ids = np.frombuffer(_first(left, "ids"), dtype=np.int64)
+        return _merge_join(_first(left, "chunk"), codes, ids, _only(grams, gram_ids), gram_ids, k)
 
     return extend
 
 
 def _extended(level: DataFrame, frequent: DataFrame, step) -> DataFrame:
     """The next level from a level and the (chunk, code, id) of its frequent groups."""
-    columns = [c for c in level.columns if c in ("chunk", "size", "codes", "ids", "grams")]
+    left = level.where("codes IS NOT NULL").select(*(c for c in level.columns if c in _OCCURRENCES))
     mine = frequent.withColumnRenamed("chunk", "of_chunk").groupBy("of_chunk")
-    return level.select(*columns).groupBy("chunk").cogroup(mine).applyInArrow(step, _GRAMS_SQL)
+    return left.groupBy("chunk").cogroup(mine).applyInArrow(step, _GRAMS_SQL)
 
 
 def _groups(level: DataFrame) -> DataFrame:
-    """``chunk, code, head, last, n``: the different phrases of each chunk."""
-    zipped = F.arrays_zip(F.col("heads").alias("head"), F.col("lasts").alias("last"), F.col("counts").alias("n"))
-    return level.select("chunk", F.posexplode(zipped).alias("code", "g")).select("chunk", "code", "g.*")
+    """``chunk, code, n`` and what names each different word or phrase of each chunk."""
+    return level.where("code IS NOT NULL").drop("size", "codes", "ids", "grams")
 
 
 # --- from groups to phrases -----------------------------------------------------------
@@ -224,8 +240,7 @@ def mine_phrases(
     """
     with shuffles_removed(docs.sparkSession):
         level = durable(word_occurrences(docs, chunk_words), "words-1")
-        zipped = F.arrays_zip(F.col("langs").alias("lang"), F.col("words").alias("word"), F.col("counts").alias("n"))
-        held = level.select("chunk", F.posexplode(zipped).alias("code", "g")).select("chunk", "code", "g.*")
+        held = _groups(level)
         words = durable(held.groupBy("lang", "word").agg(F.sum("n").alias("f")), "word-counts")
         totals = durable(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
         frequent = words.where(F.col("f") >= min_count)
@@ -239,7 +254,7 @@ def mine_phrases(
             named = counted.join(groups.select(F.col("id").alias("head"), F.col("ids").alias("before")), "head")
             found = durable(named.select("head", "last", F.concat("before", F.array("last")).alias("ids"), "f"), f"frequent-{k}")
             groups = durable(assign_ids(found, ["head", "last"], "id", "bigint"), f"groups-{k}")
-            known = _groups(level).select("chunk", "code", "head", "last").join(groups, ["head", "last"]).select("chunk", "code", "id")
+            known = _groups(level).drop("n").join(groups, ["head", "last"]).select("chunk", "code", "id")
             parts.append(groups.select("id", "ids", "f"))
             step = _further_level(k)
         every = parts[0]
