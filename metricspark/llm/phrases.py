@@ -1,11 +1,12 @@
 """Phrases whose words keep together, mined level by level over stored occurrence relations.
 
-The relation of level k holds, for each position of each piece, the frequent phrase of k words
-that begins there. It is stored sorted by piece and position, some pieces to a chunk (a row), so
-that the merge-join with the relation of single words, on equal piece and position k further
-on, reads both sides in order inside the chunk. Group counts and the semi-join with the
-frequent groups are Spark's: a chunk sends each of its groups once, with its count, and gets
-back the ids of those that are frequent.
+The relation of level k holds, for each position of each piece, the phrase of k words that
+begins there. It is stored sorted by piece and position, some pieces to a chunk (a row), so that
+the merge-join with the relation of single words, on equal piece and position k further on,
+reads both sides in order inside the chunk. For the group count a chunk sends each of its
+different phrases once, with its count; for the semi-join it gets back which are frequent.
+Words travel as rows. Longer phrases are so many that they travel sorted, in one blob for each
+chunk and slot, where a slot takes the phrases of one range of a hash.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ ABSORB = 50
 SCALE = 1_000_000
 #: Words after which a chunk is closed; its last text may run over.
 CHUNK_WORDS = 1 << 19
+#: Words a slot stands for: the most it can have of different phrases, before equal ones of
+#: several chunks meet.
+SLOT_WORDS = 1 << 21
 #: The code of a position that ends a piece or holds an infrequent word or phrase.
 NONE = -1
 NO_LANG = "und"
@@ -47,17 +51,22 @@ def _pieces(text: bytes | None) -> list[list[bytes]]:
     return [p.split() for p in text.translate(_PIECE_BYTES).split(b"\n")] if text else []
 
 
-def _shut(codes: np.ndarray) -> bytes:
-    """Codes byte plane by byte plane, compressed."""
-    planes = np.ascontiguousarray(codes, dtype="<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+def _shut(*arrays: np.ndarray) -> bytes:
+    """Whole numbers of four or eight bytes, byte plane by byte plane, compressed."""
+    planes = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays)
     return pa.compress(planes, "zstd", asbytes=True) if planes else b""
 
 
-def _open(shut: bytes, n: int) -> np.ndarray:
+def _open(shut: bytes, n: int, *types: type) -> list[np.ndarray]:
+    """The arrays of ``n`` numbers of the given types that went into :func:`_shut`."""
     if not n:
-        return np.empty(0, np.int32)
-    planes = np.frombuffer(pa.decompress(shut, 4 * n, "zstd"), np.uint8).reshape(4, n)
-    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+        return [np.empty(0, t) for t in types]
+    widths = [np.dtype(t).itemsize for t in types]
+    planes = np.frombuffer(pa.decompress(shut, n * sum(widths), "zstd"), np.uint8)
+    ends = np.cumsum([0, *widths]) * n
+    return [
+        np.ascontiguousarray(planes[at:to].reshape(w, n).T).view(t).ravel() for at, to, w, t in zip(ends, ends[1:], widths, types)
+    ]
 
 
 # --- the relation of single words -----------------------------------------------------
@@ -74,13 +83,9 @@ _WORDS_SQL = "chunk bigint, size bigint, codes binary, code int, lang string, wo
 
 def _stacked(schema: pa.Schema, chunk: int, blobs: dict, rows: dict) -> pa.Table:
     """The chunk's row of ``blobs`` and its ``rows``, each with nulls for the other's columns."""
-    n = len(next(iter(rows.values())))
-    head = [pa.array([chunk if f.name == "chunk" else blobs.get(f.name)], f.type) for f in schema]
-    tail = [
-        pa.array(rows[f.name], f.type) if f.name in rows else pa.array(np.full(n, chunk)) if f.name == "chunk" else pa.nulls(n, f.type)
-        for f in schema
-    ]
-    return pa.concat_tables([pa.Table.from_arrays(part, schema=schema) for part in (head, tail)])
+    head = {c: [v] for c, v in blobs.items()} | {"chunk": [chunk]}
+    tail = rows | {"chunk": np.full(len(next(iter(rows.values()))), chunk)}
+    return pa.concat_tables([_filled(schema, head), _filled(schema, tail)])
 
 
 def word_occurrences(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFrame:
@@ -125,71 +130,130 @@ def word_occurrences(docs: DataFrame, chunk_words: int = CHUNK_WORDS) -> DataFra
 
 _GRAMS = pa.schema(
     [("chunk", pa.int64()), ("size", pa.int64()), ("codes", pa.binary()), ("ids", pa.binary()), ("grams", pa.binary()),
-     ("code", pa.int32()), ("head", pa.int64()), ("last", pa.int64()), ("n", pa.int64())]
+     ("slot", pa.int64()), ("n", pa.int64()), ("phrases", pa.binary())]
 )
-_GRAMS_SQL = "chunk bigint, size bigint, codes binary, ids binary, grams binary, code int, head bigint, last bigint, n bigint"
+_GRAMS_SQL = "chunk bigint, size bigint, codes binary, ids binary, grams binary, slot bigint, n bigint, phrases binary"
 _OCCURRENCES = ("chunk", "size", "codes", "ids", "grams")
+_COUNTED = pa.schema(
+    [("id", pa.int64()), ("head", pa.int64()), ("last", pa.int64()), ("f", pa.int64()),
+     ("chunk", pa.int64()), ("slot", pa.int64()), ("n", pa.int64()), ("ranks", pa.binary())]
+)
+_COUNTED_SQL = "id bigint, head bigint, last bigint, f bigint, chunk bigint, slot bigint, n bigint, ranks binary"
+#: Odd factors of the hash that deals phrases to slots.
+_MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def _first(table: pa.Table, name: str):
     return table.column(name)[0].as_py()
 
 
-def _frequent(right: pa.Table, size: int) -> np.ndarray:
-    """The id of each code of a chunk, NONE for infrequent ones."""
-    ids = np.full(size, NONE, dtype=np.int64)
-    ids[right.column("code").to_numpy()] = right.column("id").to_numpy()
-    return ids
-
-
 def _only(codes: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """The codes that have an id, NONE for the others: the semi-join's left side."""
     return np.where((codes >= 0) & (ids[codes] >= 0), codes, np.int32(NONE)).astype(np.int32) if len(ids) else codes
 
 
-def _merge_join(chunk: int, codes: np.ndarray, ids: np.ndarray, grams: np.ndarray, gram_ids: np.ndarray, k: int) -> pa.Table:
+def _merge_join(
+    chunk: int, codes: np.ndarray, ids: np.ndarray, grams: np.ndarray, gram_ids: np.ndarray, k: int, slots: int
+) -> pa.Table:
     """Join phrases of ``k`` words with the words ``k`` positions on, both in order of position,
-    and number and count the different phrases of ``k + 1`` words.
+    number the different phrases of ``k + 1`` words by slot, head and last word, and count them.
 
     Code NONE ends a piece, so a phrase and the word behind it are in one piece."""
-    longer = np.full(len(codes), NONE, dtype=np.int32)
     start = np.flatnonzero((grams[: max(0, len(grams) - k)] >= 0) & (codes[k:] >= 0))
     pairs = grams[start].astype(np.int64) * len(ids) + codes[start + k]
-    found, longer[start], counts = np.unique(pairs, return_inverse=True, return_counts=True)
+    found, group, counts = np.unique(pairs, return_inverse=True, return_counts=True)
     width = max(1, len(ids))
-    rows = {"code": np.arange(len(found), dtype=np.int32), "head": gram_ids[found // width], "last": ids[found % width], "n": counts}
-    blobs = {"size": len(codes), "codes": _shut(codes), "ids": ids.tobytes(), "grams": _shut(longer)}
-    return _stacked(_GRAMS, chunk, blobs, rows)
+    heads, lasts = gram_ids[found // width], ids[found % width]
+    mixed = (heads.astype(np.uint64) * _MIX[0]) ^ (lasts.astype(np.uint64) * _MIX[1])
+    slot = ((mixed >> np.uint64(32)) % np.uint64(slots)).astype(np.int64)
+    order = np.lexsort((lasts, heads, slot))
+    number = np.empty(len(order), dtype=np.int32)
+    number[order] = np.arange(len(order), dtype=np.int32)
+    longer = np.full(len(codes), NONE, dtype=np.int32)
+    longer[start] = number[group]
+    heads, lasts, slot, counts = heads[order], lasts[order], slot[order], counts[order]
+    ends = np.flatnonzero(np.diff(slot, prepend=NONE, append=slots))
+    blobs = [
+        _shut(np.diff(heads[at:to], prepend=0), lasts[at:to], counts[at:to].astype(np.int64)) for at, to in zip(ends, ends[1:])
+    ]
+    rows = {"slot": slot[ends[:-1]], "n": np.diff(ends), "phrases": blobs}
+    kept = {"size": len(codes), "codes": _shut(codes), "ids": ids.tobytes(), "grams": _shut(longer)}
+    return _stacked(_GRAMS, chunk, kept, rows)
+
 
+def _second_level(slots: int):
+    def extend(left: pa.Table, right: pa.Table) -> pa.Table:
+        (codes,) = _open(_first(left, "codes"), _first(left, "size"), np.int32)
+        ids = np.full(int(codes.max(initial=NONE)) + 1, NONE, dtype=np.int64)
+        ids[right.column("code").to_numpy()] = right.column("id").to_numpy()
+        codes = _only(codes, ids)
+        return _merge_join(_first(left, "chunk"), codes, ids, codes, ids, 1, slots)
 
-def _second_level(left: pa.Table, right: pa.Table) -> pa.Table:
-    codes = _open(_first(left, "codes"), _first(left, "size"))
-    ids = _frequent(right, int(codes.max(initial=NONE)) + 1)
-    codes = _only(codes, ids)
-    return _merge_join(_first(left, "chunk"), codes, ids, codes, ids, 1)
+    return extend
 
 
-def _further_level(k: int):
+def _further_level(k: int, slots: int):
     def extend(left: pa.Table, right: pa.Table) -> pa.Table:
         size = _first(left, "size")
-        codes, grams = (_open(_first(left, c), size) for c in ("codes", "grams"))
-        gram_ids = _frequent(right, int(grams.max(initial=NONE)) + 1)
+        (codes,), (grams,) = (_open(_first(left, c), size, np.int32) for c in ("codes", "grams"))
         ids = np.frombuffer(_first(left, "ids"), dtype=np.int64)
-        return _merge_join(_first(left, "chunk"), codes, ids, _only(grams, gram_ids), gram_ids, k)
+        held = sorted(zip(*(right.column(c).to_pylist() for c in ("slot", "n", "ranks"))))
+        gram_ids = [np.empty(0, np.int64)]
+        for slot, n, ranks in held:  # in the order the chunk numbered its phrases
+            (rank,) = _open(ranks, n, np.int32)
+            gram_ids.append(np.where(rank >= 0, rank.astype(np.int64) * slots + slot, NONE))
+        gram_ids = np.concatenate(gram_ids)
+        return _merge_join(_first(left, "chunk"), codes, ids, _only(grams, gram_ids), gram_ids, k, slots)
 
     return extend
 
 
+def _count_slot(min_count: int, slots: int):
+    """Add up the counts of a slot's phrases over all chunks; a frequent phrase gets its rank
+    times ``slots`` plus the slot as id, and each chunk the ranks of its own, NONE for the rest."""
+
+    def add_up(table: pa.Table) -> pa.Table:
+        slot, sizes = _first(table, "slot"), table.column("n").to_pylist()
+        parts = [_open(b, n, np.int64, np.int64, np.int64) for b, n in zip(table.column("phrases").to_pylist(), sizes)]
+        heads = np.concatenate([np.cumsum(h) for h, _, _ in parts])
+        lasts, counts = (np.concatenate([p[c] for p in parts]) for c in (1, 2))
+        order = np.lexsort((lasts, heads))
+        heads, lasts = heads[order], lasts[order]
+        opens = np.append(True, (np.diff(heads) != 0) | (np.diff(lasts) != 0))
+        at = np.flatnonzero(opens)
+        f = np.add.reduceat(counts[order], at)
+        frequent = f >= min_count
+        rank = np.where(frequent, np.cumsum(frequent) - 1, NONE).astype(np.int32)
+        own = np.empty(len(order), dtype=np.int32)
+        own[order] = rank[np.cumsum(opens) - 1]
+        held = at[frequent]
+        found = {"id": np.arange(len(held)) * slots + slot, "head": heads[held], "last": lasts[held], "f": f[frequent]}
+        replies = {
+            "chunk": table.column("chunk"), "slot": table.column("slot"), "n": table.column("n"),
+            "ranks": [_shut(r) for r in np.split(own, np.cumsum(sizes)[:-1])],
+        }
+        return pa.concat_tables([_filled(_COUNTED, found), _filled(_COUNTED, replies)])
+
+    return add_up
+
+
+def _filled(schema: pa.Schema, columns: dict) -> pa.Table:
+    """The columns, with nulls for those the schema has besides."""
+    n = len(next(iter(columns.values())))
+    given = lambda c: columns[c.name].combine_chunks() if isinstance(columns[c.name], pa.ChunkedArray) else pa.array(columns[c.name], c.type)
+    return pa.Table.from_arrays([given(c) if c.name in columns else pa.nulls(n, c.type) for c in schema], schema=schema)
+
+
 def _extended(level: DataFrame, frequent: DataFrame, step) -> DataFrame:
-    """The next level from a level and the (chunk, code, id) of its frequent groups."""
+    """The next level from a level and what its chunks know of their frequent groups."""
     left = level.where("codes IS NOT NULL").select(*(c for c in level.columns if c in _OCCURRENCES))
     mine = frequent.withColumnRenamed("chunk", "of_chunk").groupBy("of_chunk")
     return left.groupBy("chunk").cogroup(mine).applyInArrow(step, _GRAMS_SQL)
 
 
-def _groups(level: DataFrame) -> DataFrame:
-    """``chunk, code, n`` and what names each different word or phrase of each chunk."""
-    return level.where("code IS NOT NULL").drop("size", "codes", "ids", "grams")
+def _counted(level: DataFrame, min_count: int, slots: int) -> DataFrame:
+    sent = level.where("slot IS NOT NULL").select("slot", "chunk", "n", "phrases")
+    return sent.groupBy("slot").applyInArrow(_count_slot(min_count, slots), _COUNTED_SQL)
 
 
 # --- from groups to phrases -----------------------------------------------------------
@@ -235,28 +299,29 @@ def mine_phrases(
     to the smaller phrase. Other columns are not read.
 
     A chunk takes whole texts, so the memory of a task is that of ``chunk_words`` words and the
-    longest text. A word or phrase that is a third of all rows is one row per chunk wherever
-    rows are dealt by it.
+    longest text, or of a slot: there are as many slots as the corpus has ``SLOT_WORDS`` words.
+    A word or phrase that is a third of all rows is one row or entry per chunk wherever it is
+    counted.
     """
     with shuffles_removed(docs.sparkSession):
         level = durable(word_occurrences(docs, chunk_words), "words-1")
-        held = _groups(level)
+        held = level.where("code IS NOT NULL").drop("size", "codes")
         words = durable(held.groupBy("lang", "word").agg(F.sum("n").alias("f")), "word-counts")
         totals = durable(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
+        slots = 1 + (totals.agg(F.sum("n")).first()[0] or 0) // SLOT_WORDS
         frequent = words.where(F.col("f") >= min_count)
         dictionary = durable(assign_ids(frequent, ["lang", "word"], "id", "bigint"), "dictionary")
         known = held.drop("n").join(dictionary.select("lang", "word", "id"), ["lang", "word"]).select("chunk", "code", "id")
         groups = dictionary.select("id", F.array("id").alias("ids"), "f")
-        parts, step = [groups], _second_level
+        parts, step = [groups], _second_level(slots)
         for k in range(2, max_words + 1):
             level = durable(_extended(level, known, step), f"phrases-{k}")
-            counted = _groups(level).groupBy("head", "last").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-            named = counted.join(groups.select(F.col("id").alias("head"), F.col("ids").alias("before")), "head")
-            found = durable(named.select("head", "last", F.concat("before", F.array("last")).alias("ids"), "f"), f"frequent-{k}")
-            groups = durable(assign_ids(found, ["head", "last"], "id", "bigint"), f"groups-{k}")
-            known = _groups(level).drop("n").join(groups, ["head", "last"]).select("chunk", "code", "id")
-            parts.append(groups.select("id", "ids", "f"))
-            step = _further_level(k)
+            counted = durable(_counted(level, min_count, slots), f"counted-{k}")
+            named = counted.where("id IS NOT NULL").join(groups.select(F.col("id").alias("head"), F.col("ids").alias("before")), "head")
+            groups = durable(named.select("id", F.concat("before", F.array("last")).alias("ids"), "f"), f"groups-{k}")
+            known = counted.where("chunk IS NOT NULL").select("chunk", "slot", "n", "ranks")
+            parts.append(groups)
+            step = _further_level(k, slots)
         every = parts[0]
         for more in parts[1:]:
             every = every.unionByName(more)
