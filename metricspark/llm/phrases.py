@@ -33,8 +33,7 @@ ABSORB = 50
 SCALE = 1_000_000
 #: Words after which a chunk is closed; its last text may run over.
 CHUNK_WORDS = 1 << 19
-#: Words a slot stands for: the most it can have of different phrases, before equal ones of
-#: several chunks meet.
+#: Words of the corpus for each slot, so about the most entries that a slot adds up.
 SLOT_WORDS = 1 << 21
 #: The code of a position that ends a piece or holds an infrequent word or phrase.
 NONE = -1
@@ -153,10 +152,11 @@ def _only(codes: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 
 def _merge_join(
-    chunk: int, codes: np.ndarray, ids: np.ndarray, grams: np.ndarray, gram_ids: np.ndarray, k: int, slots: int
+    chunk: int, codes: np.ndarray, ids: np.ndarray, grams: np.ndarray, gram_ids: np.ndarray, k: int, slots: int, last: bool
 ) -> pa.Table:
     """Join phrases of ``k`` words with the words ``k`` positions on, both in order of position,
     number the different phrases of ``k + 1`` words by slot, head and last word, and count them.
+    The occurrences are kept unless this is the ``last`` level.
 
     Code NONE ends a piece, so a phrase and the word behind it are in one piece."""
     start = np.flatnonzero((grams[: max(0, len(grams) - k)] >= 0) & (codes[k:] >= 0))
@@ -177,40 +177,42 @@ def _merge_join(
         _shut(np.diff(heads[at:to], prepend=0), lasts[at:to], counts[at:to].astype(np.int64)) for at, to in zip(ends, ends[1:])
     ]
     rows = {"slot": slot[ends[:-1]], "n": np.diff(ends), "phrases": blobs}
-    kept = {"size": len(codes), "codes": _shut(codes), "ids": ids.tobytes(), "grams": _shut(longer)}
+    kept = {} if last else {"size": len(codes), "codes": _shut(codes), "ids": _shut(ids), "grams": _shut(longer)}
     return _stacked(_GRAMS, chunk, kept, rows)
 
 
-def _second_level(slots: int):
+def _second_level(slots: int, last: bool):
     def extend(left: pa.Table, right: pa.Table) -> pa.Table:
         (codes,) = _open(_first(left, "codes"), _first(left, "size"), np.int32)
         ids = np.full(int(codes.max(initial=NONE)) + 1, NONE, dtype=np.int64)
         ids[right.column("code").to_numpy()] = right.column("id").to_numpy()
         codes = _only(codes, ids)
-        return _merge_join(_first(left, "chunk"), codes, ids, codes, ids, 1, slots)
+        ids = ids[: int(codes.max(initial=NONE)) + 1]
+        return _merge_join(_first(left, "chunk"), codes, ids, codes, ids, 1, slots, last)
 
     return extend
 
 
-def _further_level(k: int, slots: int):
+def _further_level(k: int, slots: int, last: bool):
     def extend(left: pa.Table, right: pa.Table) -> pa.Table:
         size = _first(left, "size")
         (codes,), (grams,) = (_open(_first(left, c), size, np.int32) for c in ("codes", "grams"))
-        ids = np.frombuffer(_first(left, "ids"), dtype=np.int64)
+        (ids,) = _open(_first(left, "ids"), int(codes.max(initial=NONE)) + 1, np.int64)
         held = sorted(zip(*(right.column(c).to_pylist() for c in ("slot", "n", "ranks"))))
         gram_ids = [np.empty(0, np.int64)]
         for slot, n, ranks in held:  # in the order the chunk numbered its phrases
             (rank,) = _open(ranks, n, np.int32)
             gram_ids.append(np.where(rank >= 0, rank.astype(np.int64) * slots + slot, NONE))
         gram_ids = np.concatenate(gram_ids)
-        return _merge_join(_first(left, "chunk"), codes, ids, _only(grams, gram_ids), gram_ids, k, slots)
+        return _merge_join(_first(left, "chunk"), codes, ids, _only(grams, gram_ids), gram_ids, k, slots, last)
 
     return extend
 
 
-def _count_slot(min_count: int, slots: int):
+def _count_slot(min_count: int, slots: int, last: bool):
     """Add up the counts of a slot's phrases over all chunks; a frequent phrase gets its rank
-    times ``slots`` plus the slot as id, and each chunk the ranks of its own, NONE for the rest."""
+    times ``slots`` plus the slot as id, and each chunk, unless the level is the ``last``, the
+    ranks of its own, NONE for the rest."""
 
     def add_up(table: pa.Table) -> pa.Table:
         slot, sizes = _first(table, "slot"), table.column("n").to_pylist()
@@ -228,6 +230,8 @@ def _count_slot(min_count: int, slots: int):
         own[order] = rank[np.cumsum(opens) - 1]
         held = at[frequent]
         found = {"id": np.arange(len(held)) * slots + slot, "head": heads[held], "last": lasts[held], "f": f[frequent]}
+        if last:
+            return _filled(_COUNTED, found)
         replies = {
             "chunk": table.column("chunk"), "slot": table.column("slot"), "n": table.column("n"),
             "ranks": [_shut(r) for r in np.split(own, np.cumsum(sizes)[:-1])],
@@ -251,9 +255,9 @@ def _extended(level: DataFrame, frequent: DataFrame, step) -> DataFrame:
     return left.groupBy("chunk").cogroup(mine).applyInArrow(step, _GRAMS_SQL)
 
 
-def _counted(level: DataFrame, min_count: int, slots: int) -> DataFrame:
+def _counted(level: DataFrame, min_count: int, slots: int, last: bool) -> DataFrame:
     sent = level.where("slot IS NOT NULL").select("slot", "chunk", "n", "phrases")
-    return sent.groupBy("slot").applyInArrow(_count_slot(min_count, slots), _COUNTED_SQL)
+    return sent.groupBy("slot").applyInArrow(_count_slot(min_count, slots, last), _COUNTED_SQL)
 
 
 # --- from groups to phrases -----------------------------------------------------------
@@ -313,15 +317,15 @@ def mine_phrases(
         dictionary = durable(assign_ids(frequent, ["lang", "word"], "id", "bigint"), "dictionary")
         known = held.drop("n").join(dictionary.select("lang", "word", "id"), ["lang", "word"]).select("chunk", "code", "id")
         groups = dictionary.select("id", F.array("id").alias("ids"), "f")
-        parts, step = [groups], _second_level(slots)
+        parts, step = [groups], _second_level(slots, max_words == 2)
         for k in range(2, max_words + 1):
             level = durable(_extended(level, known, step), f"phrases-{k}")
-            counted = durable(_counted(level, min_count, slots), f"counted-{k}")
+            counted = durable(_counted(level, min_count, slots, k == max_words), f"counted-{k}")
             named = counted.where("id IS NOT NULL").join(groups.select(F.col("id").alias("head"), F.col("ids").alias("before")), "head")
             groups = durable(named.select("id", F.concat("before", F.array("last")).alias("ids"), "f"), f"groups-{k}")
             known = counted.where("chunk IS NOT NULL").select("chunk", "slot", "n", "ranks")
             parts.append(groups)
-            step = _further_level(k, slots)
+            step = _further_level(k, slots, k + 1 == max_words)
         every = parts[0]
         for more in parts[1:]:
             every = every.unionByName(more)
