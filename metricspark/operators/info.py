@@ -10,14 +10,14 @@ from metricspark.operators.settings import effective_settings
 from metricspark.schema import Catalog
 
 
-def metric_info(catalog: Catalog, facts: DataFrame) -> DataFrame:
+def metric_info(catalog: Catalog, summary: DataFrame) -> DataFrame:
     """One row per metric: settings in force, sorted label keys, and what is stored.
 
-    The facts are reduced to one row per series before anything else; the chunk counts read
-    partition columns only.
+    Reads the summary of series and chunks, never the facts; it shrinks to a row per series
+    before anything else.
     """
-    per_series = facts.groupBy("metric_id", "series_id").agg(
-        F.count(F.lit(1)).alias("n"), F.min("time").alias("first"), F.max("time").alias("last")
+    per_series = summary.groupBy("metric_id", "series_id").agg(
+        F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last")
     )
     samples = per_series.groupBy("metric_id").agg(
         F.sum("n").alias("n_samples"),
@@ -26,7 +26,7 @@ def metric_info(catalog: Catalog, facts: DataFrame) -> DataFrame:
         F.max("last").alias("last_time"),
     )
     chunks = (
-        facts.select("metric_id", "chunk_start").distinct().groupBy("metric_id").agg(F.count(F.lit(1)).alias("n_chunks"))
+        summary.select("metric_id", "chunk_start").distinct().groupBy("metric_id").agg(F.count(F.lit(1)).alias("n_chunks"))
     )
     keys = catalog.label_key_position.groupBy("metric_name").agg(
         F.array_sort(F.collect_list("key")).alias("label_keys")

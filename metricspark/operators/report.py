@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from metricspark.functions.text import format_bytes
 
 INTERVAL_S = 300
+COUNTERS = (
+    "scrapes", "scrape_errors", "scrape_timeouts", "scrape_refused", "writes", "write_errors", "write_skips",
+    "new_series", "response_bytes", "response_bytes_peak",
+)
+REPORT = T.StructType([T.StructField(c, T.LongType()) for c in ("interval_start", *COUNTERS)])
 
 
 def counters() -> list[Column]:

@@ -17,10 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    return table(spark, sf_dir, name).select(*columns)
-
-
 def _text(value: Column) -> Column:
     return value.cast("string")
 
@@ -31,7 +27,7 @@ def event_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     Labels: ``user``, ``k`` from the JSON properties, ``tier`` on even users only (an inner
     gap) and ``zone`` on every third user only (the last position).
     """
-    e = spread_table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     own = labels_of(
         [
             ("user", _text(F.col("user_id"))),
@@ -69,7 +65,7 @@ def coarse_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lineitem_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as samples: metric by return flag, labels line status and supplier."""
     columns = ("l_returnflag", "l_linestatus", "l_suppkey", "l_extendedprice", "l_shipdate")
-    li = spread_table(spark, sf_dir, "lineitem", *columns)
+    li = table(spark, sf_dir, "lineitem").select(*columns)
     return li.select(
         F.col("l_returnflag").alias("name"),
         labels_of([("status", F.col("l_linestatus")), ("supplier", _text(F.col("l_suppkey")))]).alias("labels"),
@@ -119,7 +115,7 @@ def event_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dump per document: its whole text, escaped, as a label value."""
-    d = spread_table(spark, sf_dir, "documents", "doc_id", "lang", "text", "n_chars")
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "text", "n_chars")
     return d.select(
         _text(F.col("doc_id")).alias("doc_id"),
         F.lit("docs").alias("target"),
@@ -135,7 +131,7 @@ def text_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def family_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dump per order: a counter, a summary, a histogram, an undeclared and a bad line."""
-    o = spread_table(spark, sf_dir, "orders", "o_orderkey", "o_orderstatus", "o_totalprice")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     key = _text(F.col("o_orderkey"))
     total = _text(F.col("o_totalprice"))
     late = F.when(F.col("o_orderkey") % 3 == 0, "gauge").otherwise("counter")

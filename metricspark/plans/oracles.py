@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 DAY_S = 86400
 NOW_S = 1706677200
+MADE_S = 1705363300
 
 # Event samples, their label pairs, and the dictionaries made of them.
 _SAMPLES = """
@@ -357,6 +358,33 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_type AS metric_name, count(*) * CASE event_type WHEN 'view' THEN 2 ELSE 1 END AS n,
               sum(CAST(round(value * 100) AS BIGINT)) * CASE event_type WHEN 'view' THEN 2 ELSE 1 END AS cents
             FROM events GROUP BY event_type""",
+        "compact_chunks": _with(
+            _SERIES,
+            """, h AS (SELECT *, sec - sec % 864000 AS chunk_start, event_id % 3 AS batch FROM f)
+            SELECT name AS metric_name, chunk_start, count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents, count(*) AS n_summary,
+              count(DISTINCT labels) AS n_series,
+              CASE WHEN chunk_start + 864000 <= 1706400000 THEN 1 ELSE count(DISTINCT batch) END AS parts,
+              chunk_start + 864000 <= 1706400000 OR count(DISTINCT labels) = count(DISTINCT (labels, batch)) AS summary_merged
+            FROM h GROUP BY name, chunk_start""",
+        ),
+        "batch_outcomes": """
+            SELECT event_id % 2 AS batch_id, event_type AS metric_name, count(*) AS n FROM events GROUP BY ALL""",
+        "store_refuses_other_batch": """
+            SELECT event_type AS metric_name, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents, 1 AS refused
+            FROM events WHERE event_id % 2 = 0 GROUP BY event_type""",
+        "drop_metric_chunks": _with(
+            _CHUNKS,
+            """SELECT name AS metric_name, count(*) AS n_left, count(*) AS n_summary, count(DISTINCT labels) AS series_left
+            FROM c WHERE name <> 'view' OR sec >= 1705363200 GROUP BY name""",
+        ),
+        "target_made_anew": _with(
+            _DUMPS,
+            f""", b AS (
+              SELECT doc, greatest(scrape_ts - 300, coalesce(
+                lag(scrape_ts) OVER (PARTITION BY target, scrape_ts < {MADE_S} ORDER BY scrape_ts, doc),
+                CASE WHEN scrape_ts < {MADE_S} THEN 0 ELSE {MADE_S} END)) AS min_ts FROM docs)
+            SELECT event_type AS metric_name, ms, cents FROM l JOIN b ON b.doc = l.doc WHERE ms // 1000 >= min_ts""",
+        ),
         "label_info": _LABEL_INFO,
         "label_values_of_series": _with(
             _SERIES,
@@ -501,6 +529,8 @@ def oracle_sql() -> dict[str, str]:
                 ELSE printf('%.1f KiB', CAST(response_bytes_peak AS DOUBLE) * 100 / 1024) END AS peak_text
             FROM ({_INGEST_REPORT})""",
         "stream_report_events": _INGEST_REPORT,
+        "stream_report_restarted": _INGEST_REPORT,
+        "stream_targets_restarted": _FOLDED,
         "stream_bookmark_rows": _with(
             _DUMPS + _BOOKMARKS, "SELECT CAST(doc AS VARCHAR) AS doc_id, target, scrape_ts, min_ts FROM b"
         ),

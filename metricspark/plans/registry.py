@@ -25,8 +25,9 @@ from metricspark.operators import age, encode, info, remote_write, report, reten
 from metricspark.operators.dictionary import get_or_create_metrics
 from metricspark.plans import fixtures
 from metricspark.plans.ingest import Ingested, ingest
-from metricspark.plans.store import MetricStore
-from metricspark.schema import Catalog
+from metricspark.plans.scrapes import ingest_dumps
+from metricspark.plans.store import MetricStore, OtherBatch
+from metricspark.schema import LABELS, Catalog
 from metricspark.session import durable, fresh_folder
 from metricspark.sources import exposition, label_json, pods
 from metricspark.streaming.bookmarks import stream_bookmarks
@@ -36,6 +37,7 @@ from metricspark.streaming.targets import stream_targets, target_set
 
 DAY_S = 86400
 NOW_S = 1706677200  # 2024-01-31 05:00 UTC
+MADE_S = 1705363300  # when the targets of a query are made anew
 OWN_NAMESPACE = "own.example"
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -273,7 +275,7 @@ def chunk_list(spark, sf_dir):
     """CFG5, J16"""
     store = event_store(spark, sf_dir)
     return (
-        store.facts().groupBy("metric_id", "chunk_start", "chunk_end").agg(F.count(F.lit(1)).alias("n"))
+        store.summary().groupBy("metric_id", "chunk_start", "chunk_end").agg(F.sum("n").alias("n"))
         .join(store.catalog().metric.select("metric_id", "metric_name"), "metric_id")
         .select("metric_name", "chunk_start", "chunk_end", "n")
     )
@@ -285,7 +287,7 @@ def backfill_chunks(spark, sf_dir):
     store = write_event_store(spark, sf_dir)
     purchase = selectors.metric_id(store.catalog(), "purchase")
     late = store.facts().filter(F.col("metric_id") == purchase).withColumn("value", -F.col("value"))
-    store.rewrite_chunks(late)
+    store.rewrite_chunks(late, 1)
     return (
         store.facts().join(store.catalog().metric.select("metric_id", "metric_name"), "metric_id")
         .groupBy("metric_name", "chunk_start").agg(F.count(F.lit(1)).alias("n"), F.sum(cents(F.col("value"))).alias("cents"))
@@ -316,11 +318,88 @@ def store_replay_after_rewrite(spark, sf_dir):
     events = fixtures.event_samples(spark, sf_dir)
     store.write_batch(events, 0)
     late = durable(store.facts().where(F.col("metric_id") == selectors.metric_id(store.catalog(), "view")), "late")
-    store.rewrite_chunks(late)
+    store.rewrite_chunks(late, 0, "late")
     store.write_batch(events, 0)
     return _stored_sums(store)
 
 
+def _small_store(spark: SparkSession, name: str) -> MetricStore:
+    store = MetricStore(spark, fresh_folder(spark, name))
+    store.replace_catalog(settings.set_default(store.catalog(), settings.CHUNK_INTERVAL, 10 * DAY_S))
+    return store
+
+
+@query
+def compact_chunks(spark, sf_dir):
+    """SNK1, RET4: chunks of three batches merged; sums of facts and summary, and parts per chunk"""
+    store = _small_store(spark, "merged-store")
+    events = fixtures.event_samples(spark, sf_dir)
+    for n in range(3):
+        store.write_batch(events.where(F.col("event_id") % 3 == n), n)
+    store.compact_chunks(1706400000)
+    chunk = ["metric_id", "chunk_start", "chunk_end"]
+    facts = store.facts().groupBy(*chunk).agg(F.count(F.lit(1)).alias("n"), F.sum(cents(F.col("value"))).alias("cents"))
+    summed = store.summary().groupBy(*chunk).agg(
+        F.sum("n").alias("n_summary"), F.countDistinct("series_id").alias("n_series"), F.count(F.lit(1)).alias("n_rows")
+    )
+    parts = store.log.frame(store.log.state().of("samples")).groupBy(*chunk).agg(F.count(F.lit(1)).alias("parts"))
+    named = facts.join(summed, chunk).join(parts, chunk).join(store.catalog().metric.select("metric_id", "metric_name"), "metric_id")
+    merged = F.col("n_rows") == F.col("n_series")
+    return named.select("metric_name", "chunk_start", "n", "cents", "n_summary", "n_series", "parts", merged.alias("summary_merged"))
+
+
+@query
+def batch_outcomes(spark, sf_dir):
+    """SNK1: what each batch stored in each metric, as the commits tell"""
+    store = _small_store(spark, "outcomes")
+    events = fixtures.event_samples(spark, sf_dir)
+    for n in range(2):
+        store.write_batch(events.where(F.col("event_id") % 2 == n), n)
+    return store.outcomes().join(store.catalog().metric, "metric_id").select("batch_id", "metric_name", F.col("rows").alias("n"))
+
+
+@query
+def store_refuses_other_batch(spark, sf_dir):
+    """SNK1: a batch, the same rows in another order, and other rows under its identity"""
+    store = _small_store(spark, "refusals")
+    events = fixtures.event_samples(spark, sf_dir)
+    even = events.where(F.col("event_id") % 2 == 0)
+    store.write_batch(even, 0)
+    store.write_batch(even.repartition(5, "event_id"), 0)
+    refused = 0
+    try:
+        store.write_batch(events.where(F.col("event_id") % 2 == 1), 0)
+    except OtherBatch:
+        refused = 1
+    return _stored_sums(store).withColumn("refused", F.lit(refused))
+
+
+@query
+def drop_metric_chunks(spark, sf_dir):
+    """RET2: one metric of a store before a given time; what is left, by facts and by summary"""
+    store = write_event_store(spark, sf_dir)
+    store.drop_metric_chunks("view", 1705363200)
+    c = store.catalog()
+    facts = store.facts().groupBy("metric_id").agg(F.count(F.lit(1)).alias("n_left"))
+    summed = store.summary().groupBy("metric_id").agg(F.sum("n").alias("n_summary"))
+    series = c.series.groupBy("metric_id").agg(F.count(F.lit(1)).alias("series_left"))
+    named = c.metric.join(facts, "metric_id").join(summed, "metric_id").join(series, "metric_id")
+    return named.select("metric_name", "n_left", "n_summary", "series_left")
+
+
+@query
+def target_made_anew(spark, sf_dir):
+    """FLT1: dumps before and after all targets were deleted and made again at one time"""
+    store = _small_store(spark, "made-anew")
+    docs = fixtures.event_dumps(spark, sf_dir)
+    early = F.col("scrape_ts") < MADE_S
+    ingest_dumps(store, docs.where(early), 0)
+    made = docs.select(F.col("target").alias("name"), F.array().cast(LABELS).alias("labels"), F.lit(MADE_S).cast("bigint").alias("last_scrape"))
+    ingest_dumps(store, docs.where(~early), 1, targets=made.distinct())
+    named = store.facts().join(store.catalog().metric, "metric_id")
+    return named.select("metric_name", F.unix_millis("time").alias("ms"), cents(F.col("value")).alias("cents"))
+
+
 # -- selectors -----------------------------------------------------------------------------
 
 
@@ -464,7 +543,7 @@ def metric_info(spark, sf_dir):
     """AGG8, J12, J13"""
     store = event_store(spark, sf_dir)
     c = settings.set_metric(store.catalog(), settings.RETENTION_PERIOD, "click", DAY_S)
-    return info.metric_info(c, store.facts()).select(
+    return info.metric_info(c, store.summary()).select(
         "metric_name", "table_name", "retention_s", "chunk_interval_s", F.array_join("label_keys", ",").alias("label_keys"),
         "n_samples", "n_series", micros("first_time").alias("first_us"), micros("last_time").alias("last_us"), "n_chunks",
     )
@@ -525,9 +604,10 @@ def _retention_catalog(store: MetricStore) -> Catalog:
 
 
 def _dropped(spark, sf_dir, scope: str = "all") -> tuple[retention.Retention, Catalog]:
+    """What a retention run would drop. The settings of the stored catalog are left as they are."""
     store = event_store(spark, sf_dir)
     c = _retention_catalog(store)
-    run = lambda: retention.drop_chunks(c, store.facts(), NOW_S, scope)
+    run = lambda: store.retention(retention.period_limits(c, NOW_S), scope)
     return _once(f"retention-{scope}", spark, sf_dir, run), c
 
 
@@ -536,7 +616,7 @@ def expired_metrics(spark, sf_dir):
     """RET1, J11"""
     store = event_store(spark, sf_dir)
     c = settings.set_metric(_retention_catalog(store), settings.RETENTION_PERIOD, "click", 60 * DAY_S)
-    return retention.expired_metrics(c, store.facts(), NOW_S).select("metric_name")
+    return retention.expired_metrics(c, store.summary(), NOW_S).select("metric_name")
 
 
 @query
@@ -580,14 +660,15 @@ def retention_labels_expired(spark, sf_dir):
     )
     p = ingest(samples, Catalog.empty(spark))
     c = settings.set_default(p.catalog, settings.RETENTION_PERIOD, 10 * DAY_S)
-    return retention.drop_chunks(c, p.facts, NOW_S).dropped_labels.select("key", "value")
+    summary, use = retention.chunk_summary(p.facts), retention.label_use(c.series)
+    return retention.drop_chunks(c, summary, use, NOW_S).dropped_labels.select("key", "value")
 
 
 @query
 def retention_facts(spark, sf_dir):
     """RET3: what is left per metric, and what is dropped"""
     r, c = _dropped(spark, sf_dir)
-    left = r.facts.groupBy("metric_id").agg(F.count(F.lit(1)).alias("n_left"), F.countDistinct("chunk_start").alias("chunks_left"))
+    left = r.remaining(event_store(spark, sf_dir).facts()).groupBy("metric_id").agg(F.count(F.lit(1)).alias("n_left"), F.countDistinct("chunk_start").alias("chunks_left"))
     gone = r.dropped_chunks.groupBy("metric_id").agg(F.count(F.lit(1)).alias("chunks_dropped"))
     series = r.catalog.series.groupBy("metric_id").agg(F.count(F.lit(1)).alias("series_left"))
     out = c.metric.join(left, "metric_id", "left").join(gone, "metric_id", "left").join(series, "metric_id", "left")
@@ -819,6 +900,30 @@ def stream_report_events(spark, sf_dir):
     return read_report(spark, folder)
 
 
+@query
+def stream_report_restarted(spark, sf_dir):
+    """STR5: the log in two streams, the second with a new checkpoint over the same folder"""
+    log = fixtures.scrape_log(spark, sf_dir)
+    folder = fresh_folder(spark, "report")
+    for odd in (0, 1):
+        half = _stream_of(spark, log.where(F.col("scrape_ts") % 2 == odd), "scrape-log")
+        stream_report(half, folder, fresh_folder(spark, "report-state")).awaitTermination()
+    return read_report(spark, folder)
+
+
+@query
+def stream_targets_restarted(spark, sf_dir):
+    """STR3: the later events come with a new checkpoint and meet the targets of the first stream"""
+    events = fixtures.pod_events(spark, sf_dir)
+    out = fresh_folder(spark, "targets")
+    first = F.col("event_time") < F.timestamp_seconds(F.lit(1705363200))
+    for half in (events.where(first), events.where(~first)):
+        log = _stream_of(spark, half, "pod-events")
+        stream_targets(log, out, fresh_folder(spark, "targets-state"), OWN_NAMESPACE).awaitTermination()
+    t = target_set(spark, out).latest()
+    return t.select("name", "url", labels_text(F.col("labels")).alias("labels"), "last_scrape")
+
+
 @query
 def stream_bookmark_rows(spark, sf_dir):
     """STR2"""

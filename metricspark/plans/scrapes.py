@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from metricspark.functions.labels import with_static_labels
 from metricspark.operators.age import age_filter, bookmarks, last_scrapes
 from metricspark.operators.remote_write import time_series, write_requests
-from metricspark.plans.store import MANUAL, MetricStore
+from metricspark.plans.store import MANUAL, SAMPLES, MetricStore, batch_digest
 from metricspark.session import durable, scratch
 from metricspark.sources.exposition import parse_exposition
 
@@ -37,22 +37,24 @@ def ingest_dumps(
 ) -> BatchCounts:
     """Parse dumps, leave out old samples, add labels, and write to one of two sinks.
 
-    ``targets`` (``name, labels``, and ``last_scrape`` if known) gives each target's labels;
-    until a target has a bookmark, its ``last_scrape``, set to the time it was created, is
-    the bookmark. Parsing is the costly step and ingest reads the samples more than once, so
-    they are parsed into a table first. A batch that ``writer`` has committed is skipped; one
-    that failed replaces what it wrote.
+    ``targets`` (``name, labels``, and ``last_scrape`` if known) gives each target's labels. The
+    later of a target's bookmark and its ``last_scrape``, set to the time it was made, is where
+    it starts, so a target that was deleted and made anew starts anew. Parsing is the costly step
+    and ingest reads the samples more than once, so they are parsed into a table first. A batch
+    that ``writer`` has committed is skipped, and other dumps under its id are refused; one that
+    failed replaces what it wrote.
     """
     if sink not in SINKS:
         raise ValueError(f"unknown sink {sink!r}, not one of {SINKS}")
-    done = store.committed(writer, batch_id)
+    digest = batch_digest(docs.select("doc_id", "target", "scrape_ts", "body"))
+    done = store.committed(writer, batch_id, digest)
     if done:
         return BatchCounts(done["parsed"], done["written"], done["parsed"] - done["written"])
-    seq = store.take_number()
-    before = store.bookmarks().latest(seq)
+    seq = store.next_version()
+    before = known = store.bookmarks()
     if targets is not None and "last_scrape" in targets.columns:
         made = targets.where("last_scrape IS NOT NULL").select(F.col("name").alias("target"), "last_scrape")
-        before = before.unionByName(made.join(before.select("target"), "target", "left_anti"))
+        before = last_scrapes(made.withColumnRenamed("last_scrape", "scrape_ts"), known)
     with scratch(store.spark):
         columns = ("doc_id", "target", "scrape_ts", "line", "name", "labels", "value", "sample_kind", "time", "ts")
         staged = durable(parse_exposition(docs, timestamp_unit=timestamp_unit).select(*columns), "parsed")
@@ -65,12 +67,13 @@ def ingest_dumps(
             target_labels = F.col("target_labels")
         if sink == "table":
             labelled = samples.withColumn("labels", with_static_labels(F.col("labels"), static, target_labels))
-            written = store.stage_batch(labelled, seq)
+            rows = store.stage_batch(labelled, seq)
+            written = sum(row["n"] for row in rows if row["part_of"] == SAMPLES)
         else:
             folder = f"{store.root}/write_requests/batch_id={seq}"
             write_requests(time_series(samples, static, target_labels)).write.mode("overwrite").parquet(folder)
-            written = store.spark.read.parquet(folder).count()
-        store.bookmarks().write(last_scrapes(scrapes, before), seq)
+            rows, written = [], store.spark.read.parquet(folder).count()
+        rows += store.replaced_part("bookmarks", last_scrapes(scrapes, before), seq)
         parsed = staged.count()
-        store.commit(seq, writer, batch_id, parsed, written)
+        store.commit(seq, rows, writer, batch_id, digest, parsed, written)
     return BatchCounts(parsed, written, parsed - written)

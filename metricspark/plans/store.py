@@ -1,38 +1,43 @@
-"""The stored form: dimension folders and one chunked fact table, written with parquet.
+"""The stored form: dimension tables and one chunked fact table, written with parquet.
 
-A batch is known by its writer and the writer's batch id. Each attempt at it gets the store's
-next sequence number, under which its rows are written; they count once the number is
-committed. A batch that is committed is not written again, even if its chunks have been
-merged since.
+Every change to a store is a version of its log (see ``manifest``): a batch, a merge of chunks,
+a retention run, new settings. Its files lie under its number and are never changed.
 
-``<root>/<dimension>/generation=<g>/batch_id=<sequence>`` holds the dimensions. Retention
-writes the dimensions anew as the next generation; the highest generation listed in
-``<root>/generations`` is the one in force.
+``<root>/<dimension>/<version>`` holds the rows a version adds to a dimension.
+``<root>/samples/seq=<version>/metric_id=…/chunk_start=…/chunk_end=…`` holds the facts, and
+``<root>/summary/seq=<version>`` one row per series and chunk of them. ``label_use`` counts the
+series that use a label, in changes that add up.
 
-``<root>/samples/metric_id=…/chunk_start=…/chunk_end=…/batch_id=…`` holds the facts.
+A batch is known by its writer, the writer's batch id and a digest of its rows. A batch that is
+committed is not written again, even if its chunks were merged since; other rows under the same
+identity are refused.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricspark.operators.retention import drop_chunks
+from metricspark.operators.retention import CHUNK, Retention, chunk_summary, drop_old, label_use, metric_limit, period_limits
 from metricspark.plans.ingest import ingest
-from metricspark.plans.snapshots import Snapshots, read_or_empty
+from metricspark.plans.manifest import ADD, COMMIT, DROP, MANUAL, Manifest, chunk_rows, part
 from metricspark.schema import (
     BOOKMARK,
     FACT,
     LABEL,
     LABEL_KEY,
     LABEL_KEY_POSITION,
+    LABEL_USE,
     METRIC,
     SERIES,
     SETTINGS,
+    SUMMARY,
     Catalog,
     default_settings,
 )
@@ -46,14 +51,32 @@ DIMENSIONS = {
     "series": SERIES,
     "settings": SETTINGS,
 }
-CHUNK_COLUMNS = ["metric_id", "chunk_start", "chunk_end", "batch_id"]
-_BATCH = T.StructField("batch_id", T.LongType())
-#: The writer of batches that are written by hand.
-MANUAL = "manual"
-COMMIT = T.StructType(
-    [T.StructField(c, t) for c, t in (("seq", T.LongType()), ("writer", T.StringType()), ("batch_id", T.LongType()),
-                                      ("parsed", T.LongType()), ("written", T.LongType()))]
-)
+TABLES = DIMENSIONS | {"label_use": LABEL_USE, "bookmarks": BOOKMARK}
+SAMPLES = "samples"
+#: Parts of one level of a table that are merged into one of the next.
+MERGE = 16
+_SEQ = T.StructField("seq", T.LongType())
+
+
+class OtherBatch(ValueError):
+    """Rows under the identity of a batch that was committed with other rows."""
+
+
+@dataclass(frozen=True)
+class Written:
+    """What a batch stored: rows in all, and as ``metric_name, rows`` what each metric took."""
+
+    rows: int
+    by_metric: DataFrame
+
+
+def batch_digest(rows: DataFrame) -> str:
+    """Tells the rows of two batches apart, whatever their order and partitions."""
+    hashed = F.xxhash64(*(F.to_json(c) if isinstance(rows.schema[c].dataType, T.MapType) else F.col(f"`{c}`") for c in sorted(rows.columns)))
+    found = rows.select(hashed.alias("h")).agg(
+        F.count("h").alias("n"), F.bit_xor("h").alias("x"), F.sum(F.pmod("h", F.lit(1 << 31))).alias("s")
+    ).first()
+    return f"{found['n']}:{found['x'] or 0}:{found['s'] or 0}"
 
 
 class MetricStore:
@@ -62,198 +85,322 @@ class MetricStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-
-    # -- dimensions ------------------------------------------------------------------------
-
-    def _read(self, folder: str, schema: T.StructType) -> DataFrame:
-        return read_or_empty(self.spark, f"{self.root}/{folder}", schema)
-
-    def generation(self) -> int:
-        """The highest folder under ``generations``, 0 if there is none."""
-        path, files = hadoop_path(self.spark, f"{self.root}/generations")
-        if not files.exists(path):
-            return 0
-        return max((int(status.getPath().getName()) for status in files.listStatus(path)), default=0)
+        self.log = Manifest(spark, self.root)
 
     # -- commits ---------------------------------------------------------------------------
 
     def commits(self) -> DataFrame:
         """One row per committed batch: its number, writer, batch id, and rows parsed and written."""
-        path, files = hadoop_path(self.spark, f"{self.root}/commits")
-        if not files.exists(path):
-            return self.spark.createDataFrame([], COMMIT)
-        return self.spark.read.schema(COMMIT).parquet(f"{self.root}/commits/*")
-
-    def committed(self, writer: str, batch_id: int) -> Row | None:
-        return self.commits().where((F.col("writer") == writer) & (F.col("batch_id") == batch_id)).first()
-
-    def _numbers(self, folder: str, whole: bool) -> set[int]:
-        path, files = hadoop_path(self.spark, f"{self.root}/{folder}")
-        if not files.exists(path):
-            return set()
-        found = [status.getPath() for status in files.listStatus(path)]
-        if whole:
-            found = [p for p in found if files.exists(hadoop_path(self.spark, f"{p}/_SUCCESS")[0])]
-        return {int(p.getName()) for p in found}
-
-    def failed(self) -> list[int]:
-        """Numbers that were taken and never committed; their rows do not count."""
-        return sorted(self._numbers("attempts", False) - self._numbers("commits", True))
-
-    def take_number(self) -> int:
-        """The next sequence number. A number is never given again, so that what a failed
-        attempt left can never pass for rows of another batch."""
-        seq = max(self._numbers("attempts", False), default=-1) + 1
-        path, files = hadoop_path(self.spark, f"{self.root}/attempts/{seq}")
-        files.mkdirs(path)
-        return seq
-
-    def commit(self, seq: int, writer: str, batch_id: int, parsed: int, written: int) -> None:
-        row = self.spark.createDataFrame([(seq, writer, batch_id, parsed, written)], COMMIT)
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/{seq}")
-
-    def _valid(self, rows: DataFrame) -> DataFrame:
-        failed = self.failed()
-        return (rows.filter(~F.col("batch_id").isin(failed)) if failed else rows).drop("batch_id")
-
-    # -- dimensions in force ---------------------------------------------------------------
+        rows = self.log.history().where(F.col("action") == COMMIT)
+        return rows.select(F.col("version").alias("seq"), "writer", "batch_id", "digest", "parsed", "written")
+
+    def outcomes(self) -> DataFrame:
+        """``writer, batch_id, metric_id, rows``: what each batch stored in each metric."""
+        log = self.log.history()
+        added = log.where((F.col("action") == ADD) & (F.col("part_of") == SAMPLES))
+        per_metric = added.groupBy("version", "metric_id").agg(F.sum("n").alias("rows"))
+        batches = log.where(F.col("action") == COMMIT).select("version", "writer", "batch_id")
+        return batches.join(per_metric, "version").select("writer", "batch_id", "metric_id", "rows")
+
+    def committed(self, writer: str, batch_id: int, digest: str | None = None) -> dict | None:
+        """The commit of a batch, or None. With a ``digest``, a batch that was committed with
+        another one raises :class:`OtherBatch`."""
+        done = self.log.committed(writer, batch_id)
+        if done and digest is not None and done["digest"] not in (None, digest):
+            raise OtherBatch(f"batch {batch_id} of {writer!r} is committed with other rows")
+        return done
+
+    def next_version(self) -> int:
+        return self.log.version() + 1
+
+    # -- dimensions ------------------------------------------------------------------------
+
+    def table(self, name: str) -> DataFrame:
+        """The rows of a dimension in force."""
+        paths = [f"{self.root}/{name}/{seq}" for seq in self.log.state().of(name)["seq"].to_pylist()]
+        schema = TABLES[name]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def catalog(self) -> Catalog:
         """The dimensions in force, of committed batches."""
-        generation = self.generation()
-        frames = {}
-        for name, schema in DIMENSIONS.items():
-            rows = self._read(f"{name}/generation={generation}", T.StructType([*schema.fields, _BATCH]))
-            frames[name] = self._valid(rows)
-        path, files = hadoop_path(self.spark, f"{self.root}/settings/generation={generation}")
-        if not files.exists(path):
+        frames = {name: self.table(name) for name in DIMENSIONS}
+        if not self.log.state().of("settings").num_rows:
             frames["settings"] = default_settings(self.spark)
         return Catalog(**frames)
 
-    def _write_dimension(self, name: str, rows: DataFrame, generation: int, batch_id: int) -> DataFrame:
-        path = f"{self.root}/{name}/generation={generation}/batch_id={batch_id}"
-        rows.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(DIMENSIONS[name]).parquet(path)
+    def bookmarks(self) -> DataFrame:
+        """When each target was last scraped."""
+        return self.table("bookmarks")
 
-    def replace_catalog(self, catalog: Catalog) -> None:
-        """Write all dimensions as the next generation and put it in force."""
-        generation = self.generation() + 1
+    def _write_part(self, name: str, rows: DataFrame, seq: int) -> DataFrame:
+        path = f"{self.root}/{name}/{seq}"
+        rows.select(*(f.name for f in TABLES[name].fields)).write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(TABLES[name]).parquet(path)
 
-        def step(name: str) -> Callable[[], object]:
-            return lambda: self._write_dimension(name, getattr(catalog, name), generation, -1)
+    def _added_part(self, name: str, rows: DataFrame, seq: int, level: int = 0) -> list[dict]:
+        """Write a part; its log row, none if it is empty."""
+        n = self._write_part(name, rows, seq).count()
+        return [part(ADD, name, seq, n, level)] if n else []
 
-        together(self.spark, *[step(name) for name in DIMENSIONS])
-        path, files = hadoop_path(self.spark, f"{self.root}/generations/{generation}")
-        files.mkdirs(path)
+    def _dropped_parts(self, name: str) -> list[dict]:
+        return chunk_rows(DROP, name, self.log.state().of(name))
 
-    # -- facts -----------------------------------------------------------------------------
+    def replaced_part(self, name: str, rows: DataFrame, seq: int) -> list[dict]:
+        """Write a whole table as one part; log rows that put it in place of the parts in force."""
+        return self._added_part(name, rows, seq) + self._dropped_parts(name)
+
+    def replace_catalog(self, catalog: Catalog) -> None:
+        """Put other dimensions in place of those in force. Tables that are the same object as
+        before are written as well; label counts are taken anew from the series."""
+        version = self.next_version()
+        steps = [lambda n=name: self._added_part(n, getattr(catalog, n), version) for name in DIMENSIONS]
+        steps.append(lambda: self._added_part("label_use", label_use(catalog.series), version))
+        added = together(self.spark, *steps)
+        dropped = [row for name in [*DIMENSIONS, "label_use"] for row in self._dropped_parts(name)]
+        self.log.publish(version, self.log.frame([row for rows in added for row in rows] + dropped))
+
+    def merge_parts(self) -> None:
+        """Merge small parts of the dimensions, level by level, so that a table never has more
+        than MERGE parts of a level."""
+        state = self.log.state()
+        for name in TABLES:
+            parts = state.of(name).to_pylist()
+            for level in {p["level"] for p in parts}:
+                small = [p for p in parts if p["level"] == level]
+                if len(small) >= MERGE:
+                    version = self.next_version()
+                    rows = self.spark.read.schema(TABLES[name]).parquet(*(f"{self.root}/{name}/{p['seq']}" for p in small))
+                    if name == "label_use":
+                        rows = rows.groupBy("metric_id", "id").agg(F.sum("n").alias("n")).where("n <> 0")
+                    added = self._added_part(name, rows.coalesce(max(1, len(small) // MERGE)), version, level + 1)
+                    dropped = [part(DROP, name, p["seq"], p["n"], level) for p in small]
+                    self.log.publish(version, self.log.frame(added + dropped))
 
-    def facts(self) -> DataFrame:
-        return self._valid(self._read("samples", T.StructType([*FACT.fields, _BATCH])))
+    # -- facts -----------------------------------------------------------------------------
 
-    def append_samples(self, facts: DataFrame, batch_id: int) -> int:
-        """Write a batch of facts and return how many.
+    def _paths(self, parts: pa.Table) -> list[str]:
+        """Folders of live parts: whole versions where all they wrote is live, else chunks."""
+        if not parts.num_rows:
+            return []
+        live = parts.group_by(["seq", "parts"]).aggregate([("n", "count")])
+        whole = [s for s, n, k in zip(live["seq"].to_pylist(), live["parts"].to_pylist(), live["n_count"].to_pylist()) if n == k]
+        cut = parts.filter(pc.invert(pc.is_in(parts["seq"], pa.array(whole, pa.int64()))))
+        return [f"{self.root}/{SAMPLES}/seq={s}" for s in whole] + [f"{self.root}/{SAMPLES}/{_chunk_folder(p)}" for p in cut.to_pylist()]
+
+    def _read_facts(self, parts: pa.Table) -> DataFrame:
+        paths = self._paths(parts)
+        if not paths:
+            return self.spark.createDataFrame([], FACT)
+        schema = T.StructType([*FACT.fields, _SEQ])
+        return self.spark.read.schema(schema).option("basePath", f"{self.root}/{SAMPLES}").parquet(*paths).drop("seq")
+
+    def facts(self, metric_id: int | None = None) -> DataFrame:
+        """The facts of the newest version, of one metric or of all. A reader keeps the version
+        it began with, whatever is merged or dropped meanwhile, until :meth:`vacuum`."""
+        return self._read_facts(self.log.state().of(SAMPLES, metric_id))
+
+    def summary(self) -> DataFrame:
+        """``metric_id, chunk_start, chunk_end, series_id, n, first, last`` of the live facts."""
+        parts = self.log.state().of(SAMPLES)
+        if not parts.num_rows:
+            return self.spark.createDataFrame([], SUMMARY)
+        columns = [f.name for f in SUMMARY.fields]
+        counted = parts.group_by(["seq", "parts"]).aggregate([("n", "count")]).to_pylist()
+        out = None
+        for whole in (True, False):
+            seqs = [p["seq"] for p in counted if (p["parts"] == p["n_count"]) == whole]
+            if not seqs:
+                continue
+            rows = self.spark.read.schema(T.StructType([*SUMMARY.fields, _SEQ])).option("basePath", f"{self.root}/summary").parquet(
+                *(f"{self.root}/summary/seq={s}" for s in seqs)
+            )
+            if not whole:
+                live = parts.filter(pc.is_in(parts["seq"], pa.array(seqs, pa.int64())))
+                rows = rows.join(self.log.frame(live).select("seq", *CHUNK), ["seq", *CHUNK], "left_semi")
+            out = rows.select(columns) if out is None else out.unionByName(rows.select(columns))
+        return out
+
+    def _write_facts(self, facts: DataFrame, seq: int) -> list[dict]:
+        """Write facts and their summary as parts of a version; their log rows.
 
         The rebalance groups rows by chunk and cuts a chunk too big for one task, so a hot
-        metric does not end in one writer; small chunks share tasks. Rows are sorted by
-        series and time, which the parquet statistics then prune by. Writing the same batch
-        again replaces it.
+        metric does not end in one writer; small chunks share tasks. Rows are sorted by series
+        and time, which the parquet statistics then prune by.
         """
-        seen = Observation(f"append-{batch_id}")
-        rows = facts.select(*[f.name for f in FACT.fields]).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        folder = f"{self.root}/{SAMPLES}/seq={seq}"
         (
-            rows.observe(seen, F.count(F.lit(1)).alias("n"))
+            facts.select(*[f.name for f in FACT.fields])
             .hint("rebalance", "metric_id", "chunk_start")
-            .sortWithinPartitions(*CHUNK_COLUMNS, "series_id", "time")
+            .sortWithinPartitions(*CHUNK, "series_id", "time")
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*CHUNK_COLUMNS)
-            .parquet(f"{self.root}/samples")
+            .partitionBy(*CHUNK)
+            .parquet(folder)
         )
-        return seen.get["n"]
-
-    def write_batch(self, samples: DataFrame, batch_id: int, writer: str = MANUAL) -> int:
-        """Ingest samples as one batch and commit it. Returns how many; a batch that is
+        return self._write_summary(chunk_summary(self.spark.read.schema(FACT).parquet(folder)), seq)
+
+    def _write_summary(self, summary: DataFrame, seq: int) -> list[dict]:
+        path = f"{self.root}/summary/seq={seq}"
+        summary.write.mode("overwrite").parquet(path)
+        held = self.spark.read.schema(SUMMARY).parquet(path)
+        # A row per chunk the version writes to.
+        rows = [r.asDict() for r in held.groupBy(*CHUNK).agg(F.sum("n").alias("n")).collect()]
+        return [r | {"action": ADD, "part_of": SAMPLES, "seq": seq, "parts": len(rows), "level": 0} for r in rows]
+
+    def write_batch(self, samples: DataFrame, batch_id: int, writer: str = MANUAL) -> Written:
+        """Ingest samples as one batch and commit it; rows stored, by metric. A batch that is
         committed already is left as it is."""
-        done = self.committed(writer, batch_id)
+        digest = batch_digest(samples.select("name", "labels", "value", "time"))
+        done = self.committed(writer, batch_id, digest)
         if done:
-            return done["written"]
-        seq = self.take_number()
-        written = self.stage_batch(samples, seq)
-        self.commit(seq, writer, batch_id, written, written)
-        return written
+            return self._outcome(done["version"], done["written"])
+        version = self.next_version()
+        rows = self.stage_batch(samples, version)
+        written = _facts_in(rows)
+        self.commit(version, rows, writer, batch_id, digest, written, written)
+        return self._outcome(version, written)
+
+    def stage_batch(self, samples: DataFrame, seq: int) -> list[dict]:
+        """Write a batch under a number, dimensions first, without the commit; its log rows."""
+        with scratch(self.spark):
+            made = ingest(samples, self.catalog(), persist=lambda rows, name: self._write_part(name, rows, seq))
+            use = label_use(made.added["series"])
+            counts = [lambda n=n, rows=rows: [part(ADD, n, seq, rows.count())] for n, rows in made.added.items()]
+            steps = [lambda: self._write_facts(made.facts, seq), lambda: self._added_part("label_use", use, seq), *counts]
+            return [row for rows in together(self.spark, *steps) for row in rows if row["n"]]
+
+    def commit(self, version: int, rows: list[dict], writer: str, batch_id: int, digest: str, parsed: int, written: int) -> None:
+        done = {"action": COMMIT, "writer": writer, "batch_id": batch_id, "digest": digest, "parsed": parsed, "written": written}
+        self.log.publish(version, self.log.frame([*rows, done | {"version": version}]))
+        self.merge_parts()
+
+    def _outcome(self, version: int, written: int) -> Written:
+        added = self.log.history().where((F.col("version") == version) & (F.col("part_of") == SAMPLES) & (F.col("action") == ADD))
+        per_metric = added.groupBy("metric_id").agg(F.sum("n").alias("rows"))
+        return Written(written, per_metric.join(self.table("metric"), "metric_id").select("metric_name", "rows"))
 
-    def stage_batch(self, samples: DataFrame, seq: int) -> int:
-        """Write a batch under a number, dimensions first, without the commit."""
-        generation = self.generation()
+    # -- chunks ----------------------------------------------------------------------------
 
-        def persist(rows: DataFrame, name: str) -> DataFrame:
-            return self._write_dimension(name, rows, generation, seq)
+    def compact_chunks(self, closed_before_s: int | None = None) -> int:
+        """Merge the chunks that lie in several parts into one sorted part each, as one version.
 
-        with scratch(self.spark):
-            return self.append_samples(ingest(samples, self.catalog(), persist=persist).facts, seq)
-
-    def bookmarks(self) -> Snapshots:
-        """When each target was last scraped."""
-        return Snapshots(self.spark, f"{self.root}/bookmarks", BOOKMARK, self.failed)
+        ``closed_before_s`` leaves out chunks that end later and may still grow. Readers see the
+        old parts or the merged one, never fewer rows; the summary is merged without reading
+        facts. Returns the number of chunks.
+        """
+        parts = self.log.state().of(SAMPLES)
+        if closed_before_s is not None:
+            parts = parts.filter(pc.less_equal(parts["chunk_end"], closed_before_s))
+        counted = parts.group_by(CHUNK).aggregate([("seq", "count")])
+        several = counted.filter(pc.greater(counted["seq_count"], 1))
+        if not several.num_rows:
+            return 0
+        self._rewrite(parts.join(several.select(CHUNK), CHUNK, join_type="left semi"), None)
+        return several.num_rows
 
-    # -- chunks ----------------------------------------------------------------------------
+    def _rewrite(self, old: pa.Table, late: DataFrame | None, commit: Callable[[int], list[dict]] = lambda version: []) -> None:
+        version = self.next_version()
+        with scratch(self.spark):
+            facts = self._read_facts(old)
+            facts = facts if late is None else facts.unionByName(late.select(*facts.columns))
+            added = self._write_facts(facts, version)
+        self.log.publish(version, self.log.frame(added + chunk_rows(DROP, SAMPLES, old) + commit(version)))
 
-    def rewrite_chunks(self, late: DataFrame) -> int:
-        """Merge late facts into the chunks they fall in, leaving one sorted set of files each.
+    def rewrite_chunks(self, late: DataFrame, batch_id: int, writer: str = MANUAL) -> int:
+        """Merge a batch of late facts into the chunks they fall in, as one version.
 
-        Only the chunks a late row belongs to are read and written. The merged chunks are
-        complete in their own folder before the first old one is removed, so a run cut short
-        is finished by :meth:`swap_chunks` on that folder. Returns the number of chunks.
+        Only the chunks a late row belongs to are read and written. The batch has an identity
+        like any other, so a second run adds nothing. Returns the number of chunks, 0 for a
+        batch that is committed already or has no rows.
         """
-        chunk = ["metric_id", "chunk_start", "chunk_end"]
         columns = [f.name for f in FACT.fields]
-        touched = late.select(*chunk).distinct()
-        stored = self.facts().join(touched, chunk, "left_semi")
-        folder = f"{self.root}/rewrites/{uuid.uuid4().hex}"
-        (
-            stored.select(*columns)
-            .unionByName(late.select(*columns))
-            .withColumn("batch_id", F.lit(-1).cast("bigint"))
-            .hint("rebalance", "metric_id", "chunk_start")
-            .sortWithinPartitions(*CHUNK_COLUMNS, "series_id", "time")
-            .write.partitionBy(*CHUNK_COLUMNS)
-            .parquet(folder)
-        )
-        return self.swap_chunks(folder)
-
-    def swap_chunks(self, folder: str) -> int:
-        """Put the chunk folders under ``folder`` in place of the stored ones."""
-        chunks = self.spark.read.parquet(folder).select("metric_id", "chunk_start", "chunk_end").distinct()
-        swapped = 0
-        for row in chunks.toLocalIterator():
-            old, files = hadoop_path(self.spark, f"{self.root}/samples/{_chunk_folder(row)}")
-            merged, _ = hadoop_path(self.spark, f"{folder}/{_chunk_folder(row)}")
-            files.delete(old, True)
-            files.mkdirs(old.getParent())
-            swapped += files.rename(merged, old)
-        return swapped
-
-    def drop_chunks(self, chunks: DataFrame) -> int:
-        """Remove chunk folders. ``chunks`` holds one row per folder, not per sample."""
-        dropped = 0
-        for row in chunks.select("metric_id", "chunk_start", "chunk_end").distinct().toLocalIterator():
-            path, files = hadoop_path(self.spark, f"{self.root}/samples/{_chunk_folder(row)}")
-            dropped += files.delete(path, True)
-        return dropped
+        late = durable(late.select(*columns), "late")
+        digest = batch_digest(late)
+        if self.committed(writer, batch_id, digest):
+            return 0
+        touched = late.groupBy(*CHUNK).agg(F.count(F.lit(1)).alias("late")).toArrow()
+        parts = self.log.state().of(SAMPLES)
+        old = parts.join(touched.select(CHUNK), CHUNK, join_type="left semi") if touched.num_rows and parts.num_rows else parts.slice(0, 0)
+        n = pc.sum(touched["late"]).as_py() or 0
+        done = {"action": COMMIT, "writer": writer, "batch_id": batch_id, "digest": digest, "parsed": n, "written": n}
+        self._rewrite(old, late, lambda version: [done | {"version": version}])
+        return touched.num_rows
+
+    # -- retention -------------------------------------------------------------------------
 
     def apply_retention(self, now_s: int, scope: str = "all") -> int:
-        """Drop expired chunks, and the series and labels only they used.
+        """Drop expired chunks, and the series and labels only they used, as one version. No
+        fact is read. Returns the number of chunks."""
+        return self._retain(lambda catalog: period_limits(catalog, now_s), scope)
 
-        The dimensions are replaced first; a run cut short leaves chunks that the next run
-        drops, as they are still expired.
-        """
-        with scratch(self.spark):
-            result = drop_chunks(self.catalog(), self.facts(), now_s, scope)
-            gone = durable(result.dropped_chunks, "dropped-chunks")
-            self.replace_catalog(result.catalog)
-            return self.drop_chunks(gone)
+    def drop_metric_chunks(self, metric_name: str, older_than_s: int, scope: str = "all") -> int:
+        """The same for one metric and a given time."""
+        return self._retain(lambda catalog: metric_limit(catalog, metric_name, older_than_s), scope)
 
+    def retention(self, limits: DataFrame, scope: str = "all") -> Retention:
+        return drop_old(self.catalog(), self.summary(), self.table("label_use"), limits, scope)
 
-def _chunk_folder(row) -> str:
-    return f"metric_id={row['metric_id']}/chunk_start={row['chunk_start']}/chunk_end={row['chunk_end']}"
+    def _retain(self, limits: Callable[[Catalog], DataFrame], scope: str) -> int:
+        version, state = self.next_version(), self.log.state()
+        with scratch(self.spark):
+            result = self.retention(limits(self.catalog()), scope)
+            # A row per chunk that goes.
+            gone = result.dropped_chunks.toArrow()
+            if not gone.num_rows:
+                return 0
+            dropped = state.of(SAMPLES).join(gone, CHUNK, join_type="left semi")
+            added = together(
+                self.spark,
+                *(lambda n=n: self._added_part(n, getattr(result.catalog, n), version, self._top_level(n)) for n in ("series", "label")),
+                lambda: self._added_part("label_use", result.use_change, version),
+            )
+            rows = [row for rows in added for row in rows] + chunk_rows(DROP, SAMPLES, dropped)
+            rows += [row for name in ("series", "label") for row in self._dropped_parts(name)]
+            self.log.publish(version, self.log.frame(rows))
+        return gone.num_rows
+
+    def _top_level(self, name: str) -> int:
+        return max(self.log.state().of(name)["level"].to_pylist(), default=0)
+
+    # -- cleaning up -----------------------------------------------------------------------
+
+    def vacuum(self) -> int:
+        """Delete files no live part refers to: of merged and dropped parts and of failed
+        attempts. Readers of older versions must be done. Returns the number of folders."""
+        state = self.log.state()
+        deleted = 0
+        for name in [*TABLES, SAMPLES, "summary"]:
+            live = set(state.of(SAMPLES if name == "summary" else name)["seq"].to_pylist())
+            for path, number in self._numbered(name):
+                if number not in live:
+                    deleted += self._delete(path)
+        kept = {f"{self.root}/{SAMPLES}/{_chunk_folder(p)}" for p in state.of(SAMPLES).to_pylist()}
+        counted = state.of(SAMPLES).group_by(["seq", "parts"]).aggregate([("n", "count")]).to_pylist()
+        for p in counted:
+            if p["parts"] != p["n_count"]:
+                for path in self._chunk_folders(f"{self.root}/{SAMPLES}/seq={p['seq']}"):
+                    if path not in kept:
+                        deleted += self._delete(path)
+        return deleted
+
+    def _children(self, folder: str) -> list[str]:
+        path, files = hadoop_path(self.spark, folder)
+        return [f"{folder}/{s.getPath().getName()}" for s in files.listStatus(path) if s.isDirectory()] if files.exists(path) else []
+
+    def _numbered(self, name: str) -> list[tuple[str, int]]:
+        folders = [(path, path.rsplit("/", 1)[1].removeprefix("seq=")) for path in self._children(f"{self.root}/{name}")]
+        return [(path, int(number)) for path, number in folders if number.isdigit()]
+
+    def _chunk_folders(self, folder: str) -> list[str]:
+        return [c for metric in self._children(folder) for start in self._children(metric) for c in self._children(start)]
+
+    def _delete(self, folder: str) -> bool:
+        path, files = hadoop_path(self.spark, folder)
+        return files.delete(path, True)
+
+
+def _facts_in(rows: list[dict]) -> int:
+    return sum(row["n"] for row in rows if row["part_of"] == SAMPLES)
+
+
+def _chunk_folder(row: dict) -> str:
+    return f"seq={row['seq']}/metric_id={row['metric_id']}/chunk_start={row['chunk_start']}/chunk_end={row['chunk_end']}"

@@ -79,6 +79,21 @@ FACT = T.StructType(
         T.StructField("chunk_end", T.LongType()),
     ]
 )
+#: A row per series and chunk, and counts of the series that use a label.
+SUMMARY = T.StructType(
+    [
+        T.StructField("metric_id", T.IntegerType()),
+        T.StructField("chunk_start", T.LongType()),
+        T.StructField("chunk_end", T.LongType()),
+        T.StructField("series_id", T.LongType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("first", T.TimestampType()),
+        T.StructField("last", T.TimestampType()),
+    ]
+)
+LABEL_USE = T.StructType(
+    [T.StructField("metric_id", T.IntegerType()), T.StructField("id", T.IntegerType()), T.StructField("n", T.LongType())]
+)
 BOOKMARK = T.StructType(
     [T.StructField("target", T.StringType()), T.StructField("last_scrape", T.LongType())]
 )

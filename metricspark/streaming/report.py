@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from metricspark.operators.report import INTERVAL_S, ingest_report
+from metricspark.operators.report import INTERVAL_S, REPORT, ingest_report
+from metricspark.plans.snapshots import read_or_empty, stream_id
 
 
 def stream_report(
@@ -15,19 +16,20 @@ def stream_report(
     """Write the counters of each batch, a row per interval it touches, to ``folder``.
 
     There is no watermark and no state: scrapes count however late they come. A batch run
-    again overwrites its own rows.
+    again overwrites its own rows; a stream with a new checkpoint adds to those of the one before.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        ingest_report(batch, interval_s).write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+        stream = stream_id(scrapes.sparkSession, checkpoint)
+        ingest_report(batch, interval_s).write.mode("overwrite").parquet(f"{folder}/stream={stream}/batch_id={batch_id}")
 
     writer = scrapes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
 
 
 def read_report(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per interval, over all batches so far."""
-    rows = spark.read.parquet(folder).drop("batch_id")
+    """One row per interval, over all batches of all streams so far; none before the first."""
+    rows = read_or_empty(spark, folder, REPORT)
     peak = "response_bytes_peak"
-    counters = [c for c in rows.columns if c not in ("interval_start", peak)]
+    counters = [c for c in REPORT.names if c not in ("interval_start", peak)]
     return rows.groupBy("interval_start").agg(*(F.sum(c).alias(c) for c in counters), F.max(peak).alias(peak))

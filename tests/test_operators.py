@@ -179,34 +179,35 @@ def retention_case(spark):
         F.timestamp_seconds("t").alias("time"), F.lit(1.0).alias("value"), F.lit("value").alias("sample_kind"),
         "series_id", "metric_id", "chunk_start", "chunk_end",
     )
-    return c, facts.select(*[f.name for f in FACT.fields])
+    facts = facts.select(*[f.name for f in FACT.fields])
+    return c, facts, retention.chunk_summary(facts), retention.label_use(series)
 
 
 def test_retention_of_series_labels_and_chunks(spark):
-    c, facts = retention_case(spark)
-    r = retention.drop_metric_chunks(c, facts, "m", 19)
+    c, facts, *tables = retention_case(spark)
+    r = retention.drop_metric_chunks(c, *tables, "m", 19)
     assert {x["series_id"] for x in r.dropped_series.collect()} == {10}
     # 3 is still used by another metric; 12 never had samples and is kept with 6.
     assert {x["id"] for x in r.dropped_labels.collect()} == {4}
     assert {x["series_id"] for x in r.catalog.series.collect()} == {11, 12, 20, 21}
     assert [tuple(x) for x in r.dropped_chunks.collect()] == [(1, 0, 10)]
-    assert r.facts.count() == 4
-    own = retention.drop_metric_chunks(c, facts, "m", 19, scope="metric")
+    assert r.remaining(facts).count() == 4
+    own = retention.drop_metric_chunks(c, *tables, "m", 19, scope="metric")
     assert {x["id"] for x in own.dropped_labels.collect()} == {3, 4}
-    none = retention.drop_metric_chunks(c, facts, "m", 9)
-    assert none.dropped_series.count() == 0 and none.cutoffs.count() == 0 and none.facts.count() == facts.count()
+    none = retention.drop_metric_chunks(c, *tables, "m", 9)
+    assert none.dropped_series.count() == 0 and none.cutoffs.count() == 0 and none.remaining(facts).count() == facts.count()
     assert none.catalog.label.filter("id = 0").count() == 0
 
 
 def test_retention_of_all_metrics(spark):
-    c, facts = retention_case(spark)
+    c, facts, *tables = retention_case(spark)
     c = settings.set_default(c, settings.RETENTION_PERIOD, 10)
     c = settings.set_metric(c, settings.RETENTION_PERIOD, "n", 1000)
-    assert [x["metric_name"] for x in retention.expired_metrics(c, facts, 25).collect()] == ["m"]
-    r = retention.drop_chunks(c, facts, 50)
+    assert [x["metric_name"] for x in retention.expired_metrics(c, tables[0], 25).collect()] == ["m"]
+    r = retention.drop_chunks(c, *tables, 50)
     assert {x["series_id"] for x in r.dropped_series.collect()} == {10, 11}
     assert {x["id"] for x in r.dropped_labels.collect()} == {1, 4, 5} - {1}
-    assert {x["metric_id"] for x in r.facts.select("metric_id").distinct().collect()} == {2}
+    assert {x["metric_id"] for x in r.remaining(facts).select("metric_id").distinct().collect()} == {2}
 
 
 def test_settings(spark):

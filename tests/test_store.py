@@ -3,11 +3,14 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from metricspark.operators import settings
+from metricspark.operators import info, settings
+from metricspark.plans import manifest
+from metricspark.plans import store as store_module
+from metricspark.plans.manifest import ADD, COMMIT, DROP, MANUAL, Manifest
 from metricspark.plans.scrapes import ingest_dumps
-from metricspark.plans.store import MetricStore
+from metricspark.plans.store import MetricStore, OtherBatch
 from metricspark.schema import EXPOSITION_DOC, POD
-from metricspark.session import fresh_folder
+from metricspark.session import fresh_folder, hadoop_path
 from metricspark.sources.exposition import read_exposition
 from metricspark.streaming.bookmarks import stream_bookmarks
 from metricspark.streaming.ingest import stream_ingest
@@ -31,10 +34,10 @@ def contents(store):
 def test_batches_are_kept_and_replays_change_nothing(spark, store):
     one = samples(spark, [("m", {"a": "1"}, 1.0, 0), ("m", {"a": "2"}, 2.0, 9 * HOUR)])
     two = samples(spark, [("m", {"a": "1"}, 3.0, 1), ("n", {"b": "1"}, 4.0, 2)])
-    assert store.write_batch(one, 0) == 2 and store.write_batch(two, 1) == 2
+    assert store.write_batch(one, 0).rows == 2 and store.write_batch(two, 1).rows == 2
     before = contents(store)
     assert [v for v, _ in before] == [1.0, 2.0, 3.0, 4.0]
-    assert store.write_batch(two, 1) == 2
+    assert store.write_batch(two, 1).rows == 2
     assert contents(store) == before
     chunks = {(r["chunk_start"], r["chunk_end"]) for r in store.facts().collect()}
     assert chunks == {(0, 8 * HOUR), (8 * HOUR, 16 * HOUR)}
@@ -50,16 +53,125 @@ def test_writers_do_not_share_batch_ids(spark, store):
 def test_replay_after_a_merge_adds_nothing(spark, store):
     one = samples(spark, [("m", {}, 1.0, 0), ("m", {}, 2.0, 1)])
     store.write_batch(one, 0)
-    store.rewrite_chunks(store.facts().where("value = 1").withColumn("value", F.lit(9.0)))
-    assert store.write_batch(one, 0) == 2
+    store.rewrite_chunks(store.facts().where("value = 1").withColumn("value", F.lit(9.0)), 1)
+    assert store.write_batch(one, 0).rows == 2
     assert sorted(r["value"] for r in store.facts().collect()) == [1.0, 2.0, 9.0]
 
 
 def test_rows_of_a_failed_attempt_never_count(spark, store):
-    store.stage_batch(samples(spark, [("lost", {}, 5.0, 20 * HOUR)]), store.take_number())
+    store.stage_batch(samples(spark, [("lost", {}, 5.0, 20 * HOUR)]), store.next_version())
     assert store.facts().count() == 0 and store.catalog().metric.count() == 0
     store.write_batch(samples(spark, [("m", {}, 1.0, 0)]), 0)
-    assert contents(store) == [(1.0, (("__name__", "m"),))] and store.failed() == [0]
+    assert contents(store) == [(1.0, (("__name__", "m"),))]
+
+
+def test_other_rows_under_an_identity_are_refused(spark, store):
+    one = samples(spark, [("m", {"a": "1"}, 1.0, 0), ("m", {"a": "2"}, 2.0, 1)])
+    assert store.write_batch(one.repartition(4), 0).rows == 2 and store.write_batch(one.coalesce(1), 0).rows == 2
+    with pytest.raises(OtherBatch):
+        store.write_batch(samples(spark, [("m", {"a": "1"}, 1.0, 0), ("m", {"a": "2"}, 3.0, 1)]), 0)
+    docs = spark.createDataFrame([("1", "a", 1000, "ok", "# TYPE m gauge\nm 1 999000\n")], EXPOSITION_DOC)
+    ingest_dumps(store, docs, 5)
+    with pytest.raises(OtherBatch):
+        ingest_dumps(store, docs.withColumn("scrape_ts", F.col("scrape_ts") + 1), 5)
+    assert sorted(r["value"] for r in store.facts().collect()) == [1.0, 1.0, 2.0]
+
+
+def test_rows_by_metric_are_told(spark, store):
+    rows = [("m", {}, 1.0, 0), ("m", {}, 2.0, 9 * HOUR), ("n", {"a": "b"}, 3.0, 0)]
+    done = store.write_batch(samples(spark, rows), 0)
+    assert done.rows == 3 and {r["metric_name"]: r["rows"] for r in done.by_metric.collect()} == {"m": 2, "n": 1}
+    assert store.write_batch(samples(spark, rows[:0]), 1).rows == 0
+    assert sorted(r["written"] for r in store.commits().collect()) == [0, 3]
+
+
+def test_readers_keep_their_version_while_chunks_are_merged(spark, store):
+    for batch in range(3):
+        store.write_batch(samples(spark, [("m", {"a": str(batch)}, float(batch), 0), ("m", {"a": "x"}, 9.0, (batch + 1) * 20 * HOUR)]), batch)
+    before, summed = store.facts(), store.summary()
+    want = contents(store)
+    assert store.compact_chunks(8 * HOUR) == 1 and store.compact_chunks(8 * HOUR) == 0
+    assert sorted(r["value"] for r in before.collect()) == sorted(v for v, _ in want) and summed.agg(F.sum("n")).first()[0] == 6
+    assert contents(store) == want and store.summary().agg(F.sum("n"), F.count("n")).first()[:] == (6, 6)
+    assert len({p["seq"] for p in store.log.state().of("samples").to_pylist() if p["chunk_start"] == 0}) == 1
+    assert store.vacuum() >= 3 and contents(store) == want and store.vacuum() == 0
+
+
+def test_a_chunk_merged_halfway_is_not_seen(spark, store):
+    for batch in range(2):
+        store.write_batch(samples(spark, [("m", {}, float(batch), 0)]), batch)
+    store._write_facts(store.facts(), store.next_version())  # a merge that ends before its version appears
+    assert sorted(r["value"] for r in store.facts().collect()) == [0.0, 1.0] == sorted(r["value"] for r in store.facts(1).collect())
+    assert store.compact_chunks() == 1 and store.facts().count() == 2 and store.vacuum() >= 2 and store.facts().count() == 2
+
+
+def test_the_log_stays_short(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(manifest, "FOLD", 8)
+    versions = 60
+    log = Manifest(spark, str(tmp_path / "store"))
+    for version in range(versions):
+        row = {"action": ADD, "part_of": "samples", "seq": version, "metric_id": 1, "chunk_start": 0, "chunk_end": 1, "n": 1, "parts": 1, "level": 0}
+        gone = [row | {"action": DROP, "seq": version - 1}] if version else []
+        commit = {"action": COMMIT, "writer": "stream", "batch_id": version, "written": version}
+        log.publish(version, log.frame([row, *gone, commit, commit | {"writer": MANUAL}] if version % 10 == 0 else [row, *gone, commit]))
+    state = log.state()
+    assert state.parts["seq"].to_pylist() == [versions - 1]
+    assert len(os.listdir(tmp_path / "store" / "log")) <= 18
+    assert state.commits.num_rows <= 8 + 1 + 6
+    assert log.committed("stream", 3)["written"] == 3 and log.committed("stream", versions - 1) and log.committed(MANUAL, 10)
+    assert log.committed("stream", versions) is None and log.committed(MANUAL, 11) is None and log.committed("other", 0) is None
+    assert log.history().where("action = 'commit' AND writer = 'stream'").count() == versions
+    with pytest.raises(RuntimeError):
+        log.publish(versions - 1, log.frame([]))
+
+
+def test_parts_of_dimensions_are_merged(spark, store, monkeypatch):
+    monkeypatch.setattr(store_module, "MERGE", 3)
+    for batch in range(5):
+        store.write_batch(samples(spark, [("m", {"a": str(batch), "b": "1"}, 1.0, batch)]), batch)
+    assert all(len(store.log.state().of(name)) < 5 for name in ("label", "series", "label_use"))
+    assert len(contents(store)) == 5 and store.catalog().label.count() == 7
+    use = store.table("label_use").groupBy("id").agg(F.sum("n").alias("n")).join(store.catalog().label, "id")
+    assert {(r["key"], r["value"]): r["n"] for r in use.collect()} == {("__name__", "m"): 5, ("b", "1"): 5} | {("a", str(i)): 1 for i in range(5)}
+
+
+def test_retention_and_overview_read_no_facts(spark, store):
+    rows = [("m", {"a": "old"}, 1.0, 0), ("m", {"a": "both"}, 2.0, 0), ("m", {"a": "both"}, 3.0, 100 * HOUR), ("n", {"a": "old"}, 4.0, 0)]
+    store.write_batch(samples(spark, rows), 0)
+    path, files = hadoop_path(spark, f"{store.root}/samples")
+    files.rename(path, hadoop_path(spark, f"{store.root}/hidden")[0])
+    shown = {r["metric_name"]: (r["n_samples"], r["n_series"], r["n_chunks"]) for r in info.metric_info(store.catalog(), store.summary()).collect()}
+    assert shown == {"m": (3, 2, 2), "n": (1, 1, 1)}
+    assert store.drop_metric_chunks("m", 50 * HOUR) == 1 and store.drop_metric_chunks("m", 50 * HOUR) == 0
+    assert {r["value"] for r in store.catalog().label.collect()} == {"m", "n", "both", "old"}
+    assert store.drop_metric_chunks("n", 50 * HOUR) == 1
+    assert {r["value"] for r in store.catalog().label.collect()} == {"m", "both"}
+    files.rename(hadoop_path(spark, f"{store.root}/hidden")[0], path)
+    assert [r["value"] for r in store.facts().collect()] == [3.0]
+
+
+def test_a_new_checkpoint_under_an_old_path_is_another_stream(spark, store, tmp_path):
+    folder, state = str(tmp_path / "in"), tmp_path / "state"
+    for number, part in enumerate((DUMPS[:1], DUMPS[1:2])):
+        write_dumps(folder, part)
+        docs = read_exposition(spark, folder, streaming=True).where(F.col("scrape_ts") == part[0][1])
+        stream_ingest(docs, store, str(state), interval=None).awaitTermination()
+        state.rename(tmp_path / f"was-{number}")
+    assert stored(store) == WANT[:3] and len({r["writer"] for r in store.commits().collect()}) == 2
+
+
+def test_a_target_deleted_and_made_again_starts_anew(spark, store):
+    dump = lambda at, body: spark.createDataFrame([(str(at), "a", at, "ok", body)], EXPOSITION_DOC)
+    kinds = "name string, labels array<struct<key:string,value:string>>, last_scrape long"
+    ingest_dumps(store, dump(900, "# TYPE m gauge\nm 1 890000\n"), 0)
+    made = spark.createDataFrame([("a", [], 950)], kinds)
+    ingest_dumps(store, dump(1000, "# TYPE m gauge\nm 2 920000\nm 3 960000\n"), 1, targets=made)
+    ingest_dumps(store, dump(1015, "# TYPE m gauge\nm 4 990000\nm 5 1001000\n"), 2, targets=made)
+    assert sorted(r["value"] for r in store.facts().collect()) == [1.0, 3.0, 5.0]
+
+
+def test_report_before_the_first_batch(spark, tmp_path):
+    assert read_report(spark, str(tmp_path / "none")).count() == 0
 
 
 def test_a_new_target_starts_when_it_was_made(spark, store):
@@ -72,9 +184,11 @@ def test_a_new_target_starts_when_it_was_made(spark, store):
 def test_an_empty_snapshot_is_the_newest(spark, tmp_path):
     state = target_set(spark, str(tmp_path / "set"))
     full = spark.createDataFrame([("a", "http://a", [], 1)], state.schema)
-    state.write(full, 0)
-    state.write(full.limit(0), 1)
-    assert state.latest().count() == 0 and state.latest(before_batch=1).count() == 1
+    state.write(full, "s", 0)
+    state.write(full.limit(0), "s", 1)
+    assert state.latest().count() == 0 and state.latest(("s", 1)).count() == 1
+    state.write(full, "t", 0)
+    assert state.latest().count() == 1 and state.latest(("t", 0)).count() == 0
 
 
 def test_streams_ask_for_the_targets_of_the_moment(spark, store, tmp_path):
@@ -114,10 +228,11 @@ def test_late_facts_are_merged_into_their_chunks(spark, store):
     store.write_batch(samples(spark, [("m", {"a": "1"}, float(i), i * HOUR) for i in range(20)]), 0)
     store.write_batch(samples(spark, [("m", {"a": "1"}, 100.0, 0)]), 1)
     late = store.facts().filter("value = 0").withColumn("value", F.lit(-1.0))
-    assert store.rewrite_chunks(late) == 1
+    assert store.rewrite_chunks(late, 2) == 1 and store.rewrite_chunks(late, 2) == 0
     assert sorted(r["value"] for r in store.facts().collect()) == sorted([float(i) for i in range(20)] + [100.0, -1.0])
-    chunk = f"{store.root}/samples/metric_id=1/chunk_start=0/chunk_end={8 * HOUR}"
-    assert os.listdir(chunk.replace("file:", "")) == ["batch_id=-1"]
+    assert store.rewrite_chunks(late.limit(0), 3) == 0
+    live = [p for p in store.log.state().of("samples").to_pylist() if p["chunk_start"] == 0]
+    assert [p["n"] for p in live] == [10] and store.summary().agg(F.sum("n")).first()[0] == 22
 
 
 def test_retention_on_a_store(spark, store):
@@ -161,7 +276,7 @@ def test_dumps_in_one_batch(spark, store, tmp_path):
     assert stored(store) == WANT
     labels = dict(contents(store)[0][1])
     assert labels == {"__name__": "m", "env": "prod", "pod": "p", "x": "1"}
-    assert {r["target"]: r["last_scrape"] for r in store.bookmarks().latest().collect()} == {"a": 1015, "b": 1015}
+    assert {r["target"]: r["last_scrape"] for r in store.bookmarks().collect()} == {"a": 1015, "b": 1015}
 
 
 def test_streamed_dumps_equal_the_batch(spark, store, tmp_path):
