@@ -17,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """The rows dealt over all tasks by a key, at every size: a file of one row group is one task
+    otherwise, however much its rows are multiplied afterwards."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _text(value: Column) -> Column:
     return value.cast("string")
 
@@ -27,7 +33,7 @@ def event_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     Labels: ``user``, ``k`` from the JSON properties, ``tier`` on even users only (an inner
     gap) and ``zone`` on every third user only (the last position).
     """
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    e = dealt(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"), "event_id")
     own = labels_of(
         [
             ("user", _text(F.col("user_id"))),
@@ -64,8 +70,8 @@ def coarse_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineitem_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as samples: metric by return flag, labels line status and supplier."""
-    columns = ("l_returnflag", "l_linestatus", "l_suppkey", "l_extendedprice", "l_shipdate")
-    li = table(spark, sf_dir, "lineitem").select(*columns)
+    columns = ("l_orderkey", "l_returnflag", "l_linestatus", "l_suppkey", "l_extendedprice", "l_shipdate")
+    li = dealt(table(spark, sf_dir, "lineitem").select(*columns), "l_orderkey")
     return li.select(
         F.col("l_returnflag").alias("name"),
         labels_of([("status", F.col("l_linestatus")), ("supplier", _text(F.col("l_suppkey")))]).alias("labels"),
@@ -115,7 +121,7 @@ def event_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dump per document: its whole text, escaped, as a label value."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "text", "n_chars")
+    d = dealt(table(spark, sf_dir, "documents").select("doc_id", "lang", "text", "n_chars"), "doc_id")
     return d.select(
         _text(F.col("doc_id")).alias("doc_id"),
         F.lit("docs").alias("target"),
@@ -131,7 +137,7 @@ def text_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def family_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dump per order: a counter, a summary, a histogram, an undeclared and a bad line."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    o = dealt(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), "o_orderkey")
     key = _text(F.col("o_orderkey"))
     total = _text(F.col("o_totalprice"))
     late = F.when(F.col("o_orderkey") % 3 == 0, "gauge").otherwise("counter")

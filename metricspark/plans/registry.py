@@ -737,9 +737,7 @@ def type_registry(spark, sf_dir):
 @query
 def family_names(spark, sf_dir):
     """SRC9"""
-    docs = fixtures.family_dumps(spark, sf_dir)
-    kinds = [exposition.families(docs, k).withColumn("kind", F.lit(k)) for k in ("summary", "histogram")]
-    return kinds[0].unionByName(kinds[1]).select("doc_id", "family", "kind")
+    return exposition.families(fixtures.family_dumps(spark, sf_dir), "summary", "histogram").drop("line")
 
 
 @query

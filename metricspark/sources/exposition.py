@@ -2,9 +2,9 @@ r"""Text exposition dumps to typed samples.
 
 A dump is one row. Its lines are typed *inside the row*: the dump is cut into sections at
 its ``# TYPE`` lines, and a sample whose name belongs to the declaration that opens its
-section is typed by it, with no look-up. Only other samples search the dump's earlier
-declarations. So the work is one narrow pass over the text: no shuffle of lines, no window,
-and the order dependence (the latest *earlier* declaration counts) is exact.
+section is typed by it, with no look-up. Other samples search the dump's declarations, sorted by
+name and place, by halves. So the work is one narrow pass over the text: no shuffle of lines, no
+window, and the order dependence (the latest *earlier* declaration counts) is exact.
 
 All repeated groups in the patterns are possessive, so that they run as loops and whole
 texts of any size cannot overflow the stack of the pattern engine.
@@ -116,8 +116,8 @@ def _registry(docs: DataFrame) -> DataFrame:
     """Read the declaration opening each section, and list all that is declared.
 
     Adds ``sections`` of ``struct<at,types,lines>``, ``types`` being the entries of the
-    section's own declaration by name, and ``registry`` of ``struct<at,name,series_type>`` in
-    the order of the dump.
+    section's own declaration by name, ``registry`` of ``struct<name,at,series_type>`` sorted by
+    name and place, and ``halvings``, as often as its length can be halved.
     """
     worded = F.transform(
         F.col("sections"),
@@ -131,7 +131,7 @@ def _registry(docs: DataFrame) -> DataFrame:
         worded, lambda s: F.struct(s["at"].alias("at"), _registered(s["words"]).alias("entries"), s["lines"].alias("lines"))
     )
     entry = lambda at, e: F.struct(
-        at.alias("at"), e["name"].alias("name"), e["series_type"].alias("series_type")
+        e["name"].alias("name"), at.alias("at"), e["series_type"].alias("series_type")
     )
     opened = F.transform(
         F.col("sections"),
@@ -143,7 +143,10 @@ def _registry(docs: DataFrame) -> DataFrame:
         F.transform(F.col("sections"), lambda s: F.transform(s["entries"], lambda e: entry(s["at"], e)))
     )
     return (
-        _sections(docs).withColumn("sections", registered).withColumns({"registry": listed, "sections": opened})
+        _sections(docs)
+        .withColumn("sections", registered)
+        .withColumns({"registry": F.sort_array(listed), "sections": opened})
+        .withColumn("halvings", F.length(F.bin(F.size("registry").cast("bigint"))))
     )
 
 
@@ -157,12 +160,30 @@ def _metric_part(line: Column) -> Column:
     return trimmed(F.when(line.contains("}"), head).otherwise(_first_word(line)))
 
 
+def _declared_before(name: Column, at: Column) -> Column:
+    """The series type of the last entry of ``name`` before section ``at``: the registry's first
+    entry not below (name, at) is found by halving, and the one before it looked at."""
+
+    def halve(span: Column, _: Column) -> Column:
+        low, high = span["low"], span["high"]
+        middle = F.shiftright(low + high, 1)
+        entry = F.get("registry", middle)
+        below = (entry["name"] < name) | ((entry["name"] == name) & (entry["at"] < at))
+        return F.struct(
+            F.when((low < high) & below, middle + 1).otherwise(low).alias("low"),
+            F.when((low < high) & below, high).otherwise(F.when(low < high, middle).otherwise(high)).alias("high"),
+        )
+
+    whole = F.struct(F.lit(0).alias("low"), F.size("registry").alias("high"))
+    last = F.aggregate(F.sequence(F.lit(1), F.col("halvings")), whole, halve, lambda s: F.get("registry", s["low"] - 1))
+    return F.when(last["name"] == name, last["series_type"])
+
+
 def _typed(line: Column, section: Column) -> Column:
     """``text`` and ``series_type``: by the section's own declaration, else by the latest
     earlier one of the name."""
     own = F.try_element_at(section["types"], line["name"])
-    earlier = F.filter(F.col("registry"), lambda e: (e["at"] < section["at"]) & (e["name"] == line["name"]))
-    found = F.coalesce(own, F.try_element_at(earlier, F.lit(-1))["series_type"])
+    found = F.coalesce(own, _declared_before(line["name"], section["at"]))
     return F.struct(line["text"].alias("text"), found.alias("series_type"))
 
 
@@ -233,29 +254,40 @@ def parse_lines(lines: DataFrame, counter_mode: str = "integer") -> DataFrame:
     return parsed.select(F.inline(F.array(F.struct(*columns))))
 
 
-def _declarations(docs: DataFrame) -> DataFrame:
-    """The TYPE lines of dumps as ``doc_id, line, words``."""
+def _declarations(docs: DataFrame, *columns: str) -> DataFrame:
+    """Dumps with ``declared``, their TYPE lines as ``struct<line,words>``."""
     lines = F.filter(strip_help(F.col("body")), lambda line: line.startswith(TYPE_PREFIX))
-    rows = docs.select("doc_id", F.posexplode(F.transform(lines, _type_words)).alias("line", "words"))
-    return rows.filter(F.size("words") >= 4)
+    worded = F.transform(lines, lambda line, i: F.struct(i.alias("line"), _type_words(line).alias("words")))
+    return docs.select(*columns, F.filter(worded, lambda d: F.size(d["words"]) >= 4).alias("declared"))
 
 
 def metric_types(docs: DataFrame) -> DataFrame:
     """What each dump declares: ``doc_id, name, series_type, family, family_kind``, where
-    ``name`` is a registered name and ``family`` the declared one. The last one counts."""
-    entries = _declarations(docs).select(
-        "doc_id", "line", F.col("words")[2].alias("family"), F.col("words")[3].alias("family_kind"),
-        F.inline(_registered(F.col("words"))),
-    )
-    return entries.groupBy("doc_id", "name").agg(
-        F.max_by(F.struct("series_type", "family", "family_kind"), "line").alias("d")
-    ).select("doc_id", "name", "d.series_type", "d.family", "d.family_kind")
+    ``name`` is a registered name and ``family`` the declared one. The last one counts.
+
+    A dump is a row, so its entries are sorted by name and line inside it, and the last of each
+    name is kept; nothing is shuffled.
+    """
+
+    def entries(d: Column) -> Column:
+        return F.transform(
+            _registered(d["words"]),
+            lambda e: F.struct(
+                e["name"].alias("name"), d["line"].alias("line"), e["series_type"].alias("series_type"),
+                d["words"][2].alias("family"), d["words"][3].alias("family_kind"),
+            ),
+        )
+
+    listed = _declarations(docs, "doc_id").select("doc_id", F.sort_array(F.flatten(F.transform("declared", entries))).alias("e"))
+    last = F.filter("e", lambda e, i: ~e["name"].eqNullSafe(F.get("e", i + 1)["name"]))
+    return listed.select("doc_id", F.inline(last)).drop("line")
 
 
-def families(docs: DataFrame, kind: str) -> DataFrame:
-    """Names declared as ``summary`` or ``histogram``, one row per declaration."""
-    chosen = _declarations(docs).filter(F.col("words")[3] == kind)
-    return chosen.select("doc_id", "line", F.col("words")[2].alias("family"))
+def families(docs: DataFrame, *kinds: str) -> DataFrame:
+    """Names declared as ``summary`` or ``histogram``, one row per declaration, with their kind."""
+    chosen = F.filter("declared", lambda d: d["words"][3].isin(*kinds))
+    named = F.transform(chosen, lambda d: F.struct(d["line"].alias("line"), d["words"][2].alias("family"), d["words"][3].alias("kind")))
+    return _declarations(docs, "doc_id").select("doc_id", F.inline(named))
 
 
 def unescape(value: Column) -> Column:
@@ -265,13 +297,40 @@ def unescape(value: Column) -> Column:
     return F.when(value.contains("\\"), plain).otherwise(value)
 
 
+def _label_value(tail: Column) -> Column:
+    """The text of a label from what follows its opening sign: without the closing quote and
+    comma or, where the end came first, without a backslash that escapes nothing.
+
+    A quote or backslash behind an odd number of backslashes is part of the text."""
+    shorter = lambda t, n: F.left(t, F.length(t) - n)
+    escaped = lambda t: (F.length(t) - F.length(F.rtrim(t, F.lit("\\")))) % 2 == 1
+    return (
+        F.when(tail.endswith('",') & ~escaped(shorter(tail, 2)), shorter(tail, 2))
+        .when(tail.endswith('"') & ~escaped(shorter(tail, 1)), shorter(tail, 1))
+        .when(escaped(tail), shorter(tail, 1))
+        .otherwise(tail)
+    )
+
+
 def parse_labels(text: Column) -> Column:
-    """``k="v",…`` to a label list, null if anything is left over after the labels."""
-    keys = F.regexp_extract_all(text, F.lit(_LABEL), F.lit(1))
-    values = F.regexp_extract_all(text, F.lit(_LABEL), F.lit(2))
-    pairs = F.zip_with(keys, values, lambda k, v: label(k, unescape(v)))
-    rest = F.regexp_replace(text, _LABEL, "")
-    return F.when(rest.rlike(_LABELS_DONE), pairs)
+    """``k="v",…`` to a label list, null if anything is left over after the labels.
+
+    The pattern runs over the text once; keys, values and the rest follow from what it found."""
+    found = F.regexp_extract_all(text, F.lit(_LABEL), F.lit(0))
+
+    def pair(part: Column) -> Column:
+        key = F.substring_index(part, "=", 1)
+        return label(key, unescape(_label_value(F.substr(part, F.length(key) + 3))))
+
+    return F.element_at(
+        F.transform(
+            F.array(found),
+            lambda parts: F.when(
+                F.substr(text, F.length(F.array_join(parts, "")) + 1).rlike(_LABELS_DONE), F.transform(parts, pair)
+            ),
+        ),
+        1,
+    )
 
 
 def parse_exposition(docs: DataFrame, counter_mode: str = "integer", timestamp_unit: str = "ms") -> DataFrame:

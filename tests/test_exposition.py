@@ -1,6 +1,7 @@
 """The parser against known documents, edge cases and samples that are written down and read back."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -22,11 +23,9 @@ and a third
 temp -3.25e-2
 temp{unit="\"C\"",note="one\ntwo",dir="D:\\t"} 6.5E3
 """
-UNTYPED = r"""# HELP lost Nothing declares it \
-temp 4
-lost{why="no type"} -Inf -77
-lost{why="open} 2
-"""
+UNDECLARED = "speed 12\nspeed{unit=\"km\"} 9 1650000000000\n"
+BELOW_ZERO = "# TYPE depth gauge\ndepth{at=\"pole\"} -Inf -77\n"
+OPEN_QUOTE = "# TYPE mode gauge\nmode{now=\"idle} 2\n"
 FAMILIES = r"""# TYPE size histogram
 size_bucket{le="10"} 1
 size_bucket{le="+Inf"} 5
@@ -61,11 +60,17 @@ def test_escapes_and_continued_help(spark):
     assert parse(spark, ESCAPED) == [("temp", [], -0.0325, None), ("temp", labels, 6500.0, None)]
 
 
-def test_undeclared_names_give_nothing_and_an_open_quote_ends_with_the_labels(spark):
-    assert parse(spark, UNTYPED) == []
-    assert parse(spark, "# TYPE lost gauge\n" + UNTYPED) == [
-        ("lost", [("why", "no type")], float("-inf"), -77), ("lost", [("why", "open")], 2.0, None),
-    ]
+def test_undeclared_names_give_nothing(spark):
+    assert parse(spark, UNDECLARED) == []
+    assert [v for *_, v, _ in parse(spark, "# HELP speed In knots \\\nspeed 1\n# TYPE speed gauge\n" + UNDECLARED)] == [12.0, 9.0]
+
+
+def test_infinite_values_and_times_before_the_epoch(spark):
+    assert parse(spark, BELOW_ZERO) == [("depth", [("at", "pole")], float("-inf"), -77)]
+
+
+def test_an_open_quote_ends_with_the_labels(spark):
+    assert parse(spark, OPEN_QUOTE) == [("mode", [("now", "idle")], 2.0, None)]
 
 
 def test_family_members_have_their_types(spark):
@@ -219,7 +224,38 @@ def test_types_and_families(spark):
     assert [r["family"] for r in exposition.families(docs, "histogram").collect()] == ["h"]
 
 
-def test_parse_has_no_shuffle(spark):
+def test_nothing_is_shuffled(spark):
     docs = spark.createDataFrame([("0", "t", 1, "ok", LABELLED + ESCAPED + FAMILIES)], EXPOSITION_DOC)
-    plan = exposition.parse_exposition(docs)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan and "Window" not in plan and "Python" not in plan
+    for df in (exposition.parse_exposition(docs), exposition.metric_types(docs), exposition.families(docs, "summary", "histogram")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Window" not in plan and "Python" not in plan
+
+
+def test_declarations_far_from_their_lines(spark):
+    """Changed and repeated declarations, all before the lines and between them, against a loop."""
+    rng = random.Random(5)
+    for _ in range(30):
+        known, lines, want = {}, [], []
+        for _ in range(rng.randint(1, 60)):
+            name = f"m{rng.randrange(6)}"
+            if rng.random() < 0.5:
+                kind = rng.choice(["counter", "gauge", "strange"])
+                known[name] = known.get(name) if kind == "strange" else kind
+                lines.append(f"# TYPE {name} {kind}")
+            else:
+                lines.append(f"{name} 1.5")
+                if known.get(name) == "gauge":
+                    want.append(name)
+        assert [n for n, *_ in parse(spark, "\n".join(lines))] == want
+
+
+def test_time_grows_with_the_lines_not_their_square(spark):
+    def took(n):
+        body = "".join(f"# TYPE m{i} gauge\n" for i in range(n)) + "".join(f"m{i} {i}\n" for i in range(n))
+        started = time.perf_counter()
+        assert len(parse(spark, body)) == n
+        return time.perf_counter() - started
+
+    took(500)
+    small, large = (min(took(n) for _ in range(2)) for n in (2000, 8000))
+    assert large < 8 * small  # four times the lines; sixteen times for a search of each line through all
