@@ -3,6 +3,9 @@
 Every step keeps the rows a dimension already has, adds the incoming keys it lacks, and
 returns the rows it adds, so that a replay of the same input adds nothing. Ids are dense
 and follow the sort order of the keys, which makes them repeatable.
+
+A step needs only those rows of the dimension that hold incoming keys; ``after`` is then the
+highest id the dimension has given.
 """
 
 from __future__ import annotations
@@ -19,16 +22,16 @@ def missing(incoming: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
     return incoming.select(*keys).distinct().join(dim.select(*keys), keys, "left_anti")
 
 
-def new_labels(label: DataFrame, incoming: DataFrame) -> DataFrame:
+def new_labels(label: DataFrame, incoming: DataFrame, after: int | None = None) -> DataFrame:
     """``id, key, value`` for the (key, value) pairs not in the dictionary yet."""
     fresh = missing(incoming, label, ["key", "value"])
-    return assign_ids(fresh, ["key", "value"], "id", after=label)
+    return assign_ids(fresh, ["key", "value"], "id", after=label if after is None else after)
 
 
-def new_metrics(metric: DataFrame, incoming: DataFrame) -> DataFrame:
+def new_metrics(metric: DataFrame, incoming: DataFrame, after: int | None = None) -> DataFrame:
     """Metrics for the names not known yet, on default settings."""
     fresh = missing(incoming, metric, ["metric_name"])
-    ids = assign_ids(fresh, ["metric_name"], "metric_id", after=metric)
+    ids = assign_ids(fresh, ["metric_name"], "metric_id", after=metric if after is None else after)
     return ids.select(
         "metric_id",
         "metric_name",
@@ -49,10 +52,10 @@ def get_or_create_metrics(metric: DataFrame, incoming: DataFrame) -> DataFrame:
     )
 
 
-def new_label_keys(label_key: DataFrame, incoming: DataFrame) -> DataFrame:
+def new_label_keys(label_key: DataFrame, incoming: DataFrame, after: int | None = None) -> DataFrame:
     """Keys not known yet, with the view columns named after them."""
     fresh = missing(incoming, label_key, ["key"])
-    ids = assign_ids(fresh, ["key"], "id", after=label_key)
+    ids = assign_ids(fresh, ["key"], "id", after=label_key if after is None else after)
     return ids.select(
         "id",
         "key",
@@ -80,10 +83,10 @@ def new_label_positions(positions: DataFrame, incoming: DataFrame) -> DataFrame:
     return names.unionByName(others)
 
 
-def new_series(series: DataFrame, encoded: DataFrame) -> DataFrame:
+def new_series(series: DataFrame, encoded: DataFrame, after: int | None = None) -> DataFrame:
     """Series for the (metric, label ids) combinations not known yet."""
     fresh = missing(encoded, series, ["metric_id", "label_ids"])
-    return assign_ids(fresh, ["metric_id", "label_ids"], "series_id", "bigint", after=series)
+    return assign_ids(fresh, ["metric_id", "label_ids"], "series_id", "bigint", after=series if after is None else after)
 
 
 # -- look-ups ------------------------------------------------------------------------------

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricspark.functions.labels import canonical_labels, series_hash
@@ -37,11 +37,17 @@ class Ingested:
     facts: DataFrame
 
 
+def set_hashes(name: Column, labels: Column) -> tuple[Column, Column]:
+    return series_hash(name, labels), F.xxhash64(F.lit(SECOND_SEED), name, labels)
+
+
 def ingest(
     samples: DataFrame,
     catalog: Catalog,
     carry: Sequence[str] = (),
     persist: Callable[[DataFrame, str], DataFrame] = durable,
+    find: Callable[[str, DataFrame], DataFrame] | None = None,
+    highs: Mapping[str, int] | None = None,
 ) -> Ingested:
     """Resolve samples of ``name, labels, value, time`` to series, creating what is missing.
 
@@ -50,13 +56,18 @@ def ingest(
     in order alone find the same series. The samples themselves are shuffled once, to fetch
     their series id, and only with a 16-byte key, value and time; a series holding much of
     the data is a skewed key that adaptive execution splits. The key is two hashes of name
-    and labels with different seeds, at every size.
+    and labels with different seeds; where the distinct lists meet, it is checked, and samples
+    of lists that share a key find their series by the lists themselves.
 
     ``carry`` names further sample columns to keep on the facts. ``persist`` writes the new
-    rows of a dimension and returns them as read back.
+    rows of a dimension and returns them as read back. ``find(dimension, keys)`` returns the rows
+    that hold given keys, and ``highs`` has the highest id of each dimension; without them the
+    dimensions of ``catalog`` are read. What is found is small, so stored labels and series
+    never go through a shuffle where the batch's own fit a broadcast by Spark's own bound.
     """
-    first = series_hash(F.col("name"), F.col("labels"))
-    keyed = samples.withColumns({"set_hash": first, "set_hash2": F.xxhash64(F.lit(SECOND_SEED), "name", "labels")})
+    highs = highs or {}
+    find = find or (lambda name, keys: getattr(catalog, name).join(keys, keys.columns, "left_semi"))
+    keyed = samples.withColumns(dict(zip(SET_KEY, set_hashes(F.col("name"), F.col("labels")))))
     sets = durable(
         keyed.select("name", "labels", *SET_KEY)
         .distinct()
@@ -74,42 +85,58 @@ def ingest(
         positions = persist(new_label_positions(catalog.label_key_position, pairs), "label_key_position")
         return {
             "label_key_position": positions,
-            "label_key": persist(new_label_keys(catalog.label_key, positions), "label_key"),
+            "label_key": persist(new_label_keys(catalog.label_key, positions, highs.get("label_key")), "label_key"),
         }
 
+    def labels() -> dict[str, DataFrame]:
+        known = durable(find("label", pairs.select("key", "value").distinct()), "known-labels")
+        return {"label": persist(new_labels(known, pairs, highs.get("label")), "label"), "known": known}
+
     steps = together(
         samples.sparkSession,
-        lambda: {"metric": persist(new_metrics(catalog.metric, sets), "metric")},
-        lambda: {"label": persist(new_labels(catalog.label, pairs), "label")},
+        lambda: {"metric": persist(new_metrics(catalog.metric, sets, highs.get("metric")), "metric")},
+        labels,
         keys,
     )
     added = {name: rows for step in steps for name, rows in step.items()}
+    named = added.pop("known").unionByName(added["label"])
     grown = catalog.with_(**{n: getattr(catalog, n).unionByName(rows) for n, rows in added.items()})
 
-    encoded = encode_labels(sets, grown.label, grown.label_key_position)
+    encoded = encode_labels(sets, named, grown.label_key_position)
     resolved = durable(
         sets.join(encoded, "set_id")
         .join(effective_settings(grown), "metric_name")
-        .select(*SET_KEY, "metric_id", "chunk_interval_s", "label_ids"),
+        .select("name", "labels", *SET_KEY, "metric_id", "chunk_interval_s", "label_ids"),
         "resolved-sets",
     )
-    added["series"] = persist(new_series(catalog.series, resolved), "series")
+    held = durable(find("series", resolved.select("metric_id", "label_ids").distinct()), "known-series")
+    added["series"] = persist(new_series(held, resolved, highs.get("series")), "series")
     grown = grown.with_(series=catalog.series.unionByName(added["series"]))
-    known = resolved.join(grown.series, ["metric_id", "label_ids"]).select(
-        *SET_KEY, "metric_id", "chunk_interval_s", "series_id"
+    known = resolved.join(held.unionByName(added["series"]), ["metric_id", "label_ids"]).select(
+        "name", "labels", *SET_KEY, "metric_id", "chunk_interval_s", "series_id"
     )
-    return Ingested(grown, added, _facts(keyed, known, carry))
+    return Ingested(grown, added, _facts(keyed, known, _shared_keys(sets), carry))
+
+
+def _shared_keys(sets: DataFrame) -> DataFrame | None:
+    """The keys that several label lists have, None if there are none."""
+    shared = durable(sets.groupBy(*SET_KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*SET_KEY), "shared-keys")
+    return None if shared.isEmpty() else shared
 
 
-def _facts(keyed: DataFrame, known: DataFrame, carry: Sequence[str]) -> DataFrame:
+def _facts(keyed: DataFrame, known: DataFrame, shared: DataFrame | None, carry: Sequence[str]) -> DataFrame:
     kind = F.col("sample_kind") if "sample_kind" in keyed.columns else sample_kind(F.col("value"))
-    columns = ["time", "value", kind.alias("sample_kind"), *carry]
+    rows = keyed.select("name", "labels", *SET_KEY, "time", "value", kind.alias("sample_kind"), *carry)
     start, end = chunk_bounds(F.col("time"), F.col("chunk_interval_s"))
-    return (
-        keyed.select(*SET_KEY, *columns)
-        .join(known, SET_KEY)
-        .select(
+
+    def placed(rows: DataFrame, on: list[str]) -> DataFrame:
+        series = known.select(*on, "metric_id", "chunk_interval_s", "series_id")
+        return rows.select(*on, "time", "value", "sample_kind", *carry).join(series, on).select(
             "time", "value", "sample_kind", "series_id", "metric_id",
             start.alias("chunk_start"), end.alias("chunk_end"), *carry,
         )
-    )
+
+    if shared is None:
+        return placed(rows, SET_KEY)
+    whole = placed(rows.join(shared, SET_KEY, "left_semi"), ["name", "labels"])
+    return placed(rows.join(shared, SET_KEY, "left_anti"), SET_KEY).unionByName(whole)

@@ -305,6 +305,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "sel_absent_positive": _selector("name = 'view' AND zone = ''"),
         "sel_absent_negative": _selector("name = 'view'"),
+        "sel_neq_indexed": _selector("name = 'error' AND zone IS DISTINCT FROM 'z1'"),
         "sel_contains": _selector("name = 'click' AND tier = 'gold' AND zone = 'z1'"),
         "sel_across_metrics": _selector("regexp_matches(k, '^1') AND tier IS NULL"),
         "sel_literal_ids": _with(
@@ -367,6 +368,15 @@ def oracle_sql() -> dict[str, str]:
               chunk_start + 864000 <= 1706400000 OR count(DISTINCT labels) = count(DISTINCT (labels, batch)) AS summary_merged
             FROM h GROUP BY name, chunk_start""",
         ),
+        "bucketed_dimensions": _with(
+            _SERIES,
+            """SELECT labels, count(*) AS n FROM f GROUP BY labels
+            UNION ALL SELECT '__name__:' || name, count(*) FROM sr GROUP BY name
+            UNION ALL SELECT 'k:' || k, count(*) FROM sr GROUP BY k
+            UNION ALL SELECT 'tier:' || tier, count(*) FROM sr WHERE tier IS NOT NULL GROUP BY tier
+            UNION ALL SELECT 'user:' || u, count(*) FROM sr GROUP BY u
+            UNION ALL SELECT 'zone:' || zone, count(*) FROM sr WHERE zone IS NOT NULL GROUP BY zone""",
+        ),
         "batch_outcomes": """
             SELECT event_id % 2 AS batch_id, event_type AS metric_name, count(*) AS n FROM events GROUP BY ALL""",
         "store_refuses_other_batch": """

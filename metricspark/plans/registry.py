@@ -21,7 +21,7 @@ from metricspark.functions.labels import (
     with_static_labels,
 )
 from metricspark.functions.text import format_bytes, micros_of
-from metricspark.operators import age, encode, info, remote_write, report, retention, selectors, settings, targets, views
+from metricspark.operators import age, encode, info, postings, remote_write, report, retention, selectors, settings, targets, views
 from metricspark.operators.dictionary import get_or_create_metrics
 from metricspark.plans import fixtures
 from metricspark.plans.ingest import Ingested, ingest
@@ -348,6 +348,22 @@ def compact_chunks(spark, sf_dir):
     return named.select("metric_name", "chunk_start", "n", "cents", "n_summary", "n_series", "parts", merged.alias("summary_merged"))
 
 
+@query
+def bucketed_dimensions(spark, sf_dir):
+    """UPS1, UPS4, J15: dimensions merged into buckets, then a batch of known and new labels"""
+    store = _small_store(spark, "bucketed-store")
+    events = fixtures.event_samples(spark, sf_dir)
+    early = F.col("time") < F.timestamp_seconds(F.lit(1705363200))
+    store.write_batch(events.where(early), 0)
+    store.merge_parts(least=1)
+    store.write_batch(events.where(~early), 1)
+    c = store.catalog()
+    named = encode.decode_series(c.series, c.label).select("series_id", labels_text(F.col("labels")).alias("labels"))
+    use = store.table("label_use").groupBy("id").agg(F.sum("n").alias("n")).join(c.label, "id")
+    facts = store.facts().groupBy("series_id").agg(F.count(F.lit(1)).alias("n")).join(named, "series_id").select("labels", "n")
+    return facts.unionByName(use.select(F.concat("key", F.lit(":"), "value").alias("labels"), "n"))
+
+
 @query
 def batch_outcomes(spark, sf_dir):
     """SNK1: what each batch stored in each metric, as the commits tell"""
@@ -414,9 +430,12 @@ def _selected(p: Ingested, series: DataFrame, metric: str | None = None) -> Data
     return named.join(sums, "series_id").select("labels", "n", "cents")
 
 
-def _selector_query(name: str, metric: str, *matchers: selectors.Matcher) -> None:
+def _selector_query(name: str, metric: str, *matchers: selectors.Matcher, indexed: bool = False) -> None:
     def run(spark, sf_dir):
         p = stored_events(spark, sf_dir)
+        if indexed:
+            index = event_store(spark, sf_dir).table("postings")
+            return _selected(p, postings.select_series(p.catalog, index, metric, *matchers), metric)
         return _selected(p, selectors.select_series(p.catalog, metric, *matchers), metric)
 
     run.__name__ = name
@@ -428,18 +447,21 @@ _selector_query("sel_neq", "error", selectors.not_equal("zone", "z1"))
 _selector_query("sel_re", "error", selectors.matches("k", "^[1-3]"))
 _selector_query("sel_nre", "error", selectors.not_matches("user", "5$"))
 _selector_query(
-    "sel_and", "click", selectors.matches("user", "1"), selectors.not_equal("tier", "gold"), selectors.not_matches("k", "[02468]$")
+    "sel_and", "click", selectors.matches("user", "1"), selectors.not_equal("tier", "gold"), selectors.not_matches("k", "[02468]$"),
+    indexed=True,
 )
+_selector_query("sel_neq_indexed", "error", selectors.not_equal("zone", "z1"), indexed=True)
 _selector_query("sel_absent_positive", "view", selectors.equal("zone", ""))
 _selector_query("sel_absent_negative", "view", selectors.not_equal("nokey", "x"), selectors.not_equal("zone", "nosuch"))
 
 
 @query
 def sel_contains(spark, sf_dir):
-    """FLT4, J6"""
+    """FLT4, J6, by the postings of the labels"""
     p = stored_events(spark, sf_dir)
     pairs = {"__name__": "x", "tier": "gold", "zone": "z1"}
-    return _selected(p, selectors.select_containing(p.catalog, "click", pairs), "click")
+    index = event_store(spark, sf_dir).table("postings")
+    return _selected(p, postings.select_containing(p.catalog, index, "click", pairs), "click")
 
 
 @query

@@ -3,7 +3,9 @@
 Every change to a store is a version of its log (see ``manifest``): a batch, a merge of chunks,
 a retention run, new settings. Its files lie under its number and are never changed.
 
-``<root>/<dimension>/<version>`` holds the rows a version adds to a dimension.
+``<root>/<dimension>/<version>`` holds the rows a version adds to a dimension. Small parts are
+merged into larger ones, which for labels, series and postings lie in buckets by a hash of their
+key, so that a batch reads those buckets only that its own keys fall in.
 ``<root>/samples/seq=<version>/metric_id=…/chunk_start=…/chunk_end=…`` holds the facts, and
 ``<root>/summary/seq=<version>`` one row per series and chunk of them. ``label_use`` counts the
 series that use a label, in changes that add up.
@@ -20,10 +22,11 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from metricspark.operators.postings import postings
 from metricspark.operators.retention import CHUNK, Retention, chunk_summary, drop_old, label_use, metric_limit, period_limits
 from metricspark.plans.ingest import ingest
 from metricspark.plans.manifest import ADD, COMMIT, DROP, MANUAL, Manifest, chunk_rows, part
@@ -35,6 +38,7 @@ from metricspark.schema import (
     LABEL_KEY_POSITION,
     LABEL_USE,
     METRIC,
+    POSTINGS,
     SERIES,
     SETTINGS,
     SUMMARY,
@@ -51,11 +55,16 @@ DIMENSIONS = {
     "series": SERIES,
     "settings": SETTINGS,
 }
-TABLES = DIMENSIONS | {"label_use": LABEL_USE, "bookmarks": BOOKMARK}
+TABLES = DIMENSIONS | {"label_use": LABEL_USE, "postings": POSTINGS, "bookmarks": BOOKMARK}
+#: The key by which merged parts are bucketed, and the column of ids that are given.
+BUCKET_KEYS = {"label": ["key", "value"], "series": ["metric_id", "label_ids"], "postings": ["id"]}
+ID_COLUMNS = {"metric": "metric_id", "label": "id", "label_key": "id", "series": "series_id"}
+BUCKETS = 64
 SAMPLES = "samples"
 #: Parts of one level of a table that are merged into one of the next.
 MERGE = 16
 _SEQ = T.StructField("seq", T.LongType())
+_BUCKET = T.StructField("bucket", T.IntegerType())
 
 
 class OtherBatch(ValueError):
@@ -115,11 +124,37 @@ class MetricStore:
 
     # -- dimensions ------------------------------------------------------------------------
 
+    def _read_parts(self, name: str, parts: list[dict], buckets: list[int] | None = None) -> DataFrame:
+        """Parts of a table; of those in buckets, only the given ones."""
+        out = None
+        for bucketed in (False, True):
+            paths = [f"{self.root}/{name}/{p['seq']}" for p in parts if _bucketed(name, p["level"]) == bucketed]
+            if not paths:
+                continue
+            schema = T.StructType([*TABLES[name].fields, _BUCKET]) if bucketed else TABLES[name]
+            rows = self.spark.read.schema(schema).parquet(*paths)
+            if bucketed and buckets is not None:
+                rows = rows.where(F.col("bucket").isin(buckets))
+            rows = rows.select(TABLES[name].names)
+            out = rows if out is None else out.unionByName(rows)
+        return self.spark.createDataFrame([], TABLES[name]) if out is None else out
+
     def table(self, name: str) -> DataFrame:
         """The rows of a dimension in force."""
-        paths = [f"{self.root}/{name}/{seq}" for seq in self.log.state().of(name)["seq"].to_pylist()]
-        schema = TABLES[name]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        return self._read_parts(name, self.log.state().of(name).to_pylist())
+
+    def find(self, name: str, keys: DataFrame) -> DataFrame:
+        """The rows of a table that hold the given keys, from the buckets they fall in. The
+        stored rows are the streamed side of a semi join, so they are not shuffled as long as
+        the keys fit a broadcast by Spark's own bound."""
+        if name not in BUCKET_KEYS:
+            return self.table(name).join(keys, keys.columns, "left_semi")
+        parts = self.log.state().of(name).to_pylist()
+        buckets = None
+        if any(_bucketed(name, p["level"]) for p in parts):
+            # At most BUCKETS numbers.
+            buckets = [r["b"] for r in keys.select(_bucket_of(name).alias("b")).distinct().collect()]
+        return self._read_parts(name, parts, buckets).join(keys, keys.columns, "left_semi")
 
     def catalog(self) -> Catalog:
         """The dimensions in force, of committed batches."""
@@ -132,15 +167,26 @@ class MetricStore:
         """When each target was last scraped."""
         return self.table("bookmarks")
 
-    def _write_part(self, name: str, rows: DataFrame, seq: int) -> DataFrame:
-        path = f"{self.root}/{name}/{seq}"
-        rows.select(*(f.name for f in TABLES[name].fields)).write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(TABLES[name]).parquet(path)
+    def _write_part(self, name: str, rows: DataFrame, seq: int, level: int = 0) -> DataFrame:
+        path, schema = f"{self.root}/{name}/{seq}", TABLES[name]
+        rows = rows.select(*schema.names)
+        if _bucketed(name, level):
+            placed = rows.withColumn("bucket", _bucket_of(name)).hint("rebalance", "bucket")
+            placed.write.mode("overwrite").partitionBy("bucket").parquet(path)
+        else:
+            rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(schema).parquet(path)
 
     def _added_part(self, name: str, rows: DataFrame, seq: int, level: int = 0) -> list[dict]:
         """Write a part; its log row, none if it is empty."""
-        n = self._write_part(name, rows, seq).count()
-        return [part(ADD, name, seq, n, level)] if n else []
+        return self._part_row(name, self._write_part(name, rows, seq, level), seq, level)
+
+    def _part_row(self, name: str, written: DataFrame, seq: int, level: int = 0) -> list[dict]:
+        ids = ID_COLUMNS.get(name)
+        found = written.agg(F.count(F.lit(1)).alias("n"), (F.max(ids) if ids else F.lit(None)).cast("bigint").alias("high")).first()
+        # Ids of rows that are dropped are not given again.
+        high = max(found["high"] or 0, self.log.state().high(name)) if ids else None
+        return [part(ADD, name, seq, found["n"], level, high)] if found["n"] or high else []
 
     def _dropped_parts(self, name: str) -> list[dict]:
         return chunk_rows(DROP, name, self.log.state().of(name))
@@ -155,26 +201,29 @@ class MetricStore:
         version = self.next_version()
         steps = [lambda n=name: self._added_part(n, getattr(catalog, n), version) for name in DIMENSIONS]
         steps.append(lambda: self._added_part("label_use", label_use(catalog.series), version))
+        steps.append(lambda: self._added_part("postings", postings(catalog.series), version))
         added = together(self.spark, *steps)
-        dropped = [row for name in [*DIMENSIONS, "label_use"] for row in self._dropped_parts(name)]
+        dropped = [row for name in [*DIMENSIONS, "label_use", "postings"] for row in self._dropped_parts(name)]
         self.log.publish(version, self.log.frame([row for rows in added for row in rows] + dropped))
 
-    def merge_parts(self) -> None:
-        """Merge small parts of the dimensions, level by level, so that a table never has more
-        than MERGE parts of a level."""
+    def merge_parts(self, least: int = MERGE) -> None:
+        """Merge small parts of the tables, level by level, so that a table never has more than
+        ``least`` parts of a level."""
         state = self.log.state()
         for name in TABLES:
             parts = state.of(name).to_pylist()
-            for level in {p["level"] for p in parts}:
+            for level in sorted({p["level"] for p in parts}):
                 small = [p for p in parts if p["level"] == level]
-                if len(small) >= MERGE:
-                    version = self.next_version()
-                    rows = self.spark.read.schema(TABLES[name]).parquet(*(f"{self.root}/{name}/{p['seq']}" for p in small))
-                    if name == "label_use":
-                        rows = rows.groupBy("metric_id", "id").agg(F.sum("n").alias("n")).where("n <> 0")
-                    added = self._added_part(name, rows.coalesce(max(1, len(small) // MERGE)), version, level + 1)
-                    dropped = [part(DROP, name, p["seq"], p["n"], level) for p in small]
-                    self.log.publish(version, self.log.frame(added + dropped))
+                if len(small) < least:
+                    continue
+                version, rows = self.next_version(), self._read_parts(name, small)
+                if name == "label_use":
+                    rows = rows.groupBy("metric_id", "id").agg(F.sum("n").alias("n")).where("n <> 0")
+                if name == "postings":
+                    rows = rows.groupBy("metric_id", "id", "word").agg(F.bit_or("bits").alias("bits"))
+                added = self._added_part(name, rows, version, level + 1)
+                dropped = [part(DROP, name, p["seq"], p["n"], level) for p in small]
+                self.log.publish(version, self.log.frame(added + dropped))
 
     # -- facts -----------------------------------------------------------------------------
 
@@ -261,11 +310,19 @@ class MetricStore:
 
     def stage_batch(self, samples: DataFrame, seq: int) -> list[dict]:
         """Write a batch under a number, dimensions first, without the commit; its log rows."""
+        state = self.log.state()
         with scratch(self.spark):
-            made = ingest(samples, self.catalog(), persist=lambda rows, name: self._write_part(name, rows, seq))
-            use = label_use(made.added["series"])
-            counts = [lambda n=n, rows=rows: [part(ADD, n, seq, rows.count())] for n, rows in made.added.items()]
-            steps = [lambda: self._write_facts(made.facts, seq), lambda: self._added_part("label_use", use, seq), *counts]
+            made = ingest(
+                samples, self.catalog(), persist=lambda rows, name: self._write_part(name, rows, seq),
+                find=self.find, highs={name: state.high(name) for name in ID_COLUMNS},
+            )
+            new = made.added["series"]
+            steps = [
+                lambda: self._write_facts(made.facts, seq),
+                lambda: self._added_part("label_use", label_use(new), seq),
+                lambda: self._added_part("postings", postings(new), seq),
+                *(lambda n=n, rows=rows: self._part_row(n, rows, seq) for n, rows in made.added.items()),
+            ]
             return [row for rows in together(self.spark, *steps) for row in rows if row["n"]]
 
     def commit(self, version: int, rows: list[dict], writer: str, batch_id: int, digest: str, parsed: int, written: int) -> None:
@@ -398,6 +455,14 @@ class MetricStore:
         return files.delete(path, True)
 
 
+def _bucketed(name: str, level: int) -> bool:
+    return name in BUCKET_KEYS and level > 0
+
+
+def _bucket_of(name: str) -> Column:
+    return F.pmod(F.hash(*BUCKET_KEYS[name]), F.lit(BUCKETS))
+
+
 def _facts_in(rows: list[dict]) -> int:
     return sum(row["n"] for row in rows if row["part_of"] == SAMPLES)
 

@@ -94,6 +94,15 @@ SUMMARY = T.StructType(
 LABEL_USE = T.StructType(
     [T.StructField("metric_id", T.IntegerType()), T.StructField("id", T.IntegerType()), T.StructField("n", T.LongType())]
 )
+#: The series of a metric that use a label: 64 of them to a word, bit s for series 64 * word + s.
+POSTINGS = T.StructType(
+    [
+        T.StructField("metric_id", T.IntegerType()),
+        T.StructField("id", T.IntegerType()),
+        T.StructField("word", T.LongType()),
+        T.StructField("bits", T.LongType()),
+    ]
+)
 BOOKMARK = T.StructType(
     [T.StructField("target", T.StringType()), T.StructField("last_scrape", T.LongType())]
 )

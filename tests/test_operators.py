@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from metricspark.functions.labels import labels_from_map
-from metricspark.operators import age, dictionary, encode, remote_write, retention, selectors, settings, targets, views
+from metricspark.operators import age, dictionary, encode, postings, remote_write, retention, selectors, settings, targets, views
 from metricspark.operators.ids import assign_ids
 from metricspark.operators.ordered import previous_in_order
 from metricspark.plans import ingest as ingest_module
@@ -62,15 +62,22 @@ def test_second_batch_keeps_ids_and_positions(spark):
     assert all(rows.count() == 0 for rows in replay.added.values())
 
 
-def test_colliding_hashes_fall_back_to_whole_label_sets(spark, monkeypatch):
-    rows = [("m", {"a": str(i % 7), "b": str(i % 3)}, float(i), i) for i in range(100)]
-    want = ingest(samples(spark, rows), Catalog.empty(spark))
-    monkeypatch.setattr(ingest_module, "series_hash", lambda *c: F.lit(1).cast("bigint"))
-    got = ingest(samples(spark, rows), Catalog.empty(spark))
-    names = decoded(got.catalog)
-    by_value = {r["value"]: names[r["series_id"]] for r in got.facts.collect()}
-    assert by_value == {float(i): {"__name__": "m", "a": str(i % 7), "b": str(i % 3)} for i in range(100)}
-    assert got.facts.count() == want.facts.count() == 100
+@pytest.mark.parametrize("both", [True, False])
+def test_label_lists_that_share_a_key_keep_their_series(spark, monkeypatch, both):
+    """One hash or both are the same for all lists of metric m."""
+    whole = ingest_module.set_hashes
+
+    def some(name, labels):
+        first, other = whole(name, labels)
+        same = F.when(name == "m", F.lit(1).cast("bigint")).otherwise(first)
+        return same, F.when(name == "m", F.lit(7).cast("bigint")).otherwise(other) if both else other
+
+    monkeypatch.setattr(ingest_module, "set_hashes", some)
+    rows = [("m", {"a": str(i % 5)}, float(i % 5), i) for i in range(20)] + [("n", {"b": "1"}, 9.0, 0)]
+    made = ingest(samples(spark, rows), Catalog.empty(spark))
+    names = decoded(made.catalog)
+    got = sorted((r["value"], names[r["series_id"]].get("a")) for r in made.facts.collect())
+    assert got == sorted([(float(i % 5), str(i % 5)) for i in range(20)] + [(9.0, None)], key=lambda t: (t[0], t[1] or ""))
 
 
 def test_lists_in_another_order_or_with_duplicates_are_one_series(spark):
@@ -280,3 +287,20 @@ def test_a_dump_of_any_size_is_one_request(spark):
     assert [r["line"] for r in got] == list(range(25_000)) and {r["doc_id"] for r in got} == {"d"}
     assert got[20_000]["timeseries"]["samples"][0]["value"] == 20_000.0
     assert got[1]["timeseries"]["samples"][0]["timestamp"] == 1000
+
+
+def test_postings_against_semi_joins(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["m", "n"]), {k: str(rng.randrange(4)) for k in rng.sample(["a", "b", "c"], rng.randint(0, 3))}, 1.0, i) for i in range(400)]
+    c = ingest(samples(spark, rows), Catalog.empty(spark)).catalog
+    index = postings.postings(c.series)
+    cases = [
+        [], [selectors.equal("a", "1")], [selectors.equal("a", "1"), selectors.matches("b", "[02]")], [selectors.not_equal("a", "1")],
+        [selectors.not_matches("a", "."), selectors.not_equal("zz", "1")], [selectors.equal("zz", "")], [selectors.equal("c", "9")],
+        [selectors.matches("a", "[12]"), selectors.not_equal("b", "0"), selectors.not_matches("c", "3")],
+    ]
+    for metric in ("m", "n", "none"):
+        for matchers in cases:
+            want = {r["series_id"] for r in selectors.select_series(c, metric, *matchers).collect()}
+            assert {r["series_id"] for r in postings.select_series(c, index, metric, *matchers).collect()} == want, matchers
+    assert postings.select_containing(c, index, "m", {"__name__": "x"}).count() == c.series.join(c.metric.where("metric_name = 'm'"), "metric_id").count()

@@ -3,14 +3,14 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from metricspark.operators import info, settings
+from metricspark.operators import info, postings, selectors, settings
 from metricspark.plans import manifest
 from metricspark.plans import store as store_module
 from metricspark.plans.manifest import ADD, COMMIT, DROP, MANUAL, Manifest
 from metricspark.plans.scrapes import ingest_dumps
 from metricspark.plans.store import MetricStore, OtherBatch
 from metricspark.schema import EXPOSITION_DOC, POD
-from metricspark.session import fresh_folder, hadoop_path
+from metricspark.session import durable, fresh_folder, hadoop_path
 from metricspark.sources.exposition import read_exposition
 from metricspark.streaming.bookmarks import stream_bookmarks
 from metricspark.streaming.ingest import stream_ingest
@@ -135,6 +135,38 @@ def test_parts_of_dimensions_are_merged(spark, store, monkeypatch):
     assert {(r["key"], r["value"]): r["n"] for r in use.collect()} == {("__name__", "m"): 5, ("b", "1"): 5} | {("a", str(i)): 1 for i in range(5)}
 
 
+def test_a_batch_reads_only_the_buckets_of_its_keys(spark, store):
+    store.write_batch(samples(spark, [("m", {"a": str(i)}, 1.0, i) for i in range(300)]), 0)
+    store.merge_parts(least=1)
+    keys = spark.createDataFrame([("a", "7"), ("a", "new")], "key string, value string")
+    found = store.find("label", durable(keys, "keys"))
+    assert [(r["key"], r["value"]) for r in found.collect()] == [("a", "7")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    stored = plan[plan.index("BroadcastHashJoin"):plan.index("BroadcastExchange")]
+    assert "PartitionFilters" in stored and "bucket" in stored and "Exchange hashpartitioning" not in plan
+    some = store._read_parts("label", store.log.state().of("label").to_pylist(), [3, 5]).select(F.input_file_name().alias("f"))
+    assert {r["f"].rsplit("/", 2)[1] for r in some.collect()} == {"bucket=3", "bucket=5"}
+    before = store.catalog().label.count()
+    store.write_batch(samples(spark, [("m", {"a": "7"}, 2.0, 0), ("m", {"a": "new"}, 3.0, 0)]), 1)
+    assert store.catalog().label.count() == before + 1 and store.catalog().series.count() == 301
+    assert sorted(v for v, labels in contents(store) if dict(labels)["a"] in ("7", "new")) == [1.0, 2.0, 3.0]
+
+
+def test_ids_are_not_given_again(spark, store):
+    store.write_batch(samples(spark, [("m", {"a": "old"}, 1.0, 0), ("m", {"a": "later"}, 2.0, 100 * HOUR)]), 0)
+    ids = {r["series_id"] for r in store.catalog().series.collect()}
+    assert store.drop_metric_chunks("m", 50 * HOUR) == 1
+    store.write_batch(samples(spark, [("m", {"a": "new"}, 3.0, 100 * HOUR)]), 1)
+    assert len({r["series_id"] for r in store.catalog().series.collect()} - ids) == 1
+    c, index = store.catalog(), store.table("postings")
+    assert selected_values(store, postings.select_series(c, index, "m", selectors.equal("a", "new"))) == [3.0]
+    assert selected_values(store, postings.select_series(c, index, "m")) == [2.0, 3.0]
+
+
+def selected_values(store, series):
+    return sorted(r["value"] for r in selectors.facts_of(store.facts(), series).collect())
+
+
 def test_retention_and_overview_read_no_facts(spark, store):
     rows = [("m", {"a": "old"}, 1.0, 0), ("m", {"a": "both"}, 2.0, 0), ("m", {"a": "both"}, 3.0, 100 * HOUR), ("n", {"a": "old"}, 4.0, 0)]
     store.write_batch(samples(spark, rows), 0)
