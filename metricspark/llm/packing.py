@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import os
 import re
-import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,69 +37,117 @@ _BYTE_SIGNS = _byte_signs()
 #: Cuts before a blank and around a line break are cuts of the tokenizer's own pre-tokens,
 #: unless white space meets white space there.
 _UNSAFE = re.compile(r"\s\s|\s\Z|\x00|<\|")
+#: What is unsafe where blank and line break are the only white space, and the other kinds.
+_UNSAFE_PLAIN = ("  ", " \n", "\n ", "\n\n", "\x00", "<|")
+_RARE_SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
 #: Bits of a piece's rank among those of its length.
 RANK_BITS = 48
 #: Shares of the fitted repeat counts that are tried.
 SHARES = (1.0, 0.9, 0.75, 0.5, 0.25)
-#: Texts that are looked up together.
-GROUP = 64
-#: Parts whose ids a worker keeps before it starts anew.
-CACHE_PARTS = 250_000
-_cache: dict[str, bytes] = {}
-_tokenizers: dict[str, object] = {}
+#: Characters of the texts that are cut together.
+GROUP_CHARS = 1 << 22
+#: Parts whose ids a worker keeps before the older half goes, and the longest it keeps.
+CACHE_PARTS = 1_000_000
+LONGEST_PART = 64
+_known: dict[str, "_Parts"] = {}
 
 
-def _tokenizer(path: str):
-    if path not in _tokenizers:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+class _Parts(dict):
+    """The ids of a text's parts as bytes, worked out where they are missing.
 
-        _tokenizers[path] = Tokenizer.from_file(path)
-        _cache.clear()
-    return _tokenizers[path]
+    Parts are kept in two halves. Once the newer one is full it becomes the older one, and what
+    is asked for again moves on, so common parts stay and rare ones go.
+    """
 
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-def _pack_ids(ids: list[int]) -> bytes:
-    return np.asarray(ids, dtype="<u4").tobytes()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
+        self.id_bytes = [n.to_bytes(4, "little") for n in range(self.tokenizer.get_vocab_size())]
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, part: str) -> bytes:
+        if len(self) >= CACHE_PARTS // 2:
+            self.older = dict(self)
+            self.clear()
+        ids = self.older.get(part)
+        if ids is None:
+            ids = self.learn(part)
+        if len(part) <= LONGEST_PART:
+            self[part] = ids
+        return ids
+
+    def learn(self, part: str) -> bytes:
+        """A run of letters with its blank is one pre-token, so it goes straight to the
+        vocabulary's merges; signs behind it are looked up alone. Everything else is encoded in
+        full."""
+        letters = part[1:] if part[:1] == " " else part
+        if letters.isascii() and letters.isalpha():
+            return self.merged(part if letters is part else _BYTE_SIGNS[0x20] + letters)
+        found = _WORD.fullmatch(part)
+        if found and found[2]:
+            return self[found[1]] + self[found[2]]
+        if found:
+            return self.merged(part.encode().decode("latin-1").translate(_BYTE_SIGNS))
+        return self.whole(part)
+
+    def merged(self, signs: str) -> bytes:
+        return b"".join([self.id_bytes[token.id] for token in self.tokenize(signs)])
+
+    def whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
+def _parts(path: str) -> _Parts:
+    if path not in _known:
+        _known[path] = _Parts(path)
+    return _known[path]
+
+
+def _unsafe(text: str) -> bool:
+    if any(c in text for c in _RARE_SPACES):
+        return _UNSAFE.search(text) is not None
+    return any(c in text for c in _UNSAFE_PLAIN) or text[-1:] in (" ", "\n")
 
 
 def token_bytes(texts: Sequence, path: str) -> Iterator[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers, the end id included.
 
-    Most of a text's parts were met before, so only new parts go through the tokenizer.
-    A text in which a part's ids could depend on its neighbours goes through it whole.
-    """
-    tokenizer, end = _tokenizer(path), _pack_ids([END_ID])
-    for at in range(0, len(texts), GROUP):
-        group = texts[at : at + GROUP]
-        group = [t or "" for t in (group.to_pylist() if isinstance(group, pa.Array) else group)]
-        cuts = [None if _UNSAFE.search(t) else t.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00") for t in group]
-        if len(_cache) > CACHE_PARTS:
-            _cache.clear()
-        _learn(tokenizer, {part for parts in cuts if parts for part in parts if part not in _cache})
-        for text, parts in zip(group, cuts):
-            if parts is None:
-                yield _pack_ids(tokenizer.encode(text, add_special_tokens=False).ids) + end
-            else:
-                yield b"".join([_cache[part] for part in parts]) + end
-
-
-def _learn(tokenizer, parts: set[str]) -> None:
-    """Put the ids of ``parts`` into the cache.
-
-    A run of letters with its blank is one pre-token, so it goes straight to the vocabulary's
-    merges; signs behind it are looked up alone. Everything else is encoded in full.
+    The texts of a group are cut into parts and the different parts numbered, all in Arrow; only
+    parts not met before go through the tokenizer. A text in which a part's ids could depend on
+    its neighbours goes through it whole.
     """
-    split = {part: found.groups() for part in parts if (found := _WORD.fullmatch(part))}
-    tokenize = tokenizer.model.tokenize
-    for word in {word for word, _ in split.values()}.difference(_cache):
-        ids = [token.id for token in tokenize(word.encode().decode("latin-1").translate(_BYTE_SIGNS))]
-        _cache[word] = struct.pack(f"<{len(ids)}I", *ids)
-    rest = (parts - split.keys()) | {tail for _, tail in split.values()}
-    for part in rest.difference(_cache):
-        _cache[part] = _pack_ids(tokenizer.encode(part, add_special_tokens=False).ids)
-    for part, (word, tail) in split.items():
-        _cache[part] = _cache[word] + _cache[tail]
+    known, end = _parts(path), END_ID.to_bytes(4, "little")
+    at = 0
+    while at < len(texts):
+        group: list[str] = []
+        size = 0
+        while at < len(texts) and size < GROUP_CHARS:
+            text = texts[at].as_py() if isinstance(texts, pa.Array) else texts[at]
+            group.append(text or "")
+            size += len(group[-1])
+            at += 1
+        unsafe = [_unsafe(text) for text in group]
+        ids = _by_parts([text for text, whole in zip(group, unsafe) if not whole], known)
+        for text, whole in zip(group, unsafe):
+            yield (known.whole(text) if whole else next(ids)) + end
+
+
+def _by_parts(texts: list[str], known: _Parts) -> Iterator[bytes]:
+    """The ids of texts whose parts do not depend on each other."""
+    marked = pc.replace_substring(pa.array(texts, pa.large_string()), " ", "\x00 ")
+    parts = pc.split_pattern(pc.replace_substring(marked, "\n", "\x00\n\x00"), "\x00")
+    coded = parts.flatten().dictionary_encode()
+    number = coded.indices.to_numpy()
+    ids = [known[part] for part in coded.dictionary.to_pylist()]
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+    held = pa.LargeListArray.from_arrays(pa.array(starts), pa.array(np.frombuffer(b"".join(ids), dtype="<u4")))
+    flat = held.take(coded.indices).flatten().to_numpy().tobytes()
+    ends = np.concatenate([[0], np.cumsum(lengths[number])])[parts.offsets.to_numpy()] * 4
+    return (flat[a:b] for a, b in zip(ends, ends[1:]))
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:

@@ -1,5 +1,6 @@
 """Operators on documents against plain Python, nulls, repeats and clashing columns included."""
 
+import random
 import hashlib
 import math
 import zlib
@@ -207,11 +208,17 @@ def test_packing_keeps_every_token(docs):
     assert packing.pack_documents(docs.limit(0), tokenizer_path()).collect() == []
 
 
-def test_token_bytes_equal_the_tokenizer():
+def test_token_bytes_equal_the_tokenizer(monkeypatch):
     from tokenizers import Tokenizer
 
     texts = ["", " ", "\n", "a  b", "x \ny", "a\tb c", "it's <|endoftext|> ok", " lead", "trail ", " nb", "1 000²", "\x1cab cd",
-             ".", ",", "a.", "1.", "a..", "é, ²,", "\tx y", "x\r\ny z", "don't, won't.", "a_b, c", "你好, 世界."]
+             ".", ",", "a.", "1.", "a..", "é, ²,", "\tx y", "x\r\ny z", "don't, won't.", "a_b, c", "你好, 世界.", "line\nline two\n", "a\xa0b", "a \u2003b"]
+    rng = random.Random(8)
+    signs = ["a", "Word", " word", " ", " été", "\n", ".", ",", "1", " 22", "\t", "\u3000", "漢字", "x" * 80, "'s", "<", "|", "_", "\x85", "🙂"]
+    texts += ["".join(rng.choices(signs, k=rng.randrange(30))) for _ in range(3000)] + [None, "w " * 50_000 + "end"]
+    monkeypatch.setattr(packing, "CACHE_PARTS", 100)
+    monkeypatch.setattr(packing, "GROUP_CHARS", 5_000)
+    texts = [t or "" for t in texts]
     plain = Tokenizer.from_file(tokenizer_path())
     for text, got in zip(texts, packing.token_bytes(texts, tokenizer_path())):
         assert np.frombuffer(got, "<u4").tolist() == [*plain.encode(text, add_special_tokens=False).ids, 2], text

@@ -236,7 +236,7 @@ def test_stages_against_plain_python(spark, tmp_path):
     assert stage(cp.pii) == want != plain
 
     sums = {r["doc_id"]: r["n"] for r in cp.packing(spark, docs, str(tmp_path)).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
-    tokenizer = packing._tokenizer(tokenizer_path())
+    tokenizer = packing._parts(tokenizer_path()).tokenizer
     assert sums == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in plain}
 
 
