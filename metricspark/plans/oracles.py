@@ -395,6 +395,23 @@ def oracle_sql() -> dict[str, str]:
                 CASE WHEN scrape_ts < {MADE_S} THEN 0 ELSE {MADE_S} END)) AS min_ts FROM docs)
             SELECT event_type AS metric_name, ms, cents FROM l JOIN b ON b.doc = l.doc WHERE ms // 1000 >= min_ts""",
         ),
+        "sql_group_by_value": _with(
+            _SERIES,
+            """SELECT tier, zone, count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents FROM f WHERE name = 'error' GROUP BY tier, zone""",
+        ),
+        "sql_labels_of_series": _with(
+            _SERIES,
+            """SELECT '{"__name__":"click","k":"' || k || '"' || coalesce(',"tier":"' || tier || '"', '') || ',"user":"' || u || '"'
+                || coalesce(',"zone":"' || zone || '"', '') || '}' AS labels,
+              concat_ws(',', '__name__', 'k', CASE WHEN tier IS NOT NULL THEN 'tier' END, 'user', CASE WHEN zone IS NOT NULL THEN 'zone' END) AS keys,
+              concat_ws(',', 'click', k, tier, u, zone) AS vals, 4 AS user_pos, CAST(NULL AS INT) AS no_pos
+            FROM sr WHERE name = 'click'""",
+        ),
+        "sql_matchers": _with(
+            _SERIES,
+            """SELECT u AS user, count(*) AS n, count(*) AS same, count(*) AS gold, 0 AS stale
+            FROM f WHERE name = 'view' AND regexp_matches(k, '^1') AND zone IS DISTINCT FROM 'z1' GROUP BY u""",
+        ),
         "label_info": _LABEL_INFO,
         "label_values_of_series": _with(
             _SERIES,

@@ -23,7 +23,7 @@ from metricspark.functions.labels import (
 from metricspark.functions.text import format_bytes, micros_of
 from metricspark.operators import age, encode, info, postings, remote_write, report, retention, selectors, settings, targets, views
 from metricspark.operators.dictionary import get_or_create_metrics
-from metricspark.plans import fixtures
+from metricspark.plans import fixtures, sql
 from metricspark.plans.ingest import Ingested, ingest
 from metricspark.plans.scrapes import ingest_dumps
 from metricspark.plans.store import MetricStore, OtherBatch
@@ -557,6 +557,52 @@ def group_by_user(spark, sf_dir):
     return g.select("user", "n", F.col("sum").alias("cents"))
 
 
+# -- SQL -----------------------------------------------------------------------------------
+
+
+def _sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """A query over the views and functions of the event store."""
+    sql.register(event_store(spark, sf_dir))
+    return spark.sql(text)
+
+
+@query
+def sql_group_by_value(spark, sf_dir):
+    """SQL: a metric's view grouped by the text of a label, and by a series view's column"""
+    return _sql(
+        spark, sf_dir,
+        """
+        SELECT val(tier_id) AS tier, s.zone, count(*) AS n, sum(CAST(round(e.value * 100) AS BIGINT)) AS cents
+        FROM error e JOIN error_series s USING (series_id) GROUP BY val(tier_id), s.zone""",
+    )
+
+
+@query
+def sql_labels_of_series(spark, sf_dir):
+    """SQL: keys, values and JSON of the series of a metric"""
+    return _sql(
+        spark, sf_dir,
+        """
+        SELECT labels, array_join(keys, ',') AS keys, array_join(vals, ',') AS vals,
+          label_key_position_of('click', 'user') AS user_pos, label_key_position_of('click', 'none') AS no_pos
+        FROM labels_of_series('click')""",
+    )
+
+
+@query
+def sql_matchers(spark, sf_dir):
+    """SQL: matchers as sets of label ids, one of them negative, on a metric's facts"""
+    return _sql(
+        spark, sf_dir,
+        """
+        SELECT val(user_id) AS user, count(*) AS n, count_if(label_eq(labels, labels)) AS same,
+          count_if(label_contains(labels, array(tier_id))) AS gold, count_if(is_stale_marker('value')) AS stale
+        FROM view
+        WHERE k_id IN (SELECT id FROM matcher('k', '=~', '^1')) AND coalesce(zone_id, 0) NOT IN (SELECT id FROM matcher('zone', '=', 'z1'))
+        GROUP BY val(user_id)""",
+    )
+
+
 # -- overviews and settings ----------------------------------------------------------------
 
 
