@@ -102,7 +102,8 @@ def last_reply_branches(turns: DataFrame, learner: str = "assistant") -> DataFra
     same up to its last reply, where it goes on like the neighbouring conversation
     (conv_id with the lowest bit flipped) from that turn number on.
 
-    Columns pair_id (the conversation), side, turn, role and text."""
+    Columns pair_id (the conversation), side, turn, role and text; other columns are not read."""
+    turns = turns.select("conv_id", "turn", "role", "text")
     cuts = turns.groupBy(F.col("conv_id").alias("pair_id")).agg(
         F.coalesce(F.max(F.when(F.col("role") == learner, F.col("turn"))), F.lit(0)).alias("cut")
     )

@@ -275,3 +275,14 @@ def test_queries_equal_their_sql(spark, sf_dir, name):
     columns = sorted(df.columns)
     result = con.execute(f"SELECT {', '.join(columns)} FROM ({entry.oracle_sql()[name]})").fetchall()
     assert sorted(map(repr, result)) == sorted(repr(tuple(r)) for r in df.select(*columns).collect())
+
+
+def test_branches_of_a_table_with_clashing_columns(spark):
+    long = "very long " * 50_000
+    turns = spark.createDataFrame(
+        [(2, 0, "user", "q", "x"), (2, 1, "assistant", long, "x"), (3, 0, "user", "q", None), (3, 1, "assistant", None, None)],
+        "conv_id long, turn int, role string, text string, pair_id string",
+    )
+    odd = turns.selectExpr("*", "pair_id AS cut", "pair_id AS side")
+    want = sorted(map(str, preferences.last_reply_branches(turns.drop("pair_id")).collect()))
+    assert sorted(map(str, preferences.last_reply_branches(odd).collect())) == want and len(want) == 8
