@@ -48,7 +48,7 @@ def shared_root(spark: SparkSession) -> str:
     root = sc.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
     root = tempfile.mkdtemp(prefix="metricspark-")
     sc.setCheckpointDir(root)
