@@ -1,8 +1,8 @@
 """Operators on documents against plain Python, nulls, repeats and clashing columns included."""
 
-import random
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from metricspark.llm import components, decontaminate, lm, neardup, packing, pii, sharding, toxicity
 from metricspark.llm.queries import tokenizer_path
+from metricspark.session import durable
 
 from .conftest import alnum_words, space_words
 
@@ -56,7 +57,7 @@ def test_texts_of_one_id_do_not_all_meet(spark):
     rows = [(1, " ".join([*base[:-1], f"x{n}"])) for n in range(50)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     made = neardup.sketches(df, 2, neardup.Sketch()).where("doc_id IS NOT NULL")
-    classes = made.withColumn("node", F.monotonically_increasing_id()).localCheckpoint()
+    classes = durable(made.withColumn("node", F.monotonically_increasing_id()), "classes")
     plan = neardup._texts(df, classes, classes.select("node"))
     assert sorted(r["text"] for r in plan.collect()) == sorted(t for _, t in rows)
     assert {r["digest"]: r["text"] for r in plan.collect()} == {neardup.word_digest([w.encode() for w in t.split()]): t for _, t in rows}
