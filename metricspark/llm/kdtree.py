@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metricspark.session import durable
@@ -37,9 +37,11 @@ def whole(vector: Column) -> Column:
 @dataclass
 class Tree:
     """Nodes in an array, the root first. ``low`` and ``high`` bound the vectors below a
-    node tightly; ``left`` is -1 at a leaf, whose rows are ``start`` to ``end``."""
+    node tightly; ``left`` is -1 at a leaf, whose rows are ``start`` to ``end``. ``keys`` are the
+    numbers of the rows, ``ids`` their vec_ids."""
 
     vectors: np.ndarray
+    keys: np.ndarray
     ids: np.ndarray
     low: np.ndarray
     high: np.ndarray
@@ -59,10 +61,10 @@ class Tree:
             return Tree(**{k: held[k] for k in held.files})
 
 
-def build(ids: np.ndarray, vectors: np.ndarray, leaf_rows: int = LEAF_ROWS) -> Tree:
+def build(keys: np.ndarray, ids: np.ndarray, vectors: np.ndarray, leaf_rows: int = LEAF_ROWS) -> Tree:
     """Split at the median of the widest component until a leaf holds at most ``leaf_rows``
     vectors, or only equal ones."""
-    order = np.argsort(ids, kind="stable")
+    order = np.lexsort((keys, ids))
     low, high, left, right, start, end = [], [], [], [], [], []
     todo = [(0, len(ids), -1, False)]
     while todo:
@@ -84,7 +86,7 @@ def build(ids: np.ndarray, vectors: np.ndarray, leaf_rows: int = LEAF_ROWS) -> T
             order[a:b] = order[a:b][np.argpartition(own[:, axis], middle)]
             todo += [(a + middle, b, node, True), (a, a + middle, node, False)]
     stack = lambda rows: np.array(rows, dtype=np.int64)
-    return Tree(vectors[order], ids[order], stack(low), stack(high), stack(left), stack(right), stack(start), stack(end))
+    return Tree(vectors[order], keys[order], ids[order], stack(low), stack(high), stack(left), stack(right), stack(start), stack(end))
 
 
 def products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
@@ -116,10 +118,11 @@ class Searcher:
         ends = zip(self.queries[at], self.tree.low[node], self.tree.high[node])
         return sum(max(int(q) * int(lo), int(q) * int(hi)) for q, lo, hi in ends)
 
-    def search(self, at: int, query_id: int, k: int, floor, best: list) -> list:
+    def search(self, at: int, own: int, k: int, floor, best: list) -> list:
         """The best ``k`` (score, -vec_id) of ``best`` and this tree; a box is opened if its
         bound can still reach the kth score, equal scores included, for ties may be of a
-        smaller vec_id. ``floor`` is a score that k others are known to reach."""
+        smaller vec_id. ``floor`` is a score that k others are known to reach, ``own`` the
+        number of the query's row, which is no candidate."""
         tree, query = self.tree, self.queries[at]
         q = query.astype(np.float64) if self.exact else None
         queue = [(-self.bound(at, 0), 0)]
@@ -140,10 +143,9 @@ class Searcher:
             scores = self.rows[a:b] @ q if self.exact else products(tree.vectors[a:b], query)
             hits = np.arange(b - a) if kth is None else np.flatnonzero(scores >= kth)
             for i in hits[np.lexsort((tree.ids[a:b][hits], -scores[hits]))] if self.exact else hits:
-                vec_id = int(tree.ids[a + i])
-                if vec_id == query_id:
+                if tree.keys[a + i] == own:
                     continue
-                found = (int(scores[i]), -vec_id)
+                found = (int(scores[i]), -int(tree.ids[a + i]))
                 if len(best) < k:
                     heapq.heappush(best, found)
                 elif found > best[0]:
@@ -159,44 +161,44 @@ def _trees(vectors: DataFrame) -> DataFrame:
     """One serialised tree per (dims, shard): a shard's rows have a bounded number."""
 
     def make(rows: pd.DataFrame) -> pd.DataFrame:
-        tree = build(rows["vec_id"].to_numpy(np.int64), np.array(rows["v"].to_list(), dtype=np.int64).reshape(len(rows), -1))
+        vectors_of = np.array(rows["v"].to_list(), dtype=np.int64).reshape(len(rows), -1)
+        tree = build(rows["row"].to_numpy(np.int64), rows["vec_id"].to_numpy(np.int64), vectors_of)
         return pd.DataFrame({"dims": [int(rows["dims"].iloc[0])], "shard": [int(rows["shard"].iloc[0])], "tree": [tree.dump()]})
 
     return vectors.groupBy("dims", "shard").applyInPandas(make, "dims int, shard int, tree binary")
 
 
 def _blocks(queries: DataFrame) -> DataFrame:
-    """One row per (dims, block) of queries: ids, components and the kth score known so far."""
-    packed = F.sort_array(F.collect_list(F.struct("query_id", "v", "floor")))
+    """One row per (dims, block) of queries: rows, ids, components and the kth score known so far."""
+    packed = F.sort_array(F.collect_list(F.struct("query", "query_id", "v", "floor")))
     return queries.groupBy("dims", "block").agg(packed.alias("queries"))
 
 
 def _search(trees: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
-    """(query_id, vec_id, score): the best ``k`` of each shard for each query of a block.
+    """(query, query_id, vec_id, score): the best ``k`` of each shard for each query of a block.
 
     ``blocks`` has a row per block and shard that are to meet."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for data, queries in zip(batch["tree"], batch["queries"]):
-                ids = [q["query_id"] for q in queries]
-                searcher = Searcher(Tree.load(data), np.array([q["v"] for q in queries], dtype=np.int64).reshape(len(ids), -1))
-                best: dict[int, list] = {}
+                searcher = Searcher(Tree.load(data), np.array([q["v"] for q in queries], dtype=np.int64).reshape(len(queries), -1))
+                rows = []
                 for at, q in enumerate(queries):
-                    floor = q["floor"]
-                    held = best.setdefault(ids[at], [])
-                    searcher.search(at, ids[at], k, None if floor is None or pd.isna(floor) else int(floor), held)
-                rows = [(query_id, -negative, score) for query_id, found in best.items() for score, negative in found]
-                yield pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
+                    floor = None if q["floor"] is None or pd.isna(q["floor"]) else int(q["floor"])
+                    found = searcher.search(at, q["query"], k, floor, [])
+                    rows += [(q["query"], q["query_id"], -negative, score) for score, negative in found]
+                yield pd.DataFrame(rows, columns=["query", "query_id", "vec_id", "score"]).astype("int64")
 
     met = blocks.join(trees, ["dims", "shard"]).select("tree", "queries")
-    return met.mapInPandas(run, "query_id bigint, vec_id bigint, score bigint")
+    return met.mapInPandas(run, "query bigint, query_id bigint, vec_id bigint, score bigint")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    """The best ``k`` of each query: partial lists are cut before and after they meet."""
-    ranked = F.sort_array(F.collect_list(F.struct(F.col("score"), (-F.col("vec_id")).alias("order"))), asc=False)
-    return found.groupBy("query_id").agg(F.slice(ranked, 1, k).alias("best"))
+    """``found`` with rank, the best ``k`` of each query: Spark cuts the lists of a task at the
+    rank before they are shuffled, and again where they meet."""
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float = 64.0, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -206,9 +208,9 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float = 64.0,
     become floor(scale * x). Returns query_id, rank, vec_id and score; ties go to the smaller
     vec_id, and a query with fewer than ``k`` others gets all. Rows with a null vec_id, a null
     vector, or a null or non-finite component take no part; vectors of different lengths
-    do not meet. Different vectors of one vec_id are candidates each, but not for queries of
-    that vec_id, which share one list of ``k``; equal ones count once. Other columns are not
-    read. An empty table gives no rows. Scores beyond 64 bits are an error.
+    do not meet. Rows are told apart by themselves, not by vec_id: each repeated row is a
+    candidate, rows that share a query's vec_id too, and each asking row has a list of its own.
+    Other columns are not read. An empty table gives no rows. Scores beyond 64 bits are an error.
 
     Rows are spread over shards by a hash, some ``shard_rows`` each. Blocks of
     queries meet each shard by an equi join on its number, in two rounds: the first shard
@@ -218,8 +220,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float = 64.0,
     usable = vectors.where(F.col("vec_id").isNotNull() & whole(F.col("embedding"))).select(
         F.col("vec_id").cast("bigint").alias("vec_id"), grid(F.col("embedding"), scale).alias("v"), queries.alias("_asks")
     )
-    usable = usable.groupBy("vec_id", "v").agg(F.max("_asks").alias("_asks"))
-    # Rows are spread by a number of their own, so that a vec_id may have any number of them.
+    # Rows have a number of their own, frozen by the write, so that a vec_id may have any number of them.
     usable = durable(usable.select("*", F.size("v").alias("dims"), F.monotonically_increasing_id().alias("row")), "grid")
     sizes = {r["dims"]: (r["n"], r["q"]) for r in usable.groupBy("dims").agg(
         F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("_asks"), 1)).alias("q")).collect()}  # a row per vector length
@@ -230,19 +231,16 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float = 64.0,
             parts = F.when(F.col("dims") == dims, F.lit(max(1, math.ceil(counts[at] / rows)))).otherwise(parts)
         return F.pmod(F.xxhash64(column, F.lit(at)), parts).cast("int")
 
-    trees = durable(_trees(usable.select("dims", "vec_id", "v", spread("row", 0, shard_rows).alias("shard"))), "trees")
-    asking = usable.where("_asks").select(F.col("vec_id").alias("query_id"), "dims", "v", spread("row", 1, BLOCK_ROWS).alias("block"))
+    trees = durable(_trees(usable.select("dims", "row", "vec_id", "v", spread("row", 0, shard_rows).alias("shard"))), "trees")
+    asking = usable.where("_asks").select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"), "dims", "v", spread("row", 1, BLOCK_ROWS).alias("block"))
     last = F.lit(0)
     for dims, counts in sizes.items():
         last = F.when(F.col("dims") == dims, F.lit(max(1, math.ceil(counts[0] / shard_rows)) - 1)).otherwise(last)
 
     unknown = _blocks(asking.withColumn("floor", F.lit(None).cast("bigint")))
     first = durable(_search(trees, unknown.withColumn("shard", F.pmod(F.col("block"), last + 1)), k), "round")
-    kth = _best(first, k).select(F.col("query_id").alias("_id"), F.when(F.size("best") == k, F.element_at("best", k)["score"]).alias("floor"))
-    known = _blocks(asking.join(kth, F.col("query_id") == F.col("_id"), "left").drop("_id"))
+    kth = _best(first, k).where(F.col("rank") == k).select(F.col("query").alias("_query"), F.col("score").alias("floor"))
+    known = _blocks(asking.join(kth, F.col("query") == F.col("_query"), "left").drop("_query"))
     shards = F.explode(F.filter(F.sequence(F.lit(0), last), lambda s: s != F.pmod(F.col("block"), last + 1)))
     rest = _search(trees, known.withColumn("shard", shards), k)
-    best = _best(first.unionByName(rest), k).select("query_id", F.posexplode("best").alias("at", "hit"))
-    return best.select(
-        "query_id", (F.col("at") + 1).cast("int").alias("rank"), (-F.col("hit.order")).alias("vec_id"), F.col("hit.score").alias("score")
-    )
+    return _best(first.unionByName(rest), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -29,13 +29,13 @@ FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN ids USING (doc_id)
 
 
 OP5 = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS g FROM embeddings
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS g FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.g::DOUBLE[], c.g::DOUBLE[])::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.g) = len(c.g)),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+  SELECT q.row, q.vec_id AS query_id, c.vec_id, list_inner_product(q.g::DOUBLE[], c.g::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.row <> c.row AND len(q.g) = len(c.g)),
+r AS (SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20
 """
 

@@ -73,14 +73,13 @@ def vectors(spark, rows):
 
 
 def brute_top(rows, k):
-    grid = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
-            grid[i] = [int(np.floor(64 * float(np.float32(x)))) for x in v]
+    whole = [(i, v) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    grid = [(i, [int(np.floor(64 * float(np.float32(x)))) for x in v]) for i, v in whole]
     out = []
-    for q in grid:
+    for at, (q, own) in enumerate(grid):
         if q % 20 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(grid[q], grid[c])), c) for c in grid if c != q and len(grid[c]) == len(grid[q]))
+            others = [(i, v) for n, (i, v) in enumerate(grid) if n != at and len(v) == len(own)]
+            scored = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in others)
             out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scored[:k])]
     return sorted(out)
 
@@ -96,25 +95,28 @@ def test_top_k_against_brute_force(spark):
     assert kdtree.top_k(vectors(spark, rows).limit(0), F.col("vec_id") % 20 == 0).collect() == []
 
 
-def test_vectors_of_a_shared_id_are_all_candidates(spark):
+def test_each_row_is_a_candidate_and_asks_for_itself(spark):
+    few = [(20, [1.0, 0.5]), (20, [0.5, 1.0]), (1, [1.0, 0.5]), (1, [1.0, 0.5]), (2, [0.25, 0.25])]
+    got = sorted(map(tuple, kdtree.top_k(vectors(spark, few), F.col("vec_id") % 20 == 0).collect()))
+    assert got == brute_top(few, 20) and len(got) == 8
     draw = random.Random(7)
     rows = [(i % 150, [draw.choice([-1.0, -0.5, 0.25, 0.3, 1.0]) for _ in range(5)]) for i in range(300)]
     rows += [(3, [draw.uniform(-1, 1) for _ in range(5)]) for _ in range(200)]
-    rows = list({(i, tuple(v)): (i, v) for i, v in rows}.values())
-    grid = [(i, [int(np.floor(64 * float(np.float32(x)))) for x in v]) for i, v in rows]
-    want = []
-    for q in range(0, 150, 20):
-        asks = [v for i, v in grid if i == q]
-        scored = sorted((-sum(x * y for x, y in zip(v, w)), i) for v in asks for i, w in grid if i != q)
-        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:7])]
+    rows += [rows[40]] * 60 + [rows[3]] * 300  # copies of a row that asks and of one that does not
     got = kdtree.top_k(vectors(spark, rows), F.col("vec_id") % 20 == 0, k=7, shard_rows=64)
-    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert sorted(map(tuple, got.collect())) == brute_top(rows, 7)
+
+
+def test_lists_are_cut_before_they_are_shuffled(spark):
+    found = spark.range(1000).selectExpr("id % 10 AS query", "id % 10 AS query_id", "id AS vec_id", "id % 7 AS score")
+    plan = kdtree._best(found, 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
 
 
 def test_trees_bound_what_is_below():
     draw = np.random.default_rng(2)
     v = draw.integers(-100, 100, (1000, 4))
-    tree = kdtree.build(np.arange(1000), v, 16)
+    tree = kdtree.build(np.arange(1000), np.arange(1000), v, 16)
     for node in range(len(tree.left)):
         own = tree.vectors[tree.start[node] : tree.end[node]]
         assert (own.min(axis=0) == tree.low[node]).all() and (own.max(axis=0) == tree.high[node]).all()
