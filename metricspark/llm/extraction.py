@@ -11,46 +11,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metricspark.llm.html_blocks import Block, blocks
-
-#: Words in class, id and role that tell what a box is for. Fixed values.
-NAMES = {
-    "menu": "nav navigation navbar menu menubar breadcrumb breadcrumbs crumbs tabs toc pagination pager skip sitemap",
-    "frame": "header masthead banner topbar logo branding footer foot colophon copyright legal credits bottom",
-    "side": "sidebar aside side rail widget widgets related recommended recommendations more popular trending teaser promo",
-    "notice": "notice cookie cookies consent gdpr privacy alert warning popup modal overlay dialog newsletter subscribe paywall",
-    "advert": "ad ads advert adverts advertisement advertising sponsor sponsored sponsors promoted dfp taboola outbrain banner",
-    "form": "form search login signin signup register contact input",
-    "reader": "comment comments reply replies respond discussion disqus thread reader readers feedback review reviews",
-    "share": "share sharing social follow like likes print tools meta tags byline",
-    "main": "article content main post entry story body text blog page",
-}
-_KIND: dict[str, list[str]] = {}
-for _kind, _words in NAMES.items():
-    for _word in _words.split():
-        _KIND.setdefault(_word, []).append(_kind)
-#: Elements that are told apart as ancestors; the others are "box".
-TAGS = frozenset(
-    """article aside nav header footer main section form figure figcaption table ul ol dl blockquote h1 h2 h3 h4 h5 h6 p
-    li pre td dialog menu fieldset button label details body div a span""".split()
-)
+from metricspark.llm.html_blocks import NAMES, Block, blocks
+
 OTHER, MAIN = 0, 1
 
 
 def features(block: Block, first: bool, last: bool) -> list[str]:
     """Ancestor-tag features and text features of a leaf block."""
-    tags = [e.tag if e.tag in TAGS else "box" for e in block.path if e.tag not in ("html", "body")]
-    out = {f"in:{t}" for t in tags}
-    own = next((t for t in reversed(tags) if t not in ("a", "span", "box")), "none")
-    out.add(f"own:{own}")
-    kinds = {k for e in block.path for n in e.names for k in _KIND.get(n, ())}
+    place = block.place
+    out = {f"in:{tag}" for tag in place.tags}
+    out.add(f"own:{place.own}")
     # Names of the page's own body say little of a block.
-    out.update(f"name:{k}" for k in kinds)
-    if any(e.hidden for e in block.path):
+    out.update(f"name:{k}" for k in place.kinds)
+    if place.hidden:
         out.add("hidden")
-    boiler = bool(kinds - {"main"}) or any(t in ("nav", "aside", "footer", "form", "menu", "dialog", "button") for t in tags)
-    home = "article" in tags or "main" in tags or "main" in kinds
-    out.add(f"home:{home}:boiler:{boiler}")
+    home = bool({"article", "main"} & place.tags) or "main" in place.kinds
+    out.add(f"home:{home}:boiler:{place.boiler}")
     n = len(block.text)
     out.add(f"length:{min(7, n.bit_length() // 2)}")
     linked = block.linked / max(1, n)
@@ -257,15 +233,9 @@ def _made_page(draw: random.Random) -> str:
 
 def trusted_labels(found: list[Block]) -> list[int] | None:
     """Labels of a page that marks its article as such, from its tags; None for other pages."""
-    if not any(e.tag == "article" for b in found for e in b.path):
+    if not any(b.place.article for b in found):
         return None
-    out = []
-    for b in found:
-        tags = [e.tag for e in b.path]
-        inside = tags[tags.index("article") :] if "article" in tags else []
-        kinds = {k for e in b.path for n in e.names for k in _KIND.get(n, ())} - {"main"}
-        out.append(MAIN if inside and not kinds and not {"nav", "aside", "footer", "form"} & set(inside) else OTHER)
-    return out
+    return [MAIN if b.place.article and not b.place.apart and not b.place.kinds - {"main"} else OTHER for b in found]
 
 
 def train(pages: DataFrame, made: int = 400, rows: int = 200, blocks_of: int = 200) -> Chain:

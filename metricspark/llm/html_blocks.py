@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import html
 import re
-from dataclasses import dataclass, field
+from bisect import bisect_right
+from collections import defaultdict
+from dataclasses import dataclass
 
 #: Elements whose start and end part blocks. Fixed values.
 BLOCK_TAGS = frozenset(
@@ -38,26 +40,82 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
-@dataclass
+#: Words in class, id and role that tell what a box is for. Fixed values.
+NAMES = {
+    "menu": "nav navigation navbar menu menubar breadcrumb breadcrumbs crumbs tabs toc pagination pager skip sitemap",
+    "frame": "header masthead banner topbar logo branding footer foot colophon copyright legal credits bottom",
+    "side": "sidebar aside side rail widget widgets related recommended recommendations more popular trending teaser promo",
+    "notice": "notice cookie cookies consent gdpr privacy alert warning popup modal overlay dialog newsletter subscribe paywall",
+    "advert": "ad ads advert adverts advertisement advertising sponsor sponsored sponsors promoted dfp taboola outbrain banner",
+    "form": "form search login signin signup register contact input",
+    "reader": "comment comments reply replies respond discussion disqus thread reader readers feedback review reviews",
+    "share": "share sharing social follow like likes print tools meta tags byline",
+    "main": "article content main post entry story body text blog page",
+}
+_KIND: dict[str, list[str]] = {}
+for _kind, _words in NAMES.items():
+    for _word in _words.split():
+        _KIND.setdefault(_word, []).append(_kind)
+#: Elements that are told apart as ancestors; the others are "box".
+TAGS = frozenset(
+    """article aside nav header footer main section form figure figcaption table ul ol dl blockquote h1 h2 h3 h4 h5 h6 p
+    li pre td dialog menu fieldset button label details body div a span""".split()
+)
+#: Elements that mark what is no article.
+BOILER_TAGS = frozenset("nav aside footer form menu dialog button".split())
+APART_TAGS = frozenset("nav aside footer form".split())
+
+
+@dataclass(frozen=True)
+class Place:
+    """What the ancestors of a block say, summed up from the outermost on, so that an element
+    of any depth adds to the sum of its parent: known tags, the nearest telling tag, kinds of
+    names, and whether a block is hidden, in an article, or in something apart inside it."""
+
+    tags: frozenset[str] = frozenset()
+    own: str = "none"
+    kinds: frozenset[str] = frozenset()
+    hidden: bool = False
+    article: bool = False
+    apart: bool = False
+
+    @property
+    def boiler(self) -> bool:
+        return bool(self.kinds - {"main"} or self.tags & BOILER_TAGS)
+
+    def inside(self, tag: str, names: list[str], hidden: bool) -> Place:
+        """The place inside a further element; the same object if it says nothing new."""
+        known = tag if tag in TAGS else "box"
+        tags = self.tags if known in self.tags or tag in ("html", "body") else self.tags | {known}
+        own = self.own if known in ("a", "span", "box", "body") else known
+        kinds = self.kinds.union(*(_KIND.get(n, ()) for n in names)) if names else self.kinds
+        article = self.article or tag == "article"
+        made = Place(tags, own, kinds, self.hidden or hidden, article, self.apart or article and tag in APART_TAGS)
+        return self if made == self else made
+
+
+@dataclass(slots=True)
 class Element:
+    """An open element; ``block`` is the depth of the nearest block element, itself included."""
+
     tag: str
-    names: tuple[str, ...] = ()
-    hidden: bool = False
+    place: Place
+    block: int
 
 
 @dataclass
 class Block:
-    """Text of one leaf block; ``path`` is its ancestors from the outermost on."""
+    """Text of one leaf block and what stands around it."""
 
     text: str
-    path: tuple[Element, ...]
+    place: Place
     linked: int
     links: int
     boxes: int = 0
-    raw: list[str] = field(default_factory=list)
 
 
-def _element(tag: str, attributes: str) -> Element:
+def _marks(attributes: str) -> tuple[list[str], bool]:
+    """The words of class, id and role, and whether the element is hidden."""
     names: list[str] = []
     hidden = False
     if attributes:
@@ -67,29 +125,32 @@ def _element(tag: str, attributes: str) -> Element:
                 names += (n.lower() for n in _NAME.findall(value))
             elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and _HIDDEN.search(value):
                 hidden = True
-    return Element(tag, tuple(names), hidden)
+    return names, hidden
 
 
 def blocks(page: str | None) -> list[Block]:
     """The leaf blocks of a page in page order; broken markup is read as browsers do, as far
     as blocks go. Character references are decoded, white space inside a block becomes one
-    blank. Null and empty pages have none."""
+    blank. Null and empty pages have none. Time and memory grow with the length of the page,
+    however deep its elements lie: the depths of the open elements are kept by tag."""
     found: list[Block] = []
     if not page:
         return found
     stack: list[Element] = []
+    depths: dict[str, list[int]] = defaultdict(list)
     parts: list[str] = []
     state = {"linked": 0, "links": 0, "boxes": 0, "inside": 0}
 
     def close() -> None:
         text = " ".join("".join(parts).split())
         if text:
-            found.append(Block(text, tuple(stack), state["linked"], state["links"], state["boxes"]))
+            found.append(Block(text, stack[-1].place if stack else Place(), state["linked"], state["links"], state["boxes"]))
         parts.clear()
         state["linked"] = state["links"] = state["boxes"] = 0
 
     def pop_to(depth: int) -> None:
-        for element in stack[depth:]:
+        for element in reversed(stack[depth:]):
+            depths[element.tag].pop()
             if element.tag == "a":
                 state["inside"] -= 1
         del stack[depth:]
@@ -109,18 +170,13 @@ def blocks(page: str | None) -> list[Block]:
             continue
         tag = tag.lower()
         if slash:
-            if tag == "p" and all(e.tag != "p" for e in stack):
-                close()
-                continue
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth].tag == tag:
-                    if any(e.tag in BLOCK_TAGS for e in stack[depth:]):
-                        close()
-                    pop_to(depth)
-                    break
-            else:
-                if tag in BLOCK_TAGS:
+            if depths[tag]:
+                depth = depths[tag][-1]
+                if stack[-1].block >= depth:
                     close()
+                pop_to(depth)
+            elif tag in BLOCK_TAGS:
+                close()
             continue
         if tag in RAW_TAGS and not attributes.rstrip().endswith("/"):
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
@@ -135,25 +191,23 @@ def blocks(page: str | None) -> list[Block]:
         if tag in VOID_TAGS:
             state["boxes"] += tag == "input"
             continue
-        element = _element(tag, attributes)
         if tag in BLOCK_TAGS:
             close()
-            for depth in range(len(stack) - 1, -1, -1):
-                # A paragraph ends where another block begins.
-                if stack[depth].tag == "p":
-                    pop_to(depth)
-                    break
-                if stack[depth].tag in BLOCK_TAGS:
-                    break
+            # A paragraph ends where another block begins.
+            nearest = stack[-1].block if stack else -1
+            if nearest >= 0 and stack[nearest].tag == "p":
+                pop_to(nearest)
             if tag in CLOSED_BY:
                 ended, outer = CLOSED_BY[tag]
-                for depth in range(len(stack) - 1, -1, -1):
-                    if stack[depth].tag in outer:
-                        break
-                    if stack[depth].tag in ended:
-                        pop_to(depth)
+                fence = max((depths[t][-1] for t in outer if depths[t]), default=-1)
+                least = min((d[at_fence] for d in (depths[t] for t in ended) if (at_fence := bisect_right(d, fence)) < len(d)), default=None)
+                if least is not None:
+                    pop_to(least)
         if not attributes.rstrip().endswith("/"):
-            stack.append(element)
+            parent = stack[-1] if stack else None
+            place = (parent.place if parent else Place()).inside(tag, *_marks(attributes))
+            depths[tag].append(len(stack))
+            stack.append(Element(tag, place, len(stack) if tag in BLOCK_TAGS else parent.block if parent else -1))
             if tag == "a":
                 state["inside"] += 1
                 state["links"] += 1
