@@ -91,6 +91,31 @@ class Chain:
             out.append(label)
         return out[::-1]
 
+    def decode_some(self, rows: list[list[str]], allowed: list[bool]) -> list[int]:
+        """The likeliest labels of which one at least is MAIN, at allowed blocks only: Viterbi over
+        before, in and behind. All are OTHER if no block is allowed."""
+        if not any(allowed):
+            return [OTHER] * len(rows)
+        (oo, om), (mo, mm) = self.steps
+        before, inside, behind = 0.0, float("-inf"), float("-inf")
+        back: list[tuple[int, int]] = []
+        for at, (row, may) in enumerate(zip(rows, allowed)):
+            weights = [self.by_feature[i] for f in row if (i := self.number.get(f)) is not None]
+            e0, e1 = sum(w[0] for w in weights), sum(w[1] for w in weights) if may else float("-inf")
+            if at == 0:
+                before, inside = self.first[0] + e0, self.first[1] + e1
+                continue
+            to_inside = max((before + om, 0), (inside + mm, 1), (behind + om, 2))
+            to_behind = max((inside + mo, 1), (behind + oo, 2))
+            back.append((to_inside[1], to_behind[1]))
+            before, inside, behind = before + oo + e0, to_inside[0] + e1, to_behind[0] + e0
+        state = 1 if inside >= behind else 2
+        out = [state]
+        for via in reversed(back):
+            state = via[state - 1] if state else 0
+            out.append(state)
+        return [MAIN if state == 1 else OTHER for state in reversed(out)]
+
     def __post_init__(self) -> None:
         self.by_feature = self.emit.tolist()
         self.first = self.start.tolist()
@@ -151,13 +176,14 @@ def fit_chain(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 150,
 # --- labelled pages ------------------------------------------------------------------
 
 
-def sample_pages(number: int, seed: int = 7) -> list[tuple[list[list[str]], list[int]]]:
+def sample_pages(number: int, seed: int = 7, bare: bool = False) -> list[tuple[list[list[str]], list[int]]]:
     """Labelled pages made by rule: an article amid boxes drawn at random, in several styles
-    of markup. The label of a block is known from the box it was put into."""
+    of markup, or bare pages, which mark nothing. The label of a block is known from the box
+    it was put into."""
     draw = random.Random(seed)
     pages = []
     while len(pages) < number:
-        page = _made_page(draw)
+        page = _bare_page(draw) if bare else _made_page(draw)
         found = blocks(page)
         labels = [MAIN if b.text.startswith("MAIN") else OTHER for b in found]
         for b in found:
@@ -231,6 +257,26 @@ def _made_page(draw: random.Random) -> str:
     return f"<!DOCTYPE html><html><head><title>x</title></head><body>{''.join(before)}{_article(draw)}{''.join(after)}</body></html>"
 
 
+def _bare_page(draw: random.Random) -> str:
+    """A page that marks nothing by names or telling tags: plain text, paragraphs, boxes without
+    names, or a layout by table, with a line of links or a closing line in some."""
+    links = lambda sep: sep.join(f'<a href="/x">{_words(draw, 1, 3, False)}</a>' for _ in range(draw.randint(2, 7)))
+    title = f"<h{draw.randint(1, 2)}>MAIN {_words(draw, 2, 9, False)}</h2>" if draw.random() < 0.5 else ""
+    body = title + "".join(f"<p>MAIN {_words(draw, 6, 80)}</p>" for _ in range(draw.choice([1, 1, 2, 3, 5, 8])))
+    closing = draw.choice(["&copy; ", ""]) + _words(draw, 2, 6, False)
+    style = draw.choice(["plain", "paragraphs", "main", "boxes", "table", "table"])
+    if style == "plain":
+        return f"MAIN {_words(draw, 3, 120)}"
+    if style == "paragraphs":
+        return body
+    if style == "main":
+        return f"<main>{body}</main><p>{closing}</p>"
+    if style == "boxes":
+        return f"<body><div>{links(' | ')}</div><div>{body}</div><div>{closing}</div></body>"
+    menu = links("<br>") if draw.random() < 0.5 else f"<ul><li>{links('</li><li>')}</li></ul>"
+    return f"<table><tr><td>{menu}</td><td>{body}</td></tr><tr><td>{closing}</td></tr></table>"
+
+
 def trusted_labels(found: list[Block]) -> list[int] | None:
     """Labels of a page that marks its article as such, from its tags; None for other pages."""
     if not any(b.place.article for b in found):
@@ -239,7 +285,7 @@ def trusted_labels(found: list[Block]) -> list[int] | None:
 
 
 def train(pages: DataFrame, made: int = 400, rows: int = 200, blocks_of: int = 200) -> Chain:
-    """Fit the chain on ``made`` pages labelled by rule and on at most ``rows`` pages of the
+    """Fit the chain on ``made`` pages labelled by rule, half as many bare ones, and at most ``rows`` pages of the
     table, taken in the order of a hash of page_id, whose own tags label them. Of a page
     with more than ``blocks_of`` blocks, the fit (not the extraction) takes the first."""
     drawn = pages.where(F.col("html").isNotNull()).select("page_id", "html").orderBy(F.xxhash64("page_id"), "page_id").limit(rows)
@@ -258,20 +304,34 @@ def train(pages: DataFrame, made: int = 400, rows: int = 200, blocks_of: int = 2
             )
 
     labelled = drawn.select("html").mapInArrow(label, "rows array<array<string>>, labels array<int>").collect()
-    learned = sample_pages(made) + [([list(r) for r in p["rows"]], list(p["labels"])) for p in sorted(labelled)]
+    learned = sample_pages(made) + sample_pages(made // 2, bare=True) + [([list(r) for r in p["rows"]], list(p["labels"])) for p in sorted(labelled)]
     return fit_chain(learned)
 
 
+def _may_be_text(block: Block) -> bool:
+    """Not marked as something else, and not made of links or fields."""
+    return not (block.place.boiler or block.place.hidden or block.boxes or block.links and block.linked * 2 > len(block.text))
+
+
+def page_labels(found: list[Block], chain: Chain) -> list[int]:
+    """The likeliest labels of a page. If none is MAIN, the likeliest with one at least: a page
+    has some text unless all of its blocks are marked as something else, links or fields."""
+    rows = page_features(found)
+    labels = chain.decode(rows)
+    return labels if MAIN in labels else chain.decode_some(rows, [_may_be_text(b) for b in found])
+
+
 def main_text(page: str | None, chain: Chain) -> str:
     """The blocks that the chain labels as the article, in page order, joined by one blank."""
     found = blocks(page)
-    return " ".join(b.text for b, label in zip(found, chain.decode(page_features(found))) if label == MAIN)
+    return " ".join(b.text for b, label in zip(found, page_labels(found, chain)) if label == MAIN)
 
 
 def extract_main_text(pages: DataFrame, chain: Chain) -> DataFrame:
     """``pages`` with columns text, the main text of the whole html, and n_chars, its length.
 
-    Null, empty and text-free pages give an empty text. Every row and column of ``pages``
+    Null, empty and text-free pages, and pages whose every block is marked as something else, give
+    an empty text. Time grows with the length of a page, not with its depth. Every row and column of ``pages``
     comes back; columns named text or n_chars are replaced. No shuffle; the chain, some
     hundred weights, goes to the tasks with the function.
     """

@@ -1,7 +1,9 @@
 """Pages, vectors, conversations and the pipeline."""
 
+import itertools
 import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -68,6 +70,51 @@ def test_page_of_another_layout():
     assert extraction.main_text(page, chain) == want
 
 
+def test_pages_that_mark_nothing():
+    chain = extraction.fit_chain(extraction.sample_pages(300) + extraction.sample_pages(150, bare=True))
+    texts = ("Just plain text of a page.", "One. Two paragraphs of a bare page.", "Intro paragraph that is long enough to be text.")
+    assert extraction.main_text(texts[0], chain) == texts[0]
+    assert extraction.main_text("<p>One.</p><p>Two paragraphs of a bare page.</p>", chain) == texts[1]
+    assert extraction.main_text(f"<main><p>{texts[2]}</p></main><footer>All rights</footer>", chain) == texts[2]
+    table = f"<table><tr><td><a href=/a>Home</a><br><a href=/b>News</a></td><td><p>{texts[2]}</p></td></tr></table>"
+    assert extraction.main_text(table, chain) == texts[2]
+    assert extraction.main_text("<nav><a href=/a>Home</a></nav><footer>All rights</footer>", chain) == ""
+    blocks = right = 0
+    for rows, labels in extraction.sample_pages(200, seed=99, bare=True):  # pages the fit has not seen
+        got = chain.decode(rows)
+        blocks, right = blocks + len(labels), right + sum(a == b for a, b in zip(got, labels))
+    assert right >= 0.93 * blocks
+
+
+def test_decode_some_against_all_labellings():
+    draw = random.Random(3)
+    names = [f"f{i}" for i in range(6)]
+    for _ in range(60):
+        weights = np.array([[draw.uniform(-1, 3), draw.uniform(-3, 1)] for _ in names])
+        step, start = np.array([[draw.uniform(-2, 2) for _ in range(2)] for _ in range(2)]), np.array([0.4, -0.3])
+        chain = extraction.Chain({f: i for i, f in enumerate(names)}, weights, step, start)
+        rows = [draw.sample(names, 2) for _ in range(draw.randint(1, 6))]
+        allowed = [draw.random() < 0.6 for _ in rows]
+
+        def score(labels):
+            emit = sum(weights[chain.number[f]][k] for row, k in zip(rows, labels) for f in row)
+            return start[labels[0]] + emit + sum(step[a][b] for a, b in zip(labels, labels[1:]))
+
+        ways = [w for w in itertools.product((0, 1), repeat=len(rows)) if 1 in w and all(a or not k for a, k in zip(allowed, w))]
+        want = list(max(ways, key=score)) if ways else [0] * len(rows)
+        assert chain.decode_some(rows, allowed) == want
+
+
+def test_deep_pages_take_time_by_their_length():
+    page = "<div>" * 40_000 + "<b>x" * 5_000
+    began = time.monotonic()
+    found = blocks(page)
+    assert extraction.page_features(found) and len(found) == 1
+    assert time.monotonic() - began < 10  # the square of the depth took minutes
+    long = blocks("<article>" + "<p>word &amp; word</p>" * 20_000 + "</article>")
+    assert len(long) == 20_000 and {b.text for b in long} == {"word & word"}
+
+
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("v", F.lit("clash")).withColumn("rank", F.lit(1))
 
