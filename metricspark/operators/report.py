@@ -41,6 +41,13 @@ def ingest_report(scrapes: DataFrame, interval_s: int = INTERVAL_S) -> DataFrame
     return scrapes.groupBy(start.cast("bigint").alias("interval_start")).agg(*counters())
 
 
+def added_up(report: DataFrame) -> DataFrame:
+    """Parts of a report put together: counters are summed, of peaks the highest stays."""
+    peak = "response_bytes_peak"
+    sums = [F.sum(c).alias(c) for c in COUNTERS if c != peak]
+    return report.groupBy("interval_start").agg(*sums, F.max(peak).alias(peak)).select(REPORT.names)
+
+
 def readable(report: DataFrame) -> DataFrame:
     """Byte counts as text."""
     columns = ("response_bytes", "response_bytes_peak")

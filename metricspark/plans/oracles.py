@@ -557,6 +557,37 @@ def oracle_sql() -> dict[str, str]:
             FROM ({_INGEST_REPORT})""",
         "stream_report_events": _INGEST_REPORT,
         "stream_report_restarted": _INGEST_REPORT,
+        "stream_ingest_report": _with(
+            _DUMPS + _BOOKMARKS,
+            f""", a AS (
+              SELECT l.*, ms // 1000 >= min_ts AS kept, CASE WHEN l.scrape_ts < {MADE_S} THEN 0 ELSE 1 END AS half,
+                strlen(event_type) + strlen(CAST(user_id AS VARCHAR)) + strlen(replace(props, '"', '""')) + strlen(CAST(value AS VARCHAR))
+                  + strlen(CAST(ms AS VARCHAR)) + 21 AS bytes
+              FROM l JOIN b ON b.doc = l.doc JOIN (SELECT event_id, value FROM events) v ON v.event_id = l.event_id),
+            d AS (
+              SELECT doc, scrape_ts, half, sum(bytes) - 1 AS bytes, count(*) FILTER (WHERE kept) AS w, count(*) FILTER (WHERE NOT kept) AS s
+              FROM (SELECT doc, scrape_ts, half, kept, bytes FROM a
+                    UNION ALL SELECT doc, scrape_ts, half, NULL, strlen(event_type) + 14
+                    FROM (SELECT DISTINCT doc, scrape_ts, half, event_type FROM a))
+              GROUP BY doc, scrape_ts, half),
+            n AS (
+              SELECT half, count(*) AS series FROM (SELECT event_type, user_id, props, min(half) AS half FROM a WHERE kept GROUP BY ALL)
+              GROUP BY half),
+            ends AS (SELECT max(scrape_ts) AS ts, half FROM d GROUP BY half),
+            g AS (
+              SELECT ts - ts % 300 AS start, CAST(sum(series) AS BIGINT) AS series FROM n JOIN ends USING (half) GROUP BY start),
+            i AS (SELECT *, scrape_ts - scrape_ts % 300 AS interval_start FROM d)
+            SELECT interval_start, count(*) AS scrapes, 0::BIGINT AS scrape_errors,
+              0::BIGINT AS scrape_timeouts, 0::BIGINT AS scrape_refused, CAST(sum(w) AS BIGINT) AS writes, 0::BIGINT AS write_errors,
+              CAST(sum(s) AS BIGINT) AS write_skips,
+              coalesce(max(g.series), 0) AS new_series,
+              CAST(sum(bytes) AS BIGINT) AS response_bytes, CAST(max(bytes) AS BIGINT) AS response_bytes_peak
+            FROM i LEFT JOIN g ON g.start = i.interval_start GROUP BY interval_start""",
+        ),
+        "ingest_gauges": f"""
+            WITH s AS (SELECT DISTINCT l_returnflag, l_linestatus, l_suppkey FROM lineitem)
+            SELECT 'targets' AS gauge, count(*) AS value FROM ({_FOLDED})
+            UNION ALL SELECT 'series', count(*) FROM s UNION ALL SELECT 'series_bytes', count(*) * 3 * 4 FROM s""",
         "stream_targets_restarted": _FOLDED,
         "stream_bookmark_rows": _with(
             _DUMPS + _BOOKMARKS, "SELECT CAST(doc AS VARCHAR) AS doc_id, target, scrape_ts, min_ts FROM b"

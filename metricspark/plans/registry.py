@@ -966,6 +966,30 @@ def stream_report_events(spark, sf_dir):
     return read_report(spark, folder)
 
 
+@query
+def stream_ingest_report(spark, sf_dir):
+    """STR5, AGG12: dumps ingested as a stream in several batches, the second half under a new
+    checkpoint, and the report of that very run"""
+    store = MetricStore(spark, fresh_folder(spark, "reported-store"))
+    store.replace_catalog(settings.set_default(store.catalog(), settings.CHUNK_INTERVAL, 30 * DAY_S))
+    dumps = fixtures.event_dumps(spark, sf_dir)
+    first = F.col("scrape_ts") < MADE_S
+    for half in (dumps.where(first), dumps.where(~first)):
+        stream = _stream_of(spark, half, "dumps")
+        stream_ingest(stream, store, fresh_folder(spark, "ingest-state"), interval=None).awaitTermination()
+    return store.report()
+
+
+@query
+def ingest_gauges(spark, sf_dir):
+    """AGG12: targets of the moment, and series of a store with the bytes of their ids"""
+    pods = targets.fold_targets(fixtures.pod_events(spark, sf_dir), OWN_NAMESPACE)
+    store = write_lineitem_store(spark, sf_dir)
+    gauges = (report.target_gauges(pods), report.series_gauges(store.catalog().series))
+    named = [g.select(F.inline(F.array(*(F.struct(F.lit(c).alias("gauge"), F.col(c).alias("value")) for c in g.columns)))) for g in gauges]
+    return named[0].unionByName(named[1])
+
+
 @query
 def stream_report_restarted(spark, sf_dir):
     """STR5: the log in two streams, the second with a new checkpoint over the same folder"""

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from metricspark.functions.labels import with_static_labels
 from metricspark.operators.age import age_filter, bookmarks, last_scrapes
 from metricspark.operators.remote_write import time_series, write_requests
+from metricspark.operators.report import INTERVAL_S, ingest_report
+from metricspark.plans.manifest import ADD
 from metricspark.plans.store import MANUAL, SAMPLES, MetricStore, batch_digest
 from metricspark.session import durable, scratch
 from metricspark.sources.exposition import parse_exposition
@@ -25,6 +27,30 @@ class BatchCounts:
     skipped: int
 
 
+def batch_report(scrapes: DataFrame, parsed: DataFrame, accepted: DataFrame, new_series: int, interval_s: int = INTERVAL_S) -> DataFrame:
+    """The counters of one batch by interval: its scrapes and their bytes, samples written, and
+    samples too old to be. Series belong to a batch, so new ones count at its last scrape.
+
+    Samples meet the scrapes only as counts per second, which are summed before a shuffle."""
+    per_second = lambda rows, name: rows.groupBy("scrape_ts").agg(F.count(F.lit(1)).alias(name))
+    counted = per_second(parsed, "parsed").join(per_second(accepted, "samples"), "scrape_ts", "left")
+    nothing = F.lit(None).cast("bigint")
+    columns = ["scrape_ts", "outcome", "samples", "skipped", "failed", "new_series", "response_bytes"]
+    samples = F.coalesce("samples", F.lit(0))
+    counts = counted.withColumns({
+        "outcome": F.lit(None).cast("string"), "samples": samples, "skipped": F.col("parsed") - samples,
+        "failed": nothing, "new_series": nothing, "response_bytes": nothing,
+    }).select(columns)
+    each = scrapes.withColumns({
+        "outcome": F.lit("ok"), "samples": nothing, "skipped": nothing, "failed": nothing, "new_series": nothing,
+    }).select(columns)
+    last = scrapes.agg(F.max("scrape_ts").alias("scrape_ts")).where("scrape_ts IS NOT NULL").withColumns({
+        "outcome": F.lit(None).cast("string"), "samples": nothing, "skipped": nothing, "failed": nothing,
+        "new_series": F.lit(new_series).cast("bigint"), "response_bytes": nothing,
+    }).select(columns)
+    return ingest_report(counts.unionByName(each).unionByName(last), interval_s)
+
+
 def ingest_dumps(
     store: MetricStore,
     docs: DataFrame,
@@ -42,7 +68,8 @@ def ingest_dumps(
     it starts, so a target that was deleted and made anew starts anew. Parsing is the costly step
     and ingest reads the samples more than once, so they are parsed into a table first. A batch
     that ``writer`` has committed is skipped, and other dumps under its id are refused; one that
-    failed replaces what it wrote.
+    failed replaces what it wrote. The counters of the batch are committed with it, see
+    ``MetricStore.report``.
     """
     if sink not in SINKS:
         raise ValueError(f"unknown sink {sink!r}, not one of {SINKS}")
@@ -58,8 +85,8 @@ def ingest_dumps(
     with scratch(store.spark):
         columns = ("doc_id", "target", "scrape_ts", "line", "name", "labels", "value", "sample_kind", "time", "ts")
         staged = durable(parse_exposition(docs, timestamp_unit=timestamp_unit).select(*columns), "parsed")
-        scrapes = durable(docs.select("doc_id", "target", "scrape_ts"), "scrapes")
-        samples = age_filter(staged, bookmarks(scrapes, before))
+        scrapes = durable(docs.select("doc_id", "target", "scrape_ts", F.octet_length("body").alias("response_bytes")), "scrapes")
+        samples = accepted = age_filter(staged, bookmarks(scrapes.drop("response_bytes"), before))
         target_labels = None
         if targets is not None:
             labels = targets.select(F.col("name").alias("target"), F.col("labels").alias("target_labels"))
@@ -73,7 +100,9 @@ def ingest_dumps(
             folder = f"{store.root}/write_requests/batch_id={seq}"
             write_requests(time_series(samples, static, target_labels)).write.mode("overwrite").parquet(folder)
             rows, written = [], store.spark.read.parquet(folder).count()
-        rows += store.replaced_part("bookmarks", last_scrapes(scrapes, before), seq)
+        new_series = sum(row["n"] for row in rows if row["part_of"] == "series" and row["action"] == ADD)
+        rows += store.report_part(batch_report(scrapes, staged, accepted, new_series), seq)
+        rows += store.replaced_part("bookmarks", last_scrapes(scrapes.drop("response_bytes"), before), seq)
         parsed = staged.count()
         store.commit(seq, rows, writer, batch_id, digest, parsed, written)
     return BatchCounts(parsed, written, parsed - written)

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metricspark.operators.postings import postings
+from metricspark.operators.report import REPORT, added_up
 from metricspark.operators.retention import CHUNK, Retention, chunk_summary, drop_old, label_use, metric_limit, period_limits
 from metricspark.plans.ingest import ingest
 from metricspark.plans.manifest import ADD, COMMIT, DROP, MANUAL, Manifest, chunk_rows, part
@@ -55,7 +56,7 @@ DIMENSIONS = {
     "series": SERIES,
     "settings": SETTINGS,
 }
-TABLES = DIMENSIONS | {"label_use": LABEL_USE, "postings": POSTINGS, "bookmarks": BOOKMARK}
+TABLES = DIMENSIONS | {"label_use": LABEL_USE, "postings": POSTINGS, "bookmarks": BOOKMARK, "report": REPORT}
 #: The key by which merged parts are bucketed, and the column of ids that are given.
 BUCKET_KEYS = {"label": ["key", "value"], "series": ["metric_id", "label_ids"], "postings": ["id"]}
 ID_COLUMNS = {"metric": "metric_id", "label": "id", "label_key": "id", "series": "series_id"}
@@ -163,6 +164,11 @@ class MetricStore:
             frames["settings"] = default_settings(self.spark)
         return Catalog(**frames)
 
+    def report(self) -> DataFrame:
+        """The counters of all ingested dumps, a row per interval of their scrapes. They are
+        committed with their batch, so each batch counts once, however often it was tried."""
+        return added_up(self.table("report"))
+
     def bookmarks(self) -> DataFrame:
         """When each target was last scraped."""
         return self.table("bookmarks")
@@ -191,6 +197,10 @@ class MetricStore:
     def _dropped_parts(self, name: str) -> list[dict]:
         return chunk_rows(DROP, name, self.log.state().of(name))
 
+    def report_part(self, rows: DataFrame, seq: int) -> list[dict]:
+        """Write what a batch adds to the report; its log rows."""
+        return self._added_part("report", rows, seq)
+
     def replaced_part(self, name: str, rows: DataFrame, seq: int) -> list[dict]:
         """Write a whole table as one part; log rows that put it in place of the parts in force."""
         return self._added_part(name, rows, seq) + self._dropped_parts(name)
@@ -219,6 +229,8 @@ class MetricStore:
                 version, rows = self.next_version(), self._read_parts(name, small)
                 if name == "label_use":
                     rows = rows.groupBy("metric_id", "id").agg(F.sum("n").alias("n")).where("n <> 0")
+                if name == "report":
+                    rows = added_up(rows)
                 if name == "postings":
                     rows = rows.groupBy("metric_id", "id", "word").agg(F.bit_or("bits").alias("bits"))
                 added = self._added_part(name, rows, version, level + 1)

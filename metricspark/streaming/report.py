@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from metricspark.operators.report import INTERVAL_S, REPORT, ingest_report
+from metricspark.operators.report import INTERVAL_S, REPORT, added_up, ingest_report
 from metricspark.plans.snapshots import read_or_empty, stream_id
 
 
@@ -29,7 +28,4 @@ def stream_report(
 
 def read_report(spark: SparkSession, folder: str) -> DataFrame:
     """One row per interval, over all batches of all streams so far; none before the first."""
-    rows = read_or_empty(spark, folder, REPORT)
-    peak = "response_bytes_peak"
-    counters = [c for c in REPORT.names if c not in ("interval_start", peak)]
-    return rows.groupBy("interval_start").agg(*(F.sum(c).alias(c) for c in counters), F.max(peak).alias(peak))
+    return added_up(read_or_empty(spark, folder, REPORT))

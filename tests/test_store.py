@@ -378,3 +378,24 @@ def test_streamed_report(spark, tmp_path):
     stream_report(spark.readStream.schema(rows.schema).parquet(folder), out, str(tmp_path / "state")).awaitTermination()
     got = {r["interval_start"]: (r["scrapes"], r["scrape_errors"], r["scrape_timeouts"], r["scrape_refused"], r["writes"]) for r in read_report(spark, out).collect()}
     assert got == {0: (1, 1, 0, 0, 3), 300: (0, 0, 1, 1, 0)}
+
+
+def test_report_is_committed_with_its_batch(spark, tmp_path):
+    store = MetricStore(spark, str(tmp_path / "store"))
+    assert store.report().collect() == []
+    body = "# TYPE a gauge\na{k=\"1\"} 1 90000\na{k=\"2\"} 2 250000\nnot a sample"
+    rows = [("d1", "t1", 300, body), ("d2", "t2", 620, "# TYPE a gauge\na{k=\"2\"} 3")]
+    dumps = spark.createDataFrame(rows, "doc_id string, target string, scrape_ts long, body string")
+    for _ in range(2):  # the second run is skipped and counts nothing
+        ingest_dumps(store, dumps, 0)
+    # A second batch: its samples of before the first scrape of the target are too old.
+    late = spark.createDataFrame([("d3", "t1", 301, body)], dumps.schema)
+    ingest_dumps(store, late, 1)
+    got = {r["interval_start"]: r.asDict() for r in store.report().collect()}
+    names = ("scrapes", "writes", "write_skips", "new_series", "response_bytes", "response_bytes_peak")
+    assert {k: tuple(v[n] for n in names) for k, v in got.items()} == {
+        300: (2, 2, 2, 0, 2 * len(body), len(body)), 600: (1, 1, 0, 2, len(rows[1][3]), len(rows[1][3]))}
+    assert store.facts().count() == sum(v["writes"] for v in got.values())
+    empty = dumps.limit(0)
+    ingest_dumps(store, empty, 2)
+    assert store.report().count() == 2
