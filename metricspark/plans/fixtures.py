@@ -10,6 +10,8 @@ from metricspark.functions.text import escape_label_value, instant, micros_of
 from metricspark.sources.label_json import labels_map
 
 EVENTS_PER_DUMP = 50
+EVENTS_PER_FILE = 20_000
+FILE_SCRAPED_AFTER_S = 86400
 SCRAPE_INTERVAL_S = 15
 
 
@@ -80,6 +82,14 @@ def lineitem_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _event_line() -> Column:
+    return F.concat(
+        F.col("event_type"), F.lit('{user="'), _text(F.col("user_id")), F.lit('",props="'),
+        escape_label_value(F.col("props")), F.lit('"} '), _text(F.col("value")), F.lit(" "),
+        _text(F.floor(micros_of(F.col("ts")) / 1000)),
+    )
+
+
 def event_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events rendered as scrape dumps of a fixed number of events each.
 
@@ -92,11 +102,7 @@ def event_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         "event_type",
         micros_of(F.col("ts")).alias("us"),
-        F.concat(
-            F.col("event_type"), F.lit('{user="'), _text(F.col("user_id")), F.lit('",props="'),
-            escape_label_value(F.col("props")), F.lit('"} '), _text(F.col("value")), F.lit(" "),
-            _text(F.floor(micros_of(F.col("ts")) / 1000)),
-        ).alias("text"),
+        _event_line().alias("text"),
     )
     lines = F.sort_array(F.collect_list(F.struct("event_type", "event_id", "text")))
     types = F.array_sort(F.collect_set("event_type"))
@@ -119,6 +125,33 @@ def event_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_dump_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Events written as dumps of many lines, one file each, under ``target=…/scrape_ts=…/``.
+
+    A file begins with a help text over two lines, the second of which looks like a sample, and
+    declares its kinds of events once; its lines are in order of event_id. Each has a target of
+    its own, scraped a day after its first event.
+    """
+    columns = ("event_id", "event_type", "user_id", "value", "props", "ts")
+    e = table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / EVENTS_PER_FILE).alias("n"), *columns)
+    lines = e.select("n", F.col("event_id").alias("at"), _event_line().alias("value"))
+    declared = F.transform(
+        F.array_sort(F.collect_set("event_type")), lambda t: F.concat(F.lit("# TYPE "), t, F.lit(" gauge"))
+    )
+    opening = F.concat(F.lit("# HELP click Events of a kind, \\\nclick 1\n"), F.array_join(declared, "\n"))
+    first_s = F.min(F.floor(micros_of(F.col("ts")) / 1000000))
+    files = e.groupBy("n").agg(
+        opening.alias("value"),
+        F.concat(F.lit("t"), _text(F.col("n"))).alias("target"),
+        (first_s + FILE_SCRAPED_AFTER_S).cast("bigint").alias("scrape_ts"),
+    )
+    heads = files.select("target", "scrape_ts", F.lit(-1).cast("bigint").alias("at"), "value")
+    rows = lines.join(files.drop("value"), "n").select("target", "scrape_ts", "at", "value").unionByName(heads)
+    # A file holds EVENTS_PER_FILE events, so its group is bounded.
+    whole = rows.repartition("target", "scrape_ts").sortWithinPartitions("target", "scrape_ts", "at").drop("at")
+    whole.write.partitionBy("target", "scrape_ts").text(folder)
+
+
 def text_dumps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One dump per document: its whole text, escaped, as a label value."""
     d = dealt(table(spark, sf_dir, "documents").select("doc_id", "lang", "text", "n_chars"), "doc_id")

@@ -107,6 +107,18 @@ l AS (
   FROM e JOIN docs ON docs.doc = e.doc)
 """
 
+# The lines of the dump files, in order of their events.
+_FILES = """
+l AS (
+  SELECT event_id, event_type, user_id, props, CAST(round(value * 100) AS BIGINT) AS cents, epoch_us(ts) // 1000 AS ms,
+         't' || event_id // 20000 AS target,
+         min(epoch_us(ts)) OVER (PARTITION BY event_id // 20000) // 1000000 + 86400 AS scrape_ts,
+         row_number() OVER (PARTITION BY event_id // 20000 ORDER BY event_id) - 1 AS line
+  FROM events)
+"""
+_FILE_SAMPLES = """SELECT target, scrape_ts, line, event_type AS name, 'Gauge' AS series_type,
+  CAST(user_id AS VARCHAR) AS "user", props, cents, ms AS own_ts, ms FROM l"""
+
 # The lines of the dumps made of orders, with what each is read as; null type: skipped.
 _FAMILIES = """
 o AS (
@@ -478,6 +490,13 @@ def oracle_sql() -> dict[str, str]:
             """SELECT CAST(doc AS VARCHAR) AS doc_id, target, scrape_ts, line, event_type AS name, 'Gauge' AS series_type,
               CAST(user_id AS VARCHAR) AS "user", props, cents, ms AS own_ts, ms FROM l""",
         ),
+        "read_dump_files": _with(_FILES, _FILE_SAMPLES),
+        "read_split_dumps": _with(_FILES, _FILE_SAMPLES),
+        "ingest_split_dumps": _with(
+            _FILES,
+            """SELECT '__name__=' || event_type || ',env=prod,props=' || props || ',user=' || user_id AS labels, ms, cents
+            FROM l WHERE ms // 1000 >= scrape_ts - 300""",
+        ),
         "parse_families": _with(
             _FAMILIES,
             """SELECT doc_id, line, name, series_type, labels, CAST(round(v * 100) AS BIGINT) AS cents, own_ts

@@ -28,8 +28,8 @@ from metricspark.plans.ingest import Ingested, ingest
 from metricspark.plans.scrapes import ingest_dumps
 from metricspark.plans.store import MetricStore, OtherBatch
 from metricspark.schema import LABELS, Catalog
-from metricspark.session import durable, fresh_folder
-from metricspark.sources import exposition, label_json, pods
+from metricspark.session import durable, durable_path, fresh_folder
+from metricspark.sources import exposition, label_json, pods, split_dumps
 from metricspark.streaming.bookmarks import stream_bookmarks
 from metricspark.streaming.ingest import stream_ingest
 from metricspark.streaming.report import read_report, stream_report
@@ -39,6 +39,7 @@ DAY_S = 86400
 NOW_S = 1706677200  # 2024-01-31 05:00 UTC
 MADE_S = 1705363300  # when the targets of a query are made anew
 OWN_NAMESPACE = "own.example"
+SPLIT_BYTES = 1 << 18  # of the dump files that queries read by splits
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _BUILT: dict[tuple, object] = {}
@@ -773,6 +774,57 @@ def parse_round_trip(spark, sf_dir):
     )
 
 
+def _file_samples(parsed: DataFrame) -> DataFrame:
+    return parsed.select(
+        "target", "scrape_ts", "line", "name", "series_type",
+        _label(F.col("labels"), "user").alias("user"), _label(F.col("labels"), "props").alias("props"),
+        cents(F.col("value")).alias("cents"), "own_ts", F.unix_millis("time").alias("ms"),
+    )
+
+
+def _by_small_splits(spark: SparkSession) -> SparkSession:
+    """A session beside this one whose files are cut more often."""
+    fine = spark.newSession()
+    fine.conf.set("spark.sql.files.maxPartitionBytes", str(SPLIT_BYTES))
+    fine.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    return fine
+
+
+@query
+def read_dump_files(spark, sf_dir):
+    """SRC1, SRC2, SRC4-8: dumps written as files and read again, a row for each"""
+    folder = fresh_folder(spark, "dump-files")
+    fixtures.write_dump_files(spark, sf_dir, folder)
+    return _file_samples(exposition.parse_exposition(exposition.read_exposition(spark, folder)))
+
+
+@query
+def read_split_dumps(spark, sf_dir):
+    """SRC1, SRC2, SRC4-8, J14: dumps written as files and read by line splits, with help texts,
+    types and line numbers carried over them"""
+    folder = fresh_folder(spark, "dump-files")
+    fixtures.write_dump_files(spark, sf_dir, folder)
+    parsed = split_dumps.parse_lines(split_dumps.read_lines(_by_small_splits(spark), folder))
+    return spark.read.schema(parsed.schema).parquet(durable_path(parsed, "parsed")).transform(_file_samples)
+
+
+@query
+def ingest_split_dumps(spark, sf_dir):
+    """SRC1, SNK1, SNK3, FLT1: dumps read by line splits into a store, with the age rule"""
+    folder = fresh_folder(spark, "dump-files")
+    fixtures.write_dump_files(spark, sf_dir, folder)
+    root = fresh_folder(spark, "split-store")
+    store = MetricStore(_by_small_splits(spark), root)
+    store.replace_catalog(settings.set_default(store.catalog(), settings.CHUNK_INTERVAL, 30 * DAY_S))
+    ingest_dumps(store, split_dumps.read_lines(store.spark, folder), 0, {"env": "prod"})
+    store = MetricStore(spark, root)
+    c = store.catalog()
+    named = encode.decode_series(c.series, c.label).select("series_id", labels_text(F.col("labels")).alias("labels"))
+    return store.facts().join(named, "series_id", "left").select(
+        "labels", F.unix_millis("time").alias("ms"), cents(F.col("value")).alias("cents")
+    )
+
+
 @query
 def parse_families(spark, sf_dir):
     """SRC3-8: typed counters, summaries and histograms, late and changed declarations"""

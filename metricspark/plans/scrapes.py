@@ -15,6 +15,7 @@ from metricspark.operators.report import INTERVAL_S, ingest_report
 from metricspark.plans.manifest import ADD
 from metricspark.plans.store import MANUAL, SAMPLES, MetricStore, batch_digest
 from metricspark.session import durable, scratch
+from metricspark.sources import split_dumps
 from metricspark.sources.exposition import parse_exposition
 
 SINKS = ("table", "write_request")
@@ -63,6 +64,8 @@ def ingest_dumps(
 ) -> BatchCounts:
     """Parse dumps, leave out old samples, add labels, and write to one of two sinks.
 
+    ``docs`` are dumps as rows (``read_exposition``) or, for dumps of any size, their lines
+    (``split_dumps.read_lines``); a dump without any line is then no scrape.
     ``targets`` (``name, labels``, and ``last_scrape`` if known) gives each target's labels. The
     later of a target's bookmark and its ``last_scrape``, set to the time it was made, is where
     it starts, so a target that was deleted and made anew starts anew. Parsing is the costly step
@@ -73,7 +76,9 @@ def ingest_dumps(
     """
     if sink not in SINKS:
         raise ValueError(f"unknown sink {sink!r}, not one of {SINKS}")
-    digest = batch_digest(docs.select("doc_id", "target", "scrape_ts", "body"))
+    by_line = "block" in docs.columns
+    body = "text" if by_line else "body"
+    digest = batch_digest(docs.select("doc_id", "target", "scrape_ts", body))
     done = store.committed(writer, batch_id, digest)
     if done:
         return BatchCounts(done["parsed"], done["written"], done["parsed"] - done["written"])
@@ -84,8 +89,13 @@ def ingest_dumps(
         before = last_scrapes(made.withColumnRenamed("last_scrape", "scrape_ts"), known)
     with scratch(store.spark):
         columns = ("doc_id", "target", "scrape_ts", "line", "name", "labels", "value", "sample_kind", "time", "ts")
-        staged = durable(parse_exposition(docs, timestamp_unit=timestamp_unit).select(*columns), "parsed")
-        scrapes = durable(docs.select("doc_id", "target", "scrape_ts", F.octet_length("body").alias("response_bytes")), "scrapes")
+        parse = split_dumps.parse_lines if by_line else parse_exposition
+        staged = durable(parse(docs, timestamp_unit=timestamp_unit).select(*columns), "parsed")
+        sizes = docs.select("doc_id", "target", "scrape_ts", F.octet_length(body).alias("response_bytes"))
+        if by_line:
+            whole = F.sum(F.col("response_bytes") + 1).alias("response_bytes")
+            sizes = sizes.groupBy("doc_id", "target", "scrape_ts").agg(whole)
+        scrapes = durable(sizes, "scrapes")
         samples = accepted = age_filter(staged, bookmarks(scrapes.drop("response_bytes"), before))
         target_labels = None
         if targets is not None:

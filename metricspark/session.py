@@ -82,6 +82,14 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         files.delete(path, True)
 
 
+def durable_path(df: DataFrame, name: str = "stage") -> str:
+    """Write ``df`` once to the shared folder; where it is."""
+    scratch_folder = _SCRATCH.get()
+    path = f"{scratch_folder}/{name}-{uuid.uuid4().hex}" if scratch_folder else fresh_folder(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return path
+
+
 def durable(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -89,10 +97,7 @@ def durable(df: DataFrame, name: str = "stage") -> DataFrame:
     freezes values that depend on physical partitioning, and gives the optimizer true
     file sizes to choose its joins by.
     """
-    scratch_folder = _SCRATCH.get()
-    path = f"{scratch_folder}/{name}-{uuid.uuid4().hex}" if scratch_folder else fresh_folder(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(durable_path(df, name))
 
 
 def together(spark: SparkSession, *steps: Callable[[], object]) -> list:

@@ -339,7 +339,12 @@ def parse_exposition(docs: DataFrame, counter_mode: str = "integer", timestamp_u
     ``own_ts`` is the sample's own time in the dump's unit, ``ts`` the same in seconds (null
     if it has none) and ``time`` the instant to store: its own, else the scrape's.
     """
-    samples = parse_lines(typed_lines(docs), counter_mode).filter("ok").drop("ok", "text")
+    return parse_typed(typed_lines(docs), counter_mode, timestamp_unit)
+
+
+def parse_typed(lines: DataFrame, counter_mode: str = "integer", timestamp_unit: str = "ms") -> DataFrame:
+    """Typed lines to samples with their times and kinds, without the lines to be skipped."""
+    samples = parse_lines(lines, counter_mode).filter("ok").drop("ok", "text")
     return with_sample_time(samples, timestamp_unit).withColumn("sample_kind", sample_kind(F.col("value")))
 
 
