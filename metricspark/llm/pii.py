@@ -21,6 +21,8 @@ ROUNDS = 8
 #: First and last day that dates are permuted among, as proleptic ordinals.
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 LAST_DAY = datetime.date(2099, 12, 31).toordinal()
+#: Months as dates in words name them. Fixed values.
+MONTHS = "January February March April May June July August September October November December".split()
 #: Entries a worker keeps of what it has permuted.
 REMEMBERED = 100_000
 #: Calling codes of two digits; 1 and 7 are the only ones of one digit, the others have three.
@@ -97,9 +99,15 @@ def _is_alnum(c: str) -> bool:
     return _is_digit(c) or "A" <= c <= "Z" or "a" <= c <= "z"
 
 
+def _cased(symbols: str, like: str) -> str:
+    """Small letters of ``symbols`` in the case of the characters at their places."""
+    return "".join(new.upper() if "A" <= old <= "Z" else new for new, old in zip(symbols, like, strict=True))
+
+
 class Pseudonyms:
     """Permutations of each kind under one key. Equal values get equal pseudonyms, however
-    they are separated: separators and what is no letter or digit stay as they stand."""
+    they are separated or cased: separators, the case of letters by their place and what is no
+    letter or digit of ASCII stay as they stand."""
 
     def __init__(self, key: bytes) -> None:
         self.key = key
@@ -155,48 +163,99 @@ class Pseudonyms:
         return ".".join(map(str, self._permute("ipv4", value, 1 << 32, back).to_bytes(4, "big")))
 
     def address6(self, text: str, back: bool) -> str | None:
+        """An IPv6 address, in full or with a run of zeros left out.
+
+        Groups of zeros stay, and the others keep their number of digits without leading zeros,
+        so spellings of one address stay linked and each keeps its form. Digits and letters stay
+        in it if there are any, for it to be found and its case known; letters of both cases
+        become small."""
+        groups = text.split(":")
+        short = "::" in text
         try:
-            value = int(ipaddress.IPv6Address(text))
+            ipaddress.IPv6Address(text)
         except ValueError:
             return None
-        return str(ipaddress.IPv6Address(self._permute("ipv6", value, 1 << 128, back)))
+        if not any(map(_is_digit, text)):
+            return None
+        own = full = [g.lstrip("0").lower() for g in groups]
+        before = after = 0
+        if short:
+            before = groups.index("")
+            after = sum(map(bool, groups[before:]))
+            full = own[:before] + [""] * (8 - before - after) + own[len(own) - after :]
+        sizes = [15 * 16 ** (len(g) - 1) if g else 1 for g in full]
+        n, value = 1, 0
+        for g, size in zip(full, sizes):
+            n, value = n * size, value * size + (int(g, 16) - 16 ** (len(g) - 1) if g else 0)
+        if n == 1:
+            return None
+        kind = "ipv6" + "".join(str(len(g)) for g in full)
+        kinds = {_is_digit(c) for c in "".join(full)}
+        while True:
+            value = rest = self._permute(kind, value, n, back)
+            new = []
+            for g, size in zip(reversed(full), reversed(sizes)):
+                rest, at = divmod(rest, size)
+                new.append(f"{at + 16 ** (len(g) - 1):x}" if g else "")
+            new.reverse()
+            if kinds == {_is_digit(c) for c in "".join(new)}:
+                break
+        if short:
+            new = new[:before] + [""] * (len(groups) - before - after) + new[8 - after :]
+        out = ":".join(g[: len(g) - len(o)] + x for g, o, x in zip(groups, own, new, strict=True))
+        return out.upper() if text.upper() == text else out
+
+    def _letters(self, kind: str, letters: str, back: bool) -> str:
+        """Small letters for small letters."""
+        if not letters:
+            return ""
+        value = 0
+        for c in letters:
+            value = value * 26 + ord(c) - 97
+        value = self._permute(kind, value, 26 ** len(letters), back)
+        out = []
+        for _ in letters:
+            value, c = divmod(value, 26)
+            out.append(chr(97 + c))
+        return "".join(reversed(out))
 
     def iban(self, text: str, back: bool) -> str | None:
-        plain = text.replace(" ", "")
+        written = text.replace(" ", "")
+        plain = written.upper()
         country, body = plain[:2], plain[4:]
         if not 11 <= len(body) <= 30 or iban_check(country, body) != plain[2:4]:
             return None
         # Digits stay digits and letters letters.
         digits = self._digits("iban" + country, "".join(filter(_is_digit, body)), back)
-        new = _refill(body, digits, _is_digit)
-        letters = [c for c in new if not _is_digit(c)]
-        if letters:
-            value = 0
-            for c in letters:
-                value = value * 26 + ord(c) - 65
-            value = self._permute("ibanletters" + country, value, 26 ** len(letters), back)
-            out = []
-            for _ in letters:
-                value, c = divmod(value, 26)
-                out.append(chr(65 + c))
-            new = _refill(new, "".join(reversed(out)), lambda c: not _is_digit(c))
-        return _refill(text, country + iban_check(country, new) + new, _is_alnum)
+        letters = "".join(c for c in body if not _is_digit(c)).lower()
+        letters = self._letters("ibanletters" + country, letters, back).upper()
+        new = _refill(_refill(body, digits, _is_digit), letters, lambda c: not _is_digit(c))
+        return _refill(text, _cased((country + iban_check(country, new) + new).lower(), written), _is_alnum)
 
     def email(self, text: str, back: bool) -> str | None:
-        """Name and host: letters and digits are permuted together, the last label stays."""
+        """Name and host: digits and letters are each permuted together, the last label stays."""
         at = text.rindex(".")
         head = text[:at]
-        symbols = string.ascii_lowercase + string.digits
-        chars = [c.lower() for c in head if _is_alnum(c)]
+        old = "".join(filter(_is_alnum, head))
+        digits = "".join(filter(_is_digit, old))
+        letters = "".join(c for c in old if not _is_digit(c)).lower()
+        new = _refill(old, self._digits(f"email{len(letters)}-", digits, back), _is_digit)
+        new = _refill(new, self._letters(f"email{len(digits)}letters", letters, back), lambda c: not _is_digit(c))
+        return _refill(head, _cased(new, old), _is_alnum) + text[at:]
+
+    def access_key(self, text: str, back: bool) -> str | None:
+        """An access key of a cloud account: its prefix stays."""
+        symbols = string.ascii_uppercase + "234567"
+        body = text[4:]
         value = 0
-        for c in chars:
-            value = value * 36 + symbols.index(c)
-        value = self._permute("email", value, 36 ** len(chars), back)
+        for c in body:
+            value = value * 32 + symbols.index(c)
+        value = self._permute("access_key", value, 32 ** len(body), back)
         out = []
-        for _ in chars:
-            value, c = divmod(value, 36)
+        for _ in body:
+            value, c = divmod(value, 32)
             out.append(symbols[c])
-        return _refill(head, "".join(reversed(out)), _is_alnum) + text[at:]
+        return text[:4] + "".join(reversed(out))
 
     def secret(self, text: str, back: bool) -> str | None:
         """A run of hexadecimal digits, in the case it is written in."""
@@ -233,6 +292,22 @@ class Pseudonyms:
             return mark.join(parts[k] for k in order)
         return None
 
+    def date_words(self, text: str, back: bool) -> str | None:
+        """Day, name of the month and year, linked with the same date in digits. A short name
+        stays short, but May is both, so what became May goes back to a full name."""
+        day, gap, name, other_gap, year = re.fullmatch(r"(\d+)( +)([A-Za-z]+)( +)(\d+)", text).groups()
+        month = [m[:3].lower() for m in MONTHS].index(name[:3].lower()) + 1
+        try:
+            old = datetime.date(int(year), month, int(day))
+        except ValueError:
+            return None
+        new = self._day(old, back, "dmy")
+        if new is None:
+            return None
+        word = MONTHS[new.month - 1] if len(name) == len(MONTHS[month - 1]) else MONTHS[new.month - 1][:3]
+        word = word.upper() if name.isupper() else word.lower() if name.islower() else word
+        return f"{new.day:0{len(day)}d}{gap}{word}{other_gap}{new.year:04d}"
+
     def __call__(self, kind: str, text: str, back: bool = False) -> str | None:
         """The pseudonym, or None if ``text`` is not valid for its kind."""
         if back:
@@ -247,9 +322,16 @@ class Pseudonyms:
 
 #: What is looked for, by kind, in this order at each place. Number formats.
 KINDS = {
-    "email": r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "address6": r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])",
+    "email": r"(?<![.+%-])(?<!(?u:\w))(?u:[^\W_])(?u:[\w.%+-])*@(?u:[^\W_]|-)+(?:\.(?u:[^\W_]|-)+)*\.[A-Za-z]{2,}",
+    "iban": (
+        r"(?<![A-Za-z0-9])(?:[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+        r"|[a-z]{2}\d{2}(?: ?[a-z0-9]{4}){2,7}(?: ?[a-z0-9]{1,3})?)(?![A-Za-z0-9])"
+    ),
+    "address6": (
+        r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+        r"|[0-9A-Fa-f]{3,4}(?::[0-9A-Fa-f]{1,4}){0,6}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![0-9A-Za-z:])"
+    ),
+    "date_words": r"(?i:(?<![\w./-])\d{1,2} {1,3}(?:" + "|".join(f"{m}|{m[:3]}" for m in MONTHS) + r") {1,3}\d{4}(?![\w-]|\.\d))",
     "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}-\d{1,2}-\d{4})(?!(?![Tt]\d{2}(?!\w)|[Tt]\d{2}:?\d{2})[\w/-]|\.\d)",
     "address": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
@@ -259,12 +341,13 @@ KINDS = {
         r"|(?<![\w.])\(\d{3}\) ?\d{3}[-. ]\d{4}(?!\w)"
         r"|(?<![\w.-])\d{3}[-.]\d{3}[-.]\d{4}(?![\w-])"
     ),
+    "access_key": r"(?<![0-9A-Za-z])A[KS]IA[A-Z2-7]{16}(?![0-9A-Za-z])",
     "secret": r"(?<![0-9A-Za-z])(?=[0-9A-Fa-f]*\d)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])",
 }
 _FIND = {kind: re.compile(pattern, re.ASCII) for kind, pattern in KINDS.items()}
 _ANY = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in KINDS.items()), re.ASCII)
 #: Each value begins in a word with one of these.
-_HINT = re.compile(r"[0-9@]")
+_HINT = re.compile(r"[0-9@]|A[KS]IA")
 _SPACE = re.compile(r"\s")
 #: What stands before a secret.
 _NAMED = re.compile(r"""(?:token|key|secret|passw(?:or)?d|auth\w*)["']?\s*[=:]\s*["']?\Z""", re.IGNORECASE)
@@ -282,18 +365,20 @@ _IBAN_LENGTH = {
 }
 #: Digits of the groups cards are written in, besides one group.
 _CARD_GROUPS = {(4, 4, 4, 4), (4, 6, 5)}
-_RUN = re.compile(r"[0-9A-Z]+")
+_RUN = re.compile(r"[0-9A-Za-z]+")
 
 
 def _iban_ends(text: str, own: re.Match) -> list[int]:
     """Where an IBAN may end that begins with this match: at its country's length, at the
-    end of the match, and of an unknown country at each group."""
+    end of the match, and of an unknown country at each group. Small letters need a known
+    country and its length."""
     borders = [run.end() for run in _RUN.finditer(text, own.start(), own.end())]
-    length = _IBAN_LENGTH.get(own.group()[:2])
+    small = own.group()[0].islower()
+    length = _IBAN_LENGTH.get(own.group()[:2].upper())
     if length is None:
-        return borders[::-1]
+        return [] if small else borders[::-1]
     fixed = [b for b in borders if len(text[own.start() : b].replace(" ", "")) == length]
-    return list(dict.fromkeys([*fixed, own.end()]))
+    return fixed if small else list(dict.fromkeys([*fixed, own.end()]))
 
 
 def _card_ends(text: str, own: re.Match) -> list[int]:
