@@ -84,13 +84,21 @@ def swapped(features: set[bytes], seed: int) -> set[bytes]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, fit: Fit) -> DataFrame:
-    """(doc_id, text, toxic) of at most ``fit.rows`` labelled doc_ids; toxic if any label says so."""
+    """(doc_id, text, toxic) of at most ``fit.rows`` labelled doc_ids, one row each; toxic if any
+    label says so. Of the rows under one doc_id the text of the smallest hash counts, so that a
+    repeated doc_id is no more than one row of the fit.
+
+    The drawn ids, bounded by ``fit.rows``, go to the documents, whose texts stay where they are;
+    only those of the sample are shuffled, after each task has kept one per id.
+    """
     marked = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     )
     drawn = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit.rows).withColumnRenamed("doc_id", "_id")
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return texts.join(drawn, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic")
+    found = texts.join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))
+    one = F.min_by(F.struct("text", "toxic"), F.xxhash64("text")).alias("one")
+    return found.groupBy("doc_id").agg(one).select("doc_id", "one.text", "one.toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
@@ -110,7 +118,7 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
             return Model([], np.zeros(0), float(np.log((base + 1e-3) / (1 - base + 1e-3))))
         chosen = _strongest(sample, pos, neg, fit)
         vocabulary = sorted(set(chosen) | _IDENTITY)
-        rows = _indexed(sample, vocabulary).collect()  # bounded by fit.rows
+        rows = _indexed(sample, vocabulary).collect()  # one per drawn id, so fit.rows at most
     finally:
         sample.unpersist()
     weights, intercept = _optimise(rows, len(vocabulary), fit)
