@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from metricspark.operators.postings import postings
 from metricspark.operators.report import REPORT, added_up
 from metricspark.operators.retention import CHUNK, Retention, chunk_summary, drop_old, label_use, metric_limit, period_limits
-from metricspark.plans.ingest import ingest
+from metricspark.plans.ingest import ingest, staged
 from metricspark.plans.manifest import ADD, COMMIT, DROP, MANUAL, Manifest, chunk_rows, part
 from metricspark.schema import (
     BOOKMARK,
@@ -151,6 +151,8 @@ class MetricStore:
         if name not in BUCKET_KEYS:
             return self.table(name).join(keys, keys.columns, "left_semi")
         parts = self.log.state().of(name).to_pylist()
+        if not parts:
+            return self._read_parts(name, parts)
         buckets = None
         if any(_bucketed(name, p["level"]) for p in parts):
             # At most BUCKETS numbers.
@@ -309,13 +311,15 @@ class MetricStore:
 
     def write_batch(self, samples: DataFrame, batch_id: int, writer: str = MANUAL) -> Written:
         """Ingest samples as one batch and commit it; rows stored, by metric. A batch that is
-        committed already is left as it is."""
-        digest = batch_digest(samples.select("name", "labels", "value", "time"))
-        done = self.committed(writer, batch_id, digest)
-        if done:
-            return self._outcome(done["version"], done["written"])
-        version = self.next_version()
-        rows = self.stage_batch(samples, version)
+        committed already is left as it is. The samples are computed once."""
+        with scratch(self.spark):
+            samples = staged(samples)
+            digest = batch_digest(samples.select("name", "labels", "value", "time"))
+            done = self.committed(writer, batch_id, digest)
+            if done:
+                return self._outcome(done["version"], done["written"])
+            version = self.next_version()
+            rows = self.stage_batch(samples, version)
         written = _facts_in(rows)
         self.commit(version, rows, writer, batch_id, digest, written, written)
         return self._outcome(version, written)

@@ -399,3 +399,26 @@ def test_report_is_committed_with_its_batch(spark, tmp_path):
     empty = dumps.limit(0)
     ingest_dumps(store, empty, 2)
     assert store.report().count() == 2
+
+
+def test_a_batch_computes_its_samples_once(spark, store):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(value: float) -> float:
+        made.add(1)
+        return value
+
+    rows = samples(spark, [("m", {"a": str(i)}, float(i), i) for i in range(20)])
+    once = F.udf(seen, "double").asNondeterministic()
+    store.write_batch(rows.withColumn("value", once("value")), 0)
+    assert made.value == 20 and len(contents(store)) == 20
+
+
+def test_labels_keep_their_order_and_gaps(spark, store):
+    """A key twice, the name's own key, and unset slots take the longer ways."""
+    store.write_batch(samples(spark, [("m", {"a": "1", "c": "3"}, 1.0, 0), ("m", {"b": "2"}, 2.0, 0), ("m", {"c": "3", "a": "1"}, 3.0, 0)]), 0)
+    assert sorted(r["label_ids"].count(0) for r in store.catalog().series.collect()) == [1, 1]
+    assert sorted((v, sorted(l)) for v, l in contents(store)) == [
+        (1.0, [("__name__", "m"), ("a", "1"), ("c", "3")]), (2.0, [("__name__", "m"), ("b", "2")]),
+        (3.0, [("__name__", "m"), ("a", "1"), ("c", "3")]),
+    ]
