@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 from metricspark.operators import info, postings, selectors, settings
 from metricspark.plans import manifest
 from metricspark.plans import store as store_module
+from metricspark.plans.ingest import ingest, staged
 from metricspark.plans.manifest import ADD, COMMIT, DROP, MANUAL, Manifest
 from metricspark.plans.scrapes import ingest_dumps
 from metricspark.plans.store import MetricStore, OtherBatch
-from metricspark.schema import EXPOSITION_DOC, POD
+from metricspark.schema import EXPOSITION_DOC, POD, Catalog
 from metricspark.session import durable, fresh_folder, hadoop_path
 from metricspark.sources.exposition import read_exposition
 from metricspark.streaming.bookmarks import stream_bookmarks
@@ -414,6 +415,13 @@ def test_a_batch_computes_its_samples_once(spark, store):
     assert made.value == 20 and len(contents(store)) == 20
 
 
+def test_samples_of_few_series_are_not_shuffled(spark):
+    rows = samples(spark, [("m", {"a": str(i % 3), "b": "1"}, float(i), i) for i in range(50)])
+    made = ingest(staged(rows), Catalog.empty(spark))
+    plan = made.facts._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and made.facts.count() == 50
+
+
 def test_labels_keep_their_order_and_gaps(spark, store):
     """A key twice, the name's own key, and unset slots take the longer ways."""
     store.write_batch(samples(spark, [("m", {"a": "1", "c": "3"}, 1.0, 0), ("m", {"b": "2"}, 2.0, 0), ("m", {"c": "3", "a": "1"}, 3.0, 0)]), 0)
