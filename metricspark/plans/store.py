@@ -218,9 +218,10 @@ class MetricStore:
         dropped = [row for name in [*DIMENSIONS, "label_use", "postings"] for row in self._dropped_parts(name)]
         self.log.publish(version, self.log.frame([row for rows in added for row in rows] + dropped))
 
-    def merge_parts(self, least: int = MERGE) -> None:
+    def merge_parts(self, least: int | None = None) -> None:
         """Merge small parts of the tables, level by level, so that a table never has more than
-        ``least`` parts of a level."""
+        ``least`` parts of a level, ``MERGE`` if not given."""
+        least = MERGE if least is None else least
         state = self.log.state()
         for name in TABLES:
             parts = state.of(name).to_pylist()
