@@ -1,10 +1,11 @@
 r"""Text exposition dumps to typed samples.
 
-A dump is one row. Its lines are typed *inside the row*: the dump is cut into sections at
-its ``# TYPE`` lines, and a sample whose name belongs to the declaration that opens its
-section is typed by it, with no look-up. Other samples search the dump's declarations, sorted by
-name and place, by halves. So the work is one narrow pass over the text: no shuffle of lines, no
-window, and the order dependence (the latest *earlier* declaration counts) is exact.
+A dump is one row, cut into sections at its ``# TYPE`` lines. Where it has few declarations, its
+lines carry them, the latest first, and take the first of their name up to their section, with
+expressions that compile. Lines of other dumps are typed *inside the row*: they search the
+declarations, sorted by name and place, by halves, so that nothing long is copied to each line. So
+the work is one narrow pass over the text: no shuffle of lines, no window, and the order
+dependence (the latest *earlier* declaration counts) is exact.
 
 All repeated groups in the patterns are possessive, so that they run as loops and whole
 texts of any size cannot overflow the stack of the pattern engine.
@@ -12,6 +13,8 @@ texts of any size cannot overflow the stack of the pattern engine.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,12 @@ FAMILY_TYPES = {
     "histogram": (("_bucket", COUNTER_INTEGER), ("_count", COUNTER_INTEGER), ("_sum", COUNTER)),
 }
 
+# Most names that a kind registers.
+SLOTS = max(map(len, FAMILY_TYPES.values()))
+
+#: Declarations up to which the lines of a dump carry them all.
+CARRIED = 32
+
 # How declaration and help lines begin.
 TYPE_PREFIX = "# TYPE "
 HELP_PREFIX = "# HELP "
@@ -45,6 +54,12 @@ _LABEL = (
     r'(?s)\G([^=]++)=.([^"\\]*+(?:\\.[^"\\]*+)*+)'
     r'(?:"(?:,|\z)|\\?\z)'
 )
+# A line that is no comment and not blank; and a TYPE line with name and kind, if it registers any.
+_SAMPLE_LINE = r"(?mdU)^(?!#)[^\S\n]*+\S[^\n]*+"
+_DECLARATION = (
+    r"(?mdU)^" + TYPE_PREFIX + r"(?:(?:[^\S\n]* )?([^ \n]*\S[^ \n]*) (?:[^\S\n]* )?("
+    + "|".join(FAMILY_TYPES) + r")(?= |$))?"
+)
 _LABELS_DONE = r"(?s)^[^=]*=?\z"
 
 
@@ -62,7 +77,14 @@ def read_exposition(spark: SparkSession, path: str, streaming: bool = False) ->
 
 
 def trimmed(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITE_SPACE))
+    """The text without white space around it. Trimming a set of characters is slow, so it is left out
+    where a visible ASCII character stands at both ends."""
+    plain = (text >= "!") & (text < "\x7f") & F.right(text, F.lit(1)).between("!", "~")
+    return F.when(plain, text).otherwise(F.btrim(text, F.lit(WHITE_SPACE)))
+
+
+def _continued(body: Column) -> Column:
+    return body.contains("\\\n") | body.contains("\\\r\n")
 
 
 def strip_help(body: Column) -> Column:
@@ -75,8 +97,7 @@ def strip_help(body: Column) -> Column:
         block, r"(?s)(^|\n)" + HELP_PREFIX + r".*", "$1"
     )
     blocks = F.transform(F.split(body, _UNCONTINUED), lambda b: F.split(cut(b), _NEWLINE))
-    continued = body.contains("\\\n") | body.contains("\\\r\n")
-    lines = F.when(continued, F.flatten(blocks)).otherwise(F.split(body, _NEWLINE))
+    lines = F.when(_continued(body), F.flatten(blocks)).otherwise(F.split(body, _NEWLINE))
     return F.filter(lines, lambda line: ~line.startswith(HELP_PREFIX))
 
 
@@ -101,74 +122,91 @@ def _is_sample_line(line: Column) -> Column:
     return ~line.startswith("#") & line.rlike(r"(?U)\S")
 
 
-def _sections(docs: DataFrame) -> DataFrame:
-    """Add ``sections``: the lines of each dump, cut before every TYPE line.
+def _sample_lines(section: Column) -> Column:
+    """The lines of a section for which ``_is_sample_line`` holds, by one run of a pattern."""
+    return F.regexp_extract_all(section, F.lit(_SAMPLE_LINE), F.lit(0))
 
-    Lines never hold a newline, so one joins them to be cut. The first section has no
-    declaration (an empty dump start).
-    """
-    text = F.array_join(strip_help(F.col("body")), "\n")
-    cut = F.split(F.concat(F.lit("\n"), text), r"\n(?=" + TYPE_PREFIX + ")")
-    return docs.withColumn("sections", F.transform(cut, lambda s: F.split(s, "\n")))
 
+def _declared(docs: DataFrame) -> DataFrame:
+    """Add what typing the lines of a dump needs.
 
-def _registry(docs: DataFrame) -> DataFrame:
-    """Read the declaration opening each section, and list all that is declared.
-
-    Adds ``sections`` of ``struct<at,types,lines>``, ``types`` being the entries of the
-    section's own declaration by name, ``registry`` of ``struct<name,at,series_type>`` sorted by
-    name and place, and ``halvings``, as often as its length can be halved.
+    ``sections`` are its sample lines, cut at every TYPE line; the first has no declaration. The
+    others are numbered from 1, and ``names`` and ``types`` hold SLOTS entries for each, the last section's
+    first: what it registers, null where that is less. Dumps of more than CARRIED
+    declarations have ``registry`` instead, ``struct<name,at,series_type>`` sorted by name and section, and
+    ``halvings``, as often as its length can be halved.
     """
-    worded = F.transform(
-        F.col("sections"),
-        lambda s, i: F.struct(
-            i.alias("at"),
-            F.when(F.get(s, F.lit(0)).startswith(TYPE_PREFIX), _type_words(F.get(s, F.lit(0)))).alias("words"),
-            s.alias("lines"),
-        ),
-    )
-    registered = F.transform(
-        worded, lambda s: F.struct(s["at"].alias("at"), _registered(s["words"]).alias("entries"), s["lines"].alias("lines"))
-    )
-    entry = lambda at, e: F.struct(
-        e["name"].alias("name"), at.alias("at"), e["series_type"].alias("series_type")
-    )
-    opened = F.transform(
-        F.col("sections"),
-        lambda s: F.struct(
-            s["at"].alias("at"), F.map_from_entries(s["entries"]).alias("types"), s["lines"].alias("lines")
-        ),
+    body = F.col("body")
+    # Elsewhere help lines are plain comments.
+    text = F.when(_continued(body), F.array_join(strip_help(body), "\n")).otherwise(F.replace(body, F.lit("\r\n"), F.lit("\n")))
+    found = docs.withColumn("text", text).withColumns(
+        {
+            "sections": F.transform(F.split(F.concat(F.lit("\n"), "text"), r"\n(?=" + TYPE_PREFIX + ")"), _sample_lines),
+            "family": F.regexp_extract_all("text", F.lit(_DECLARATION), F.lit(1)),
+            "kind": F.regexp_extract_all("text", F.lit(_DECLARATION), F.lit(2)),
+        }
     )
-    listed = F.flatten(
-        F.transform(F.col("sections"), lambda s: F.transform(s["entries"], lambda e: entry(s["at"], e)))
+    few = F.size("family") <= CARRIED
+    slots = F.flatten(F.zip_with("family", "kind", lambda name, kind: F.array(*_slots(name, kind))))
+    entry = lambda e, i: F.struct(
+        e["name"].alias("name"), F.floor(i / SLOTS).cast("int").alias("at"), e["series_type"].alias("series_type")
     )
+    listed = F.transform(slots, lambda e, i: entry(e, i + SLOTS))
     return (
-        _sections(docs)
-        .withColumn("sections", registered)
-        .withColumns({"registry": F.sort_array(listed), "sections": opened})
-        .withColumn("halvings", F.length(F.bin(F.size("registry").cast("bigint"))))
+        found.withColumns(
+            {
+                "latest": F.when(few, F.reverse(slots)),
+                "registry": F.when(~few, F.sort_array(F.filter(listed, lambda e: e["name"].isNotNull()))),
+            }
+        )
+        .withColumns(
+            {
+                "names": F.col("latest.name"),
+                "types": F.col("latest.series_type"),
+                "halvings": F.length(F.bin(F.size("registry").cast("bigint"))),
+            }
+        )
+        .drop("text", "family", "kind", "latest")
     )
 
 
+def _slots(name: Column, kind: Column) -> list[Column]:
+    """The SLOTS entries ``struct<name,series_type>`` of a declaration, nulls if it registers fewer."""
+    slots = []
+    for i in range(SLOTS):
+        registered = series_type = F.when(F.lit(False), "")
+        for declared, parts in FAMILY_TYPES.items():
+            if i < len(parts):
+                suffix, its_type = parts[i]
+                registered = registered.when(kind == declared, F.concat(name, F.lit(suffix)) if suffix else name)
+                series_type = series_type.when(kind == declared, its_type)
+        slots.append(F.struct(registered.alias("name"), series_type.alias("series_type")))
+    return slots
+
+
 def _first_word(line: Column) -> Column:
     return F.substring_index(F.ltrim(line), " ", 1)
 
 
-def _metric_part(line: Column) -> Column:
-    """Name and labels of a sample line: up to the last ``}``, else the first word."""
-    head = F.regexp_extract(line, r"(?s)^(.*)\}", 1)
-    return trimmed(F.when(line.contains("}"), head).otherwise(_first_word(line)))
+def _head(line: Column) -> Column:
+    """Name and labels of a sample line, not trimmed: up to the last ``}``, else the first word."""
+    head = F.left(line, F.length(line) - F.length(F.substring_index(line, "}", -1)) - 1)
+    return F.when(line.contains("}"), head).otherwise(_first_word(line))
+
 
+def _name(head: Column) -> Column:
+    return F.substring_index(trimmed(head), "{", 1)
 
-def _declared_before(name: Column, at: Column) -> Column:
-    """The series type of the last entry of ``name`` before section ``at``: the registry's first
-    entry not below (name, at) is found by halving, and the one before it looked at."""
+
+def _halved(name: Column, at: Column) -> Column:
+    """The series type of the last entry of ``name`` up to section ``at``: the registry's first
+    entry above (name, at) is found by halving, and the one before it looked at."""
 
     def halve(span: Column, _: Column) -> Column:
         low, high = span["low"], span["high"]
         middle = F.shiftright(low + high, 1)
         entry = F.get("registry", middle)
-        below = (entry["name"] < name) | ((entry["name"] == name) & (entry["at"] < at))
+        below = (entry["name"] < name) | ((entry["name"] == name) & (entry["at"] <= at))
         return F.struct(
             F.when((low < high) & below, middle + 1).otherwise(low).alias("low"),
             F.when((low < high) & below, high).otherwise(F.when(low < high, middle).otherwise(high)).alias("high"),
@@ -179,30 +217,34 @@ def _declared_before(name: Column, at: Column) -> Column:
     return F.when(last["name"] == name, last["series_type"])
 
 
-def _typed(line: Column, section: Column) -> Column:
-    """``text`` and ``series_type``: by the section's own declaration, else by the latest
-    earlier one of the name."""
-    own = F.try_element_at(section["types"], line["name"])
-    found = F.coalesce(own, _declared_before(line["name"], section["at"]))
-    return F.struct(line["text"].alias("text"), found.alias("series_type"))
+def _place(name: Column, at: Column) -> Column:
+    """Where a name comes first among the few declarations a line carries, counted from 1 behind those of
+    later sections than its own; null if nowhere."""
+    place = F.array_position(F.slice("names", F.size("names") - SLOTS * at + 1, SLOTS * at), name)
+    return F.nullif(place, F.lit(0)).cast("int")
 
 
 def typed_lines(docs: DataFrame) -> DataFrame:
     """Sample lines with ``line`` (their order in the dump), ``text`` and ``series_type``."""
     keep = [c for c in docs.columns if c != "body"]
 
-    def type_section(section: Column) -> Column:
-        named = F.transform(
-            F.filter(section["lines"], _is_sample_line),
-            lambda t: F.struct(t.alias("text"), F.substring_index(_metric_part(t), "{", 1).alias("name")),
-        )
-        return F.transform(named, lambda line: _typed(line, section))
+    def each(made: Callable[[Column, Column], Column]) -> Column:
+        return F.flatten(F.transform("sections", made))
 
-    lines = F.flatten(F.transform(F.col("sections"), type_section))
-    scraped = docs.filter(F.col("body").isNotNull())
-    return _registry(scraped).select(*keep, F.posexplode(lines).alias("line", "s")).select(
-        *keep, "line", "s.text", "s.series_type"
+    name = lambda t: _name(_head(t))
+    searched = each(lambda lines, at: F.transform(F.transform(lines, name), lambda n: _halved(n, at)))
+    lines = F.arrays_zip(
+        F.flatten("sections").alias("text"),
+        each(lambda lines, at: F.array_repeat(at, F.size(lines))).alias("at"),
+        F.when(F.col("registry").isNotNull(), searched).otherwise(F.array().cast("array<string>")).alias("series_type"),
     )
+    cut_up = _declared(docs.filter(F.col("body").isNotNull())).select(*keep, "names", "types", F.posexplode(lines).alias("line", "s"))
+    # A column for each step, so that the compiled code holds none of them twice.
+    named = cut_up.withColumn("head", _head(F.col("s.text"))).withColumn("name", _name(F.col("head")))
+    first = F.size("names") - SLOTS * F.col("s.at")
+    placed = named.withColumn("place", first + _place(F.col("name"), F.col("s.at")))
+    found = F.when(F.col("names").isNull(), F.col("s.series_type")).otherwise(F.get("types", F.col("place") - 1))
+    return placed.select(*keep, "line", "s.text", found.alias("series_type"))
 
 
 def parse_lines(lines: DataFrame, counter_mode: str = "integer") -> DataFrame:
@@ -216,14 +258,10 @@ def parse_lines(lines: DataFrame, counter_mode: str = "integer") -> DataFrame:
         raise ValueError(f"unknown counter_mode {counter_mode!r}")
     text, rest, after = F.col("text"), F.col("rest"), F.col("after")
     braced = text.contains("}")
-    cut = lines.withColumns(
-        {
-            "metric": _metric_part(text),
-            "rest": F.when(braced, trimmed(F.substring_index(text, "}", -1))).otherwise(
-                F.ltrim(text.substr(F.length(_first_word(text)) + F.length(text) - F.length(F.ltrim(text)) + 1, F.length(text)))
-            ),
-        }
-    )
+    behind = F.ltrim(text.substr(F.length(_first_word(text)) + F.length(text) - F.length(F.ltrim(text)) + 1, F.length(text)))
+    # A column for each step, so that the compiled code holds none of them twice.
+    raw = lines.withColumns({"head": _head(text), "rest": F.when(braced, F.substring_index(text, "}", -1)).otherwise(behind)})
+    cut = raw.withColumns({"metric": trimmed(F.col("head")), "rest": F.when(braced, trimmed(rest)).otherwise(rest)})
     spaced = cut.withColumn(
         "after", F.when(rest.contains(" "), F.ltrim(rest.substr(F.instr(rest, " "), F.length(rest))))
     )
@@ -233,10 +271,11 @@ def parse_lines(lines: DataFrame, counter_mode: str = "integer") -> DataFrame:
             "label_text": F.when(
                 F.col("metric").contains("{"), F.substring(F.col("metric"), F.instr("metric", "{") + 1, F.length("metric"))
             ),
-            "value_text": trimmed(F.substring_index(rest, " ", 1)),
-            "ts_text": trimmed(F.when(braced, after).otherwise(F.nullif(F.substring_index(after, " ", 1), F.lit("")))),
+            "value_text": F.substring_index(rest, " ", 1),
+            "ts_text": F.when(braced, after).otherwise(F.nullif(F.substring_index(after, " ", 1), F.lit(""))),
         }
     )
+    parts = parts.withColumns({c: trimmed(F.col(c)) for c in ("value_text", "ts_text")})
     integer = F.col("series_type").endswith("Integer") & F.lit(counter_mode == "integer")
     no_labels = F.array().cast("array<struct<key:string,value:string>>")
     ts_text = F.col("ts_text")
@@ -315,12 +354,15 @@ def _label_value(tail: Column) -> Column:
 def parse_labels(text: Column) -> Column:
     """``k="v",…`` to a label list, null if anything is left over after the labels.
 
-    The pattern runs over the text once; keys, values and the rest follow from what it found."""
+    The pattern runs over the text once; keys, values and the rest follow from what it found. Without
+    a backslash, only the closing quote ends a value."""
     found = F.regexp_extract_all(text, F.lit(_LABEL), F.lit(0))
 
     def pair(part: Column) -> Column:
         key = F.substring_index(part, "=", 1)
-        return label(key, unescape(_label_value(F.substr(part, F.length(key) + 3))))
+        tail = F.substr(part, F.length(key) + 3)
+        plain = F.substring_index(tail, '"', 1)
+        return label(key, F.when(part.contains("\\"), unescape(_label_value(tail))).otherwise(plain))
 
     return F.element_at(
         F.transform(

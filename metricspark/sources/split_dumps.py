@@ -90,7 +90,7 @@ def typed_lines(lines: DataFrame) -> DataFrame:
     counted = without_help(lines).where(declares | exposition._is_sample_line(text)).withColumn(
         "n", F.count(F.when(~declares, 1)).over(_so_far(*_BLOCK))
     )
-    name = F.substring_index(exposition._metric_part(text), "{", 1)
+    name = exposition._name(exposition._head(text))
     sample = F.array(F.struct(name.alias("name"), F.lit(None).cast("string").alias("series_type")))
     entries = F.when(declares, exposition._registered(exposition._type_words(text))).otherwise(sample)
     named = counted.withColumns({"declares": declares, "entry": F.explode(entries)}).select(

@@ -259,3 +259,33 @@ def test_time_grows_with_the_lines_not_their_square(spark):
     took(500)
     small, large = (min(took(n) for _ in range(2)) for n in (2000, 8000))
     assert large < 8 * small  # four times the lines; sixteen times for a search of each line through all
+
+
+def test_declarations_carried_by_lines_or_searched_give_the_same_types(spark, monkeypatch):
+    """Few declarations go with the lines, many are searched in the dump's row: typed alike, the
+    latest one up to the line's section counting."""
+    pick = random.Random(3)
+    names, kinds = ("a", "a_count", "b", "b_bucket", "c\td"), ("counter", "gauge", "summary", "histogram", "untyped")
+    made = [
+        f"# TYPE {pick.choice(('', ' ', chr(9) + ' '))}{pick.choice(names)}  {pick.choice(kinds)} x" if pick.random() < 0.4
+        else f"{pick.choice(names)}{pick.choice(('', '_sum', '_count'))}{pick.choice(('', '{}'))} 1"
+        for _ in range(120)
+    ]
+    docs = spark.createDataFrame([("d", "t", 0, "ok", "\n".join(made))], EXPOSITION_DOC)
+    found = {}
+    for bound in (0, 1000):
+        monkeypatch.setattr(exposition, "CARRIED", bound)
+        found[bound] = [tuple(r) for r in exposition.typed_lines(docs).select("line", "text", "series_type").orderBy("line").collect()]
+    assert found[0] == found[1000]
+
+    types = {"counter": {"": "CounterInteger"}, "gauge": {"": "Gauge"}, "summary": {"": "Counter", "_count": "CounterInteger", "_sum": "Counter"},
+             "histogram": {"_bucket": "CounterInteger", "_count": "CounterInteger", "_sum": "Counter"}}
+    known, expected = {}, []
+    for line in made:
+        if line.startswith("# TYPE "):
+            words = [w for w in line.split(" ") if w.strip()]
+            known |= {words[2] + suffix: t for suffix, t in types.get(words[3], {}).items()}
+        else:
+            name = line.split("{")[0] if "{" in line else line.split(" ")[0]
+            expected.append((len(expected), line, known.get(name)))
+    assert found[0] == expected
