@@ -13,7 +13,7 @@ from metricspark.llm.neardup import near_duplicates, text_digest
 from metricspark.llm.packing import pack_documents
 from metricspark.llm.pii import pseudonymize
 from metricspark.llm.queries import PII_KEY, TOXIC, tokenizer_path, toxicity_model
-from metricspark.llm.text import free_name, table
+from metricspark.llm.text import free_name, small_batches, table
 from metricspark.llm.toxicity import score_texts
 from metricspark.session import durable
 
@@ -75,8 +75,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other; each reads what the one before has written."""
+    """The stages one after the other; each reads what the one before has written. Python workers
+    and buffers stay with an executor from stage to stage, so all stages take small batches."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = durable(stage(spark, docs, sf_dir), name)
+    with small_batches(spark):
+        for name, stage in STAGES[:-1]:
+            docs = durable(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

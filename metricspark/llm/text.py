@@ -68,6 +68,19 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Queries run inside hand at most ``rows`` rows at once to Python, so that each task holds less
+    of them outside the heap, on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The batches in parts of at most ``rows`` rows, so that few are Python objects at once."""
     return (batch.slice(at, rows) for batch in batches for at in range(0, batch.num_rows, rows))

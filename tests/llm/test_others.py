@@ -6,6 +6,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -335,3 +336,21 @@ def test_branches_of_a_table_with_clashing_columns(spark):
     odd = turns.selectExpr("*", "pair_id AS cut", "pair_id AS side")
     want = sorted(map(str, preferences.last_reply_branches(turns.drop("pair_id")).collect()))
     assert sorted(map(str, preferences.last_reply_branches(odd).collect())) == want and len(want) == 8
+
+
+def test_stages_of_the_pipeline_take_small_batches(spark, monkeypatch):
+    import corpus_pipeline as cp
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    rows = spark.range(0, 5000, 1, 1)
+    monkeypatch.setattr(cp, "table", lambda *_: rows)
+    stages = [("sizes", lambda spark, docs, _: docs.mapInArrow(sizes, "n bigint")), ("last", lambda spark, docs, _: docs)]
+    monkeypatch.setattr(cp, "STAGES", stages)
+    assert [r["n"] for r in cp.run(spark, "").collect()] == [1000] * 5
+    assert spark.conf.get(name) == before
