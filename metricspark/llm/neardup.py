@@ -77,6 +77,11 @@ def text_digest(text: Column) -> Column:
     return of.asNondeterministic()(text.cast("string"))
 
 
+def raw_digest(text: Column) -> Column:
+    """A digest of a text as it is, without Python; an empty one for null."""
+    return F.coalesce(F.unhex(F.sha2(text.cast("string"), 256)), F.lit(b""))
+
+
 def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
     """One 64-bit hash per run of words, repeats included. For sketches only: two words of
     one checksum may make two shingles look alike, which exact sets then tell apart."""
@@ -176,13 +181,14 @@ class Estimator:
         return self(a, b, n, m) >= j - DEVIATIONS * (j * (1 - j) / draws) ** 0.5
 
 
-SKETCHED = "doc_id bigint, n_shingles bigint, digest binary, registers binary"
+SKETCHED = "doc_id bigint, n_shingles bigint, digest binary, registers binary, raw binary"
 
 
-def sketches(docs: DataFrame, size: int, sketch: Sketch) -> DataFrame:
-    """Exact set size, a digest of the normalised words, and the registers of every row."""
+def sketches(docs: DataFrame, size: int, sketch: Sketch, with_raw: bool = False) -> DataFrame:
+    """Exact set size, a digest of the normalised words, and the registers of every row;
+    ``raw``, the digest of the text as it is, is null unless asked for."""
 
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()), ("registers", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), *((c, pa.binary()) for c in ("digest", "registers", "raw"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,11 +199,14 @@ def sketches(docs: DataFrame, size: int, sketch: Sketch) -> DataFrame:
                 digests.append(word_digest(words) if words else None)
                 made.append(registers(shingle_hashes(words, size), sketch).tobytes() if words else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(made, pa.binary())],
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(made, pa.binary()), batch.column(2)],
                 schema=schema,
             )
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SKETCHED)
+    raw = raw_digest(F.col("text")) if with_raw else F.lit(None).cast("binary")
+    return docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), raw.alias("raw")
+    ).mapInArrow(run, SKETCHED)
 
 
 def band_keys(distinct: DataFrame, sketch: Sketch) -> DataFrame:
@@ -280,7 +289,7 @@ def near_duplicates(docs: DataFrame, size: int = 2, sketch: Sketch = Sketch(), b
     share a component. Other columns are not read. An empty table gives no rows.
 
     With ``by_text``, different texts under one doc_id are documents of their own: they are
-    not tied, digest (see ``text_digest``) is returned too, and kept marks the rows of the
+    not tied, digest (see ``text_digest``) and raw (see ``raw_digest``) are returned too, and kept marks the rows of the
     smallest (doc_id, digest) of each group.
 
     1. One pass makes set size, digest and registers; equal word sequences fall together
@@ -291,7 +300,7 @@ def near_duplicates(docs: DataFrame, size: int = 2, sketch: Sketch = Sketch(), b
        go through an exact prefix filter, so no link between groups is lost, whatever the
        size of the bucket.
     """
-    made = durable(sketches(docs, size, sketch), "sketches")
+    made = durable(sketches(docs, size, sketch, by_text), "sketches")
     sized = made.where("digest IS NOT NULL AND doc_id IS NOT NULL")
     grouped = sized.groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")
@@ -334,11 +343,11 @@ def _kept_texts(made: DataFrame, classes: DataFrame, groups: DataFrame) -> DataF
     first = F.min(F.struct("doc_id", "_digest")).alias("_first")
     smallest = placed.groupBy(F.col("component").alias("_component")).agg(first)
     placed = placed.join(smallest, F.col("component") == F.col("_component")).select("_digest", "_first")
-    rows = made.select("doc_id", "n_shingles", "digest").join(placed, F.col("digest") == F.col("_digest"), "left")
+    rows = made.select("doc_id", "n_shingles", "digest", "raw").join(placed, F.col("digest") == F.col("_digest"), "left")
     known = F.col("doc_id").isNotNull()
     kept = F.coalesce(F.struct("doc_id", "digest") == F.struct("_first.doc_id", "_first._digest"), F.lit(True))
     return rows.select(
-        "doc_id", "n_shingles", F.coalesce("digest", F.lit(b"")).alias("digest"),
+        "doc_id", "n_shingles", F.coalesce("digest", F.lit(b"")).alias("digest"), "raw",
         F.when(known, F.coalesce("_first.doc_id", "doc_id")).alias("component_id"),
         (~known | F.col("_first").isNull() | kept).alias("kept"),
     )

@@ -354,3 +354,31 @@ def test_stages_of_the_pipeline_take_small_batches(spark, monkeypatch):
     monkeypatch.setattr(cp, "STAGES", stages)
     assert [r["n"] for r in cp.run(spark, "").collect()] == [1000] * 5
     assert spark.conf.get(name) == before
+
+
+@pytest.mark.parametrize("stage", ["toxicity", "pii"])
+def test_each_stage_takes_small_batches_by_itself(spark, monkeypatch, stage):
+    import corpus_pipeline as cp
+
+    @F.arrow_udf("double")
+    def sizes(texts: pa.Array) -> pa.Array:
+        return pa.array([float(len(texts))] * len(texts))
+
+    score = lambda docs, model, name: docs.withColumn(name, sizes("text"))
+    monkeypatch.setattr(cp, "table", lambda *_: None)
+    monkeypatch.setattr(cp, "toxicity_model", lambda *_: None)
+    monkeypatch.setattr(cp, "TOXIC", 1001)
+    monkeypatch.setattr(cp, "score_texts", score)
+    monkeypatch.setattr(cp, "pseudonymize", lambda docs, key: score(docs, None, "n").where("n <= 1000").drop("n"))
+    docs = spark.range(0, 5000, 1, 1).selectExpr("id AS doc_id", "string(id) AS text", "0L AS n_chars")
+    assert getattr(cp, stage)(spark, docs, "").count() == 5000
+
+
+def test_texts_of_near_dedup_go_through_python_only_in_small_batches(spark, sf_dir):
+    import corpus_pipeline as cp
+
+    rows = [(1, "a b c", 2), (1, "A  b c", 1), (1, "a b c", 3), (2, "a b c", 0), (3, None, 2), (3, " ", 1), (None, "a b c", 0), (None, "a b c", 0)]
+    got = cp.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string, raw long"), sf_dir)
+    assert "ArrowEvalPython" not in got._jdf.queryExecution().toString()
+    want = [(1, "A  b c", 1), (3, None, 2), (None, "a b c", 0), (None, "a b c", 0)]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
