@@ -21,6 +21,8 @@ from metricspark.session import durable
 
 #: Words of a shingle in the near-duplicate stage.
 SHINGLE = 5
+#: Parts of texts whose ids a Python worker keeps: it stays with its executor for the stages of the next run.
+KEPT_PARTS = 200_000
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -84,7 +86,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every token of every document, in sequences of at most 1024 tokens."""
     with small_batches(spark):
-        return pack_documents(docs, tokenizer_path())
+        return pack_documents(docs, tokenizer_path(), keep_parts=KEPT_PARTS)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -67,9 +67,10 @@ class _Parts(dict):
         self.tokenize = self.tokenizer.model.tokenize
         self.id_bytes = [n.to_bytes(4, "little") for n in range(self.tokenizer.get_vocab_size())]
         self.older: dict[str, bytes] = {}
+        self.most: int | None = None
 
     def __missing__(self, part: str) -> bytes:
-        if len(self) >= CACHE_PARTS // 2:
+        if len(self) >= (self.most or CACHE_PARTS) // 2:
             self.older = dict(self)
             self.clear()
         ids = self.older.get(part)
@@ -112,14 +113,15 @@ def _unsafe(text: str) -> bool:
     return any(c in text for c in _UNSAFE_PLAIN) or text[-1:] in (" ", "\n")
 
 
-def token_bytes(texts: Sequence, path: str) -> Iterator[bytes]:
+def token_bytes(texts: Sequence, path: str, keep_parts: int | None = None) -> Iterator[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers, the end id included.
 
     The texts of a group are cut into parts and the different parts numbered, all in Arrow; only
     parts not met before go through the tokenizer. A text in which a part's ids could depend on
-    its neighbours goes through it whole.
+    its neighbours goes through it whole. The ids of ``keep_parts`` parts are kept, else of ``CACHE_PARTS``.
     """
     known, end = _parts(path), END_ID.to_bytes(4, "little")
+    known.most = keep_parts
     at = 0
     while at < len(texts):
         group: list[str] = []
@@ -161,7 +163,7 @@ PIECES = (
 )
 
 
-def tokenized_pieces(docs: DataFrame, path: str, capacity: int, keep_ids: bool) -> DataFrame:
+def tokenized_pieces(docs: DataFrame, path: str, capacity: int, keep_ids: bool, keep_parts: int | None = None) -> DataFrame:
     """The pieces of each document, ranked among the pieces of their length in their task.
 
     One narrow pass. The chunk number is the task's partition, so that ranks and chunks
@@ -177,7 +179,7 @@ def tokenized_pieces(docs: DataFrame, path: str, capacity: int, keep_ids: bool)
         for batch in batches:
             chunk = batch.column(2)[0].as_py() if batch.num_rows else 0
             rows: list[tuple] = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), token_bytes(batch.column(1), path)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), token_bytes(batch.column(1), path, keep_parts)):
                 for piece, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     own = ids[4 * start : 4 * (start + length)]
                     rows.append((doc_id, piece, start, length, zlib.crc32(own), own if keep_ids else None, chunk, int(seen[length])))
@@ -334,20 +336,23 @@ def segments(groups: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
     return np.array(sorted(rows), dtype=np.int64).reshape(-1, 4)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False, keep_parts: int | None = None
+) -> DataFrame:
     """Cut documents into pieces of at most ``capacity`` tokens and place the pieces.
 
     Returns per piece doc_id, piece, start, length, ids_crc32, sequence_id and offset, and
     with ``keep_ids`` the ids as little-endian unsigned 32-bit numbers. A document's ids end
     with id 2, so a null or empty text is one piece of one token. Repeated rows are packed
-    each on its own; other columns are not read; an empty table gives no rows.
+    each on its own; other columns are not read; an empty table gives no rows. A Python worker
+    keeps the ids of ``keep_parts`` parts of texts, as fewer take less memory and more time.
 
     Only the histogram of lengths, ``capacity`` numbers, reaches the driver. The pattern
     plan has a number of rows that depends on ``capacity`` alone, so it goes to the tasks
     with the function. The rank of a piece among those of its length is its rank in its
     task plus what earlier tasks have, so a hot length is never gathered.
     """
-    pieces = durable(tokenized_pieces(docs, tokenizer, capacity, keep_ids), "pieces")
+    pieces = durable(tokenized_pieces(docs, tokenizer, capacity, keep_ids, keep_parts), "pieces")
     per_chunk = pieces.groupBy("_chunk", "length").agg(F.count(F.lit(1)).alias("n"))
     histogram = per_chunk.groupBy("length").agg(F.sum("n").alias("n")).collect()  # at most `capacity` rows
     counts = np.zeros(capacity + 1, dtype=np.int64)

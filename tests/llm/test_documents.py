@@ -210,6 +210,20 @@ def test_packing_keeps_every_token(docs):
     assert packing.pack_documents(docs.limit(0), tokenizer_path()).collect() == []
 
 
+def test_workers_keep_no_more_parts_than_asked_for():
+    texts = [f"w{i} x{i} y{i}" for i in range(500)]
+    parts = packing._parts(tokenizer_path())
+    parts.clear()
+    parts.older = {}
+    want = list(packing.token_bytes(texts, tokenizer_path()))
+    assert len(parts) > 500
+    assert list(packing.token_bytes(texts[:1], tokenizer_path(), 100)) == want[:1]
+    parts.clear()
+    parts.older = {}
+    assert list(packing.token_bytes(texts, tokenizer_path(), 100)) == want
+    assert len(parts) + len(parts.older) <= 100
+
+
 def test_token_bytes_equal_the_tokenizer(monkeypatch):
     from tokenizers import Tokenizer
 
