@@ -17,12 +17,12 @@ identity are refused.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,7 @@ from metricspark.schema import (
     SUMMARY,
     Catalog,
     default_settings,
+    local_rows,
 )
 from metricspark.session import durable, hadoop_path, scratch, together
 
@@ -82,10 +83,18 @@ class Written:
 
 def batch_digest(rows: DataFrame) -> str:
     """Tells the rows of two batches apart, whatever their order and partitions."""
-    hashed = F.xxhash64(*(F.to_json(c) if isinstance(rows.schema[c].dataType, T.MapType) else F.col(f"`{c}`") for c in sorted(rows.columns)))
-    found = rows.select(hashed.alias("h")).agg(
-        F.count("h").alias("n"), F.bit_xor("h").alias("x"), F.sum(F.pmod("h", F.lit(1 << 31))).alias("s")
-    ).first()
+    return _digest_text(rows.select(_row_hash(rows, rows.columns).alias("h")).agg(*_hash_sums("h")).first())
+
+
+def _row_hash(rows: DataFrame, columns: Sequence[str]) -> Column:
+    return F.xxhash64(*(F.to_json(c) if isinstance(rows.schema[c].dataType, T.MapType) else F.col(f"`{c}`") for c in sorted(columns)))
+
+
+def _hash_sums(h: str) -> list[Column]:
+    return [F.count(h).alias("n"), F.bit_xor(h).alias("x"), F.sum(F.pmod(h, F.lit(1 << 31))).alias("s")]
+
+
+def _digest_text(found: Mapping[str, int | None]) -> str:
     return f"{found['n']}:{found['x'] or 0}:{found['s'] or 0}"
 
 
@@ -138,7 +147,7 @@ class MetricStore:
                 rows = rows.where(F.col("bucket").isin(buckets))
             rows = rows.select(TABLES[name].names)
             out = rows if out is None else out.unionByName(rows)
-        return self.spark.createDataFrame([], TABLES[name]) if out is None else out
+        return local_rows(self.spark, [], TABLES[name]) if out is None else out
 
     def table(self, name: str) -> DataFrame:
         """The rows of a dimension in force."""
@@ -254,7 +263,7 @@ class MetricStore:
     def _read_facts(self, parts: pa.Table) -> DataFrame:
         paths = self._paths(parts)
         if not paths:
-            return self.spark.createDataFrame([], FACT)
+            return local_rows(self.spark, [], FACT)
         schema = T.StructType([*FACT.fields, _SEQ])
         return self.spark.read.schema(schema).option("basePath", f"{self.root}/{SAMPLES}").parquet(*paths).drop("seq")
 
@@ -267,7 +276,7 @@ class MetricStore:
         """``metric_id, chunk_start, chunk_end, series_id, n, first, last`` of the live facts."""
         parts = self.log.state().of(SAMPLES)
         if not parts.num_rows:
-            return self.spark.createDataFrame([], SUMMARY)
+            return local_rows(self.spark, [], SUMMARY)
         columns = [f.name for f in SUMMARY.fields]
         counted = parts.group_by(["seq", "parts"]).aggregate([("n", "count")]).to_pylist()
         out = None
@@ -312,10 +321,13 @@ class MetricStore:
 
     def write_batch(self, samples: DataFrame, batch_id: int, writer: str = MANUAL) -> Written:
         """Ingest samples as one batch and commit it; rows stored, by metric. A batch that is
-        committed already is left as it is. The samples are computed once."""
+        committed already is left as it is. The samples are computed once, and their digest as
+        they are written."""
         with scratch(self.spark):
-            samples = staged(samples)
-            digest = batch_digest(samples.select("name", "labels", "value", "time"))
+            sums = Observation()
+            hashed = samples.withColumn("_hash", _row_hash(samples, ["name", "labels", "value", "time"]))
+            samples = staged(hashed.observe(sums, *_hash_sums("_hash")))
+            digest = _digest_text(sums.get)
             done = self.committed(writer, batch_id, digest)
             if done:
                 return self._outcome(done["version"], done["written"])

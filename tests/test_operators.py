@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from metricspark.functions.labels import labels_from_map
+from metricspark.functions.labels import labels_from_map, labels_of
 from metricspark.operators import age, dictionary, encode, postings, remote_write, retention, selectors, settings, targets, views
 from metricspark.operators.ids import assign_ids
 from metricspark.operators.ordered import previous_in_order
@@ -304,3 +304,40 @@ def test_postings_against_semi_joins(spark):
             want = {r["series_id"] for r in selectors.select_series(c, metric, *matchers).collect()}
             assert {r["series_id"] for r in postings.select_series(c, index, metric, *matchers).collect()} == want, matchers
     assert postings.select_containing(c, index, "m", {"__name__": "x"}).count() == c.series.join(c.metric.where("metric_name = 'm'"), "metric_id").count()
+
+
+def test_label_lists_by_columns_and_by_lists_are_the_same_ids(spark, monkeypatch):
+    """Gaps, an unset tail, one label only; positions past the bound are gathered as lists."""
+    rows = [("m", {"a": "1", "c": "3"}, 1.0, 0), ("m", {"b": "2"}, 2.0, 1), ("m", {}, 3.0, 2), ("n", {"z": "9"}, 4.0, 3)]
+    found = []
+    for bound in (encode.COLUMNS, 2):
+        monkeypatch.setattr(encode, "COLUMNS", bound)
+        made = ingest(samples(spark, rows), Catalog.empty(spark))
+        found.append(sorted((r["metric_id"], list(r["label_ids"])) for r in made.catalog.series.collect()))
+    assert found[0] == found[1]
+    assert sorted(len(ids) for _, ids in found[0]) == [1, 2, 3, 4] and [i for m, ids in found[0] for i in ids].count(0) == 2
+
+
+def test_new_series_of_one_list_and_of_several_beside_held_ones(spark):
+    """A second batch: a held series, a new one in two orders, a new one of one list."""
+    schema = "name string, labels array<struct<key:string,value:string>>, value double"
+    def of(*rows):
+        return spark.createDataFrame([("m", labels, value) for labels, value in rows], schema).withColumn("time", F.timestamp_seconds(F.lit(0)))
+    first = ingest(of(([("a", "1")], 1.0)), Catalog.empty(spark))
+    second = ingest(
+        of(([("a", "1")], 2.0), ([("a", "2"), ("b", "1")], 3.0), ([("b", "1"), ("a", "2")], 4.0), ([("a", "3")], 5.0)), first.catalog
+    )
+    names = decoded(second.catalog)
+    got = {r["value"]: names[r["series_id"]] for r in second.facts.collect()}
+    name = {"__name__": "m"}
+    assert got == {2.0: name | {"a": "1"}, 3.0: name | {"a": "2", "b": "1"}, 4.0: name | {"a": "2", "b": "1"}, 5.0: name | {"a": "3"}}
+    assert second.added["series"].columns == ["series_id", "metric_id", "label_ids"] and second.added["series"].count() == 2
+
+
+def test_local_rows_and_labels_need_no_python_and_no_higher_order_function(spark):
+    empty = Catalog.empty(spark)
+    plan = empty.label.join(empty.series.select(F.col("series_id").cast("int").alias("id")), "id")._jdf.queryExecution().toString()
+    assert "ExistingRDD" not in plan
+    listed = spark.range(3).select(labels_of([("a", F.when(F.col("id") > 0, "x")), ("b", F.lit(None)), ("c", F.col("id").cast("string"))]).alias("l"))
+    assert [[tuple(p) for p in r["l"]] for r in listed.orderBy(F.size("l")).collect()][0] == [("c", "0")]
+    assert "lambdafunction" not in listed._jdf.queryExecution().toString()
