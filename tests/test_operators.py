@@ -341,3 +341,11 @@ def test_local_rows_and_labels_need_no_python_and_no_higher_order_function(spark
     listed = spark.range(3).select(labels_of([("a", F.when(F.col("id") > 0, "x")), ("b", F.lit(None)), ("c", F.col("id").cast("string"))]).alias("l"))
     assert [[tuple(p) for p in r["l"]] for r in listed.orderBy(F.size("l")).collect()][0] == [("c", "0")]
     assert "lambdafunction" not in listed._jdf.queryExecution().toString()
+
+
+def test_decoded_lists_compile(spark):
+    made = ingest(samples(spark, [("m", {"a": "1", "b": "2"}, 1.0, 0)]), Catalog.empty(spark))
+    rows = encode.decode_series(made.catalog.series, made.catalog.label)
+    js = rows.select(encode.label_map(F.col("labels")).alias("m"))
+    assert js.first()["m"] == {"__name__": "m", "a": "1", "b": "2"}
+    assert "lambdafunction" not in js._jdf.queryExecution().toString()
